@@ -1,46 +1,63 @@
-"""Carry a value forward over an ordered log without putting the log into one task."""
+"""Carry values forward over an ordered log without putting the log into one task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKET_ROWS = 1 << 16
+BUCKET_BITS = 16
+
+
+@dataclass(frozen=True)
+class Carry:
+    """Column ``out``: the last non-NULL ``value`` so far, within equal ``by`` columns."""
+
+    value: Column
+    out: str
+    by: tuple[str, ...] = ()
 
 
 def carry_forward(
     df: DataFrame,
     seq: str,
-    value: Column,
-    out: str,
-    by: Sequence[str] = (),
-    bucket: int = BUCKET_ROWS,
+    carries: Sequence[Carry],
+    bits: int = BUCKET_BITS,
     levels: int = 2,
     inclusive: bool = True,
 ) -> DataFrame:
-    """Add ``out``: the last non-NULL ``value`` at (or, if not inclusive, before) each row.
+    """Add the carried columns; a row sees its own value unless ``inclusive`` is off.
 
-    The log is cut into ranges of ``bucket`` sequence numbers. Each range is scanned in its
-    own task; what a range inherits comes from one summary row per range, carried forward
-    the same way one level up. ``seq`` must be unique, so no range exceeds ``bucket`` rows,
-    however the rows are spread over ``by``. ``by`` columns must not be NULL.
+    The log is cut into ranges of ``2**bits`` sequence numbers. Each range is scanned in its
+    own group; what a range inherits comes from one summary row per range, carried forward
+    the same way one level up. ``seq`` must be unique, so no group exceeds ``2**bits`` rows,
+    however the rows are spread over the ``by`` columns. All carries share one shuffle.
     """
-    rows = df.withColumn("_v", value)
-    reach = Window.currentRow if inclusive else -1
+    slot, reach = f"_slot{levels}", Window.currentRow if inclusive else -1
+
+    def frame(*keys: str):
+        return Window.partitionBy(*keys).orderBy(seq).rowsBetween(Window.unboundedPreceding, reach)
+
     if levels == 0:
-        w = Window.partitionBy(*by).orderBy(seq).rowsBetween(Window.unboundedPreceding, reach)
-        return rows.withColumn(out, F.last("_v", ignorenulls=True).over(w)).drop("_v")
-    slot = f"_b{levels}"
-    keys = [slot, *by]
-    rows = rows.withColumn(slot, F.floor(F.col(seq) / bucket).cast("bigint"))
-    has_value = F.col("_v").isNotNull()
-    heads = rows.groupBy(*keys).agg(
-        F.max(F.when(has_value, F.struct(F.col(seq).alias("s"), F.col("_v").alias("v"))))["v"].alias("_h")
-    )
-    inherited = carry_forward(heads, slot, F.col("_h"), f"_in{levels}", by, bucket, levels - 1, False)
-    w = Window.partitionBy(*keys).orderBy(seq).rowsBetween(Window.unboundedPreceding, reach)
-    local = rows.withColumn("_l", F.last("_v", ignorenulls=True).over(w))
-    joined = local.join(inherited.select(*keys, f"_in{levels}"), keys, "left")
-    carried = joined.withColumn(out, F.coalesce("_l", f"_in{levels}"))
-    return carried.select(*df.columns, out)
+        for c in carries:
+            df = df.withColumn(c.out, F.last(c.value, ignorenulls=True).over(frame(*c.by)))
+        return df
+    rows = df.withColumn(slot, F.shiftright(F.col(seq), bits))
+    out = rows.withColumns({f"_v{i}": c.value for i, c in enumerate(carries)})
+    for i, c in enumerate(carries):
+        out = out.withColumn(c.out, F.last(f"_v{i}", ignorenulls=True).over(frame(slot, *c.by)))
+    for c in carries:
+        above = _inherited(rows, seq, slot, c, bits, levels)
+        name = f"_above{levels}"
+        out = out.join(above, [slot, *c.by], "left").withColumn(c.out, F.coalesce(c.out, name)).drop(name)
+    return out.select(*df.columns, *[c.out for c in carries])
+
+
+def _inherited(rows: DataFrame, seq: str, slot: str, c: Carry, bits: int, levels: int) -> DataFrame:
+    """What each range inherits: the last value of the ranges before it."""
+    at, held = F.col(seq).alias("s"), c.value.alias("v")
+    last = F.max(F.when(c.value.isNotNull(), F.struct(at, held)))["v"]
+    heads = rows.groupBy(slot, *c.by).agg(last.alias("_head"))
+    up = carry_forward(heads, slot, [Carry(F.col("_head"), f"_above{levels}", c.by)], bits, levels - 1, False)
+    return up.drop("_head")

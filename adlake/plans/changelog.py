@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from adlake.functions.dates import pg_epoch
 from adlake.functions.numbers import bytea
 from adlake.functions.pgtypes import BYTEA_OID, be_int32, be_int64, be_uint, char_at, pg_type
-from adlake.operators.asof import carry_forward
+from adlake.operators.asof import Carry, carry_forward
 from adlake.operators.dedupe import latest
 from adlake.spec import APPEND, MERGE
 
@@ -92,7 +92,8 @@ def _relation(payload: Column) -> Column:
 def message_kinds(log: DataFrame) -> DataFrame:
     """The log with the kind of each message; a byte that names no message is an error."""
     kind = char_at(F.col("payload"), 1)
-    known = F.when(kind.isin(*MESSAGE_KINDS), kind).otherwise(
+    # NULL passes: filters may run after this check, so it must not fail on rows they drop.
+    known = F.when(kind.isNull() | kind.isin(*MESSAGE_KINDS), kind).otherwise(
         F.raise_error(F.concat(F.lit("unknown replication message: "), kind)).cast("string")
     )
     return log.withColumn("kind", known)
@@ -111,12 +112,14 @@ def decode_messages(log: DataFrame) -> DataFrame:
     """
     payload = F.col("payload")
     kinds = message_kinds(log).filter(F.col("kind").isin("B", "R", "I", "U", "D"))
-    # Final LSN at byte 2, commit time at byte 10.
-    begin = F.when(F.col("kind") == "B", be_int64(payload, 10))
-    timed = carry_forward(kinds, "seq", begin, "commit_us").filter("kind != 'B'")
-    ids = timed.withColumn("rel_id", be_uint(payload, 2, 4))
-    defined = F.when(F.col("kind") == "R", _relation(payload))
-    with_relation = carry_forward(ids, "seq", defined, "relation", by=["rel_id"]).filter("kind != 'R'")
+    # Bytes of a begin message: final LSN from 2, commit time from 10. The others but the
+    # begin message have the relation id from 2.
+    kind = F.col("kind")
+    begin = F.when(kind == "B", be_int64(payload, 10))
+    defined = F.when(kind == "R", _relation(payload))
+    ids = kinds.withColumn("rel_id", F.when(kind != "B", be_uint(payload, 2, 4)))
+    carries = [Carry(begin, "commit_us"), Carry(defined, "relation", ("rel_id",))]
+    with_relation = carry_forward(ids, "seq", carries).filter(kind.isin("I", "U", "D"))
 
     # Byte 6 says which tuple follows; an update may carry a key or old tuple before the new one.
     has_old = (F.col("kind") == "U") & char_at(payload, 6).isin("K", "O")

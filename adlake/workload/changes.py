@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from adlake.operators.dedupe import latest
 from adlake.operators.sinks import shared_dir
 from adlake.plans.changelog import (
     SourceColumn,
@@ -15,7 +16,7 @@ from adlake.plans.changelog import (
     table_changes,
 )
 from adlake.streaming.jobs import applied_rows, latest_state, stream_apply
-from adlake.workload.registry import query, table
+from adlake.workload.registry import query, stream_table, table
 
 KEYS = ["user_id"]
 
@@ -61,8 +62,7 @@ def cdc_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("cdc_stream", _STATE_SQL)
 def cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same changes as a stream, applied batch by batch to a written table."""
-    root, path = shared_dir(spark), f"{sf_dir}/events.parquet"
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    root, stream = shared_dir(spark), stream_table(spark, sf_dir, "events")
     stream_apply(event_changes(stream), KEYS, f"{root}/table", f"{root}/progress", buckets=8)
     return applied_rows(spark, f"{root}/table").select("user_id", "event_type", "value", "lsn")
 
@@ -76,8 +76,7 @@ def cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def cdc_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest row per key held as streaming state and written out at the end."""
-    root, path = shared_dir(spark), f"{sf_dir}/events.parquet"
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    root, stream = shared_dir(spark), stream_table(spark, sf_dir, "events")
     rows = event_changes(stream).select("user_id", "event_type", "lsn")
 
     def sink(batch: DataFrame, epoch: int) -> None:
@@ -165,7 +164,8 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(2).alias("at"), change.alias("hex")),
         F.struct(F.lit(3).alias("at"), commit.alias("hex")),
     )
-    log = orders.select("o_orderkey", F.explode(messages).alias("m")).filter(F.col("m.hex").isNotNull()).select(
+    sent = F.filter(messages, lambda m: m["hex"].isNotNull())
+    log = orders.select("o_orderkey", F.explode(sent).alias("m")).select(
         (F.col("o_orderkey") * 4 + F.col("m.at")).alias("seq"), F.unhex("m.hex").alias("payload")
     )
     first = orders.agg(F.min(key).alias("k")).select(

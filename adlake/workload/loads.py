@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adlake.operators.dedupe import latest
 from adlake.operators.incremental import capped, report_increment, rolling_refresh
-from adlake.operators.sinks import load, read_table, shared_dir, write_merge, write_replace
+from adlake.operators.sinks import load, read_table, shared_dir, write_merge
 from adlake.operators.windows import LAG_DAYS, plan_windows, run_windows
 from adlake.sources.tables import pull_increment
 from adlake.spec import APPEND, MERGE, TableSpec
 from adlake.streaming.jobs import stream_load
-from adlake.workload.registry import query, table
+from adlake.workload.registry import query, stream_table, table
 
 
 @query(
@@ -240,8 +240,7 @@ def load_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_load_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event files taken as a stream, filtered, and merged to the last event per user."""
-    root, path = shared_dir(spark), f"{sf_dir}/events.parquet"
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    root, stream = shared_dir(spark), stream_table(spark, sf_dir, "events")
     spec = TableSpec("last_event", ("user_id",), MERGE, order_by=("event_id",))
     stream_load(
         stream,
@@ -252,8 +251,3 @@ def stream_load_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return read_table(spark, f"{root}/table").select("user_id", "event_id", "event_type")
 
-
-def written_copy(spark: SparkSession, df: DataFrame) -> DataFrame:
-    path = shared_dir(spark)
-    write_replace(df, path)
-    return read_table(spark, path)

@@ -58,7 +58,12 @@ def ad_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         pickUpLocation=_object(locationQuery=_text(city)),
     )
     flight = _object(legs=_array(leg), cabin=F.lit('"eco"'), passengers=passengers)
-    hotel = _object(checkinDate=_text(day), cityId=city, adults=F.lit("3"))
+    hotel = _object(
+        checkinDate=_text(day),
+        checkoutDate=F.when(open_, _text(day)),
+        cityId=city,
+        adults=F.lit("3"),
+    )
     legacy = _object(
         legs=_array(leg),
         cityId=F.when(open_, city),
@@ -122,14 +127,14 @@ _LOGS_SQL = """
            CAST(CASE shape WHEN 'car' THEN -1 WHEN 'flight' THEN CASE st WHEN 'O' THEN 2 ELSE 0 END
                       WHEN 'hotel' THEN 3 ELSE CASE st WHEN 'O' THEN 4 ELSE 0 END END AS BIGINT) AS travelers,
            CASE WHEN shape = 'legacy' AND st = 'P' THEN NULL ELSE day END AS start_date,
-           CASE shape WHEN 'car' THEN NULL ELSE day END AS end_date,
+           CASE shape WHEN 'car' THEN NULL WHEN 'hotel' THEN CASE st WHEN 'O' THEN day END ELSE day END AS end_date,
            CASE shape WHEN 'flight' THEN 'SFO' WHEN 'legacy' THEN CASE st WHEN 'O' THEN city ELSE 'SFO' END
                 ELSE city END AS origin,
            CASE shape WHEN 'car' THEN 'None' WHEN 'flight' THEN 'None' WHEN 'hotel' THEN city
                 ELSE CASE st WHEN 'O' THEN city END END AS destination,
            CASE shape WHEN 'legacy' THEN 'Android' ELSE 'iOS' END AS os,
            CASE shape WHEN 'legacy' THEN 'de' ELSE 'us' END AS country, day AS created,
-           CASE shape WHEN 'legacy' THEN 1.0 ELSE 2.0 END AS version
+           CAST(CASE shape WHEN 'legacy' THEN 1.0 ELSE 2.0 END AS DOUBLE) AS version
     FROM a
     """,
 )
@@ -173,9 +178,8 @@ def inline_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ad_request_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = adlogs.ad_request_stats(ad_logs(spark, sf_dir))
-    return stats.drop("name", "request_time").withColumn(
-        "request_day", F.date_format(stats["request_time"], "yyyy-MM-dd")
-    )
+    day = F.date_format("request_time", "yyyy-MM-dd")
+    return stats.withColumn("request_day", day).drop("name", "request_time")
 
 
 @query(

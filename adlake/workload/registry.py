@@ -30,6 +30,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The files of a table as a stream; a table is one file or a folder of files."""
+    path = f"{sf_dir}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop_path).isFile():
+        # A file source watches folders.
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return reader.parquet(path)
+
+
 def props_k() -> Column:
     """The number inside the ``props`` text of an event."""
     return F.regexp_extract("props", "([0-9]+)", 1).cast("bigint")

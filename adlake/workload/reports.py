@@ -355,8 +355,8 @@ def _grain_sql(keys: str, select: str, days: int) -> str:
       FROM lineitem GROUP BY ALL
     )
     SELECT {select}, CAST(d AS VARCHAR) AS date_start, CAST(d + {days - 1} AS VARCHAR) AS date_stop,
-           impressions, clicks, spend, round(clicks * 100.0 / impressions, 4) AS ctr,
-           round(spend / clicks, 4) AS cpc, round(spend * 1000.0 / impressions, 4) AS cpm
+           impressions, clicks, spend, CAST(clicks AS DOUBLE) * 100 / CAST(impressions AS DOUBLE) AS ctr,
+           spend / CAST(clicks AS DOUBLE) AS cpc, spend * 1000 / CAST(impressions AS DOUBLE) AS cpm
     FROM a
     """
 
@@ -369,7 +369,9 @@ def _grain_columns(df: DataFrame, keys: list[str]) -> DataFrame:
         "impressions",
         "clicks",
         F.col("spend").cast("double").alias("spend"),
-        *[F.round(m, 4).alias(m) for m in ("ctr", "cpc", "cpm")],
+        "ctr",
+        "cpc",
+        "cpm",
     )
 
 
