@@ -4,26 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from adlake.functions.text import blank_to_null, strip
+from adlake.functions.text import blank_to_null
 
+_PLAIN = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 _DIGITS = r"\d+(_\d+)*"
-_DECIMAL = rf"^[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
-_SPECIAL = r"^[+-]?(inf|infinity)$"
-_NAN = r"^[+-]?nan$"
+_GROUPED = rf"^\s*[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?\s*$"
+_INFINITE = r"(?i)^\s*[+-]?(inf|infinity)\s*$"
+_NAN = r"(?i)^\s*[+-]?nan\s*$"
+
+
+def plain_float(c: Column) -> Column:
+    """Float of an ordinary number text; NULL for all others, also for the rarer spellings."""
+    return F.when(c.rlike(_PLAIN), c.cast("double"))
 
 
 def try_float(c: Column) -> Column:
     """Float of a text, or NULL where the text is not a number.
 
-    The pattern keeps out what Spark alone would take (``1d``) and lets in
-    grouped digits (``1_000``), so the accepted texts are those of a Python float.
+    The patterns keep out what Spark alone would take (``1d``) and let in grouped digits
+    (``1_000``), so the accepted texts are those of a Python float.
     """
-    s = strip(c)
-    low = F.lower(s)
     return (
-        F.when(s.rlike(_DECIMAL), F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
-        .when(low.rlike(_SPECIAL), s.try_cast("double"))
-        .when(low.rlike(_NAN), F.lit(float("nan")))
+        F.when(c.rlike(_PLAIN), c.try_cast("double"))
+        .when(c.rlike(_GROUPED), F.replace(c, F.lit("_"), F.lit("")).try_cast("double"))
+        .when(c.rlike(_INFINITE), F.lower(c).try_cast("double"))
+        .when(c.rlike(_NAN), F.lit(float("nan")))
     )
 
 

@@ -17,11 +17,12 @@ from adlake.functions.numbers import bytea
 from adlake.functions.pgtypes import BYTEA_OID, be_int32, be_int64, be_uint, char_at, pg_type
 from adlake.operators.asof import Carry, carry_forward
 from adlake.operators.dedupe import latest
+from adlake.operators.sinks import cut_lineage
 from adlake.spec import APPEND, MERGE
 
 LOG_SCHEMA = "seq BIGINT, lsn BIGINT, payload BINARY"
 MESSAGE_KINDS = "BCRIUDT"  # begin, commit, relation, insert, update, delete, truncate
-_VALUES = "array<struct<cat:string,val:string>>"
+_SLICE = "struct<pos:int,size:int>"
 _COLUMNS = "array<struct<key:boolean,name:string,oid:bigint,typmod:bigint>>"
 
 
@@ -39,29 +40,55 @@ def _utf8(latin: Column) -> Column:
     return F.decode(F.encode(latin, "ISO-8859-1"), "UTF-8")
 
 
-def _tuple_at(payload: Column, start: Column) -> Column:
-    """Parse the tuple that starts at ``start``: the position after it and its values."""
-    begin = F.struct((start + 2).cast("int").alias("pos"), F.array().cast(_VALUES).alias("vals"))
+# Lengths that stand for a value that was not sent.
+_NULL, _UNCHANGED = -1, -2
+
+
+def _slices_at(payload: Column, start: Column) -> Column:
+    """Where the values of the tuple at ``start`` lie: (position, length), after a first mark.
+
+    The length is negative for NULL and for an unchanged value.
+    """
+
+    def at(pos: Column, size: Column) -> Column:
+        return F.struct(pos.cast("int").alias("pos"), size.cast("int").alias("size"))
 
     def step(acc: Column, _i: Column) -> Column:
-        cat = char_at(payload, acc["pos"])
-        size = F.when(cat == "t", be_uint(payload, acc["pos"] + 1, 4).cast("int")).otherwise(F.lit(0))
-        text = F.when(cat == "t", F.decode(F.substring(payload, acc["pos"] + 5, size), "UTF-8"))
-        known = F.when(cat.isin("n", "u", "t"), cat).otherwise(
-            F.raise_error(F.concat(F.lit("unknown value kind in tuple: "), cat)).cast("string")
-        )
-        width = F.when(cat == "t", size + 5).otherwise(F.lit(1))
-        entry = F.struct(known.alias("cat"), text.alias("val"))
-        return F.struct(
-            (acc["pos"] + width).cast("int").alias("pos"),
-            F.concat(acc["vals"], F.array(entry)).cast(_VALUES).alias("vals"),
+        pos = _after(acc)
+        tag = F.substring(payload, pos, F.lit(1))
+        entry = (
+            F.when(tag == F.lit(b"t"), at(pos + 5, be_uint(payload, pos + 1, 4)))
+            .when(tag == F.lit(b"n"), at(pos + 1, F.lit(_NULL)))
+            .when(tag == F.lit(b"u"), at(pos + 1, F.lit(_UNCHANGED)))
+            .otherwise(
+                F.raise_error(F.concat(F.lit("unknown value kind in tuple: "), F.hex(tag))).cast(_SLICE)
+            )
         )
+        return F.concat(acc, F.array(entry)).cast(f"array<{_SLICE}>")
 
     count = be_uint(payload, start, 2).cast("int")
+    begin = F.array(at(start + 2, F.lit(0))).cast(f"array<{_SLICE}>")
     indexes = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
     return F.aggregate(indexes, begin, step)
 
 
+def _after(slices: Column) -> Column:
+    """Position after the last value."""
+    last = F.element_at(slices, -1)
+    return last["pos"] + F.greatest(last["size"], F.lit(0))
+
+
+def _values(payload: Column, slices: Column) -> Column:
+    """The texts that the slices point at."""
+
+    def value(s: Column) -> Column:
+        kind = F.when(s["size"] >= 0, "t").when(s["size"] == _NULL, "n").otherwise("u")
+        text = F.when(s["size"] >= 0, F.decode(F.substring(payload, s["pos"], s["size"]), "UTF-8"))
+        return F.struct(kind.alias("cat"), text.alias("val"))
+
+    return F.transform(F.slice(slices, F.lit(2), F.size(slices)), value)
+
+
 def _relation(payload: Column) -> Column:
     """Name and columns of a relation message; byte positions are those of its Latin-1 text."""
     text = F.decode(payload, "ISO-8859-1")
@@ -104,22 +131,31 @@ def count_truncates(log: DataFrame) -> DataFrame:
     return message_kinds(log).agg(F.count_if(F.col("kind") == "T").alias("n_truncates"))
 
 
+MAX_DEFINITIONS = 10_000  # table definitions that may be broadcast; more are joined
+
+
+def _definitions(messages: DataFrame) -> DataFrame:
+    """Each distinct relation message parsed once: one row per table and schema change."""
+    distinct = messages.filter("kind = 'R'").select(F.col("payload").alias("definition")).distinct()
+    parsed = cut_lineage(distinct.withColumn("relation", _relation(F.col("definition"))))
+    return F.broadcast(parsed) if parsed.count() <= MAX_DEFINITIONS else parsed
+
+
 def decode_messages(log: DataFrame) -> DataFrame:
     """One row per insert, update or delete, with the relation and commit time it belongs to.
 
     Columns: seq, lsn, kind, relation (name, cols), commit_ts, vals (the new tuple, or the
     old one of a delete) and old_vals (key or old tuple an update carried, else NULL).
     """
-    payload = F.col("payload")
-    kinds = message_kinds(log).filter(F.col("kind").isin("B", "R", "I", "U", "D"))
-    # Bytes of a begin message: final LSN from 2, commit time from 10. The others but the
-    # begin message have the relation id from 2.
-    kind = F.col("kind")
+    payload, kind = F.col("payload"), F.col("kind")
+    kinds = message_kinds(log).filter(kind.isin("B", "R", "I", "U", "D"))
+    # Bytes of a begin message: final LSN from 2, commit time from 10. The others have the
+    # relation id from 2.
     begin = F.when(kind == "B", be_int64(payload, 10))
-    defined = F.when(kind == "R", _relation(payload))
     ids = kinds.withColumn("rel_id", F.when(kind != "B", be_uint(payload, 2, 4)))
-    carries = [Carry(begin, "commit_us"), Carry(defined, "relation", ("rel_id",))]
-    with_relation = carry_forward(ids, "seq", carries).filter(kind.isin("I", "U", "D"))
+    carries = [Carry(begin, "commit_us"), Carry(F.when(kind == "R", payload), "definition", ("rel_id",))]
+    changes = carry_forward(ids, "seq", carries).filter(kind.isin("I", "U", "D"))
+    with_relation = changes.join(_definitions(kinds), "definition", "left")
 
     # Byte 6 says which tuple follows; an update may carry a key or old tuple before the new one.
     has_old = (F.col("kind") == "U") & char_at(payload, 6).isin("K", "O")
@@ -132,16 +168,16 @@ def decode_messages(log: DataFrame) -> DataFrame:
     checked = with_relation.withColumn(
         "kind", F.when(bad.isNotNull(), F.raise_error(message).cast("string")).otherwise(F.col("kind"))
     )
-    first = checked.withColumn("_first", _tuple_at(payload, F.lit(7))).withColumn("_has_old", has_old)
-    second = first.withColumn("_new", F.when(F.col("_has_old"), _tuple_at(payload, F.col("_first")["pos"] + 1)))
-    return second.select(
+    sliced = checked.withColumn("_first", _slices_at(payload, F.lit(7))).withColumn("_has_old", has_old)
+    both = sliced.withColumn("_new", F.when(F.col("_has_old"), _slices_at(payload, _after(F.col("_first")) + 1)))
+    return both.select(
         "seq",
         "lsn",
         "kind",
         "relation",
         pg_epoch(F.col("commit_us")).alias("commit_ts"),
-        F.when(F.col("_has_old"), F.col("_new")["vals"]).otherwise(F.col("_first")["vals"]).alias("vals"),
-        F.when(F.col("_has_old"), F.col("_first")["vals"]).alias("old_vals"),
+        _values(payload, F.coalesce("_new", "_first")).alias("vals"),
+        F.when(F.col("_has_old"), _values(payload, F.col("_first"))).alias("old_vals"),
     )
 
 

@@ -12,6 +12,7 @@ from adlake.plans.changelog import (
     bootstrap,
     count_truncates,
     decode_messages,
+    read_changes,
     snapshot_scan,
     table_changes,
 )
@@ -186,7 +187,10 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def cdc_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = decode_messages(order_log(spark, sf_dir))
+    """The messages landed as files, scanned, decoded and typed."""
+    path = shared_dir(spark)
+    order_log(spark, sf_dir).write.parquet(path)
+    decoded = decode_messages(read_changes(spark, path))
     changes = table_changes(decoded, "orders", ORDER_COLUMNS)
     deleted = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("deleted_ts").cast("timestamp_ntz"))
     return changes.select(

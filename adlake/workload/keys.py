@@ -93,8 +93,8 @@ def text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     "hex_and_epoch",
     """
     SELECT o_orderkey,
-           upper(to_hex(o_orderkey * 1000003)) AS high,
-           upper(to_hex(o_orderkey * 1000003)) || '/' || lpad(upper(to_hex(o_custkey)), 8, '0') AS lsn,
+           upper(to_hex(o_custkey)) AS high,
+           upper(to_hex(o_custkey)) || '/' || lpad(upper(to_hex(o_orderkey)), 8, '0') AS lsn,
            strftime(TIMESTAMP '2000-01-01' + to_microseconds(o_orderkey * 1000000), '%Y-%m-%d %H:%M:%S') AS committed,
            o_orderpriority AS decoded
     FROM orders
@@ -102,8 +102,7 @@ def text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def hex_and_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
-    high = key * F.lit(1000003)
-    lsn = lsn_hex(F.shiftleft(high, 32) + F.col("o_custkey"))
+    lsn = lsn_hex(F.shiftleft("o_custkey", 32) + key)
     text = F.concat(F.lit("\\x"), F.lower(F.hex("o_orderpriority")))
     wall = F.convert_timezone(
         F.current_timezone(), F.lit("UTC"), pg_epoch(key * 1000000).cast("timestamp_ntz")
