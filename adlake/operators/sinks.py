@@ -10,9 +10,10 @@ idempotent, so a run that dies is simply run again.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from adlake.operators.dedupe import assert_unique, latest
 from adlake.spec import APPEND, MERGE, TableSpec
@@ -50,10 +51,22 @@ def current_path(spark: SparkSession, path: str) -> str | None:
     return f"{path}/v={have[-1]}" if have else None
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The current version of a table, or None when it has never been written."""
+def read_table(
+    spark: SparkSession, path: str, types: Mapping[str, T.DataType] | None = None
+) -> DataFrame | None:
+    """The current version of a table, or None when it has never been written.
+
+    Partition values are read from folder names, where Spark guesses their types (``01``
+    becomes a number); ``types`` gives the columns their declared ones.
+    """
     now = current_path(spark, path)
-    return spark.read.parquet(now) if now else None
+    if now is None:
+        return None
+    df = spark.read.parquet(now)
+    declared = T.StructType(
+        [T.StructField(f.name, (types or {}).get(f.name, f.dataType), True) for f in df.schema.fields]
+    )
+    return df if declared == df.schema else spark.read.schema(declared).parquet(now)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -120,7 +133,13 @@ def _only_partitions(target: DataFrame, touched: DataFrame, parts: Sequence[str]
 def _emptied(touched: DataFrame, rows: DataFrame, parts: Sequence[str]) -> list[str]:
     """Folders of touched partitions that no row is left in; an overwrite would skip them."""
     left = touched.join(rows.select(*parts).distinct(), list(parts), "left_anti")
-    return ["/".join(f"{p}={r[p]}" for p in parts) for r in left.collect()]
+    escape = rows.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    null = "__HIVE_DEFAULT_PARTITION__"
+
+    def folder(p: str, value: object) -> str:
+        return f"{escape(p)}={null if value is None else escape(str(value))}"
+
+    return ["/".join(folder(p, r[p]) for p in parts) for r in left.collect()]
 
 
 Resolve = Callable[[DataFrame | None, DataFrame], DataFrame]
@@ -133,15 +152,12 @@ def write_merge(df: DataFrame, spec: TableSpec, path: str, resolve: Resolve | No
     can decide otherwise, e.g. by a log position, which makes replays harmless.
     """
     spark, parts = df.sparkSession, list(spec.partition_by)
-    target = read_table(spark, path)
+    target = read_table(spark, path, {p: df.schema[p].dataType for p in parts})
     if target is None:
         first = latest(df, spec.keys, spec.order_by) if resolve is None else resolve(None, df)
         write_replace(first, path, parts)
         return
     new = latest(df, spec.keys, spec.order_by) if resolve is None else df
-    # Partition values come back from folder names: give them their declared type again.
-    retype = [p for p in parts if target.schema[p].dataType != df.schema[p].dataType]
-    target = target.withColumns({p: F.col(p).cast(df.schema[p].dataType) for p in retype})
 
     def merged(stored: DataFrame, rows: DataFrame) -> DataFrame:
         if resolve is not None:
