@@ -87,18 +87,23 @@ def per_app(
         F.count(F.lit(1)).alias("_ne"),
     )
     # Events are brought to the package grain first; the app side then joins one row.
-    days = apps.select("date_key", "package_name").distinct()
+    pairs = mapping.select("package_name", "property_id")
     per_package = (
-        days.join(mapping.select("package_name", "property_id"), "package_name")
-        .join(per_property, ["property_id", "date_key"], "left")
+        per_property.join(pairs, "property_id")
         .groupBy("date_key", "package_name")
         .agg(
-            F.sum(F.coalesce("_opens", F.lit(0))).alias("_opens"),
-            F.sum(F.coalesce("_ne", F.lit(1))).alias("_copies"),
+            F.sum("_opens").alias("_opens"),
+            (F.sum("_ne") - F.count(F.lit(1))).alias("_more"),
         )
     )
-    joined = apps.join(per_package, ["date_key", "package_name"], "left")
-    opens, copies = F.coalesce("_opens", F.lit(0)), F.coalesce("_copies", F.lit(1))
+    # A mapped property without events still gives one joined row.
+    properties = pairs.groupBy("package_name").agg(F.count(F.lit(1)).alias("_properties"))
+    joined = apps.join(per_package, ["date_key", "package_name"], "left").join(
+        properties, "package_name", "left"
+    )
+    n_properties = F.coalesce("_properties", F.lit(1))
+    copies = n_properties + F.coalesce("_more", F.lit(0))
+    opens = F.coalesce("_opens", F.lit(0))
     if fanout == "literal":
         opens, acq = opens * F.col("_np"), F.col("_acq") * copies
     else:

@@ -346,3 +346,14 @@ def bootstrap(
     if change_disposition(ops) == APPEND:
         return snapshot.unionByName(later.drop("deleted_ts"), allowMissingColumns=True)
     return apply_changes(snapshot, later, keys)
+
+
+def open_messages(log: DataFrame) -> DataFrame:
+    """Messages that later changes depend on: the last begin, and the last definition per relation."""
+    messages = message_kinds(log)
+    columns = log.columns
+    begins = messages.filter("kind = 'B'")
+    last = begins.groupBy("kind").agg(F.max(F.struct(*columns)).alias("m"))
+    relations = messages.filter("kind = 'R'").withColumn("rel_id", be_uint(F.col("payload"), 2, 4))
+    defined = relations.groupBy("rel_id").agg(F.max(F.struct(*columns)).alias("m"))
+    return last.select("m.*").unionByName(defined.select("m.*"))

@@ -6,12 +6,20 @@ micro-batch so that a batch that is replayed after a failure changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlake.operators.sinks import load, read_table, write_merge
-from adlake.plans.changelog import apply_changes, live_rows
+from adlake.operators.sinks import cut_lineage, load, read_table, write_merge
+from adlake.plans.changelog import (
+    LOG_SCHEMA,
+    apply_changes,
+    decode_messages,
+    live_rows,
+    open_messages,
+    relation_columns,
+    table_changes,
+)
 from adlake.spec import MERGE, TableSpec
 
 KEY_BUCKETS = 64  # parts of a change-applied table; raise it with the size of the table
@@ -27,6 +35,18 @@ def _run(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint:
     query.awaitTermination()
 
 
+def _merge_changes(
+    changes: DataFrame, keys: Sequence[str], path: str, seq: str, buckets: int
+) -> None:
+    spec = TableSpec("changes", (*keys, "_bucket"), MERGE, partition_by=("_bucket",))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+    def newest(stored: DataFrame | None, new: DataFrame) -> DataFrame:
+        return apply_changes(stored, new, spec.keys, seq, keep_tombstones=True)
+
+    write_merge(changes.withColumn("_bucket", bucket), spec, path, newest)
+
+
 def stream_apply(
     changes: DataFrame,
     keys: Sequence[str],
@@ -41,18 +61,46 @@ def stream_apply(
     newer than what the table has is ignored. Rows are spread over key buckets, and a batch
     rewrites the buckets it touches.
     """
-    spec = TableSpec("changes", (*keys, "_bucket"), MERGE, partition_by=("_bucket",))
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-    def newest(stored: DataFrame | None, new: DataFrame) -> DataFrame:
-        return apply_changes(stored, new, spec.keys, seq, keep_tombstones=True)
 
     def apply(batch: DataFrame, _epoch: int) -> None:
-        write_merge(batch.withColumn("_bucket", bucket), spec, path, newest)
+        _merge_changes(batch, keys, path, seq, buckets)
 
     _run(changes, apply, checkpoint)
 
 
+def stream_messages(
+    log: DataFrame,
+    root: str,
+    checkpoint: str,
+    include: Mapping[str, Sequence[str]] | None = None,
+    unchanged: str = "fail",
+    buckets: int = KEY_BUCKETS,
+) -> None:
+    """Decode a stream of replication messages and apply it, one table folder per relation.
+
+    A batch may end inside a transaction: what its successor needs (the last begin, the
+    definitions in force) is kept per batch under ``_open``. A batch that runs again starts
+    from the same messages, so it gives the same tables. Files must arrive in log order.
+    """
+
+    def apply(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select("seq", "lsn", "payload")
+        if epoch > 0:
+            before = spark.read.schema(LOG_SCHEMA).parquet(f"{root}/_open/{epoch - 1}")
+            rows = rows.unionByName(before)
+        open_messages(rows).write.mode("overwrite").parquet(f"{root}/_open/{epoch}")
+        decoded = cut_lineage(decode_messages(rows))
+        for table, columns in relation_columns(rows).items():
+            keys = [c.name for c in columns if c.key]
+            if not keys:
+                raise ValueError(f"table {table} has no key to apply changes by")
+            changes = table_changes(decoded, table, columns, (include or {}).get(table), unchanged)
+            _merge_changes(changes, keys, f"{root}/{table}", "lsn", buckets)
+
+    _run(log, apply, checkpoint)
+
+
 def applied_rows(spark: SparkSession, path: str) -> DataFrame:
     """Live rows of a table that ``stream_apply`` keeps."""
     return live_rows(read_table(spark, path)).drop("_bucket")

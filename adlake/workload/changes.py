@@ -16,7 +16,7 @@ from adlake.plans.changelog import (
     snapshot_scan,
     table_changes,
 )
-from adlake.streaming.jobs import applied_rows, latest_state, stream_apply
+from adlake.streaming.jobs import applied_rows, latest_state, stream_apply, stream_messages
 from adlake.workload.registry import query, stream_table, table
 
 KEYS = ["user_id"]
@@ -209,3 +209,21 @@ def cdc_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def cdc_truncates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_truncates(order_log(spark, sf_dir))
+
+
+@query(
+    "cdc_message_stream",
+    """
+    SELECT o_orderkey AS id, o_orderstatus AS status,
+           CASE WHEN o_orderpriority <> '3-MEDIUM' THEN o_totalprice ELSE -1.0 END AS price, o_orderkey * 4 + 1002 AS lsn
+    FROM orders WHERE o_orderstatus <> 'P'
+    """,
+)
+def cdc_message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages read as a stream, decoded and applied to a table."""
+    root = shared_dir(spark)
+    order_log(spark, sf_dir).write.parquet(f"{root}/log")
+    stream_messages(read_changes(spark, f"{root}/log", streaming=True), f"{root}/tables", f"{root}/progress", buckets=8)
+    return applied_rows(spark, f"{root}/tables/orders").select(
+        "id", "status", F.coalesce(F.col("price").cast("double"), F.lit(-1.0)).alias("price"), "lsn"
+    )

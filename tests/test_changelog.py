@@ -10,7 +10,7 @@ from adlake.operators.asof import Carry, carry_forward
 from adlake.operators.sinks import read_table
 from adlake.plans import changelog
 from adlake.spec import APPEND, MERGE, TableSpec
-from adlake.streaming.jobs import applied_rows, latest_state, stream_apply, stream_load
+from adlake.streaming.jobs import applied_rows, latest_state, stream_apply, stream_load, stream_messages
 
 PG_EPOCH = dt.datetime(2000, 1, 1)
 
@@ -281,3 +281,31 @@ def test_latest_state_stream(spark, tmp_path):
     )
     query.awaitTermination()
     assert pairs(spark.table("latest_rows")) == [(1, "a", 1), (2, "c", 5)]
+
+
+def test_message_stream_across_files_that_cut_transactions(spark, tmp_path):
+    source, root = str(tmp_path / "log"), str(tmp_path / "tables")
+    messages = [
+        begin(T1), relation(5, "t", [ID, NAME]), relation(6, "u", [ID]), insert(5, "1", "a"), insert(6, "9"),
+        # cut: the next file goes on in the same transaction
+        insert(5, "2", "b"), commit(), begin(T2), update(5, "1", "a2"), delete(6, "9"),
+        # cut: and the third changes the schema
+        commit(), begin(T1), relation(5, "t", [ID, NAME, (0, "extra", 23, -1)]), update(5, "2", ..., "7"), insert(5, "3", "c", "8"),
+    ]
+    rows = [(i, 100 + i, bytearray(m)) for i, m in enumerate(messages)]
+
+    def run(checkpoint, tables):
+        log = changelog.read_changes(spark, source, streaming=True, files_per_batch=1)
+        stream_messages(log, tables, str(tmp_path / checkpoint), unchanged="carry", buckets=3)
+
+    for part in (rows[:5], rows[5:10], rows[10:]):
+        spark.createDataFrame(part, changelog.LOG_SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        run("c1", root)
+    want = [(1, "a2", -1), (2, "b", 7), (3, "c", 8)]
+    state = applied_rows(spark, f"{root}/t").select("id", "name", F.coalesce("extra", F.lit(-1)))
+    assert pairs(state) == want
+    assert applied_rows(spark, f"{root}/u").count() == 0
+    # All three files as batches of one run give the same tables.
+    run("c2", str(tmp_path / "again"))
+    again = applied_rows(spark, str(tmp_path / "again" / "t")).select("id", "name", F.coalesce("extra", F.lit(-1)))
+    assert pairs(again) == want
