@@ -99,11 +99,16 @@ def write_replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    now = current_path(df.sparkSession, path)
-    if now is None:
+    """Add rows; all files of a version have the same columns, so a new one makes a new version."""
+    spark = df.sparkSession
+    stored = read_table(spark, path, {p: df.schema[p].dataType for p in partition_by})
+    if stored is None:
         write_replace(df, path, partition_by)
+    elif set(df.columns) - set(stored.columns):
+        write_replace(stored.unionByName(df, allowMissingColumns=True), path, partition_by)
     else:
-        df.write.mode("append").partitionBy(*partition_by).parquet(now)
+        aligned = stored.limit(0).unionByName(df, allowMissingColumns=True)
+        aligned.write.mode("append").partitionBy(*partition_by).parquet(current_path(spark, path))
 
 
 def _touched(target: DataFrame, changes: DataFrame, spec: TableSpec) -> DataFrame:
@@ -155,7 +160,9 @@ def write_merge(df: DataFrame, spec: TableSpec, path: str, resolve: Resolve | No
     target = read_table(spark, path, {p: df.schema[p].dataType for p in parts})
     if target is None:
         first = latest(df, spec.keys, spec.order_by) if resolve is None else resolve(None, df)
-        write_replace(first, path, parts)
+        # Without rows a partitioned table has no file that could hold its columns.
+        if not parts or not first.isEmpty():
+            write_replace(first, path, parts)
         return
     new = latest(df, spec.keys, spec.order_by) if resolve is None else df
 

@@ -386,3 +386,28 @@ def test_read_entities_labels_every_row(spark, tmp_path):
     spark.range(2).write.parquet(str(tmp_path / "b"))
     df = read_entities(spark, {"act-a": str(tmp_path / "a"), "act-b": str(tmp_path / "b")})
     assert pairs(df.groupBy("entity").count()) == [("act-a", 3), ("act-b", 2)]
+
+
+def test_append_keeps_one_set_of_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spec = TableSpec("t", disposition=APPEND)
+    sinks.load(spark.createDataFrame([(1, "a")], "id int, v string"), spec, path)
+    sinks.load(spark.createDataFrame([(2, 7)], "id int, n int"), spec, path)
+    sinks.load(spark.createDataFrame([(3,)], "id int"), spec, path)
+    assert pairs(sinks.read_table(spark, path).select("id", "v", "n")) == [(1, "a", None), (2, None, 7), (3, None, None)]
+
+
+def test_first_merge_without_rows_leaves_no_broken_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spec = TableSpec("t", ("id",), MERGE, partition_by=("day",))
+    empty = spark.createDataFrame([], "id int, day string")
+    sinks.load(empty, spec, path)
+    assert sinks.read_table(spark, path) is None
+    sinks.load(spark.createDataFrame([(1, "x")], "id int, day string"), spec, path)
+    sinks.load(empty, spec, path)
+    assert pairs(sinks.read_table(spark, path).select("id", "day")) == [(1, "x")]
+
+
+def test_cap_on_a_text_cursor(spark):
+    df = spark.range(100).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("c"))
+    assert [r.c for r in incremental.capped(df, "c", 3, top_k=2).orderBy("c").collect()] == ["000", "001", "002"]
