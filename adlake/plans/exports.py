@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -17,39 +19,23 @@ ORDER_COLUMNS: dict[str, T.DataType] = {
     "is_cart": T.BooleanType(),
 }
 
-# Replicated tables and the column that tells new rows; the rest use ``id``.
+# Replicated tables whose new rows are told by another column than ``id``.
+# Tables of one's own are passed with their cursor.
 CURSORS = {
     "reports_report": "updated_at",
     "reports_domain": "updated_at",
     "users_application": "updated_at",
     "users_appuser": "updated_at",
     "users_conversions": "updated_at",
-    "users_deviceuser": "id",
     "users_provider": "updated_at",
     "users_providerservice": "updated_at",
-    "users_usersession": "id",
-    "users_attribution": "id",
     "users_emailinfo": "updated_at",
     "users_pushnotificationinfo": "updated_at",
-    "auth_user": "id",
     "common_app": "updated_at",
     "common_coupon": "updated_at",
     "common_trackablepayload": "created_at",
     "sso_appinstance": "updated_at",
-    "travel_animator_animationstate": "updated_at",
-    "travel_animator_annotation": "id",
-    "travel_animator_annotationmedia": "id",
-    "travel_animator_glbfile": "id",
-    "travel_animator_map": "updated_at",
-    "travel_animator_marker": "id",
-    "travel_animator_routepoint": "updated_at",
-    "travel_animator_savedroute": "updated_at",
-    "travel_animator_texture": "updated_at",
-    "travel_animator_threedmodel": "updated_at",
-    "travel_animator_threedmodel_allowed_users": "id",
-    "travel_animator_usdzfile": "id",
 }
-JSON_COLUMNS = {"travel_animator_map": ("map_json",)}
 
 
 def export_spec(
@@ -76,13 +62,13 @@ def export_spec(
     )
 
 
-def replicated_spec(table: str) -> TableSpec:
-    return TableSpec(table, ("id",), MERGE, cursor=CURSORS.get(table, "id"))
+def replicated_spec(table: str, cursor: str | None = None) -> TableSpec:
+    return TableSpec(table, ("id",), MERGE, cursor=cursor or CURSORS.get(table, "id"))
 
 
-def replicated_rows(df: DataFrame, table: str) -> DataFrame:
-    """Rows of a replicated table with its nested columns as JSON text."""
-    return json_to_string(df, JSON_COLUMNS.get(table, ()))
+def replicated_rows(df: DataFrame, json_columns: Sequence[str] = ()) -> DataFrame:
+    """Rows of a replicated table with the named nested columns as JSON text."""
+    return json_to_string(df, json_columns)
 
 
 def order_rows(df: DataFrame) -> DataFrame:
