@@ -4,7 +4,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from adlake.workload import ORACLES, QUERIES
 from tools.check import compare, oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -17,10 +18,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
     assert compare(spark, con, name, SF_DIR) == ""
 
@@ -30,10 +31,10 @@ def test_entry(spark):
 
 
 def plan_of(spark, name):
-    return queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python_in_the_plan(spark, name):
     if name in ("load_windows", "merge_table", "cdc_stream", "cdc_message_stream", "stream_load"):
         pytest.skip("runs jobs; its parts are planned by other queries")
