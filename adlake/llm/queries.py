@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adlake.llm import contamination, packing, pseudonyms, toxicity
+from adlake.llm import contamination, neardup, packing, pseudonyms, repeats, toxicity
 from adlake.llm.registry import query, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -70,6 +70,28 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_BLANK_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+@query(
+    "op8_super_kmers",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_BLANK_WORDS} AS ws FROM documents),
+    w AS (SELECT r, doc_id, i, array_to_string(ws[i:i + 49], ' ') AS g FROM d, unnest(range(1, len(ws) - 48)) AS t(i)),
+    f AS (SELECT g, min(doc_id) AS low FROM w GROUP BY g),
+    gone AS (SELECT DISTINCT r, p FROM w JOIN f USING (g), unnest(range(i, i + 50)) AS t(p) WHERE low < doc_id),
+    stays AS (SELECT r, string_agg(ws[p], ' ' ORDER BY p) AS s, count(*) AS n
+              FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS p FROM d) ANTI JOIN gone USING (r, p) GROUP BY r)
+    SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+    FROM d LEFT JOIN stays USING (r)
+    """,
+)
+def op8_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 @query("op9_ftrl_toxicity")
 def op9_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -78,3 +100,27 @@ def op9_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", (F.coalesce(remainder("doc_id", 3), F.lit(1)) == 1).alias("held_out"), score.alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.7).cast("int")
     )
+
+
+_FOLDED_WORDS = rf"regexp_extract_all({_CAPITALS}, '[^\x20\x09-\x0D]+')"
+
+
+@query(
+    "op10_multi_index_hamming",
+    f"""
+    WITH RECURSIVE d AS (SELECT doc_id, {_FOLDED_WORDS} AS ws FROM documents),
+    sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 1], ' ') AS s
+           FROM d, unnest(range(1, greatest(len(ws) - 1, least(len(ws), 1)) + 1)) AS t(i)),
+    n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+    sized AS (SELECT doc_id, s, n FROM sh JOIN n USING (doc_id)),
+    links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM sized a JOIN sized b
+              ON a.s = b.s AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+              GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    least_id AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept
+    FROM d LEFT JOIN n USING (doc_id) JOIN least_id ON a = doc_id
+    """,
+)
+def op10_multi_index_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
