@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adlake.llm import contamination, neardup, packing, pseudonyms, repeats, toxicity
+from adlake.llm import contamination, mixing, neardup, packing, pseudonyms, repeats, toxicity
 from adlake.llm.registry import query, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -35,6 +35,13 @@ def op4_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_context_mixing")
+def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of remainder 0 are held out; one in fifty, all of them training documents, fits the mixture."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mixing.score(docs, remainder("doc_id", 10) == 0, remainder("doc_id", 50) == 1)
+
+
 _CAPITALS = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _LETTER_WORDS = rf"regexp_extract_all({_CAPITALS}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
