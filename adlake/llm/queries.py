@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adlake.llm import contamination, mixing, neardup, packing, pseudonyms, repeats, toxicity
+from adlake.llm import archives, contamination, mixing, neardup, packing, pseudonyms, repeats, toxicity
 from adlake.llm.registry import query, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -27,6 +27,32 @@ def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_FIRST_SECOND = 1_700_000_000
+
+
+@query(
+    "op2_archive_index",
+    f"""
+    WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
+    f AS (SELECT h, min(page_id) AS low FROM p WHERE strlen(h) >= {archives.REVISIT_BYTES} GROUP BY h),
+    k AS (SELECT p.*, low, array_to_string(list_reverse(string_split(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)), '.')), ',')
+                 || ')' || regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*', ''), '#.*$', '') AS url_key
+          FROM p LEFT JOIN f USING (h))
+    SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest,
+           CASE WHEN low < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN low < page_id THEN low END AS refers_to, url_key,
+           row_number() OVER (PARTITION BY url_key ORDER BY page_id) AS nth
+    FROM k
+    """,
+)
+def op2_archive_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages have no time of capture; one a second from a fixed one on stands for it."""
+    captured = F.timestamp_seconds(F.col("page_id") + _FIRST_SECOND)
+    return archives.archive_round_trip(table(spark, sf_dir, "pages"), captured).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "nth"
+    )
+
+
 @query("op4_binary_packing")
 def op4_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
