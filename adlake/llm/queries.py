@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adlake.llm import archives, contamination, mixing, neardup, packing, pseudonyms, repeats, toxicity
+from adlake.llm import archives, contamination, mixing, neardup, packing, pseudonyms, repeats, rules, toxicity
 from adlake.llm.registry import query, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -53,6 +53,11 @@ def op2_archive_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_decision_list")
+def op3_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("rule")
+
+
 @query("op4_binary_packing")
 def op4_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
