@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adlake.llm import archives, contamination, mixing, neardup, packing, pseudonyms, repeats, rules, toxicity
+from adlake.llm import archives, contamination, edits, mixing, neardup, packing, pseudonyms, repeats, rules, toxicity
 from adlake.llm.registry import query, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -66,6 +66,41 @@ def op4_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+EDITS_EACH = 4
+
+
+def sample_edits(text: Column, doc_id: Column) -> Column:
+    """Edits that follow from the document alone: a span goes, and another place of the text is put in."""
+    length = F.char_length(text)
+
+    def one(k: Column) -> Column:
+        drawn = lambda salt, below: F.pmod(F.xxhash64(doc_id, k, F.lit(salt)), F.greatest(below, F.lit(1)).cast("long")).cast("int")
+        return F.struct(
+            drawn("at", length + 1).alias("at"),
+            drawn("cut", F.lit(40)).alias("cut"),
+            F.substring(text, drawn("from", length) + 1, drawn("put", F.lit(60))).alias("put"),
+        )
+
+    return F.transform(F.sequence(F.lit(1), F.lit(EDITS_EACH)), one)
+
+
+@query("op5_edit_counts")
+def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after its edits, and how much was encoded for them."""
+    path = public_tokenizers.path(TOKENIZER)
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.withColumn("tree", edits.trees(F.col("text"), path)).withColumn("edits", sample_edits(F.col("text"), F.col("doc_id")))
+    after = edits.edited(F.col("text"), F.col("tree"), F.col("edits"), path)
+    return rows.select("doc_id", F.col("tree.tokens")[1].cast("long").alias("tokens_before"), after.alias("after")).select(
+        "doc_id",
+        "tokens_before",
+        F.col("after.n_tokens").alias("tokens_after"),
+        F.col("after.n_segments").cast("long").alias("n_segments"),
+        F.col("after.n_encoded").cast("long").alias("n_encoded"),
+        F.sha2(F.col("after.text").cast("binary"), 256).alias("text_sha256"),
+    )
+
+
 @query("op6_context_mixing")
 def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of remainder 0 are held out; one in fifty, all of them training documents, fits the mixture."""
