@@ -8,8 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlake.llm import contamination, packing, pseudonyms, toxicity
-from adlake.llm.shared import shared_folder
+from adlake.llm import contamination, neardup, packing, pseudonyms, toxicity
+from adlake.llm.shared import shared_folder, written
 
 #: Documents of at least this probability go.
 TOXIC = 0.7
@@ -32,6 +32,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.withColumn(score, toxicity.scorer(spark, toxicity.fit(docs, labels))).where(F.col(score) < TOXIC).drop(score)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near duplicates, and all rows without an id.
+
+    Of rows that repeat an id only the least stays.
+    """
+    decided = written(neardup.near_duplicates(docs), "decided")
+    docs = docs.join(decided.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    repeated = written(decided.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if not repeated.limit(1).count():
+        return docs
+    least = docs.join(repeated, "doc_id", "left_semi").select(docs.columns).groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return docs.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(least.select("row.*"))
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     hits = _own(docs, "benchmark_hits")
@@ -52,6 +66,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
+    ("near-duplicates", drop_near_duplicates),
     ("decontamination", drop_contaminated),
     ("pii", pseudonymise),
     ("packing", pack),
