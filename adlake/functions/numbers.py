@@ -13,11 +13,6 @@ _INFINITE = r"(?i)^\s*[+-]?(inf|infinity)\s*$"
 _NAN = r"(?i)^\s*[+-]?nan\s*$"
 
 
-def plain_float(c: Column) -> Column:
-    """Float of an ordinary number text; NULL for all others, also for the rarer spellings."""
-    return F.when(c.rlike(_PLAIN), c.cast("double"))
-
-
 def try_float(c: Column) -> Column:
     """Float of a text, or NULL where the text is not a number.
 
