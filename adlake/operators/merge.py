@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -10,17 +11,32 @@ from adlake.operators.dedupe import latest
 from adlake.operators.quality import raise_if_rows
 
 
+def _by_keys(rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    right = others.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    return rows.join(right, reduce(lambda a, b: a & b, same), how)
+
+
+def with_keys(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key the others have; NULL equals NULL."""
+    return _by_keys(rows, others, keys, "left_semi")
+
+
+def without_keys(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key the others lack; NULL equals NULL."""
+    return _by_keys(rows, others, keys, "left_anti")
+
+
 def merge_upsert(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Target with the rows of updated keys replaced whole; keys must not be NULL.
+    """Target with the rows of updated keys replaced whole; NULL is a key value like any other.
 
     Updates are cut to one row per key first, so no key can be hot in the join; which side
     is small enough to broadcast is left to the sizes Spark sees.
     """
     new = latest(updates, keys, order_by)
-    kept = target.join(new.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(new, allowMissingColumns=True)
+    return without_keys(target, new, keys).unionByName(new, allowMissingColumns=True)
 
 
 def merge_report_rows(groups: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -98,8 +114,10 @@ def children_of(children: DataFrame, parents: DataFrame, child_key: str, parent_
 def apply_backfill(base: DataFrame, staged: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """Fill only the new columns of existing rows; no row is added, no old column changes.
 
-    A row without a staged one keeps the values it has.
+    A row without a staged one keeps the values it has. Staged rows that repeat an id are cut to the
+    greatest, so none of them multiplies a row.
     """
+    staged = latest(staged.select(key, *cols), [key])
     right = staged.select(F.col(key), F.struct(*cols).alias("_staged"))
     joined = base.join(right, key, "left")
     hit = F.col("_staged").isNotNull()

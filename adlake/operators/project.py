@@ -22,10 +22,6 @@ def filter_status(df: DataFrame, states: Sequence[str], column: str = "effective
     return df.filter(F.col(column).isin(*states)) if states else df
 
 
-def between_dates(df: DataFrame, column: str, start: Any, end: Any) -> DataFrame:
-    """Both ends count, so a range of N days back holds N+1 days."""
-    return df.filter(F.col(column).between(start, end))
-
 
 def exclude_value(df: DataFrame, column: str, value: Any) -> DataFrame:
     return df.filter(F.col(column) != F.lit(value))
@@ -115,11 +111,6 @@ def child_table(df: DataFrame, keys: Sequence[str], field: str, outer: bool = Fa
     return df.select(*keys, explode(field).alias("list_idx", "value"))
 
 
-def explode_rows(df: DataFrame, column: str, alias: str = "item") -> DataFrame:
-    """Zero to many rows per row, with the other columns repeated."""
-    others = [c for c in df.columns if c != column]
-    return df.select(*others, F.explode(column).alias(alias))
-
 
 def explode_catalogue(df: DataFrame, field: str) -> DataFrame:
     """A list of described things in a metadata document as a table."""
@@ -132,7 +123,3 @@ def union_rows(dfs: Sequence[DataFrame]) -> DataFrame:
     for df in dfs[1:]:
         out = out.unionByName(df, allowMissingColumns=True)
     return out
-
-
-def apply_map(df: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    return df.transform(fn)

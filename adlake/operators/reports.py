@@ -210,7 +210,3 @@ def with_day_key(
     if column not in df.columns:
         raise ValueError(f"no column {column}")
     return df.withColumn(partition_name, key)
-
-
-def rows_by_label(df: DataFrame, labels: Sequence[str]) -> DataFrame:
-    return df.groupBy(*labels).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -1,32 +1,44 @@
 """Writing tables: replace, append and keyed merge on Parquet paths.
 
-A table is a folder of version folders ``v=<n>``. A write that replaces the table goes to a
-new version; readers take the newest one whose ``_SUCCESS`` marker exists, so a job that
-dies half way is never seen. A merge into a partitioned table rewrites only the partitions
-its rows touch, inside the current version, with Spark's dynamic partition overwrite; it is
-idempotent, so a run that dies is simply run again.
+A table is a folder of written batches ``_batch=<n>`` and of manifests ``_manifests/<n>``. A write puts its rows into a
+new batch and then commits the next manifest, which names the folders of the batches that make up the table now, and its
+columns. Readers take the newest manifest. Nothing they may read is changed in place, so a run that dies at any point
+leaves the table as it was, and is simply run again. A merge into a partitioned table writes only the partitions its
+rows touch. One writer at a time: of two, the second to commit fails.
+
+Columns keep their types: a write may add columns, and narrower numbers are widened, but any other change of a type
+fails before a row is written. Empty text in a partition column reads back as NULL, as in any partitioned Parquet table.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from adlake.operators.dedupe import assert_unique, latest
+from adlake.operators.merge import with_keys, without_keys
+from adlake.operators.project import additive_only
 from adlake.spec import APPEND, MERGE, TableSpec
 
-MAX_LISTED_PARTITIONS = 1000  # more touched partitions than this are found by a join
 KEPT_VERSIONS = 2
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder name for NULL
+_WIDER = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under the shared folder that the cluster names in ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder under the shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Only a session of one machine may go without one.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         import tempfile
 
@@ -34,41 +46,6 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/adlake-{uuid.uuid4().hex}"
 
 
-def _fs(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed versions of a table, oldest first."""
-    fs, pattern = _fs(spark, f"{path}/v=*/_SUCCESS")
-    found = fs.globStatus(pattern) or []
-    return sorted(int(s.getPath().getParent().getName().removeprefix("v=")) for s in found)
-
-
-def current_path(spark: SparkSession, path: str) -> str | None:
-    have = versions(spark, path)
-    return f"{path}/v={have[-1]}" if have else None
-
-
-def read_table(
-    spark: SparkSession, path: str, types: Mapping[str, T.DataType] | None = None
-) -> DataFrame | None:
-    """The current version of a table, or None when it has never been written.
-
-    Partition values are read from folder names, where Spark guesses their types (``01``
-    becomes a number); ``types`` gives the columns their declared ones.
-    """
-    now = current_path(spark, path)
-    if now is None:
-        return None
-    df = spark.read.parquet(now)
-    declared = T.StructType(
-        [T.StructField(f.name, (types or {}).get(f.name, f.dataType), True) for f in df.schema.fields]
-    )
-    return df if declared == df.schema else spark.read.schema(declared).parquet(now)
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise rows that several jobs read, on storage that outlives an executor."""
     sc = df.sparkSession.sparkContext
@@ -77,129 +54,234 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def _drop_old_versions(spark: SparkSession, path: str) -> None:
-    for v in versions(spark, path)[:-KEPT_VERSIONS]:
-        fs, old = _fs(spark, f"{path}/v={v}")
-        fs.delete(old, True)
+@dataclass(frozen=True)
+class Manifest:
+    """What a version of a table consists of.
 
+    ``folders``: partition folder to the batches it has rows in; "" stands for a table without
+    partitions. ``applied``: last batch number taken from each source. ``notes``: the writer's own.
+    """
 
-def _by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Bring a partition's rows together for few files; AQE splits one that is too large."""
-    return df.hint("rebalance", *[F.col(c) for c in partition_by])
+    number: int
+    schema: T.StructType
+    partition_by: tuple[str, ...] = ()
+    folders: Mapping[str, Sequence[int]] = field(default_factory=dict)
+    applied: Mapping[str, int] = field(default_factory=dict)
+    notes: Mapping[str, object] = field(default_factory=dict)
 
+    def paths(self, path: str, only: set[str] | None = None) -> list[str]:
+        return [
+            f"{path}/_batch={batch}/{folder}".rstrip("/")
+            for folder, batches in self.folders.items()
+            if only is None or folder in only
+            for batch in batches
+        ]
 
-def write_replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    spark = df.sparkSession
-    have = versions(spark, path)
-    target = f"{path}/v={have[-1] + 1 if have else 1}"
-    out = _by_partition(df, partition_by) if partition_by else df
-    # A folder of this number without its marker is a run that died: overwrite it.
-    out.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
-    _drop_old_versions(spark, path)
 
+def _fs(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
-def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Add rows; all files of a version have the same columns, so a new one makes a new version."""
-    spark = df.sparkSession
-    stored = read_table(spark, path, {p: df.schema[p].dataType for p in partition_by})
-    if stored is None:
-        write_replace(df, path, partition_by)
-    elif set(df.columns) - set(stored.columns):
-        write_replace(stored.unionByName(df, allowMissingColumns=True), path, partition_by)
-    else:
-        aligned = stored.limit(0).unionByName(df, allowMissingColumns=True)
-        aligned.write.mode("append").partitionBy(*partition_by).parquet(current_path(spark, path))
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed versions of a table, oldest first."""
+    fs, pattern = _fs(spark, f"{path}/_manifests/[0-9]*")
+    return sorted(int(s.getPath().getName()) for s in fs.globStatus(pattern) or [])
 
-def _touched(target: DataFrame, changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """Distinct partitions the changes write to, or in which their keys live today."""
-    parts = list(spec.partition_by)
-    new = changes.select(*parts).distinct()
-    if set(parts) <= set(spec.keys):
-        return new
-    ids = changes.select(*spec.keys).distinct()
-    old = target.select(*parts, *spec.keys).join(ids, list(spec.keys), "left_semi")
-    return new.unionByName(old.select(*parts)).distinct()
 
+def _manifest(spark: SparkSession, path: str, number: int) -> Manifest:
+    stored = json.loads(spark.read.text(f"{path}/_manifests/{number}", wholetext=True).first()[0])
+    schema = T.StructType.fromJson(stored.pop("schema"))
+    return Manifest(number, schema, tuple(stored.pop("partition_by")), **stored)
 
-def _only_partitions(target: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
-    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        return target.join(touched, list(parts), "left_semi")
-    if not listed:
-        return target.limit(0)
-    if len(parts) == 1:
-        # Literals, so that the scan lists the touched folders only.
-        return target.filter(F.col(parts[0]).isin(*[r[0] for r in listed]))
-    wanted = target.sparkSession.createDataFrame(listed, touched.schema)
-    return target.join(F.broadcast(wanted), list(parts), "left_semi")
 
+def current(spark: SparkSession, path: str) -> Manifest | None:
+    have = versions(spark, path)
+    return _manifest(spark, path, have[-1]) if have else None
+
+
+def _commit(spark: SparkSession, path: str, manifest: Manifest) -> None:
+    """Make the manifest the newest; fails if that number was committed meanwhile."""
+    body = {
+        "schema": manifest.schema.jsonValue(),
+        "partition_by": list(manifest.partition_by),
+        "folders": {f: list(b) for f, b in manifest.folders.items()},
+        "applied": dict(manifest.applied),
+        "notes": dict(manifest.notes),
+    }
+    fs, draft = _fs(spark, f"{path}/_manifests/.{uuid.uuid4().hex}")
+    out = fs.create(draft)
+    out.write(json.dumps(body).encode())
+    out.close()
+    _, final = _fs(spark, f"{path}/_manifests/{manifest.number}")
+    if fs.exists(final) or not fs.rename(draft, final):
+        raise RuntimeError(f"{path} was written by another run at the same time")
+    _drop_old(spark, path)
+
+
+def _drop_old(spark: SparkSession, path: str) -> None:
+    have = versions(spark, path)
+    kept = {p for n in have[-KEPT_VERSIONS:] for p in _manifest(spark, path, n).paths(path)}
+    for n in have[:-KEPT_VERSIONS]:
+        for p in _manifest(spark, path, n).paths(path):
+            if p not in kept:
+                fs, old = _fs(spark, p)
+                fs.delete(old, True)
+        fs, old = _fs(spark, f"{path}/_manifests/{n}")
+        fs.delete(old, False)
+
+
+def _rows(spark: SparkSession, path: str, manifest: Manifest, only: set[str] | None = None) -> DataFrame:
+    paths = manifest.paths(path, only)
+    if not paths:
+        return spark.createDataFrame([], manifest.schema)
+    # A file that lacks a later column reads it as NULL.
+    found = spark.read.schema(manifest.schema).option("basePath", path).parquet(*paths)
+    return found.select(*[F.col(f"`{c}`") for c in manifest.schema.names])
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The current version of a table, or None when it has never been written."""
+    manifest = current(spark, path)
+    return None if manifest is None else _rows(spark, path, manifest)
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
+def _fits(new: T.DataType, stored: T.DataType) -> bool:
+    """Whether every value of one type is a value of the other."""
+    if new in _WIDER and stored in _WIDER:
+        return _WIDER.index(new) <= _WIDER.index(stored)
+    if isinstance(new, T.DecimalType) and isinstance(stored, T.DecimalType):
+        return new.scale <= stored.scale and new.precision - new.scale <= stored.precision - stored.scale
+    return (new, stored) == (T.FloatType(), T.DoubleType()) or new == T.NullType()
+
+
+def _fitted(df: DataFrame, manifest: Manifest | None) -> tuple[DataFrame, T.StructType]:
+    """Rows in the stored types, and the table's columns with them."""
+    if manifest is None:
+        return df, _nullable(df.schema)
+    have = {f.name: f.dataType for f in manifest.schema.fields}
+    cast = {
+        f.name: F.col(f"`{f.name}`").cast(have[f.name])
+        for f in df.schema.fields
+        if f.name in have and f.dataType != have[f.name] and _fits(f.dataType, have[f.name])
+    }
+    rows = df.withColumns(cast) if cast else df
+    fields = {f.name: f for f in manifest.schema.fields} | {f.name: f for f in _nullable(rows.schema).fields}
+    schema = T.StructType(list(fields.values()))
+    additive_only(manifest.schema, schema)
+    return rows, schema
+
+
+def _write_batch(df: DataFrame, path: str, number: int, partition_by: Sequence[str]) -> list[str]:
+    """The folders that got rows. A batch of this number without a manifest is of a run that died: it is overwritten."""
+    target = f"{path}/_batch={number}"
+    # Bring a partition's rows together for few files; AQE splits one that is too large.
+    out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    out.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+    if not partition_by:
+        return [""]
+    fs, pattern = _fs(df.sparkSession, "/".join([target, *[f"{_escaped(df.sparkSession, p)}=*" for p in partition_by]]))
+    depth = len(partition_by)
+    return sorted("/".join(str(s.getPath()).split("/")[-depth:]) for s in fs.globStatus(pattern) or [])
 
-def _emptied(touched: DataFrame, rows: DataFrame, parts: Sequence[str]) -> list[str]:
-    """Folders of touched partitions that no row is left in; an overwrite would skip them."""
-    left = touched.join(rows.select(*parts).distinct(), list(parts), "left_anti")
-    escape = rows.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    null = "__HIVE_DEFAULT_PARTITION__"
 
-    def folder(p: str, value: object) -> str:
-        return f"{escape(p)}={null if value is None else escape(str(value))}"
+def _escaped(spark: SparkSession, name: str) -> str:
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(name)
 
-    return ["/".join(folder(p, r[p]) for p in parts) for r in left.collect()]
 
+def _next(manifest: Manifest | None, schema: T.StructType, partition_by: Sequence[str]) -> Manifest:
+    if manifest is None:
+        return Manifest(1, schema, tuple(partition_by))
+    return replace(manifest, number=manifest.number + 1, schema=schema)
 
-Resolve = Callable[[DataFrame | None, DataFrame], DataFrame]
 
+def _seen(manifest: Manifest | None, source: str | None, batch: int | None) -> bool:
+    return manifest is not None and source is not None and manifest.applied.get(source, -1) >= batch
 
-def write_merge(df: DataFrame, spec: TableSpec, path: str, resolve: Resolve | None = None) -> None:
-    """Merge rows into the table on ``spec.keys``.
 
-    Normally a new row replaces the stored one. ``resolve`` (stored rows or None, new rows)
-    can decide otherwise, e.g. by a log position, which makes replays harmless.
-    """
-    spark, parts = df.sparkSession, list(spec.partition_by)
-    target = read_table(spark, path, {p: df.schema[p].dataType for p in parts})
-    if target is None:
-        first = latest(df, spec.keys, spec.order_by) if resolve is None else resolve(None, df)
-        # Without rows a partitioned table has no file that could hold its columns.
-        if not parts or not first.isEmpty():
-            write_replace(first, path, parts)
+def write_replace(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), notes: Mapping[str, object] | None = None
+) -> None:
+    spark = df.sparkSession
+    old = current(spark, path)
+    new = Manifest(
+        old.number + 1 if old else 1,
+        _nullable(df.schema),
+        tuple(partition_by),
+        applied=old.applied if old else {},
+        notes=notes if notes is not None else old.notes if old else {},
+    )
+    folders = _write_batch(df, path, new.number, partition_by)
+    _commit(spark, path, replace(new, folders={f: [new.number] for f in folders}))
+
+
+def write_append(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    source: str | None = None,
+    batch: int | None = None,
+    notes: Mapping[str, object] | None = None,
+) -> None:
+    """Add rows. A ``batch`` of a ``source`` that the table has already taken is not added again."""
+    spark = df.sparkSession
+    old = current(spark, path)
+    if _seen(old, source, batch):
         return
-    new = latest(df, spec.keys, spec.order_by) if resolve is None else df
-
-    def merged(stored: DataFrame, rows: DataFrame) -> DataFrame:
-        if resolve is not None:
-            return resolve(stored, rows)
-        kept = stored.join(rows.select(*spec.keys), list(spec.keys), "left_anti")
-        return kept.unionByName(rows, allowMissingColumns=True)
-
-    whole = merged(target, new)
-    if not parts or set(whole.columns) - set(target.columns):
-        # One version of the whole table; also when a column is new, so that files agree.
-        write_replace(whole, path, parts)
+    rows, schema = _fitted(df, old)
+    new = _next(old, schema, partition_by)
+    folders = {f: list(b) for f, b in new.folders.items()}
+    for f in _write_batch(rows, path, new.number, new.partition_by):
+        folders.setdefault(f, []).append(new.number)
+    applied = {**new.applied, source: batch} if source is not None else new.applied
+    _commit(spark, path, replace(new, folders=folders, applied=applied, notes=new.notes if notes is None else notes))
+
+
+def _folders_of(parts_rows: DataFrame, parts: Sequence[str]) -> set[str]:
+    """Names of the folders of partition values; there are as many as the table's manifest lists."""
+    spark = parts_rows.sparkSession
+    rows = parts_rows.select(*[F.col(p).cast("string").alias(p) for p in parts]).distinct().collect()
+    escaped = {p: _escaped(spark, p) for p in parts}
+    return {"/".join(f"{escaped[p]}={_escaped(spark, r[p]) if r[p] else _NO_VALUE}" for p in parts) for r in rows}
+
+
+def write_merge(df: DataFrame, spec: TableSpec, path: str) -> None:
+    """Merge rows into the table on ``spec.keys``: a new row replaces the stored one whole. NULL is a key value."""
+    spark, keys = df.sparkSession, list(spec.keys)
+    old = current(spark, path)
+    new_rows, schema = _fitted(latest(df, keys, spec.order_by), old)
+    if old is None:
+        # Without rows a partitioned table has nothing to say about its partitions.
+        if not spec.partition_by or not new_rows.isEmpty():
+            write_replace(new_rows, path, spec.partition_by)
         return
-    new = cut_lineage(new)
-    touched = cut_lineage(_touched(target, new, spec))
-    rows = merged(_only_partitions(target, touched, parts), new)
-    now = current_path(spark, path)
-    gone = [] if set(parts) <= set(spec.keys) else _emptied(touched, rows, parts)
-    (
-        _by_partition(rows, parts)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts)
-        .parquet(now)
-    )
-    for folder in gone:
-        fs, old = _fs(spark, f"{now}/{folder}")
-        fs.delete(old, True)
+    new = _next(old, schema, spec.partition_by)
+    parts = list(new.partition_by)
+    if parts:
+        new_rows = cut_lineage(new_rows)
+        touched = _folders_of(new_rows.select(*parts), parts)
+        if not set(parts) <= set(keys):
+            lives = with_keys(_rows(spark, path, old).select(*{*parts, *keys}), new_rows, keys)
+            touched |= _folders_of(lives, parts)
+    else:
+        touched = {""}
+    kept = without_keys(_rows(spark, path, old, touched), new_rows, keys)
+    merged = kept.unionByName(new_rows, allowMissingColumns=True)
+    folders = {f: b for f, b in old.folders.items() if f not in touched}
+    folders |= {f: [new.number] for f in _write_batch(merged, path, new.number, parts)}
+    _commit(spark, path, replace(new, folders=folders))
 
 
-def load(df: DataFrame, spec: TableSpec, path: str) -> None:
+def load(df: DataFrame, spec: TableSpec, path: str, source: str | None = None, batch: int | None = None) -> None:
     """Write by the table's disposition."""
     if spec.disposition == MERGE:
         write_merge(df, spec, path)
     elif spec.disposition == APPEND:
-        write_append(df, path, spec.partition_by)
+        write_append(df, path, spec.partition_by, source, batch)
     else:
         write_replace(df, path, spec.partition_by)
 

@@ -154,7 +154,3 @@ def report_table(df: DataFrame, name: str, property_id: int, group: str) -> Data
 
 def report_dimensions(name: str) -> list[str]:
     return ["date", *[d for _, d in REPORTS[name].dimensions]]
-
-
-def has_time_dimension(dimensions: Sequence[str]) -> bool:
-    return bool(TIME_DIMENSIONS & set(dimensions))

@@ -2,27 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlake.operators.incremental import ROW_CAP, capped, incremental
+from adlake.operators.incremental import capped, incremental
 from adlake.operators.project import union_rows
 from adlake.spec import TableSpec
 
 
 def pull_increment(
-    table: DataFrame, spec: TableSpec, last: Any = None, limit: int | None = ROW_CAP
+    table: DataFrame, spec: TableSpec, last: Any = None, limit: int | None = None, inclusive: bool = False
 ) -> DataFrame:
-    """Rows of a source table past the mark, oldest first up to the cap.
+    """Rows of a source table past the mark, all of them unless a cap is asked for.
 
-    The cap is taken in cursor order on the first load too, so the next run can go on from
-    the greatest value that was read.
+    A cap takes the oldest rows and never parts rows of one cursor value, so the next run can
+    go on from the greatest value that was read. ``inclusive`` reads the mark's own value again.
     """
-    rows = incremental(table, spec.cursor, last)
-    ties = [k for k in spec.keys if k != spec.cursor]
-    return rows if limit is None else capped(rows, spec.cursor, limit, ties)
+    rows = incremental(table, spec.cursor, last, inclusive)
+    return rows if limit is None else capped(rows, spec.cursor, limit)
 
 
 def read_jdbc_increment(
@@ -31,7 +30,7 @@ def read_jdbc_increment(
     table: str,
     spec: TableSpec,
     last: Any = None,
-    limit: int | None = ROW_CAP,
+    limit: int | None = None,
     properties: Mapping[str, str] | None = None,
     split: tuple[str, int, int, int] | None = None,
 ) -> DataFrame:
@@ -67,6 +66,3 @@ def combine_entities(parts: Mapping[str, DataFrame], label: str = "entity") -> D
     """Rows of several entities that were read apart, as one load."""
     return union_rows([df.withColumn(label, F.lit(name)) for name, df in parts.items()])
 
-
-def snapshot_columns(table: DataFrame, include: Sequence[str] | None) -> DataFrame:
-    return table if include is None else table.select(*include)

@@ -1,7 +1,7 @@
 """Streams that take what has arrived, in bounded batches, and stop.
 
-Each job keeps its read position in a Structured Streaming checkpoint, and merges every
-micro-batch so that a batch that is replayed after a failure changes nothing.
+Each job keeps its read position in a Structured Streaming checkpoint, and a micro-batch that is
+replayed after a failure changes nothing.
 """
 
 from __future__ import annotations
@@ -10,19 +10,18 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlake.operators.sinks import cut_lineage, load, read_table, write_merge
+from adlake.operators.dedupe import latest
+from adlake.operators.sinks import current, cut_lineage, load, read_table, write_append, write_replace
 from adlake.plans.changelog import (
     LOG_SCHEMA,
     apply_changes,
     decode_messages,
-    live_rows,
     open_messages,
     relation_columns,
     table_changes,
 )
-from adlake.spec import MERGE, TableSpec
+from adlake.spec import TableSpec
 
-KEY_BUCKETS = 64  # parts of a change-applied table; raise it with the size of the table
 
 
 def _run(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -35,35 +34,27 @@ def _run(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint:
     query.awaitTermination()
 
 
-def _merge_changes(
-    changes: DataFrame, keys: Sequence[str], path: str, seq: str, buckets: int
-) -> None:
-    spec = TableSpec("changes", (*keys, "_bucket"), MERGE, partition_by=("_bucket",))
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+def _stream_id(batch: DataFrame) -> str:
+    """Id of the running stream, which lasts as long as its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
-    def newest(stored: DataFrame | None, new: DataFrame) -> DataFrame:
-        return apply_changes(stored, new, spec.keys, seq, keep_tombstones=True)
 
-    write_merge(changes.withColumn("_bucket", bucket), spec, path, newest)
+def _add_changes(changes: DataFrame, keys: Sequence[str], path: str, seq: str, source: str, epoch: int) -> None:
+    """Append the changes of a batch; of a key only the last, unless later ones leave values out."""
+    rows = changes if "_unchanged" in changes.columns else latest(changes, keys, [seq])
+    write_append(rows, path, source=source, batch=epoch, notes={"keys": list(keys), "seq": seq})
 
 
-def stream_apply(
-    changes: DataFrame,
-    keys: Sequence[str],
-    path: str,
-    checkpoint: str,
-    seq: str = "lsn",
-    buckets: int = KEY_BUCKETS,
-) -> None:
+def stream_apply(changes: DataFrame, keys: Sequence[str], path: str, checkpoint: str, seq: str = "lsn") -> None:
     """Apply a stream of changes to a table, hard deletes included.
 
-    The table keeps deleted keys as tombstones next to their ``seq``; a change that is not
-    newer than what the table has is ignored. Rows are spread over key buckets, and a batch
-    rewrites the buckets it touches.
+    A batch adds its own changes to the table and rewrites nothing, so its cost follows the batch.
+    Readers (``applied_rows``) take the change with the greatest ``seq`` of each key; a batch that is
+    replayed is not added twice. ``compact_changes`` cuts the table to one row per key now and then.
     """
 
-    def apply(batch: DataFrame, _epoch: int) -> None:
-        _merge_changes(batch, keys, path, seq, buckets)
+    def apply(batch: DataFrame, epoch: int) -> None:
+        _add_changes(batch, keys, path, seq, _stream_id(batch), epoch)
 
     _run(changes, apply, checkpoint)
 
@@ -74,7 +65,6 @@ def stream_messages(
     checkpoint: str,
     include: Mapping[str, Sequence[str]] | None = None,
     unchanged: str = "fail",
-    buckets: int = KEY_BUCKETS,
 ) -> None:
     """Decode a stream of replication messages and apply it, one table folder per relation.
 
@@ -96,14 +86,32 @@ def stream_messages(
             if not keys:
                 raise ValueError(f"table {table} has no key to apply changes by")
             changes = table_changes(decoded, table, columns, (include or {}).get(table), unchanged)
-            _merge_changes(changes, keys, f"{root}/{table}", "lsn", buckets)
+            _add_changes(changes, keys, f"{root}/{table}", "lsn", _stream_id(batch), epoch)
 
     _run(log, apply, checkpoint)
 
 
+def _state(spark: SparkSession, path: str, keep_tombstones: bool) -> DataFrame:
+    notes = current(spark, path).notes
+    return apply_changes(None, read_table(spark, path), notes["keys"], notes["seq"], keep_tombstones)
+
+
 def applied_rows(spark: SparkSession, path: str) -> DataFrame:
     """Live rows of a table that ``stream_apply`` keeps."""
-    return live_rows(read_table(spark, path)).drop("_bucket")
+    return _state(spark, path, keep_tombstones=False)
+
+
+def compact_changes(spark: SparkSession, path: str, horizon: int | None = None) -> None:
+    """Cut a change-applied table to the last row per key.
+
+    Deleted keys stay as tombstones, so that an older change that arrives late cannot bring a row
+    back; those up to position ``horizon``, before which nothing can arrive any more, go.
+    """
+    state = _state(spark, path, keep_tombstones=True)
+    if horizon is not None:
+        seq = current(spark, path).notes["seq"]
+        state = state.filter(F.col("deleted_ts").isNull() | (F.col(seq) > horizon))
+    write_replace(state, path)
 
 
 def stream_load(
@@ -113,10 +121,13 @@ def stream_load(
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
-    """Load newly landed files through a transform into a table, by its disposition."""
+    """Load newly landed files through a transform into a table, by its disposition.
+
+    A batch that is replayed changes nothing: merges repeat, and appends know the batches they took.
+    """
 
-    def sink(batch: DataFrame, _epoch: int) -> None:
-        load(transform(batch) if transform else batch, spec, path)
+    def sink(batch: DataFrame, epoch: int) -> None:
+        load(transform(batch) if transform else batch, spec, path, _stream_id(batch), epoch)
 
     _run(stream, sink, checkpoint)
 

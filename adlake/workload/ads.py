@@ -371,10 +371,34 @@ def campaign_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "ads_dimensions",
-    "SELECT s_suppkey AS id, s_name AS descriptive_name FROM supplier",
+    """
+    SELECT 'customers' AS dimension, CAST(s_suppkey AS VARCHAR) AS id, s_name AS value FROM supplier
+    UNION ALL SELECT 'campaigns', CAST(p_partkey AS VARCHAR), p_brand || ',' || p_type FROM part
+    UNION ALL SELECT 'change_events', strftime(o_orderdate, '%Y-%m-%d'), NULL FROM orders
+    UNION ALL SELECT 'customer_clients', c_mktsegment, NULL FROM customer
+    """,
 )
 def ads_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "supplier").select(
-        F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("descriptive_name")).alias("customer")
-    )
-    return gads.dimension(rows, "customers")
+    """All four small projections, from rows nested as the service sends them."""
+
+    def nested(name: str, root: str, **fields: Column) -> DataFrame:
+        rows = table(spark, sf_dir, name)
+        return rows.select(F.struct(*[c.alias(n) for n, c in fields.items()], F.lit("x").alias("unasked")).alias(root))
+
+    labels = F.array("p_brand", "p_type")
+    rows = {
+        "customers": nested("supplier", "customer", id=F.col("s_suppkey"), descriptive_name=F.col("s_name")),
+        "campaigns": nested("part", "campaign", id=F.col("p_partkey"), labels=labels),
+        "change_events": nested("orders", "change_event", change_date_time=F.date_format("o_orderdate", "yyyy-MM-dd")),
+        "customer_clients": nested("customer", "customer_client", status=F.col("c_mktsegment")),
+    }
+    out = None
+    for name, df in rows.items():
+        flat = gads.dimension(df, name)
+        first, *rest = flat.columns
+        value = F.lit(None).cast("string")
+        if rest:
+            value = F.array_join(rest[0], ",") if name == "campaigns" else F.col(rest[0])
+        part = flat.select(F.lit(name).alias("dimension"), F.col(first).cast("string").alias("id"), value.alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out

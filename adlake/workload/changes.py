@@ -16,7 +16,7 @@ from adlake.plans.changelog import (
     snapshot_scan,
     table_changes,
 )
-from adlake.streaming.jobs import applied_rows, latest_state, stream_apply, stream_messages
+from adlake.streaming.jobs import applied_rows, compact_changes, latest_state, stream_apply, stream_messages
 from adlake.workload.registry import query, stream_table, table
 
 KEYS = ["user_id"]
@@ -47,24 +47,38 @@ def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_changes(None, event_changes(table(spark, sf_dir, "events")), KEYS)
 
 
-@query("cdc_bootstrap", _STATE_SQL)
+@query(
+    "cdc_bootstrap",
+    f"""
+    WITH p AS (SELECT max(event_id) AS edge FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00')
+    SELECT user_id, event_type, value, greatest(lsn, edge) AS lsn FROM ({_STATE_SQL}), p
+    """,
+)
 def cdc_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The state at a log position as snapshot, then the changes after it."""
+    """The state at a log position as snapshot, then the changes after it; a snapshot row has that position."""
     changes = event_changes(table(spark, sf_dir, "events"))
     before = table(spark, sf_dir, "events").filter(F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-15 00:00:00'"))
     position = before.agg(F.max("event_id")).first()[0]
     state = apply_changes(None, changes.filter(F.col("lsn") <= position), KEYS)
     snapshot = snapshot_scan(state.drop("lsn"), lsn=position)
     merged = bootstrap(snapshot, changes, KEYS, ["insert", "update", "delete"], position)
-    last = changes.groupBy("user_id").agg(F.max("lsn").alias("lsn"))
-    return merged.drop("lsn").join(last, "user_id").select("user_id", "event_type", "value", "lsn")
+    return merged.select("user_id", "event_type", "value", "lsn")
+
+
+STREAM_BATCHES = 6
 
 
 @query("cdc_stream", _STATE_SQL)
 def cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same changes as a stream, applied batch by batch to a written table."""
-    root, stream = shared_dir(spark), stream_table(spark, sf_dir, "events")
-    stream_apply(event_changes(stream), KEYS, f"{root}/table", f"{root}/progress", buckets=8)
+    """The same changes as a stream of several batches, applied to a written table, which is then compacted."""
+    root = shared_dir(spark)
+    events = table(spark, sf_dir, "events")
+    # Files of any order: what counts is the position of a change.
+    part = F.pmod(F.xxhash64("event_id"), F.lit(STREAM_BATCHES))
+    events.withColumn("part", part).repartition(STREAM_BATCHES, "part").drop("part").write.parquet(f"{root}/log")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/log")
+    stream_apply(event_changes(stream), KEYS, f"{root}/table", f"{root}/progress")
+    compact_changes(spark, f"{root}/table")
     return applied_rows(spark, f"{root}/table").select("user_id", "event_type", "value", "lsn")
 
 
@@ -223,7 +237,7 @@ def cdc_message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages read as a stream, decoded and applied to a table."""
     root = shared_dir(spark)
     order_log(spark, sf_dir).write.parquet(f"{root}/log")
-    stream_messages(read_changes(spark, f"{root}/log", streaming=True), f"{root}/tables", f"{root}/progress", buckets=8)
+    stream_messages(read_changes(spark, f"{root}/log", streaming=True), f"{root}/tables", f"{root}/progress")
     return applied_rows(spark, f"{root}/tables/orders").select(
         "id", "status", F.coalesce(F.col("price").cast("double"), F.lit(-1.0)).alias("price"), "lsn"
     )

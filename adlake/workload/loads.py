@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adlake.operators.dedupe import latest
-from adlake.operators.incremental import capped, report_increment, rolling_refresh
+from adlake.operators.incremental import capped, next_cursor, report_increment, rolling_refresh
 from adlake.operators.sinks import load, read_table, shared_dir, write_merge
 from adlake.operators.windows import LAG_DAYS, plan_windows, run_windows
 from adlake.sources.tables import pull_increment
@@ -19,29 +19,47 @@ from adlake.workload.registry import query, stream_table, table
 @query(
     "incremental_pull",
     """
-    SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM events
-    WHERE ts > TIMESTAMP '2024-01-10 00:00:00' ORDER BY ts, event_id LIMIT 2000
+    SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM events WHERE ts > TIMESTAMP '2024-01-10 00:00:00'
     """,
 )
 def incremental_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = TableSpec("events", ("event_id",), MERGE, cursor="ts")
-    rows = pull_increment(table(spark, sf_dir, "events"), spec, dt.datetime(2024, 1, 10), 2000)
+    rows = pull_increment(table(spark, sf_dir, "events"), spec, dt.datetime(2024, 1, 10))
     return rows.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
 
 
 @query(
     "capped_pull",
     """
-    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders
-    ORDER BY o_orderdate, o_orderkey LIMIT 12000
+    WITH last AS (
+      SELECT o_orderdate AS edge FROM orders ORDER BY o_orderdate LIMIT 1
+      OFFSET (SELECT greatest(count(*) * 4 // 5, 1) - 1 FROM orders)
+    )
+    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderdate <= (SELECT edge FROM last)
     """,
 )
 def capped_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The row cap of a run when it is too large for a top-k in one task."""
-    rows = capped(table(spark, sf_dir, "orders"), "o_orderdate", 12000, ["o_orderkey"], top_k=1000)
+    """A run that may take four fifths of the table; the orders of its last day are not parted."""
+    orders = table(spark, sf_dir, "orders")
+    rows = capped(orders, "o_orderdate", max(orders.count() * 4 // 5, 1))
     return rows.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
 
 
+@query("capped_pull_ties", "SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events")
+def capped_pull_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole table in capped runs by a coarse text cursor: every run goes on where the last one ended."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    spec = TableSpec("events", ("event_id",), APPEND, cursor="day")
+    path, cap, mark = shared_dir(spark), max(events.count() // 4, 1), None
+    while True:
+        rows = pull_increment(events, spec, mark, cap)
+        reached = next_cursor(rows, "day")
+        if reached is None:
+            return read_table(spark, path)
+        load(rows, spec, path, "events", int(reached.replace("-", "")))
+        mark = reached
+
+
 @query(
     "rolling_refresh",
     """
@@ -203,28 +221,69 @@ def merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path).select("o_orderkey", "status", "price")
 
 
+_NULLED_SQL = """
+    SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey // 4 END AS part_key, o_custkey AS cust_key,
+           CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status, max(o_totalprice) AS price
+    FROM orders GROUP BY ALL
+"""
+
+
+def _with_nulls(orders: DataFrame) -> DataFrame:
+    """Orders under a key of three columns, two of which are often NULL."""
+    key = F.col("o_orderkey")
+    rows = orders.select(
+        F.when(key % 3 != 0, F.floor(key / 4)).alias("part_key"),
+        F.col("o_custkey").alias("cust_key"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"),
+        F.col("o_totalprice").alias("price"),
+    )
+    return rows.groupBy("part_key", "cust_key", "status").agg(F.max("price").alias("price"))
+
+
+@query("merge_null_keys", _NULLED_SQL)
+def merge_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose keys hold NULLs, merged three times: none is added and none is lost."""
+    path, rows = shared_dir(spark), _with_nulls(table(spark, sf_dir, "orders"))
+    spec = TableSpec("orders", ("part_key", "cust_key", "status"), MERGE)
+    for _ in range(3):
+        load(rows, spec, path)
+    return read_table(spark, path)
+
+
+@query("merge_null_partition", _NULLED_SQL)
+def merge_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same into partitions of which one is NULL, a third of the rows at a time."""
+    path, rows = shared_dir(spark), _with_nulls(table(spark, sf_dir, "orders"))
+    spec = TableSpec("orders", ("part_key", "cust_key", "status"), MERGE, partition_by=("status",))
+    for k in range(3):
+        load(rows.filter(F.col("cust_key") % 3 == k), spec, path)
+    return read_table(spark, path)
+
+
 @query(
     "load_dispositions",
     """
     SELECT 'append' AS kind, 2 * count(*) AS n_rows FROM nation
+    UNION ALL SELECT 'replayed', count(*) FROM nation
     UNION ALL SELECT 'replace', count(*) FROM nation
     UNION ALL SELECT 'merge', count(*) FROM customer
     """,
 )
 def load_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every disposition written twice: an append doubles, a replace and a merge do not."""
+    """Every disposition written twice: an append doubles, unless it is the same batch; a replace and a merge do not."""
     root = shared_dir(spark)
     nation = table(spark, sf_dir, "nation")
     customer = table(spark, sf_dir, "customer")
     jobs = {
         "append": (nation, TableSpec("t", disposition=APPEND)),
+        "replayed": (nation, TableSpec("t", disposition=APPEND)),
         "replace": (nation, TableSpec("t")),
         "merge": (customer, TableSpec("t", ("c_custkey",), MERGE)),
     }
     out = None
     for kind, (df, spec) in jobs.items():
         for _ in range(2):
-            load(df, spec, f"{root}/{kind}")
+            load(df, spec, f"{root}/{kind}", "nations" if kind == "replayed" else None, 0)
         n = read_table(spark, f"{root}/{kind}").agg(F.count(F.lit(1)).alias("n_rows"))
         row = n.select(F.lit(kind).alias("kind"), "n_rows")
         out = row if out is None else out.unionByName(row)

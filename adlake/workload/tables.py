@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adlake.operators.dedupe import drop_seen, duplicate_keys, latest
-from adlake.operators.diff import changed_rows, next_state, with_fingerprint
+from adlake.operators.diff import changed_rows, hydrate, next_state, with_fingerprint
 from adlake.operators.merge import apply_backfill, children_of, enrich, merge_upsert, missing_keys
 from adlake.operators.project import (
     child_table,
@@ -20,8 +20,9 @@ from adlake.operators.project import (
     tag,
     union_rows,
 )
-from adlake.operators.quality import BACKFILL_FIELDS, backfill_stats, completeness, old_column_checksum
+from adlake.operators.quality import BACKFILL_FIELDS, backfill_stats, backfill_verdict, completeness, old_column_checksum
 from adlake.operators.incremental import max_cursor
+from adlake.operators.sinks import shared_dir, stage_backfill
 from adlake.plans import exports
 from adlake.sources.files import json_page_items
 from adlake.sources.tables import combine_entities
@@ -143,20 +144,44 @@ def changed_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.select("account_id", "id", "name", "status")
 
 
+_PRINT_SQL = """
+    sha256('{"effective_object_story_id":' || CASE WHEN o_orderstatus <> 'P' THEN '"' || o_orderpriority || '"' ELSE 'null' END
+           || ',"id":"' || o_orderkey || '","name":"' || o_orderpriority || '","status":"' || o_orderstatus || '"}')
+"""
+
+
 @query(
     "snapshot_state",
-    "SELECT count(*) AS n_rows, count(*) AS n_current FROM orders",
+    f"""
+    SELECT CAST(o_custkey AS VARCHAR) AS account_id, CAST(o_orderkey AS VARCHAR) AS id, {_PRINT_SQL} AS fingerprint
+    FROM orders
+    """,
 )
 def snapshot_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """After the changed rows are stored, the state matches the snapshot row for row."""
+    """The state after the changed rows were stored: the prints of the snapshot, row for row."""
     light, keys = _light(spark, sf_dir), ["account_id", "id"]
     state = _stored_prints(light)
-    after = next_state(state, changed_rows(light, state, keys), keys)
-    now = with_fingerprint(light).select(*keys, F.col("fingerprint").alias("now"))
-    joined = after.join(now, keys, "left")
-    return joined.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("fingerprint") == F.col("now")).alias("n_current")
+    return next_state(state, changed_rows(light, state, keys), keys)
+
+
+@query(
+    "hydrate_changed",
+    """
+    SELECT CAST(o_custkey AS VARCHAR) AS account_id, CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS name,
+           o_orderstatus AS status, o_totalprice AS price, strftime(o_orderdate, '%Y-%m-%d') AS day
+    FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW')
+    """,
+)
+def hydrate_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide attributes fetched for the changed rows only."""
+    light = _light(spark, sf_dir)
+    heavy = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.col("o_totalprice").alias("price"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
     )
+    changed = changed_rows(light, _stored_prints(light), ["account_id", "id"])
+    return hydrate(changed, heavy, "id").select("account_id", "id", "name", "status", "price", "day")
 
 
 @query(
@@ -279,19 +304,76 @@ def apply_backfill_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled.select("id", "o_totalprice", *eur, *counts)
 
 
+@query(
+    "stage_backfill",
+    f"""
+    WITH {_STAGED_SQL}
+    SELECT id, CAST(subtotal_eur AS DOUBLE) AS subtotal_eur, CAST(coalesce(profit_eur, -1) AS DOUBLE) AS profit_eur,
+           item_count, distinct_plan_count, coalesce(CAST(is_cart AS INTEGER), -1) AS is_cart FROM s
+    """,
+)
+def stage_backfill_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged fields alone, checked and written to a table of their own, from rows that have more."""
+    wide = _staged(spark, sf_dir).withColumn("unasked", F.lit("x"))
+    staged = stage_backfill(wide, BACKFILL_FIELDS, "id", shared_dir(spark))
+    return staged.select(
+        "id",
+        F.col("subtotal_eur").cast("double").alias("subtotal_eur"),
+        F.coalesce(F.col("profit_eur").cast("double"), F.lit(-1.0)).alias("profit_eur"),
+        "item_count",
+        "distinct_plan_count",
+        F.coalesce(F.col("is_cart").cast("int"), F.lit(-1)).alias("is_cart"),
+    )
+
+
+@query(
+    "backfill_verdict",
+    f"""
+    WITH {_STAGED_SQL},
+    n AS (SELECT (SELECT count(*) FROM s) AS found, (SELECT count(*) FROM s WHERE profit_eur IS NULL) AS no_profit,
+                 (SELECT count(*) FROM s WHERE is_cart IS NULL) AS no_cart)
+    SELECT 'whole' AS case_name, CASE WHEN no_profit = 0 AND no_cart = 0 THEN 'accepted' ELSE 'rejected' END AS verdict FROM n
+    UNION ALL SELECT 'filled', 'accepted' FROM n
+    UNION ALL SELECT 'short', 'rejected' FROM n
+    """,
+)
+def backfill_verdict_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict over the staged rows as they are, with their gaps filled, and with one row too few expected."""
+    staged = _staged(spark, sf_dir)
+    filled = staged.withColumns({"profit_eur": F.coalesce("profit_eur", F.lit(0)), "is_cart": F.coalesce("is_cart", F.lit(True))})
+    found = []
+    for name, rows, extra in (("whole", staged, 0), ("filled", filled, 0), ("short", filled, 1)):
+        stats = backfill_stats(rows, rows.select("id")).first().asDict()
+        try:
+            backfill_verdict(stats, stats["row_count"] + extra)
+            found.append((name, "accepted"))
+        except ValueError:
+            found.append((name, "rejected"))
+    return spark.createDataFrame(found, "case_name string, verdict string")
+
+
+_OLD = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+
+
 @query(
     "backfill_checksum",
-    "SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS n_checksums FROM orders",
+    f"""
+    WITH {_STAGED_SQL}
+    SELECT (SELECT count(*) FROM orders) AS n_rows, CAST(1 AS BIGINT) AS n_equal,
+           CASE WHEN (SELECT count(*) FROM orders) > 0 THEN CAST(0 AS BIGINT) END AS n_equal_changed
+    """,
 )
 def backfill_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The old columns have one checksum before and after the backfill."""
-    orders = table(spark, sf_dir, "orders").withColumn("id", F.col("o_orderkey").cast("string"))
-    old = orders.columns
+    """The old columns have one checksum before and after the backfill, and another one after a change of any row."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), *_OLD)
     filled = apply_backfill(orders, _staged(spark, sf_dir), "id", BACKFILL_FIELDS[1:])
-    both = old_column_checksum(orders, old).unionByName(old_column_checksum(filled, old))
-    return both.agg(
-        F.max("n_rows").alias("n_rows"), F.count_distinct("n_rows", "xor_hash", "sum_hash").alias("n_checksums")
+    first = orders.agg(F.min("o_orderkey").alias("k"))
+    changed = orders.join(F.broadcast(first), orders.o_orderkey == first.k, "left").withColumn(
+        "o_totalprice", F.when(F.col("k").isNotNull(), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
     )
+    before, after, other = (old_column_checksum(x, _OLD).first() for x in (orders, filled, changed))
+    row = (before.n_rows, int(before == after), int(before == other))
+    return spark.createDataFrame([row], "n_rows bigint, n_equal bigint, n_equal_changed bigint")
 
 
 @query(

@@ -10,7 +10,7 @@ from adlake.operators.asof import Carry, carry_forward
 from adlake.operators.sinks import read_table
 from adlake.plans import changelog
 from adlake.spec import APPEND, MERGE, TableSpec
-from adlake.streaming.jobs import applied_rows, latest_state, stream_apply, stream_load, stream_messages
+from adlake.streaming.jobs import applied_rows, compact_changes, latest_state, stream_apply, stream_load, stream_messages
 
 PG_EPOCH = dt.datetime(2000, 1, 1)
 
@@ -241,7 +241,7 @@ def test_stream_apply_over_runs_and_replays(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
 
     def run(checkpoint):
-        stream_apply(change_stream(spark, source), ["id"], target, str(tmp_path / checkpoint), buckets=4)
+        stream_apply(change_stream(spark, source), ["id"], target, str(tmp_path / checkpoint))
         return pairs(applied_rows(spark, target).select("id", "v", "lsn"))
 
     land(spark, source, [(1, "a", 1, None), (2, "b", 2, None)])
@@ -255,6 +255,24 @@ def test_stream_apply_over_runs_and_replays(spark, tmp_path):
     assert pairs(batch) == run("c2")
 
 
+def test_batches_add_files_and_rewrite_none(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(6):
+        land(spark, source, [(k, f"v{i}", 10 * i + k, None) for k in range(3)])
+    stream_apply(change_stream(spark, source), ["id"], target, str(tmp_path / "c"))
+    written = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*.parquet")}
+    assert pairs(applied_rows(spark, target).select("id", "v")) == [(k, "v5") for k in range(3)]
+    land(spark, source, [(1, None, 100, GONE)])
+    stream_apply(change_stream(spark, source), ["id"], target, str(tmp_path / "c"))
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*.parquet")}
+    assert written.items() <= after.items() and len(after) == len(written) + 1
+    want = [(0, "v5"), (2, "v5")]
+    for horizon in (None, 99, 100):
+        compact_changes(spark, target, horizon)
+        assert pairs(applied_rows(spark, target).select("id", "v")) == want
+        assert read_table(spark, target).count() == (2 if horizon == 100 else 3)
+
+
 def test_stream_load_takes_new_files_only(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     spec = TableSpec("rows", disposition=APPEND)
@@ -296,7 +314,7 @@ def test_message_stream_across_files_that_cut_transactions(spark, tmp_path):
 
     def run(checkpoint, tables):
         log = changelog.read_changes(spark, source, streaming=True, files_per_batch=1)
-        stream_messages(log, tables, str(tmp_path / checkpoint), unchanged="carry", buckets=3)
+        stream_messages(log, tables, str(tmp_path / checkpoint), unchanged="carry")
 
     for part in (rows[:5], rows[5:10], rows[10:]):
         spark.createDataFrame(part, changelog.LOG_SCHEMA).coalesce(1).write.mode("append").parquet(source)

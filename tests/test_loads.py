@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -102,24 +103,50 @@ def test_increment_of_times_reaches_the_scan(spark, tmp_path):
     assert "GreaterThan(ts,2024-01-02T09:00)" in df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("n", [1, 999, 1000, 1001, 5000, 9999, 20_000])
-def test_large_cap_equals_a_sort_and_limit(spark, n):
+def whole_ties(df, cursor, n):
+    """The first n rows by cursor, with all that share the last one's value; those without a value come first."""
+    values = sorted(r[cursor] for r in df.select(cursor).collect() if r[cursor] is not None)
+    last = values[min(n, len(values)) - 1]
+    edge = F.lit(str(last)).cast("timestamp_ntz") if isinstance(last, dt.datetime) else F.lit(last)
+    return df.filter(F.col(cursor).isNull() | (F.col(cursor) <= edge))
+
+
+@pytest.mark.parametrize("n", [1, 999, 1000, 5000, 9999, 20_000])
+@pytest.mark.parametrize("kind", ["int", "string", "timestamp_ntz"])
+def test_a_cap_never_parts_equal_cursor_values(spark, n, kind):
     # A third of the rows shares one cursor value, and some have none.
-    df = spark.range(12_000).select(
-        "id",
-        F.when(F.col("id") % 3 == 0, F.lit(500)).when(F.col("id") % 100 != 1, F.pmod(F.xxhash64("id"), F.lit(10**6))).alias("c"),
-    )
-    got = incremental.capped(df, "c", n, ["id"], top_k=50)
-    want = df.orderBy("c", "id").limit(n)
-    assert got.count() == min(n, 12_000)
-    assert got.exceptAll(want).count() == 0
+    number = F.when(F.col("id") % 3 == 0, F.lit(500)).when(F.col("id") % 100 != 1, F.pmod(F.xxhash64("id"), F.lit(10**6)))
+    at = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'") + F.make_interval(secs=number)
+    df = spark.range(12_000).select("id", (at if kind == "timestamp_ntz" else number.cast(kind)).alias("c"))
+    got, want = incremental.capped(df, "c", n), whole_ties(df, "c", n)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("cap", [1, 2, 3, 100])
+def test_capped_runs_load_every_row(spark, cap):
+    df = spark.createDataFrame([(1, 1), (2, 2), (3, 2), (4, 2), (5, 3), (6, None), (7, None)], "id int, c int")
+    spec = TableSpec("t", ("id",), MERGE, cursor="c")
+    seen, mark = [], None
+    while rows := pull_increment(df, spec, mark, cap).collect():
+        seen += [r.id for r in rows]
+        mark = max(r.c for r in rows if r.c is not None)
+    assert sorted(seen) == [1, 2, 3, 4, 5, 6, 7]
+
 
+def test_a_cap_over_rows_without_a_cursor_value(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (3, 5)], "id int, c int")
+    assert incremental.capped(df, "c", 1).count() == 3
+    assert incremental.capped(df.filter("c is null"), "c", 1).count() == 2
+    assert incremental.capped(df.limit(0), "c", 1).count() == 0
+    with pytest.raises(ValueError, match="at least one"):
+        incremental.capped(df, "c", 0)
 
-def test_large_cap_over_times(spark):
-    at = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, cast(id % 700 AS decimal(18,6)))")
-    df = spark.range(3000).select("id", at.alias("ts"))
-    got = incremental.capped(df, "ts", 1700, ["id"], top_k=10)
-    assert got.exceptAll(df.orderBy("ts", "id").limit(1700)).count() == 0 and got.count() == 1700
+
+def test_pulls_have_no_cap_unless_asked(spark):
+    spec = TableSpec("t", ("id",), MERGE, cursor="c")
+    df = spark.createDataFrame([(1, 1), (2, 2), (3, 2)], "id int, c int")
+    assert pull_increment(df, spec).count() == 3
+    assert [r.id for r in pull_increment(df, spec, 2, inclusive=True).orderBy("id").collect()] == [2, 3]
 
 
 def test_rolling_range_has_one_day_more(spark):
@@ -342,8 +369,8 @@ def test_replace_makes_a_version_that_readers_switch_to(spark, tmp_path):
         sinks.write_replace(spark.range(v + 1), path)
     assert sinks.read_table(spark, path).count() == 4
     assert sinks.versions(spark, path) == [3, 4]
-    # A version without its marker belongs to a run that died: it is not read, and written over.
-    (tmp_path / "t" / "v=5").mkdir()
+    # A batch without its manifest belongs to a run that died: it is not read, and written over.
+    (tmp_path / "t" / "_batch=5").mkdir()
     assert sinks.read_table(spark, path).count() == 4
     sinks.write_replace(spark.range(9), path)
     assert sinks.read_table(spark, path).count() == 9
@@ -353,14 +380,14 @@ def test_partitioned_merge_touches_only_its_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     spec = TableSpec("t", ("id",), MERGE, partition_by=("day",))
     sinks.load(spark.createDataFrame([(1, "01", "a"), (2, "02", "b"), (3, "03", "c")], "id int, day string, v string"), spec, path)
-    kept = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t" / "v=1" / "day=03").iterdir()}
+    kept = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t" / "_batch=1" / "day=03").iterdir()}
     changes = spark.createDataFrame([(1, "02", "moved"), (4, "04", "new")], "id int, day string, v string")
     for _ in range(2):
         sinks.load(changes, spec, path)
-        rows = sinks.read_table(spark, path, {"day": T.StringType()})
+        rows = sinks.read_table(spark, path)
         assert pairs(rows.select("id", "day", "v")) == [(1, "02", "moved"), (2, "02", "b"), (3, "03", "c"), (4, "04", "new")]
-    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t" / "v=1" / "day=03").iterdir()} == kept
-    assert not (tmp_path / "t" / "v=1" / "day=01").exists()
+    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t" / "_batch=1" / "day=03").iterdir()} == kept
+    assert not (tmp_path / "t" / "_batch=1" / "day=01").exists()
 
 
 def test_merge_with_a_new_column_evolves_the_whole_table(spark, tmp_path):
@@ -409,6 +436,80 @@ def test_first_merge_without_rows_leaves_no_broken_table(spark, tmp_path):
     assert pairs(sinks.read_table(spark, path).select("id", "day")) == [(1, "x")]
 
 
-def test_cap_on_a_text_cursor(spark):
-    df = spark.range(100).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("c"))
-    assert [r.c for r in incremental.capped(df, "c", 3, top_k=2).orderBy("c").collect()] == ["000", "001", "002"]
+def test_merge_keeps_rows_of_a_null_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spec = TableSpec("t", ("id",), MERGE, partition_by=("day", "kind"))
+    columns = "id int, day string, kind int"
+    sinks.load(spark.createDataFrame([(1, None, 1), (2, None, None), (3, "a", 1)], columns), spec, path)
+    sinks.load(spark.createDataFrame([(4, None, 1), (2, "a", None)], columns), spec, path)
+    assert pairs(sinks.read_table(spark, path)) == [(1, None, 1), (2, "a", None), (3, "a", 1), (4, None, 1)]
+
+
+def test_merge_of_null_keys_repeats(spark, tmp_path):
+    spec = TableSpec("t", ("a", "b"), MERGE)
+    rows = spark.createDataFrame([(None, 1, "x"), (None, None, "y")], "a string, b int, v string")
+    for _ in range(3):
+        sinks.load(rows, spec, str(tmp_path / "t"))
+    assert sinks.read_table(spark, str(tmp_path / "t")).count() == 2
+    assert merge.merge_upsert(rows, rows, ["a", "b"]).count() == 2
+
+
+@pytest.mark.parametrize("write", [lambda df, path: sinks.load(df, TableSpec("t", ("id",), MERGE, partition_by=("day",)), path), lambda df, path: sinks.write_append(df, path)])
+def test_a_changed_type_fails_before_anything_is_written(spark, tmp_path, write):
+    path = str(tmp_path / "t")
+    sinks.write_replace(spark.createDataFrame([(1, "d", "x")], "id bigint, day string, v string"), path, ["day"])
+    before = sorted(str(p) for p in (tmp_path / "t").rglob("*"))
+    with pytest.raises(ValueError, match="column v changes"):
+        write(spark.createDataFrame([(2, "d", 5)], "id bigint, day string, v int"), path)
+    assert sorted(str(p) for p in (tmp_path / "t").rglob("*")) == before
+    # A narrower number is widened.
+    write(spark.createDataFrame([(2, "d", "y")], "id int, day string, v string"), path)
+    assert pairs(sinks.read_table(spark, path).select("id", "v")) == [(1, "x"), (2, "y")]
+    assert sinks.read_table(spark, path).schema["id"].dataType == T.LongType()
+
+
+@pytest.mark.parametrize("step", ["_write_batch", "_commit"])
+def test_a_writer_that_dies_leaves_the_old_table(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+    spec = TableSpec("t", ("id",), MERGE, partition_by=("day",))
+    columns = "id int, day string, v int"
+    sinks.load(spark.createDataFrame([(1, "a", 1), (2, "b", 1)], columns), spec, path)
+    changes = spark.createDataFrame([(1, "a", 2), (3, "c", 2)], columns)
+    real = getattr(sinks, step)
+
+    def dies(*args):
+        if step == "_write_batch":
+            real(*args)
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(sinks, step, dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        sinks.load(changes, spec, path)
+    assert pairs(sinks.read_table(spark, path)) == [(1, "a", 1), (2, "b", 1)]
+    monkeypatch.setattr(sinks, step, real)
+    sinks.load(changes, spec, path)
+    assert pairs(sinks.read_table(spark, path)) == [(1, "a", 2), (2, "b", 1), (3, "c", 2)]
+
+
+def test_two_writers_do_not_lose_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_append(spark.range(1), path)
+    seen = sinks.current(spark, path)
+    sinks.write_append(spark.range(1), path)
+    with pytest.raises(RuntimeError, match="another run"):
+        sinks._commit(spark, path, dataclasses.replace(seen, number=2))
+    assert sinks.read_table(spark, path).count() == 2
+
+
+def test_a_replayed_append_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch in (0, 0, 1, 0, 1):
+        sinks.write_append(spark.range(batch * 10, batch * 10 + 10), path, source="s", batch=batch)
+    sinks.write_append(spark.range(3), path, source="other", batch=0)
+    assert sinks.read_table(spark, path).count() == 23
+
+
+def test_staged_rows_that_repeat_do_not_multiply(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    staged = spark.createDataFrame([(1, 5), (1, 6)], "id int, extra int")
+    assert pairs(merge.apply_backfill(base, staged, "id", ["extra"])) == [(1, "a", 6), (2, "b", None)]

@@ -36,8 +36,6 @@ def plan_of(spark, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python_in_the_plan(spark, name):
-    if name in ("load_windows", "merge_table", "cdc_stream", "cdc_message_stream", "stream_load"):
-        pytest.skip("runs jobs; its parts are planned by other queries")
     plan = plan_of(spark, name)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "MapInPandas", "MapInArrow"):
         assert bad not in plan
