@@ -20,7 +20,7 @@ from adlake.llm.tokens import PreTokens
 
 MAX_LENGTH = 4096
 END_ID = 2
-PIECES = "array<struct<start:bigint,length:int,ids:binary>>"
+PIECES = "array<struct<start:bigint,length:int,ids:binary,doc_tokens:bigint>>"
 
 
 def cut(n: int, most: int) -> list[int]:
@@ -31,7 +31,7 @@ def cut(n: int, most: int) -> list[int]:
 
 def _split(column: pa.Array, path: str, most: int, end_id: int) -> pa.Array:
     tokens, tail = PreTokens.of(path), np.uint32(end_id).tobytes()
-    ends, starts, lengths, ids = [0], [], [], []
+    ends, starts, lengths, ids, totals = [0], [], [], [], []
     for text in column:
         packed = tokens.encode(text.as_py() or "") + tail
         at = 0
@@ -40,8 +40,12 @@ def _split(column: pa.Array, path: str, most: int, end_id: int) -> pa.Array:
             lengths.append(length)
             ids.append(packed[4 * at : 4 * (at + length)])
             at += length
+        totals += [at] * (len(starts) - ends[-1])
         ends.append(len(starts))
-    rows = pa.StructArray.from_arrays([pa.array(starts, pa.int64()), pa.array(lengths, pa.int32()), pa.array(ids, pa.binary())], ["start", "length", "ids"])
+    rows = pa.StructArray.from_arrays(
+        [pa.array(starts, pa.int64()), pa.array(lengths, pa.int32()), pa.array(ids, pa.binary()), pa.array(totals, pa.int64())],
+        ["start", "length", "ids", "doc_tokens"],
+    )
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
 
 
@@ -53,19 +57,14 @@ def pack(docs: DataFrame, tokenizer: str, max_length: int = MAX_LENGTH, end_id:
     if max_length & (max_length - 1) or max_length < 1:
         raise ValueError("max_length must be a power of two")
     split = F.arrow_udf(_typed(partial(_split, path=tokenizer, most=max_length, end_id=end_id)), PIECES)
-    found = docs.select("doc_id", split(F.col("text")).alias("pieces"))
-    last = F.element_at("pieces", -1)
-    return (
-        found.select("doc_id", (last["start"] + last["length"]).alias("doc_tokens"), F.explode("pieces").alias("piece"))
-        .select(
-            "doc_id",
-            "piece.start",
-            F.col("piece.length").cast("long").alias("length"),
-            "piece.ids",
-            "doc_tokens",
-            F.monotonically_increasing_id().alias("sequence_id"),
-            F.lit(0).cast("long").alias("offset"),
-        )
+    return docs.select("doc_id", F.explode(split(F.col("text"))).alias("piece")).select(
+        "doc_id",
+        "piece.start",
+        F.col("piece.length").cast("long").alias("length"),
+        "piece.ids",
+        "piece.doc_tokens",
+        F.monotonically_increasing_id().alias("sequence_id"),
+        F.lit(0).cast("long").alias("offset"),
     )
 
 
