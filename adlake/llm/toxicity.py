@@ -22,8 +22,8 @@ from adlake.llm.words import LETTERS, LOWER, Texts, distinct, grams, hashes, lis
 BITS = 20
 #: The classifier is fitted on a sample by doc_id hash of about this many labelled rows at most.
 MAX_ROWS = 30_000
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 4.0, 1.0, 4.0, 0.0
+EPOCHS = 4
+ALPHA, BETA, L1, L2 = 3.0, 1.0, 4.0, 0.0
 
 
 def _slots(h: np.ndarray, kind: int) -> np.ndarray:
