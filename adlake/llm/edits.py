@@ -28,7 +28,7 @@ SEGMENT = 400
 #: White space of ASCII; a segment begins after one.
 _BLANKS = " \t\n\r\x0b\x0c"
 TREE = "struct<chars:array<int>,tokens:array<int>>"
-EDITED = f"struct<text:string,tree:{TREE},n_tokens:bigint,n_segments:int,n_encoded:int>"
+EDITED = f"struct<text:string,tree:{TREE},n_tokens_before:bigint,n_tokens:bigint,n_segments:int,n_encoded:int>"
 
 
 def cut(text: str, size: int = SEGMENT) -> list[str]:
@@ -145,10 +145,11 @@ def edited(text: Column, tree: Column, edits: Column, tokenizer: str) -> Column:
     def applied(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         tokens = PreTokens.of(tokenizer)
         for texts, old, lists in batches:
-            out_texts, out_trees, n_encoded = [], [], []
+            out_texts, out_trees, n_encoded, before = [], [], [], []
             for t, o, todo in zip(texts, old, lists, strict=True):
                 new, n = t.as_py() or "", 0
                 now = Tree(*(o[k].values.to_numpy().astype(np.int64) for k in ("chars", "tokens")))
+                before.append(now.n_tokens)
                 for e in todo.as_py() or []:
                     new, now, more = edit(new, now, e["at"] or 0, e["cut"] or 0, e["put"] or "", tokens)
                     n += more
@@ -159,11 +160,12 @@ def edited(text: Column, tree: Column, edits: Column, tokenizer: str) -> Column:
                 [
                     pa.array(out_texts, pa.string()),
                     _arrow(out_trees),
+                    pa.array(before, pa.int64()),
                     pa.array([x.n_tokens for x in out_trees], pa.int64()),
                     pa.array([x.n_leaves for x in out_trees], pa.int32()),
                     pa.array(n_encoded, pa.int32()),
                 ],
-                ["text", "tree", "n_tokens", "n_segments", "n_encoded"],
+                ["text", "tree", "n_tokens_before", "n_tokens", "n_segments", "n_encoded"],
             )
 
     return applied(text, tree, edits)

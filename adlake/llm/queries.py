@@ -89,11 +89,11 @@ def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document before and after its edits, and how much was encoded for them."""
     path = public_tokenizers.path(TOKENIZER)
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = docs.withColumn("tree", edits.trees(F.col("text"), path)).withColumn("edits", sample_edits(F.col("text"), F.col("doc_id")))
-    after = edits.edited(F.col("text"), F.col("tree"), F.col("edits"), path)
-    return rows.select("doc_id", F.col("tree.tokens")[1].cast("long").alias("tokens_before"), after.alias("after")).select(
+    todo = sample_edits(F.col("text"), F.col("doc_id"))
+    after = edits.edited(F.col("text"), edits.trees(F.col("text"), path), todo, path)
+    return docs.select("doc_id", after.alias("after")).select(
         "doc_id",
-        "tokens_before",
+        F.col("after.n_tokens_before").alias("tokens_before"),
         F.col("after.n_tokens").alias("tokens_after"),
         F.col("after.n_segments").cast("long").alias("n_segments"),
         F.col("after.n_encoded").cast("long").alias("n_encoded"),
