@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,57 +20,55 @@ def metrics(spark, actions=None, action_values=None, conversions=None, conversio
     return row.trial_starts, row.trial_start_value, row.subscriptions, row.subscription_value
 
 
-def test_malformed_or_missing_arrays_are_zero(spark):
-    assert metrics(spark) == (0.0, 0.0, 0.0, 0.0)
-    assert metrics(spark, action_values=[("omni_subscribe", "bad"), None]) == (0.0, 0.0, 0.0, 0.0)
-
-
-def test_combined_event_suppresses_its_parts(spark):
-    found = metrics(
-        spark,
-        actions=[
-            ("omni_start_trial", "4.5"), (f"{PIXEL}start_trial", "3"), ("start_trial_mobile_app", "2"),
-            ("omni_subscribe", "7"), (f"{PIXEL}subscribe", "5"),
-        ],
-    )
-    assert found[0] == 4.5 and found[2] == 7.0
-
-
-def test_web_and_app_add_up(spark):
-    found = metrics(
-        spark,
-        actions=[
-            (f"{PIXEL}start_trial", "3"), ("start_trial_mobile_app", "2"),
-            (f"{PIXEL}subscribe", "5"), ("subscribe_mobile_app", "1.5"),
-        ],
-    )
-    assert found[0] == 5.0 and found[2] == 6.5
+EVENTS = {
+    "trial": (insights.TRIAL_EVENTS, 0, 1),
+    "subscription": (insights.SUBSCRIPTION_EVENTS, 2, 3),
+}
 
 
-def test_aliases_of_one_source_do_not_add_up(spark):
-    found = metrics(spark, actions=[("fb_mobile_start_trial", "9"), ("start_trial_mobile_app", "2")])
-    assert found[0] == 2.0
+def by_rule(events, values):
+    """The metric of (type, value) entries, spelled out: combined, else the parts added up, else the plain event."""
+    first = {}
+    for kind, value in values:
+        try:
+            first.setdefault(kind.strip().lower(), float(value))
+        except (TypeError, ValueError):
+            continue
+    pick = lambda names: next((first[n] for n in names if n in first), None)
+    parts = [pick(group) for group in events["components"]]
+    total = sum(p for p in parts if p is not None) if any(p is not None for p in parts) else None
+    return next((v for v in (pick(events["omni"]), total, pick(events["fallback"])) if v is not None), 0.0)
 
 
-def test_first_array_wins(spark):
-    found = metrics(
-        spark,
-        actions=[("subscribe_mobile_app", "99")],
-        conversions=[("subscribe_mobile_app", None, "2")],
-        action_values=[("subscribe_mobile_app", "999")],
-        conversion_values=[("subscribe_mobile_app", None, "12.25")],
-    )
-    assert found[2:] == (2.0, 12.25)
-
-
-def test_types_are_trimmed_and_a_bad_value_lets_the_next_one_count(spark):
-    found = metrics(spark, actions=[(" Omni_Subscribe ", "bad"), ("OMNI_SUBSCRIBE", "1_000")])
-    assert found[2] == 1000.0
-
-
-def test_fallback_only_without_parts(spark):
-    assert metrics(spark, actions=[("start_trial", "3")])[0] == 3.0
-    assert metrics(spark, actions=[("start_trial", "3"), (f"{PIXEL}start_trial", "1")])[0] == 1.0
+def test_malformed_or_missing_arrays_are_zero(spark):
+    assert metrics(spark) == (0.0,) * 4
+    assert metrics(spark, actions=[], conversion_values=[(None, "x", "3"), None, ("omni_start_trial", None, "much")]) == (0.0,) * 4
+
+
+@pytest.mark.parametrize("kind", EVENTS)
+def test_event_metrics_follow_the_rule(spark, kind):
+    """Random arrays of the event's names, in odd spellings and with values that are no numbers."""
+    events, count, value = EVENTS[kind]
+    names = [*events["omni"], *(n for g in events["components"] for n in g), *events["fallback"], "other"]
+    rng = random.Random(kind)
+    rows = []
+    for _ in range(60):
+        own = [n for n in names if rng.random() < 0.25]
+        spelled = [rng.choice([n, n.upper(), f" {n}\t"]) for n in own + own[:1]]
+        rows.append([(n, rng.choice(["none", "", f"{rng.randint(1, 40) / 8}", f" {rng.randint(1, 9)}e1 "])) for n in spelled])
+    df = spark.createDataFrame([(r, r[::-1], None, None) for r in rows], SCHEMA)
+    found = insights.add_event_metrics(df).select("trial_starts", "trial_start_value", "subscriptions", "subscription_value").collect()
+    assert [r[count] for r in found] == [by_rule(events, r) for r in rows]
+    assert [r[value] for r in found] == [by_rule(events, r[::-1]) for r in rows]
+
+
+def test_conversions_go_before_actions(spark):
+    name = "subscribe_mobile_app"
+    both = dict(actions=[(name, "31")], action_values=[(name, "310")])
+    assert metrics(spark, **both)[2:] == (31.0, 310.0)
+    assert metrics(spark, **both, conversions=[(name, None, "6")], conversion_values=[(name, None, "6.75")])[2:] == (6.0, 6.75)
+    # An entry that is no number doesn't stand in the way of a later array.
+    assert metrics(spark, **both, conversions=[(name, None, "-")])[2] == 31.0
 
 
 def test_events_without_any_array(spark):
@@ -107,13 +106,14 @@ def test_cost_per_result_is_the_first_value(spark):
     [
         (
             [
-                ("offsite_conversion.custom.123", "Annual Subscribe Complete", "19.995"),
-                ("subscribe_mobile_app", None, "5.25"),
-                (f"{PIXEL}purchase", "Purchase", "99"),
+                ("offsite_conversion.custom.8", "Yearly SUBSCRIBE done", "1.00004"),
+                ("Subscribe_Mobile_App", None, "0.5"),
+                ("offsite_conversion.custom.9", "Subscribed again", "2e1"),
+                (f"{PIXEL}lead", "Lead", "700"),
             ],
-            25.245,
+            21.5,
         ),
-        ([("subscribe_mobile_app", None, "invalid"), (None, "Subscribe", None), None], 0.0),
+        ([("subscribe_mobile_app", None, "?"), (None, "subscribe", None), None, ("other", None, "4")], 0.0),
         (None, 0.0),
     ],
 )

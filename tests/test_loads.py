@@ -17,41 +17,59 @@ def pairs(df):
 
 # --- windows -----------------------------------------------------------------------------
 
-END = dt.date(2026, 8, 5)
-
-
-def plan(spark, checkpoint, cursor, **kwargs):
+def plan(spark, end, checkpoint, cursor, **kwargs):
     df = spark.createDataFrame([("e", checkpoint, cursor)], "entity string, checkpoint string, cursor string")
-    rows = windows.plan_windows(df, END, **kwargs).orderBy("start").collect()
+    rows = windows.plan_windows(df, end, **kwargs).orderBy("start").collect()
     return [(r.start, r.end) for r in rows]
 
 
+def due_from(end, mark, initial_days=windows.INITIAL_DAYS, lag_days=windows.LAG_DAYS):
+    """The rule: a first load goes back its days, a later one to the mark (at most the end) less the lag."""
+    return end - dt.timedelta(initial_days) if mark is None else min(mark, end) - dt.timedelta(lag_days)
+
+
+LEAP, MONTH_END = dt.date(2024, 3, 4), dt.date(2025, 8, 31)
+
+
+@pytest.mark.parametrize("end", [LEAP, MONTH_END])
 @pytest.mark.parametrize(
-    "checkpoint,cursor,first",
+    "ago,checkpoint,cursor",
     [
-        (None, None, dt.date(2026, 7, 6)),
-        ("2026-08-01", "2026-07-15", dt.date(2026, 7, 25)),
-        (None, "2026-07-30T00:00:00Z", dt.date(2026, 7, 23)),
-        ("not-a-date", "2026-07-30", dt.date(2026, 7, 23)),
-        ("", "", dt.date(2026, 7, 6)),
-        ("2027-01-01", None, dt.date(2026, 7, 29)),
+        (None, None, None),
+        (None, " ", "soon"),
+        (0, "{}", None),
+        (4, "{}", "1999-12-31"),
+        (-200, "{}", None),
+        (12, "2024-02-30", "{}T23:59:59Z"),
+        (35, None, "{}"),
     ],
 )
-def test_windows_start_at_the_mark_less_the_lag(spark, checkpoint, cursor, first):
-    got = plan(spark, checkpoint, cursor)
-    assert got[0][0] == first and got[-1][1] == END
-    assert all((b - a).days < 8 for a, b in got)
+def test_windows_follow_the_rule(spark, end, ago, checkpoint, cursor):
+    """Marks of every kind, around a leap day and a month's end: on the end, after it, broken, and older ones."""
+    mark = None if ago is None else end - dt.timedelta(ago)
+    got = plan(spark, end, checkpoint and checkpoint.format(mark), cursor and cursor.format(mark))
+    assert got[0][0] == due_from(end, mark) and got[-1][1] == end
+    assert all((b - a).days < windows.MAX_DAYS for a, b in got)
     assert all(b[0] == a[1] + dt.timedelta(days=1) for a, b in zip(got, got[1:]))
 
 
+def test_a_lag_longer_than_the_history_and_no_lag(spark):
+    day = LEAP - dt.timedelta(3)
+    assert plan(spark, LEAP, str(day), None, lag_days=90)[0][0] == day - dt.timedelta(90)
+    assert plan(spark, LEAP, str(day), None, lag_days=0)[0] == (day, LEAP)
+
+
 def test_windows_do_not_go_past_the_retention(spark):
-    assert plan(spark, None, None, initial_days=10_000)[0][0] == dt.date(2023, 7, 5)
+    assert plan(spark, MONTH_END, None, None, initial_days=9_999)[0][0] == dt.date(2022, 7, 31)
+    assert plan(spark, LEAP, "1970-01-01", None, retention_months=1)[0][0] == dt.date(2024, 2, 4)
 
 
-def test_windows_are_cut_to_the_longest_load(spark):
-    df = spark.createDataFrame([("e", "2026-01-08", None)], "entity string, checkpoint string, cursor string")
-    got = windows.plan_windows(df, dt.date(2026, 1, 20), max_days=8).orderBy("start").collect()
-    assert [(r.start.day, r.end.day) for r in got] == [(1, 8), (9, 16), (17, 20)]
+@pytest.mark.parametrize("longest", [1, 3, 31])
+def test_windows_are_cut_to_the_longest_load(spark, longest):
+    got = plan(spark, LEAP, str(LEAP - dt.timedelta(6)), None, max_days=longest)
+    days = [a + dt.timedelta(k) for a, b in got for k in range((b - a).days + 1)]
+    assert days == [LEAP - dt.timedelta(k) for k in range(13, -1, -1)]
+    assert [(b - a).days + 1 for a, b in got][:-1] == [longest] * (len(got) - 1)
 
 
 def test_invalid_marks_are_named(spark):
@@ -222,21 +240,25 @@ KEYS = ["account_id", "id"]
 
 
 def test_changed_rows_and_state(spark):
-    old = spark.createDataFrame([("A", "stable", "n", "ACTIVE", None), ("A", "changed", "n", "ACTIVE", None)], LIGHT)
-    light = spark.createDataFrame(
-        [
-            ("A", "stable", "n", "ACTIVE", None), ("A", "changed", "new", "PAUSED", None),
-            ("A", "new", "n", "ACTIVE", None), ("B", "stable", "n", "ACTIVE", None),
-        ],
-        LIGHT,
-    )
-    state = diff.with_fingerprint(old).select(*KEYS, "fingerprint")
-    changed = diff.changed_rows(light, state, KEYS)
-    assert sorted((r.account_id, r.id) for r in changed.collect()) == [("A", "changed"), ("A", "new"), ("B", "stable")]
-    after = diff.next_state(state, changed, KEYS)
-    assert diff.changed_rows(light, after, KEYS).count() == 0
-    heavy = spark.createDataFrame([("changed", "url"), ("new", "url")], "id string, thumbnail_url string")
-    with pytest.raises(ValueError):
+    """Each field is changed in a row of its own, one row is new, one gone, and one belongs to another account."""
+    base = [("acc", f"c{k}", "title", "ON", "post") for k in range(5)]
+    fields = ["name", "status", "effective_object_story_id"]
+    now = spark.createDataFrame(base, LIGHT)
+    for k, f in enumerate(fields):
+        now = now.withColumn(f, F.when(F.col("id") == f"c{k}", F.lit(None)).otherwise(F.col(f)))
+    now = now.filter("id <> 'c4'").union(spark.createDataFrame([("acc", "fresh", "t", "ON", None), ("other", "c3", "title", "ON", "post")], LIGHT))
+    state = diff.with_fingerprint(spark.createDataFrame(base, LIGHT)).select(*KEYS, "fingerprint")
+    changed = diff.changed_rows(now, state, KEYS)
+    assert sorted((r.account_id, r.id) for r in changed.collect()) == [("acc", "c0"), ("acc", "c1"), ("acc", "c2"), ("acc", "fresh"), ("other", "c3")]
+    # The state is that of the rows that were stored; the one that is gone keeps its own.
+    partly = diff.next_state(state, changed.filter("id <> 'c1'"), KEYS)
+    assert [r.id for r in diff.changed_rows(now, partly, KEYS).collect()] == ["c1"]
+    whole = diff.next_state(state, changed, KEYS)
+    assert diff.changed_rows(now, whole, KEYS).count() == 0 and whole.count() == 7
+    heavy = spark.createDataFrame([("c0", 1.5), ("fresh", 2.5), ("c3", 0.5)], "id string, spend double")
+    found = diff.hydrate(changed.filter("id in ('c0', 'fresh')"), heavy, "id")
+    assert sorted((r.id, r.spend) for r in found.collect()) == [("c0", 1.5), ("fresh", 2.5)]
+    with pytest.raises(ValueError, match="without a match"):
         diff.hydrate(changed, heavy, "id")
 
 
@@ -304,15 +326,13 @@ def test_backfill_changes_new_columns_only(spark):
 
 
 def test_completeness(spark):
-    schema = "resource string, entity string, rows bigint, complete boolean"
-    landed = spark.createDataFrame(
-        [("ad_creatives", "act-limited", 3, False), ("ad_creatives", "act-next", 2, True), ("ads", "act-next", 0, True)],
-        schema,
-    )
-    assert pairs(quality.completeness(landed, landed)) == [("ad_creatives", ["act-limited"])]
-    with pytest.raises(RuntimeError, match="ad_creatives: act-limited"):
-        quality.completeness_gate(landed, landed)
-    quality.completeness_gate(landed.filter("complete"), landed)
+    schema = "resource string, entity string, complete boolean"
+    expected = spark.createDataFrame([(r, e, True) for r in ("ads", "sets") for e in ("x", "y", "z")], schema)
+    landed = spark.createDataFrame([("ads", "x", True), ("ads", "y", False), ("ads", "z", False), ("ads", "z", True), ("sets", "q", True)], schema)
+    assert pairs(quality.completeness(expected, landed)) == [("ads", ["y"]), ("sets", ["x", "y", "z"])]
+    with pytest.raises(RuntimeError, match="ads: y; sets: x, y, z"):
+        quality.completeness_gate(expected, landed)
+    quality.completeness_gate(expected, expected)
 
 
 # --- contracts ---------------------------------------------------------------------------
