@@ -14,7 +14,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from adlake.functions.dates import pg_epoch
 from adlake.functions.numbers import bytea
-from adlake.functions.pgtypes import BYTEA_OID, be_int32, be_int64, be_uint, char_at, pg_type
+from adlake.functions.pgtypes import (
+    BYTEA_OID,
+    NUMERIC_OID,
+    be_int32,
+    be_int64,
+    be_uint,
+    char_at,
+    numeric_precision_scale,
+    pg_type,
+)
 from adlake.operators.asof import Carry, carry_forward
 from adlake.operators.dedupe import latest
 from adlake.operators.sinks import cut_lineage
@@ -90,12 +99,17 @@ def _values(payload: Column, slices: Column) -> Column:
 
 
 def _relation(payload: Column) -> Column:
-    """Name and columns of a relation message; byte positions are those of its Latin-1 text."""
+    """Name and columns of a relation message; byte positions are those of its Latin-1 text.
+
+    A table outside the schema ``public`` has its schema before its name.
+    """
     text = F.decode(payload, "ISO-8859-1")
     zero = F.lit("\0")
     schema_end = F.position(zero, text, F.lit(6))
     name_end = F.position(zero, text, schema_end + 1)
-    name = _utf8(F.substring(text, schema_end + 1, name_end - schema_end - 1))
+    plain = _utf8(F.substring(text, schema_end + 1, name_end - schema_end - 1))
+    schema = _utf8(F.substring(text, F.lit(6), schema_end - 6))
+    name = F.when(schema.isin("public", ""), plain).otherwise(F.concat(schema, F.lit("."), plain))
     count = be_uint(payload, name_end + 2, 2).cast("int")
     begin = F.struct((name_end + 4).cast("int").alias("pos"), F.array().cast(_COLUMNS).alias("cols"))
 
@@ -207,6 +221,10 @@ def relation_columns(log: DataFrame) -> dict[str, list[SourceColumn]]:
 def _typed(text: Column, column: SourceColumn) -> Column:
     if column.oid == BYTEA_OID:
         return bytea(text)
+    if column.oid == NUMERIC_OID and numeric_precision_scale(column.typmod) is None:
+        lost = F.concat(F.lit(f"{column.name} has more decimals than are kept: "), text)
+        kind = pg_type(column.oid, column.typmod)
+        return F.when(text.rlike(r"\.\d{9}\d*[1-9]"), F.raise_error(lost).cast(kind)).otherwise(text.cast(kind))
     return text.cast(pg_type(column.oid, column.typmod))
 
 

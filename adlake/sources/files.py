@@ -91,7 +91,7 @@ def read_play_csv(
 
 
 def _unzip(batches: Iterator) -> Iterator:
-    """First member of each archive as field lists, the header being row 0."""
+    """Every member of each archive as field lists, a member's header being its row 0."""
     import csv
     import io
     import zipfile
@@ -102,24 +102,27 @@ def _unzip(batches: Iterator) -> Iterator:
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                names = archive.namelist()
-                if not names:
-                    continue
-                with archive.open(names[0]) as member:
-                    text = io.TextIOWrapper(member, "utf-8", newline="")
-                    first = text.readline()
-                    sep = "\t" if "\t" in first else ","
-                    yield _rows_batch(pa, path, 0, [next(csv.reader([first], delimiter=sep))])
-                    rows, at = csv.reader(text, delimiter=sep), 1
-                    while chunk := list(islice(rows, 10_000)):
-                        yield _rows_batch(pa, path, at, chunk)
-                        at += len(chunk)
-
-
-def _rows_batch(pa, path: str, start: int, rows: list[list[str]]):
+                for name in (n for n in archive.namelist() if not n.endswith("/")):
+                    with archive.open(name) as member:
+                        text = io.TextIOWrapper(member, "utf-8", newline="")
+                        first = text.readline()
+                        sep = "\t" if "\t" in first else ","
+                        header = next(csv.reader([first], delimiter=sep), [])
+                        yield _rows_batch(pa, path, name, 0, [header])
+                        rows, at = (r for r in csv.reader(text, delimiter=sep) if r), 1
+                        while chunk := list(islice(rows, 10_000)):
+                            odd = next((k for k, r in enumerate(chunk) if len(r) != len(header)), None)
+                            if odd is not None:
+                                raise ValueError(f"row {at + odd} of {name} in {path} has {len(chunk[odd])} fields, not {len(header)}")
+                            yield _rows_batch(pa, path, name, at, chunk)
+                            at += len(chunk)
+
+
+def _rows_batch(pa, path: str, member: str, start: int, rows: list[list[str]]):
     return pa.RecordBatch.from_pydict(
         {
             "path": pa.array([path] * len(rows), pa.string()),
+            "member": pa.array([member] * len(rows), pa.string()),
             "idx": pa.array(range(start, start + len(rows)), pa.int64()),
             "fields": pa.array(rows, pa.list_(pa.string())),
         }
@@ -128,15 +131,14 @@ def _rows_batch(pa, path: str, start: int, rows: list[list[str]]):
 
 def _zip_parts(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
     archives = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
-    rows = cut_lineage(archives.mapInArrow(_unzip, "path string, idx bigint, fields array<string>"))
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for r in rows.filter("idx = 0").collect():
-        groups[tuple(r["fields"])].append(r["path"])
+    rows = cut_lineage(archives.mapInArrow(_unzip, "path string, member string, idx bigint, fields array<string>"))
+    heads = rows.filter("idx = 0").select("path", "member", F.col("fields").alias("header"))
     return [
-        rows.filter((F.col("idx") > 0) & F.col("path").isin(*members) & (F.size("fields") > 0)).select(
-            *[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(header)]
-        )
-        for header, members in groups.items()
+        rows.filter("idx > 0")
+        .join(heads.filter(F.col("header") == F.array(*[F.lit(c) for c in header])), ["path", "member"], "left_semi")
+        .select(*[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(header)])
+        for header in (r["header"] for r in heads.select("header").distinct().collect())
+        if header
     ]
 
 
@@ -155,16 +157,17 @@ def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[st
     return groups
 
 
-def read_segments(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_segments(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> DataFrame:
     """Report segments as text columns: comma or tab separated, plain, gzip or zip.
 
     The separator is a tab when the header line has one. Files with the same header are read
-    together. Gzip is told by the ``.gz`` ending, zip by ``.zip``; of an archive the first
-    member counts.
+    together. Gzip is told by the ``.gz`` ending, zip by ``.zip``; all members of an archive
+    count. A row with more or fewer fields than its header fails the load. Without
+    ``multi_line`` no quoted field may hold a line break, and plain files can be split.
     """
     zipped = [p for p in paths if p.lower().endswith(".zip")]
     plain = [p for p in paths if p not in zipped]
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').option("mode", "FAILFAST")
     parts: list[DataFrame] = []
     if plain:
         for header, members in _first_lines(spark, plain).items():

@@ -24,8 +24,8 @@ def commit():
     return b"C" + struct.pack(">bqqq", 0, 1, 2, 3)
 
 
-def relation(rel, name, columns):
-    out = b"R" + struct.pack(">i", rel) + b"public\0" + name.encode() + b"\0d" + struct.pack(">h", len(columns))
+def relation(rel, name, columns, schema="public"):
+    out = b"R" + struct.pack(">i", rel) + schema.encode() + b"\0" + name.encode() + b"\0d" + struct.pack(">h", len(columns))
     for key, column, oid, typmod in columns:
         out += struct.pack(">b", key) + column.encode() + b"\0" + struct.pack(">ii", oid, typmod)
     return out
@@ -95,6 +95,32 @@ def test_decode_types_values_and_marks_deletes(spark):
     assert second.deleted_ts == int(dt.datetime(1999, 12, 31, 23, tzinfo=dt.timezone.utc).timestamp())
 
 
+def test_tables_of_one_name_in_two_schemas_stay_apart(spark):
+    wide = [ID, *((0, f"c{k}", 25, -1) for k in range(300))]
+    log = log_of(
+        spark,
+        [
+            begin(T1), relation(5, "orders", [ID, NAME]), relation(6, "orders", wide, "archivé"),
+            insert(5, "1", "a"), insert(6, "2", *(str(k) for k in range(300))), commit(),
+        ],
+    )
+    found = changelog.decode_changes(log, include={"archivé.orders": ["id", "c0", "c299"]})
+    assert set(found) == {"orders", "archivé.orders"}
+    assert pairs(found["orders"].select("id", "name")) == [(1, "a")]
+    assert [c for c in found["archivé.orders"].columns if c not in ("lsn", "deleted_ts")] == ["id", "c0", "c299"]
+    assert pairs(found["archivé.orders"].select("id", "c0", "c299")) == [(2, "0", "299")]
+
+
+def test_an_unbounded_numeric_fails_rather_than_lose_decimals(spark):
+    def read(text):
+        log = log_of(spark, [begin(T1), relation(5, "t", [ID, (0, "n", 1700, -1)]), insert(5, "1", text), commit()])
+        return changelog.decode_changes(log)["t"].first().n
+
+    assert str(read("12345678901234567890.123456789000")) == "12345678901234567890.123456789"
+    with pytest.raises(PySparkException, match="more decimals"):
+        read("0.1234567891")
+
+
 def test_schema_change_in_the_log(spark):
     log = log_of(
         spark,

@@ -74,22 +74,35 @@ def test_segments_of_every_kind(spark, tmp_path):
         f.write("Date\tApp Name\tSessions\n2024-01-02\tMy\t6\n")
     with zipfile.ZipFile(tmp_path / "c.zip", "w") as z:
         z.writestr("first.txt", 'Date\tApp Name\tCrashes\n2024-01-03\t"two\nlines"\t7\n\n')
-        z.writestr("second.txt", "ignored\nx\n")
+        z.writestr("more/second.csv", "Date,Sessions\n2024-01-04,8\n")
+        z.writestr("empty.csv", "")
     paths = [str(tmp_path / n) for n in ("a.csv", "b.tsv.gz", "c.zip")]
     raw = appstore.raw_rows(
         files.read_segments(spark, paths), app_id="1", app_name="App", group_name="g", report_name="r", granularity="DAILY"
     )
     typed = appstore.typed_rows(raw.union(raw), "app_usage")
-    got = sorted((str(r.Date), r.App_Name, r.Sessions, r.Crashes, r._granularity) for r in typed.collect())
+    got = sorted((str(r.Date), r.App_Name or "-", r.Sessions, r.Crashes, r._granularity) for r in typed.collect())
     assert got == [
         ("2024-01-01", "My, App", 5, None, "DAILY"),
         ("2024-01-02", "My", 6, None, "DAILY"),
         ("2024-01-03", "two\nlines", None, 7, "DAILY"),
+        ("2024-01-04", "-", 8, None, "DAILY"),
     ]
     with pytest.raises(FileNotFoundError):
         files.read_segments(spark, [])
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+@pytest.mark.parametrize("row", ["1", "1,2,3"])
+def test_a_row_of_another_length_fails_the_load(spark, tmp_path, row, multi_line):
+    (tmp_path / "a.csv").write_text(f"x,y\n1,2\n{row}\n")
+    with zipfile.ZipFile(tmp_path / "b.zip", "w") as z:
+        z.writestr("b.csv", f"x,y\n1,2\n{row}\n")
+    for name in ("a.csv", "b.zip"):
+        with pytest.raises(Exception, match="MALFORMED|fields, not 2"):
+            files.read_segments(spark, [str(tmp_path / name)], multi_line).collect()
+
+
 # --- report rows -------------------------------------------------------------------------
 
 
