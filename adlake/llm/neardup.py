@@ -5,10 +5,10 @@ signatures differ in at most ``CHUNKS * 2 - 1`` lanes have, by pigeonhole, a chu
 meet in one of the keys that leave out one lane of that chunk; so all of them are candidates. Two sets of similarity 0.8
 or more miss each other in all chunks with a probability below two in a million. Candidates are confirmed on full sets.
 
-Documents of equal sets form classes, which one document represents. Buckets are not expanded into pairs: in each round
-every document meets one pivot of a bucket, and pairs that are in one component already are left out. After rounds that find
-links, or ``ROUNDS``, what still shares a bucket with another component is compared with all of it. Components
-are the least labels of a propagation with pointer jumping. Every step reads written tables, so a lost executor costs
+Documents of equal sets form classes, which one document represents. Buckets are not expanded into pairs: in each of
+``ROUNDS`` rounds every document meets one pivot of a bucket, and pairs that are in one component already are left out.
+Where a bucket's documents then still are in several components, those outside the largest are compared with all of them,
+set against sets, in cells of at most about ``CELL_SHINGLES`` shingles a side; only links leave a cell. Components are the least labels of a propagation with pointer jumping. Every step reads written tables, so a lost executor costs
 the step at hand.
 
 Cases: an empty or null text, or one without words, has no set and is linked with nothing; a text of one word has that
@@ -32,7 +32,8 @@ LEAST = 80
 #: Pairs whose sketches of four bits a lane differ in more lanes aren't compared: one in a million of similarity 0.8.
 SKETCH_DIFFERENT = 24
 #: Rounds with pivots before the comparison of all that is left.
-ROUNDS = 4
+ROUNDS = 3
+CELL_SHINGLES = 1_000_000
 SKETCH = [f"s{k}" for k in range(-(-SIZE // 16))]
 SIGNED = f"struct<n:bigint,hi:bigint,lo:bigint,{','.join(f'{s}:bigint' for s in SKETCH)},keys:array<bigint>>"
 
@@ -151,30 +152,21 @@ def _link(documents: DataFrame, sketches: DataFrame, members: DataFrame) -> Data
         "sets",
     )
     comps = written(ids.select(F.col("doc_id").alias("v"), F.col("doc_id").alias("c")).distinct(), "components")
-    tested = None
-    turn, last = 0, False
-    while True:
+    for turn in range(ROUNDS + 1):
         rows = members.join(comps, F.col("doc_id") == F.col("v")).select("key", "doc_id", "c")
-        if last:
-            pairs = _across(rows, sketches)
+        if turn < ROUNDS:
+            links = _confirmed(written(_with_pivots(rows, sketches, turn), "pairs"), sets)
         else:
-            pairs = _with_pivots(rows, sketches, turn)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        links = written(_confirmed(pairs, sets), "links")
-        found = links.limit(1).count()
-        if found:
-            label = comps.select(F.col("v").alias("x"), F.col("c").alias("cx"))
-            edges = links.join(label, F.col("a") == F.col("x")).select("b", F.col("cx").alias("a"))
-            edges = edges.join(label, F.col("b") == F.col("x")).select("a", F.col("cx").alias("b"))
-            merged = components(comps.select(F.col("c").alias("v")).distinct(), edges)
-            comps = written(comps.join(merged.select(F.col("v").alias("c"), F.col("c").alias("new")), "c").select("v", F.col("new").alias("c")), "components")
-        if last:
-            return comps
-        tested = pairs if tested is None else tested.union(pairs)
-        turn += 1
-        last = turn > 1 and (not found or turn == ROUNDS)
+            links = _across(rows, sketches, sets)
+        links = written(links, "links")
+        if not links.limit(1).count():
+            continue
+        label = comps.select(F.col("v").alias("x"), F.col("c").alias("cx"))
+        edges = links.join(label, F.col("a") == F.col("x")).select("b", F.col("cx").alias("a"))
+        edges = edges.join(label, F.col("b") == F.col("x")).select("a", F.col("cx").alias("b"))
+        merged = components(comps.select(F.col("c").alias("v")).distinct(), edges)
+        comps = written(comps.join(merged.select(F.col("v").alias("c"), F.col("c").alias("new")), "c").select("v", F.col("new").alias("c")), "components")
+    return comps
 
 
 def _with_pivots(rows: DataFrame, sketches: DataFrame, turn: int) -> DataFrame:
@@ -191,16 +183,56 @@ def _with_pivots(rows: DataFrame, sketches: DataFrame, turn: int) -> DataFrame:
     return one.select(F.least("d", "p").alias("a"), F.greatest("d", "p").alias("b")).distinct()
 
 
-def _across(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """All alike pairs of a bucket in different components: those outside its largest component with all."""
-    largest = (
-        rows.groupBy("key", "c").count().groupBy("key").agg(F.max(F.struct("count", "c")).alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1")
+def _across(rows: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components that share a bucket.
+
+    Documents of a bucket go to the group of its smallest id, so two that share any bucket share a group. Of each group
+    that has several components, the documents outside the largest one are compared with all, in cells of bounded size.
+    """
+    lowest = written(rows.groupBy("key").agg(F.min("doc_id").alias("g")), "lowest")
+    grouped = written(rows.join(lowest, "key").select("g", "doc_id", "c").distinct().join(sketches.select("doc_id", "n"), "doc_id"), "groups")
+    by_comp = grouped.groupBy("g", "c").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("n"))
+    by_group = by_comp.groupBy("g").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("comps"), F.sum("m").alias("m"), F.sum("n").alias("n"))
+    cells = by_group.where("comps > 1").select(
+        "g",
+        F.col("top.c").alias("most"),
+        F.ceil(F.col("n") / CELL_SHINGLES).cast("int").alias("blocks"),
+        F.ceil((F.col("n") / F.col("m")) * (F.col("m") - F.col("top.m")) / CELL_SHINGLES).cast("int").alias("bands"),
     )
-    largest = written(largest.select("key", F.col("m.c").alias("most")), "largest")
-    open_rows = rows.join(largest, "key").join(sketches, "doc_id")
-    x, y = open_rows.where("c != most").alias("x"), open_rows.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & _alike("x", "y"))
-    return pairs.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
+    open_rows = written(grouped.join(written(cells, "cells"), "g").join(sets, "doc_id"), "open")
+    own = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["g", "block", "band", "doc_id", "c", "shingles"]
+    left = open_rows.where("c != most").withColumn("band", own("bands")).withColumn("block", every("blocks")).select(columns)
+    right = open_rows.withColumn("block", own("blocks")).withColumn("band", every("bands")).select(columns)
+    cell = ["g", "block", "band"]
+    return left.groupBy(cell).cogroup(right.groupBy(cell)).applyInArrow(_compare, "a bigint, b bigint").distinct()
+
+
+def _compare(left: pa.Table, right: pa.Table) -> pa.Table:
+    """A link from each document on the left to each other component on the right that has one like it."""
+    links: list[tuple[int, int]] = []
+    if left.num_rows and right.num_rows:
+        ids, comps = right.column("doc_id").to_numpy(), right.column("c").to_numpy()
+        own = right.column("shingles").combine_chunks()
+        flat, ends = own.values.to_numpy(), own.offsets.to_numpy()
+        flat, starts, sizes = flat[ends[0] : ends[-1]], ends[:-1] - ends[0], np.diff(ends)
+        known = distinct(flat)
+        place = np.searchsorted(known, flat)
+        mark = np.zeros(len(known), np.uint8)
+        for doc, comp, mine in zip(left.column("doc_id").to_pylist(), left.column("c").to_pylist(), left.column("shingles"), strict=True):
+            mine = mine.values.to_numpy()
+            at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+            at = at[known[at] == mine]
+            mark[at] = 1
+            shared = np.add.reduceat(mark[place], starts, dtype=np.int64)
+            mark[at] = 0
+            like = np.flatnonzero((shared * 100 >= (sizes + len(mine) - shared) * LEAST) & (comps != comp))
+            if len(like):
+                some = like[np.unique(comps[like], return_index=True)[1]]
+                links += [(min(doc, int(x)), max(doc, int(x))) for x in ids[some]]
+    a, b = zip(*links, strict=True) if links else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
