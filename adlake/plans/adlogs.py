@@ -68,9 +68,8 @@ def _inline_rows(parsed: DataFrame, items: Column, trip: dict[str, Column]) -> D
     return rows.select(*_ad_columns(), *trip, "created_at")
 
 
-def inline_ads_v2(parsed: DataFrame) -> DataFrame:
-    """Ads of the car, flight and hotel logs: one pass, the trip read by shape."""
-    v, route = F.col("_v"), F.col("_route")
+def _trip_v2(v: Column, route: Column) -> dict[str, Column]:
+    """The trip of a car, flight or hotel log, read by shape."""
 
     def param(path: str, to: str = "string") -> Column:
         return F.try_variant_get(v, f"$.kwargs.params.{path}", to)
@@ -84,7 +83,7 @@ def inline_ads_v2(parsed: DataFrame) -> DataFrame:
         F.size(json_items(v, "$.kwargs.params.passengers"))
     )
     none_text, none_int = F.lit(None).cast("string"), F.lit(None).cast("bigint")
-    trip = {
+    return {
         "cabin_class": by_shape(none_text, param("cabin"), none_text),
         "travelers": by_shape(none_int, n_passengers.cast("bigint"), param("adults", "bigint")),
         "start_date": by_shape(param("pickUpDate"), param("legs[0].date"), param("checkinDate")),
@@ -105,17 +104,13 @@ def inline_ads_v2(parsed: DataFrame) -> DataFrame:
         "country": F.try_variant_get(v, "$.kwargs.country", "string"),
         "version": F.lit(2.0),
     }
-    return _inline_rows(
-        parsed.filter(route.isin("car", "flight", "hotel")), json_items(v, "$.kwargs.inlineItems"), trip
-    )
 
 
-def inline_ads_v1(parsed: DataFrame) -> DataFrame:
-    """Ads of the legacy log, whose trip is whatever of a flight, a stay and a rental is there.
+def _trip_v1(v: Column) -> dict[str, Column]:
+    """The trip of a legacy log: whatever of a flight, a stay and a rental is there.
 
     A later kind wins where its key exists, even with a null value.
     """
-    v = F.col("_v")
 
     def layered(leg: str, stay: str, rental: str) -> Column:
         flight = F.try_variant_get(v, f"$.params.legs[0].{leg}", "string")
@@ -125,7 +120,7 @@ def inline_ads_v1(parsed: DataFrame) -> DataFrame:
     passengers = F.try_variant_get(v, "$.params.passengers", "variant")
     n_passengers = F.when(passengers.isNull(), F.lit(1)).otherwise(F.size(json_items(v, "$.params.passengers")))
     adults = F.try_variant_get(v, "$.params.adults", "bigint")
-    trip = {
+    return {
         "cabin_class": F.try_variant_get(v, "$.params.cabinClass", "string"),
         "travelers": F.when(is_json_true(v, "$.params.adults"), adults).otherwise(
             n_passengers.cast("bigint")
@@ -138,15 +133,18 @@ def inline_ads_v1(parsed: DataFrame) -> DataFrame:
         "country": F.try_variant_get(v, "$.countryCode", "string"),
         "version": F.lit(1.0),
     }
-    return _inline_rows(
-        parsed.filter(F.col("_route") == "legacy"), json_items(v, "$.response.inlineItems"), trip
-    )
 
 
 def inline_ads(logs: DataFrame) -> DataFrame:
-    """All inline ads, one row per ad; rows with an unknown log name are dropped."""
-    parsed = _parsed(logs)
-    return inline_ads_v2(parsed).unionByName(inline_ads_v1(parsed))
+    """All inline ads, one row per ad; rows with an unknown log name are dropped.
+
+    One scan, one parse and one explode for all shapes.
+    """
+    parsed = _parsed(logs).filter(F.col("_route").isNotNull())
+    v, route = F.col("_v"), F.col("_route")
+    legacy, old, new = route == "legacy", _trip_v1(v), _trip_v2(v, route)
+    items = F.when(legacy, json_items(v, "$.response.inlineItems")).otherwise(json_items(v, "$.kwargs.inlineItems"))
+    return _inline_rows(parsed, items, {c: F.when(legacy, old[c]).otherwise(new[c]) for c in new})
 
 
 def ad_request_stats(logs: DataFrame) -> DataFrame:
