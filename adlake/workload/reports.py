@@ -211,11 +211,11 @@ def _store_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _store_rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _store_rows(spark: SparkSession, sf_dir: str, name: str, *keep: str) -> DataFrame:
     text = _store_text(spark, sf_dir)
     raw = appstore.raw_rows(text.drop("_app_name"), app_id="1", group_name="g", report_name="r", granularity="DAILY")
     raw = raw.withColumn("_app_name", F.concat(F.substring("App Name", 1, 1), F.lit("-app")))
-    return appstore.typed_rows(raw, name)
+    return appstore.typed_rows(raw, name, keep=("Date", "_app_name", *keep))
 
 
 _ENGAGEMENT_SQL = """
@@ -246,7 +246,9 @@ _COMMERCE_SQL = """
     """,
 )
 def engagement_daily_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = engagement_daily(_store_rows(spark, sf_dir, "app_store_engagement"), 30)
+    out = engagement_daily(
+        _store_rows(spark, sf_dir, "app_store_engagement", "Impressions", "Total_Downloads", "Conversion_Rate"), 30
+    )
     return out.select(
         F.col("Date").cast("string").alias("day"),
         "_app_name",
@@ -266,7 +268,7 @@ def engagement_daily_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def revenue_daily_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = revenue_daily(_store_rows(spark, sf_dir, "app_store_commerce"), 30)
+    out = revenue_daily(_store_rows(spark, sf_dir, "app_store_commerce", "Total_Revenue", "Paying_Users"), 30)
     return out.select(
         F.col("Date").cast("string").alias("day"),
         "_app_name",
