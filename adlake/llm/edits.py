@@ -138,17 +138,21 @@ def trees(text: Column, tokenizer: str) -> Column:
     return built(text)
 
 
-def edited(text: Column, tree: Column, edits: Column, tokenizer: str) -> Column:
-    """Text, tree and counts after the edits, an array<struct<at:int,cut:int,put:string>>."""
+def edited(text: Column, tree: Column | None, edits: Column, tokenizer: str) -> Column:
+    """Text, tree and counts after the edits, an array<struct<at:int,cut:int,put:string>>.
+
+    Without a tree that was kept, the text's own is built first, in the same pass.
+    """
 
     @F.arrow_udf(EDITED)
-    def applied(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def applied(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         tokens = PreTokens.of(tokenizer)
-        for texts, old, lists in batches:
+        for texts, *kept, lists in batches:
+            old = kept[0] if kept else [None] * len(texts)
             out_texts, out_trees, n_encoded, before = [], [], [], []
             for t, o, todo in zip(texts, old, lists, strict=True):
                 new, n = t.as_py() or "", 0
-                now = Tree(*(o[k].values.to_numpy().astype(np.int64) for k in ("chars", "tokens")))
+                now = build(new, tokens) if o is None else Tree(*(o[k].values.to_numpy().astype(np.int64) for k in ("chars", "tokens")))
                 before.append(now.n_tokens)
                 for e in todo.as_py() or []:
                     new, now, more = edit(new, now, e["at"] or 0, e["cut"] or 0, e["put"] or "", tokens)
@@ -168,4 +172,4 @@ def edited(text: Column, tree: Column, edits: Column, tokenizer: str) -> Column:
                 ["text", "tree", "n_tokens_before", "n_tokens", "n_segments", "n_encoded"],
             )
 
-    return applied(text, tree, edits)
+    return applied(text, edits) if tree is None else applied(text, tree, edits)

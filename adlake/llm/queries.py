@@ -90,7 +90,7 @@ def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     todo = sample_edits(F.col("text"), F.col("doc_id"))
-    after = edits.edited(F.col("text"), edits.trees(F.col("text"), path), todo, path)
+    after = edits.edited(F.col("text"), None, todo, path)
     return docs.select("doc_id", after.alias("after")).select(
         "doc_id",
         F.col("after.n_tokens_before").alias("tokens_before"),

@@ -15,7 +15,7 @@ from itertools import islice
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Pre-tokens, and words, kept at a time by one worker.
-KEPT = 400_000
+KEPT = 250_000
 
 _LIMIT = 0x180
 _SPACES = {*range(9, 14), 0x20, 0x85, 0xA0}

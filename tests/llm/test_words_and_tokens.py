@@ -130,6 +130,8 @@ def test_edits_of_messy_rows(spark, messy, nothing, tokenizer):
             text = r.text or ""
             assert r.e.text == text[:2] + "X y" + text[2:]
             assert r.e.n_tokens == PreTokens.of(tokenizer).count(r.e.text)
+        at_once = rows.select("text", edits.edited(F.col("text"), None, changes, tokenizer).alias("e")).collect()
+        assert sorted(map(str, at_once)) == sorted(map(str, out))
     none = messy.withColumn("tree", edits.trees(F.col("text"), tokenizer))
     kind = F.lit(None).cast("array<struct<at:int,cut:int,put:string>>")
     assert all(r.e.n_encoded == 0 and r.e.text == (r.text or "") for r in none.select("text", edits.edited(F.col("text"), F.col("tree"), kind, tokenizer).alias("e")).collect())
