@@ -5,11 +5,12 @@ signatures differ in at most ``CHUNKS * 2 - 1`` lanes have, by pigeonhole, a chu
 meet in one of the keys that leave out one lane of that chunk; so all of them are candidates. Two sets of similarity 0.8
 or more miss each other in all chunks with a probability below two in a million. Candidates are confirmed on full sets.
 
-Documents of equal sets form classes, which one document represents. Buckets are not expanded into pairs: in each of
-``ROUNDS`` rounds every document meets one pivot of a bucket, and pairs that are in one component already are left out.
-Where a bucket's documents then still are in several components, those outside the largest are compared with all of them,
-set against sets, in cells of at most about ``CELL_SHINGLES`` shingles a side; only links leave a cell. Components are the least labels of a propagation with pointer jumping. Every step reads written tables, so a lost executor costs
-the step at hand.
+Documents of equal sets form classes, which one document represents. Buckets are not expanded into pairs. The documents of
+a bucket go to the group of its smallest id, so that two that share any bucket share a group, and a document is in few. In
+each of ``ROUNDS`` rounds every document meets the pivot of a group that is in another component. Where a group's
+documents then still are in several components, those outside the largest are compared with all of them, set against
+sets, in cells of at most about ``CELL_SHINGLES`` shingles a side; only links leave a cell. Components are the least labels
+of a propagation with pointer jumping. Every step reads written tables, so a lost executor costs the step at hand.
 
 Cases: an empty or null text, or one without words, has no set and is linked with nothing; a text of one word has that
 word as its only shingle. Sets of fewer than four shingles can only be equal. A null doc_id gets a null component and is
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from adlake.llm.shared import written
+from adlake.llm.shared import if_few, written
 from adlake.llm.words import LOWER, NOT_BLANK, Texts, distinct, grams, hashes, lists, mix, pieces, texts, words
 
 CHUNKS, LANES = 10, 5
@@ -138,22 +139,24 @@ def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those pairs (a, b) whose full sets are similar."""
-    left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a")), "a")
-    full = left.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b")), "b")
+    pairs = if_few(pairs)
+    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a")).join(pairs, "a")
+    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b")).join(pairs, "b")
+    full = left.join(right, ["a", "b"])
     shared = F.size(F.array_intersect("of_a", "of_b"))
     return full.where(shared * 100 >= (F.size("of_a") + F.size("of_b") - shared) * LEAST).select("a", "b")
 
 
-def _link(documents: DataFrame, sketches: DataFrame, members: DataFrame) -> DataFrame:
-    """(v, c) of all documents in shared buckets. ``sketches``: doc_id, n and sketch of each; ``members``: key, doc_id."""
+def _link(documents: DataFrame, sketches: DataFrame, groups: DataFrame) -> DataFrame:
+    """(v, c) of all documents in groups. ``sketches``: doc_id, n and sketch of each; ``groups``: g, doc_id."""
     ids = sketches.select("doc_id")
     sets = written(
-        documents.join(ids, "doc_id", "left_semi").select("doc_id", F.arrow_udf(shingles, "array<bigint>")("text").alias("shingles")),
+        documents.join(if_few(ids), "doc_id", "left_semi").select("doc_id", F.arrow_udf(shingles, "array<bigint>")("text").alias("shingles")),
         "sets",
     )
     comps = written(ids.select(F.col("doc_id").alias("v"), F.col("doc_id").alias("c")).distinct(), "components")
     for turn in range(ROUNDS + 1):
-        rows = members.join(comps, F.col("doc_id") == F.col("v")).select("key", "doc_id", "c")
+        rows = groups.join(comps, F.col("doc_id") == F.col("v")).select("g", "doc_id", "c")
         if turn < ROUNDS:
             links = _confirmed(written(_with_pivots(rows, sketches, turn), "pairs"), sets)
         else:
@@ -170,13 +173,13 @@ def _link(documents: DataFrame, sketches: DataFrame, members: DataFrame) -> Data
 
 
 def _with_pivots(rows: DataFrame, sketches: DataFrame, turn: int) -> DataFrame:
-    """Every document with the pivot of one of its buckets that is in another component."""
-    rank = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", "key", F.lit(turn))
+    """Every document with the pivot of one of its groups that is in another component."""
+    rank = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", "g", F.lit(turn))
     pivots = written(
-        rows.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), F.col("doc_id").alias("p"), F.col("c").alias("pc"))).alias("m")).select("key", "m.p", "m.pc"),
+        rows.groupBy("g").agg(F.min(F.struct(rank.alias("rank"), F.col("doc_id").alias("p"), F.col("c").alias("pc"))).alias("m")).select("g", "m.p", "m.pc"),
         "pivots",
     )
-    met = rows.join(pivots, "key").where("c != pc").select(F.col("doc_id").alias("d"), "p").distinct()
+    met = rows.join(pivots, "g").where("c != pc").select(F.col("doc_id").alias("d"), "p").distinct()
     x, y = sketches.alias("x"), sketches.alias("y")
     alike = met.join(x, F.col("d") == F.col("x.doc_id")).join(y, F.col("p") == F.col("y.doc_id")).where(_alike("x", "y"))
     one = alike.groupBy("d").agg(F.min(F.struct(_differing("x", "y"), F.col("p"))).alias("m")).select("d", "m.p")
@@ -184,13 +187,9 @@ def _with_pivots(rows: DataFrame, sketches: DataFrame, turn: int) -> DataFrame:
 
 
 def _across(rows: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between components that share a bucket.
-
-    Documents of a bucket go to the group of its smallest id, so two that share any bucket share a group. Of each group
-    that has several components, the documents outside the largest one are compared with all, in cells of bounded size.
-    """
-    lowest = written(rows.groupBy("key").agg(F.min("doc_id").alias("g")), "lowest")
-    grouped = written(rows.join(lowest, "key").select("g", "doc_id", "c").distinct().join(sketches.select("doc_id", "n"), "doc_id"), "groups")
+    """Links between components that share a group: of each that has several, the documents outside the largest one are
+    compared with all, in cells of bounded size."""
+    grouped = written(rows.join(sketches.select("doc_id", "n"), "doc_id"), "sized")
     by_comp = grouped.groupBy("g", "c").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("n"))
     by_group = by_comp.groupBy("g").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("comps"), F.sum("m").alias("m"), F.sum("n").alias("n"))
     cells = by_group.where("comps > 1").select(
@@ -199,7 +198,8 @@ def _across(rows: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
         F.ceil(F.col("n") / CELL_SHINGLES).cast("int").alias("blocks"),
         F.ceil((F.col("n") / F.col("m")) * (F.col("m") - F.col("top.m")) / CELL_SHINGLES).cast("int").alias("bands"),
     )
-    open_rows = written(grouped.join(written(cells, "cells"), "g").join(sets, "doc_id"), "open")
+    slim = written(grouped.join(written(cells, "cells"), "g"), "slim")
+    open_rows = written(sets.join(if_few(slim), "doc_id"), "open")
     own = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     columns = ["g", "block", "band", "doc_id", "c", "shingles"]
@@ -244,13 +244,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rep = F.col("doc_id") == F.col("rep")
     own = signs.where("n >= 4").join(classes.where("n >= 4").select("rep").distinct(), rep, "left_semi")
     buckets = own.select("doc_id", F.explode("keys").alias("key"))
-    shared = written(buckets.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("key"), "keys")
-    members = written(buckets.join(shared, "key", "left_semi"), "members")
+    shared = written(buckets.groupBy("key").agg(F.min("doc_id").alias("g"), F.max("doc_id").alias("last")).where("g < last").select("key", "g"), "keys")
+    groups = written(buckets.join(shared, "key").select("g", "doc_id").distinct(), "groups")
     sketches = written(
-        signs.where("n >= 4").join(members.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "n", *SKETCH).dropDuplicates(["doc_id"]),
+        signs.where("n >= 4").join(if_few(written(groups.select("doc_id").distinct(), "ids")), "doc_id", "left_semi").select("doc_id", "n", *SKETCH).dropDuplicates(["doc_id"]),
         "sketches",
     )
-    comps = _link(documents, sketches, members)
+    comps = _link(documents, sketches, groups)
     named = signs.select("doc_id", "n", "hi", "lo").join(classes, ["hi", "lo", "n"], "left")
     ends = named.join(comps, F.col("rep") == F.col("v"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "rep", "doc_id"))

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 _BYTES = np.arange(256)
 #: Words ``[^\x20\x09-\x0D]+``.
