@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
-from adlake.llm.words import texts
+from adlake.llm.words import pieces, texts
 
 #: For tests and checks. Give a secret of your own in production.
 SAMPLE_KEY = b"sample key, not a secret"
@@ -269,9 +269,10 @@ _MARKS = np.isin(np.arange(256), np.frombuffer(b"0123456789@", np.uint8))
 
 def _rewrite_all(column: pa.Array, key: bytes, back: bool) -> pa.Array:
     """Only texts with a digit or an @ are looked into."""
-    data, offsets = texts(column)
-    marks = np.concatenate([[0], np.cumsum(_MARKS[data], dtype=np.int64)])
-    some = np.diff(marks[offsets]) > 0
+    some = np.zeros(len(column), bool)
+    for row, piece in pieces(texts(column)):
+        at = np.searchsorted(np.flatnonzero(_MARKS[piece.data]), piece.offsets)
+        some[row : row + len(at) - 1] = np.diff(at) > 0
     counts = {k: np.zeros(len(column), np.int32) for k in KINDS}
     new = []
     for row in np.flatnonzero(some):

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from adlake.llm.words import LETTERS, LOWER, Texts, distinct, grams, hashes, lists, mix, pieces, texts, words
+from adlake.llm.words import LETTERS, LOWER, Texts, distinct, grams, hashes, mix, pieces, texts, words
 
 BITS = 20
 #: The classifier is fitted on a sample by doc_id hash of about this many labelled rows at most.
@@ -43,13 +43,14 @@ def features(piece: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 def feature_slots(column: pa.Array) -> pa.Array:
     """Distinct slots of each text."""
-    rows, slots, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    sizes, slots = np.zeros(len(column) + 1, np.int64), [np.zeros(0, np.int32)]
     for row, piece in pieces(texts(column)):
         text, slot = features(piece)
-        both = distinct((text + row) << BITS | slot)
-        rows.append(both >> BITS)
-        slots.append(both & ((1 << BITS) - 1))
-    return lists(np.concatenate(rows), pa.array(np.concatenate(slots).astype(np.int32)), len(column))
+        both = distinct(text << BITS | slot)
+        n = len(piece.offsets) - 1
+        sizes[row + 1 : row + 1 + n] = np.bincount(both >> BITS, minlength=n)
+        slots.append((both & ((1 << BITS) - 1)).astype(np.int32))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(np.concatenate(slots)))
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adlake.llm import contamination, neardup, packing, pseudonyms, toxicity
-from adlake.llm.shared import shared_folder, written
+from adlake.llm.shared import if_few, shared_folder, small_batches, written
 
 #: Documents of at least this probability go.
 TOXIC = 0.7
@@ -27,6 +27,7 @@ def _own(docs: DataFrame, name: str) -> str:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from all labels of these documents, doesn't reject."""
+    small_batches(spark)
     score = _own(docs, "toxic_score")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return docs.withColumn(score, toxicity.scorer(spark, toxicity.fit(docs, labels))).where(F.col(score) < TOXIC).drop(score)
@@ -37,8 +38,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Of rows that repeat an id only the least stays.
     """
+    small_batches(spark)
     decided = written(neardup.near_duplicates(docs), "decided")
-    docs = docs.join(decided.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    docs = docs.join(if_few(written(decided.where("not kept").select("doc_id").distinct(), "dropped")), "doc_id", "left_anti").select(docs.columns)
     repeated = written(decided.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     if not repeated.limit(1).count():
         return docs
@@ -48,6 +50,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
+    small_batches(spark)
     hits = _own(docs, "benchmark_hits")
     found = contamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), into=hits)
     return found.where(F.size(F.col(hits)["start"]) == 0).drop(hits)
@@ -55,12 +58,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal values replaced; ``n_chars``, where there is one, is that of the new text."""
+    small_batches(spark)
     new = docs.withColumn("text", pseudonyms.pseudonymise(F.col("text"))["text"])
     return new.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else new
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences of the documents."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
