@@ -5,6 +5,8 @@ numbers and internet addresses by range, dates by the calendar, telephone number
 values of a kind are numbered, and a keyed Feistel network permutes the numbers, walking on until it meets a number of
 the same kind, so the result is valid, has the form of the original, and is undone by the same key. Equal values stay
 equal in all documents, also if they are written with other separators; nothing is stored and nothing is shuffled.
+Where digits or capitals next to a value make a longer match that fails, the value is told apart from them; if they would
+make a valid match with its pseudonym, it gets the next one, so that the key still undoes it.
 
 Cases: a null text stays null, an empty one empty; text around the values is kept to the byte. Rows are treated one by
 one, repeated doc_ids included. The caller's columns pass through untouched.
@@ -230,8 +232,82 @@ _OF: dict[str, Kind] = {
     "card": Kind(r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])", _card, _card_back),
 }
 _FIND = re.compile("|".join(f"(?P<{k}>{_OF[k].pattern})" for k in KINDS))
-#: Sixteen digits in one word end there, whatever digits follow the next space.
-_CARD_ALONE = re.compile(r"(?<!\d)\d{13,19}(?!\d)")
+_AT = {k: re.compile(_OF[k].pattern) for k in KINDS}
+#: Within a match that fails, a card may also begin after a hyphen.
+_CARD_WITHIN = re.compile(_OF["card"].pattern.removeprefix(r"(?<![\w-])"))
+#: Borders between the groups of a kind.
+_BORDERS = {"iban": " ", "phone": " .-", "card": " -"}
+_IBAN_LENGTHS = {
+    length: countries.split()
+    for length, countries in {
+        15: "NO",
+        16: "BE",
+        18: "DK FI FK FO GL NL SD",
+        19: "MK SI",
+        20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST",
+        26: "IS TR",
+        27: "BI DJ FR GR IT MC SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV",
+        29: "BR EG PS QA UA",
+        30: "JO KW MU YE",
+        31: "MT SC",
+        32: "LC",
+        33: "RU",
+    }.items()
+}
+_IBAN_LENGTH = {country: length for length, countries in _IBAN_LENGTHS.items() for country in countries}
+
+
+def _ends(kind: str, value: str) -> Iterator[int]:
+    """Where a value may end: the whole match, then its borders, the longest first; an account at its country's length, or whole."""
+    ends = [len(value), *(k for k in reversed(range(len(value))) if value[k] in _BORDERS.get(kind, ""))]
+    if kind == "iban":
+        own = _IBAN_LENGTH.get(value[:2])
+        if own:
+            ends = [*(end for end in ends if end - value.count(" ", 0, end) == own), len(value)]
+    yield from ends
+
+
+class Hit(NamedTuple):
+    """A value at ``start`` to ``end``; whether it was told apart depends on what stands at ``low`` to ``high``."""
+
+    kind: str
+    start: int
+    end: int
+    low: int
+    high: int
+
+
+def _hits(text: str) -> Iterator[Hit]:
+    """The valid values. A match that fails is tried with shorter ends and searched from its next border on."""
+    at, low, reach, inside = 0, 0, 0, False
+    while True:
+        m = _CARD_WITHIN.match(text, at) if inside else None
+        m = m or _FIND.search(text, at)
+        if m is None:
+            return
+        start, first = m.start(), m.lastgroup or "card"
+        if start >= reach:
+            low = start
+        for kind in (first, *(k for k in KINDS if k != first)):
+            found = m if kind == first else _AT[kind].match(text, start)
+            if found is None:
+                continue
+            reach = max(reach, found.end())
+            end = next((e for e in _ends(kind, found[0]) if _OF[kind].number(found[0][:e]) is not None), None)
+            if end is not None:
+                yield Hit(kind, start, start + end, low, reach)
+                at, reach, inside = start + end, 0, False
+                break
+        else:
+            borders = (k + 1 for k in range(start, m.end()) if text[k] in _BORDERS.get(first, ""))
+            at = next(borders, m.end())
+            inside = first == "card" and text[at - 1] == "-"
 
 
 @lru_cache(maxsize=50_000)
@@ -245,23 +321,27 @@ def pseudonym(kind: str, value: str, key: bytes, back: bool = False) -> str | No
     return of.value(feistel(x, size, key, kind, back), value, rest)
 
 
-def rewrite(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, int]]:
-    counts = dict.fromkeys(KINDS, 0)
+def _stays(text: str, hit: Hit, new: str) -> bool:
+    """Whether the new value is told apart in its place as the old one was."""
+    around = text[hit.low : hit.start] + new + text[hit.end : hit.high]
+    start = hit.start - hit.low
+    found = next(_hits(around), None)
+    return found is not None and (found.kind, found.start, found.end) == (hit.kind, start, start + len(new))
 
-    def put(m: re.Match) -> str:
-        kind, value = m.lastgroup, m[0]
-        new = pseudonym(kind, value, key, back)
-        if new is None and kind == "card":  # several numbers side by side
-            return _CARD_ALONE.sub(lambda c: count("card", pseudonym("card", c[0], key, back), c[0]), value)
-        return count(kind, new, value)
 
-    def count(kind: str, new: str | None, old: str) -> str:
-        if new is None:
-            return old
-        counts[kind] += 1
-        return new
-
-    return _FIND.sub(put, text), counts
+def rewrite(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, int]]:
+    counts = dict.fromkeys(KINDS, 0)
+    out, at = [], 0
+    for hit in _hits(text):
+        value = text[hit.start : hit.end]
+        new = pseudonym(hit.kind, value, key, back)
+        if (hit.low, hit.high) != (hit.start, hit.end) and _stays(text, hit, value):
+            while not _stays(text, hit, new):  # walks on as the network does, so that the key undoes it
+                new = pseudonym(hit.kind, new, key, back)
+        out += [text[at : hit.start], new]
+        at = hit.end
+        counts[hit.kind] += 1
+    return "".join([*out, text[at:]]), counts
 
 
 _MARKS = np.isin(np.arange(256), np.frombuffer(b"0123456789@", np.uint8))

@@ -181,6 +181,40 @@ def test_what_is_not_valid_stays(text):
     assert pseudonyms.rewrite(f"x {text} y", KEY)[0] == f"x {text} y"
 
 
+CARD, ACCOUNT = "4111 1111 1111 1111", "AT61 1904 3002 3457 3201"
+
+
+@pytest.mark.parametrize(
+    "text, kinds",
+    [
+        (f"{CARD} 12/26", {"card": 1}),
+        (f"{CARD} 123", {"card": 1}),
+        (f"{CARD.replace(' ', '-')}-123", {"card": 1}),
+        (f"{CARD} 10.0.0.1", {"card": 1, "ip": 1}),
+        (f"123 {CARD}", {"card": 1}),
+        (f"123-{CARD.replace(' ', '-')}", {"card": 1}),
+        (f"{ACCOUNT} BIC", {"iban": 1}),
+        (f"{ACCOUNT.replace(' ', '')} 2024", {"iban": 1}),
+        ("BE68 5390 0754 7034 GKCC BEBB", {"iban": 1}),
+        ("ES91 2100 0418 4502 0005 1332 2024", {"iban": 1}),
+        (f"DE88 {CARD} 12/26", {"card": 1}),
+        ("+1 217 555 7713 2024 2025 2026", {"phone": 1}),
+    ],
+)
+def test_values_next_to_digits_and_capitals(text, kinds):
+    new, counts = pseudonyms.rewrite(f"x {text} y", KEY)
+    assert {k: n for k, n in counts.items() if n} == kinds
+    assert CARD not in new and CARD.replace(" ", "-") not in new and ACCOUNT not in new and "BE68 5390" not in new
+    assert pseudonyms.rewrite(new, KEY, True) == (f"x {text} y", counts)
+
+
+def test_cards_before_a_code_come_back():
+    for k in range(100, 400):
+        text = f"{CARD} {k}"
+        new, counts = pseudonyms.rewrite(text, KEY)
+        assert counts["card"] == 1 and pseudonyms.rewrite(new, KEY, True)[0] == text
+
+
 @pytest.mark.parametrize("size", [2, 3, 7, 100, 898 * 99 * 9999])
 def test_feistel_is_a_permutation(size):
     some = range(size) if size < 1000 else range(0, size, size // 500)
