@@ -4,8 +4,9 @@ A window is ``WINDOW`` consecutive words. Its minimiser is the least hash among
 windows have equal minimisers, and consecutive windows with the same one travel together as one packed string. Slim
 rows tell first which minimisers more than one document has; only their strings are packed. Equal strings are combined
 before and after the shuffle into one with its smallest document, and each bucket sorts the windows of its distinct
-strings and takes the smallest document of each exactly. A bucket of more than ``HOT_STRINGS`` distinct strings is not
-gathered: its windows are grouped by SHA-256 over all tasks instead. The words covered by a window that starts in a
+strings and takes the smallest document of each exactly. A string has at most ``RUN`` windows, a longer run is several,
+each with WINDOW - 1 words of the next. A bucket of more than ``HOT_STRINGS`` distinct strings, or whose windows would take
+more than ``HOT_BYTES``, is not gathered: its windows are grouped by SHA-256 over all tasks instead. The words covered by a window that starts in a
 document with a smaller id go. Every step reads written tables, so a lost executor costs the step at hand.
 
 Cases: null or empty texts, and those of fewer words than a window, keep all words. A null doc_id is smaller than none
@@ -26,6 +27,10 @@ from adlake.llm.words import NOT_BLANK, Texts, Words, grams, hashes, lists, piec
 
 WINDOW, GRAM = 50, 8
 HOT_STRINGS = 4_000
+#: A bucket's windows as Python strings in tuples, about WINDOW_BYTES each beside their text.
+HOT_BYTES, WINDOW_BYTES = 64 << 20, 150
+#: Windows of a string; runs are longer only where a text repeats itself.
+RUN = 64
 FIRSTS = "mini bigint, string bigint, low int, high int, first bigint"
 
 
@@ -55,8 +60,16 @@ def runs_of(piece: Texts, window: int = WINDOW, gram: int = GRAM) -> tuple[np.nd
     return text, start - found.first[text], end - start, mini[start]
 
 
+def _short(text: np.ndarray, start: np.ndarray, count: np.ndarray, mini: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The runs, those of more than ``RUN`` windows cut."""
+    n = -(-count // RUN)
+    of = np.repeat(np.arange(len(n)), n)
+    skip = RUN * (np.arange(len(of)) - (np.cumsum(n) - n)[of])
+    return text[of], start[of] + skip, np.minimum(count[of] - skip, RUN), mini[of]
+
+
 def super_kmers(column: pa.Array) -> pa.Array:
-    parts = [(row, runs_of(piece)) for row, piece in pieces(texts(column))]
+    parts = [(row, _short(*runs_of(piece))) for row, piece in pieces(texts(column))]
     flat = lambda k: np.concatenate([np.zeros(0, np.int64), *(p[k] for _, p in parts)])
     rows = np.concatenate([np.zeros(0, np.int64), *(row + p[0] for row, p in parts)])
     values = pa.StructArray.from_arrays(
@@ -214,7 +227,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 def _firsts(strings: DataFrame) -> DataFrame:
     """For each distinct string the smallest documents of its windows, in runs."""
     once = written(strings.groupBy("mini", "string", "packed", "count").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")), "distinct")
-    hot = written(once.groupBy("mini").count().where(F.col("count") > HOT_STRINGS).select("mini"), "hot")
+    held = F.sum(F.col("count") * WINDOW_BYTES + F.octet_length("packed").cast("long") * F.least("count", F.lit(WINDOW)))
+    sizes = once.groupBy("mini").agg(F.count(F.lit(1)).alias("strings"), held.alias("bytes"))
+    hot = written(sizes.where((F.col("strings") > HOT_STRINGS) | (F.col("bytes") > HOT_BYTES)).select("mini"), "hot")
     rows = once.select("mini", "string", "packed", "count", "a", "b")
     cool = rows.join(hot, "mini", "left_anti").repartition("mini").sortWithinPartitions("mini")
     sorted_ = cool.mapInArrow(_sort_buckets, FIRSTS)

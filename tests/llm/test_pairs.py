@@ -152,6 +152,33 @@ def test_words_of_repeated_windows_go(spark, prose, rng, hot, monkeypatch):
     assert Counter(r.n_removed > 0 for r in out)[True] > 10
 
 
+def lines(n=60):
+    """Documents that repeat one line, each another number of times."""
+    return [(i, "to be continued on the next page " * (30 + 3 * i) + f"end {i}") for i in range(n)]
+
+
+def test_strings_have_few_windows():
+    runs = repeats.super_kmers(pa.array([t for _, t in lines()]))
+    assert max(r["count"] for r in runs.flatten().to_pylist()) <= 64
+
+
+def test_a_bucket_is_bounded_by_its_windows(spark, monkeypatch):
+    gathered = []
+    monkeypatch.setattr(repeats, "HOT_BYTES", 20_000)
+    written = repeats.written
+
+    def noted(df, name):
+        out = written(df, name)
+        if name == "hot":
+            gathered.append(out.count())
+        return out
+
+    monkeypatch.setattr(repeats, "written", noted)
+    out = repeats.remove_repeats(spark.createDataFrame(lines(), "doc_id bigint, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in out) == removed(lines())
+    assert gathered == [1]
+
+
 def test_removal_in_messy_tables(spark, messy, nothing):
     rows = [(r.doc_id, r.text) for r in messy.collect()]
     out = repeats.remove_repeats(messy).collect()
