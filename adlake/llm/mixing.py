@@ -7,24 +7,27 @@ knows how often the next bit was 1. Their predictions are mixed in the logistic
 mixture itself. The product over all bits is the probability of the text, and over all texts it sums to one.
 
 Learning takes passes over whole documents: bytes, then counts of the predictors (added up in blocks, so that nobody holds
-more than the tables), then, on a tenth of the training documents that the counts leave out, online gradient steps for the
-weights in each task, averaged, and the counts of the refining table. Tables have a fixed size (``SLOTS``), the token
+more than the tables), then, on the training documents set aside, which the counts leave out so far, online gradient steps
+for the weights in each task, averaged, and the counts of the refining table. With these fitted, the counts of the documents
+set aside are added, so the predictors that score know all training documents. Tables have a fixed size (``SLOTS``), the token
 counts of the base score grow with the corpus and stay distributed: documents go to chunks of ``CHUNK_BYTES`` by hash, and
 each chunk is sent the counts of its own distinct tokens.
 
 Cases: a null or empty text is the end token alone. Without training documents counts are 0 and the model is uniform over
-the bits. Rows that repeat a doc_id are scored one by one; a null doc_id is held out. Tokens are told apart by 64 bits of
+the bits. Without documents set aside, half of the training documents, by hash, stand for them. Rows that repeat a doc_id are scored one by one; a null doc_id is held out. Tokens are told apart by 64 bits of
 hash. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from adlake.llm.shared import written
@@ -271,11 +274,14 @@ def log10_probability(keys: np.ndarray, model: Model) -> np.ndarray:
 
 
 def _bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(256, np.int64)
+    counts = {held: np.zeros(256, np.int64) for held in (False, True)}
     for batch in batches:
-        for _, piece in pieces(texts(batch.column("text"))):
-            counts += np.bincount(LOWER[piece.data], minlength=256)
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(counts)], ["byte", "n"])
+        for held, own in counts.items():
+            some = batch.filter(pc.equal(batch.column("held_out"), held))
+            for _, piece in pieces(texts(some.column("text"))):
+                own += np.bincount(LOWER[piece.data], minlength=256)
+    for held, own in counts.items():
+        yield pa.RecordBatch.from_arrays([pa.array([held] * 256), pa.array(np.arange(256)), pa.array(own)], ["held_out", "byte", "n"])
 
 
 def _count_bits(code: Code):
@@ -304,24 +310,50 @@ def _count_bits(code: Code):
     return count
 
 
-def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by block."""
-    block, seen, ones = None, None, None
+SUMS, TABLES = "block bigint, seen binary, ones binary", "block bigint, logit binary, gate binary"
+#: Tasks that the sums of all blocks go to, a few megabytes each.
+TABLE_PARTS = 64
 
-    def done():
-        logit, gate = _bits_table(seen, ones, block * BLOCK)
-        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([logit.tobytes()]), pa.array([gate.tobytes()])], ["block", "logit", "gate"])
 
-    for batch in batches:
-        for k, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if k != block:
-                if block is not None:
-                    yield done()
-                block, seen, ones = k, np.zeros(BLOCK, np.int64), np.zeros(BLOCK, np.int64)
-            seen += np.frombuffer(a, np.int32)
-            ones += np.frombuffer(b, np.int32)
-    if block is not None:
-        yield done()
+def _add_blocks(tables: bool):
+    """Counts summed to 64 bits and deflated, or such sums added up to what the tables hold; rows come sorted by block."""
+    counts = (lambda x: np.frombuffer(zlib.decompress(x.as_buffer()), np.int64)) if tables else (lambda x: np.frombuffer(x.as_buffer(), np.int32))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, seen, ones = None, None, None
+
+        def done():
+            pair = [x.tobytes() for x in _bits_table(seen, ones, block * BLOCK)] if tables else [zlib.compress(x.tobytes(), 1) for x in (seen, ones)]
+            names = [f.split()[0] for f in (TABLES if tables else SUMS).split(", ")]
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *(pa.array([x]) for x in pair)], names)
+
+        for batch in batches:
+            for k, a, b in zip(*batch.columns, strict=True):
+                k = k.as_py()
+                if k != block:
+                    if block is not None:
+                        yield done()
+                    block, seen, ones = k, np.zeros(BLOCK, np.int64), np.zeros(BLOCK, np.int64)
+                seen += counts(a)
+                ones += counts(b)
+        if block is not None:
+            yield done()
+
+    return add
+
+
+def _counted_blocks(rows: DataFrame, code: Code) -> DataFrame:
+    blocks = rows.select("text").mapInArrow(_count_bits(code), SUMS)
+    return written(blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_add_blocks(tables=False), SUMS), "blocks")
+
+
+def _tables(sums: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(logits, gates) of all slots."""
+    logit, gate = np.zeros(BASES[-1], np.int8), np.zeros(BASES[-1], np.uint8)
+    for row in sums.repartition(TABLE_PARTS, "block").sortWithinPartitions("block").mapInArrow(_add_blocks(tables=True), TABLES).toLocalIterator():
+        at = slice(row["block"] * BLOCK, (row["block"] + 1) * BLOCK)
+        logit[at], gate[at] = np.frombuffer(row["logit"], np.int8), np.frombuffer(row["gate"], np.uint8)
+    return logit, gate
 
 
 def _learn_mixing(sent):
@@ -354,26 +386,23 @@ def _learn_mixing(sent):
 
 
 def fit(train: DataFrame, aside: DataFrame, byte_counts: np.ndarray) -> Model:
-    """Predictors from ``train``, weights and refining table from ``aside``; both have a column text."""
+    """Weights and refining table from ``aside`` and what ``train`` predicts there, then predictors from both; both have a column text."""
     spark = train.sparkSession
     code = huffman(byte_counts)
-    blocks = train.select("text").mapInArrow(_count_bits(code), "block bigint, seen binary, ones binary")
-    summed = blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_add_blocks, "block bigint, logit binary, gate binary")
-    logit, gate = np.zeros(BASES[-1], np.int8), np.zeros(BASES[-1], np.uint8)
-    for row in summed.toLocalIterator():
-        at = slice(row["block"] * BLOCK, (row["block"] + 1) * BLOCK)
-        logit[at], gate[at] = np.frombuffer(row["logit"], np.int8), np.frombuffer(row["gate"], np.uint8)
+    own = _counted_blocks(train, code)
     middle = _squash(np.linspace(-LIMIT, LIMIT, STEPS))
-    model = Model(code, logit, gate, np.full((GATES, len(ORDERS)), START), np.tile(middle, (255, 1)))
+    model = Model(code, *_tables(own), np.full((GATES, len(ORDERS)), START), np.tile(middle, (255, 1)))
     sent = spark.sparkContext.broadcast(model)
     learned = aside.select("text").mapInArrow(_learn_mixing(sent), "number bigint, own double, of double")
     w = model.weights.size
-    own, of = np.zeros(w + 255 * STEPS), np.zeros(w + 255 * STEPS)
+    share, of = np.zeros(w + 255 * STEPS), np.zeros(w + 255 * STEPS)
     for row in learned.groupBy("number").agg(F.sum("own").alias("own"), F.sum("of").alias("of")).collect():
-        own[row["number"]], of[row["number"]] = row["own"], row["of"]
-    weights = np.where(of[:w] > 0, own[:w] / np.maximum(of[:w], 1e-9), START).reshape(model.weights.shape)
-    refined = (own[w:].reshape(255, STEPS) + 2 * middle) / (of[w:].reshape(255, STEPS) + 2)
-    return model._replace(weights=weights, refined=refined)
+        share[row["number"]], of[row["number"]] = row["own"], row["of"]
+    sent.unpersist()
+    weights = np.where(of[:w] > 0, share[:w] / np.maximum(of[:w], 1e-9), START).reshape(model.weights.shape)
+    refined = (share[w:].reshape(255, STEPS) + 2 * middle) / (of[w:].reshape(255, STEPS) + 2)
+    logit, gate = _tables(own.unionByName(_counted_blocks(aside, code)))
+    return model._replace(logit=logit, gate=gate, weights=weights, refined=refined)
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -428,19 +457,23 @@ def score(docs: DataFrame, held_out, aside) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     ``held_out`` and ``aside`` are conditions on columns of ``docs``: rows that teach nothing, and those of the others
-    that fit the mixture and not the predictors. Counts of tokens are over both.
+    that fit the mixture before the predictors learn them too. Counts of bytes and tokens are over both.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), F.coalesce(aside, F.lit(False)).alias("aside"), "text")
     train = rows.where("not held_out")
-    byte_counts = np.zeros(256, np.int64)
-    for row in rows.select("text").mapInArrow(_bytes_of, "byte bigint, n bigint").groupBy("byte").agg(F.sum("n").alias("n")).collect():
-        byte_counts[row["byte"]] = row["n"]
+    if not train.where("aside").limit(1).count():
+        train = train.withColumn("aside", F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)) == 0)
+    byte_counts, n_bytes = np.zeros(256, np.int64), 0
+    for row in rows.select("held_out", "text").mapInArrow(_bytes_of, "held_out boolean, byte bigint, n bigint").groupBy("held_out", "byte").agg(F.sum("n").alias("n")).collect():
+        n_bytes += row["n"]
+        if not row["held_out"]:
+            byte_counts[row["byte"]] = row["n"]
     totals = written(train.select("text").mapInArrow(_token_counts, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")), "tokens")
     known = totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     model = fit(train.where("not aside"), train.where("aside"), byte_counts)
     sent = spark.sparkContext.broadcast(model)
-    chunks = max(1, -(-int(byte_counts.sum()) // CHUNK_BYTES))
+    chunks = max(1, -(-n_bytes // CHUNK_BYTES))
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))
     dealt = rows.select(chunk.alias("chunk"), "doc_id", "held_out", "text")
     needed = dealt.groupBy("chunk").applyInArrow(_needed, "chunk bigint, token bigint")

@@ -103,7 +103,7 @@ def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_context_mixing")
 def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of remainder 0 are held out; one in fifty, all of them training documents, fits the mixture."""
+    """Documents of remainder 0 are held out; one in fifty, all of them training documents, fits the mixture before the predictors learn it too."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return mixing.score(docs, remainder("doc_id", 10) == 0, remainder("doc_id", 50) == 1)
 

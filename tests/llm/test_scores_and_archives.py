@@ -85,6 +85,30 @@ def test_scores_do_not_depend_on_the_partition(corpus):
     assert len(twice) == 2 and twice[0] == twice[1] == pytest.approx(a[0], rel=1e-3)
 
 
+def test_predictors_learn_all_training_documents(spark, corpus):
+    rare = spark.createDataFrame([(1000, "zqxj vwkq " * 5)], "doc_id bigint, text string")
+    counts = np.ones(256, np.int64)
+    model = mixing.fit(corpus, rare, counts)
+    whole = mixing.fit(corpus.union(rare), rare.limit(0), counts)
+    assert (model.gate == whole.gate).all() and (model.logit == whole.logit).all()
+    assert (model.weights != mixing.START).any()
+
+
+def test_only_training_documents_teach_and_some_always_fit_the_mixture(spark, corpus, monkeypatch):
+    fit, seen = mixing.fit, []
+
+    def noted(train, aside, byte_counts):
+        seen.append((train.count(), aside.count(), byte_counts, fit(train, aside, byte_counts)))
+        return seen[-1][-1]
+
+    monkeypatch.setattr(mixing, "fit", noted)
+    held = spark.createDataFrame([(1000, "~~~~")], "doc_id bigint, text string")
+    assert mixing.score(corpus.union(held), F.col("doc_id") == 1000, F.lit(False)).count() == 401
+    ((train, aside, byte_counts, model),) = seen
+    assert byte_counts[ord("~")] == 0 < byte_counts[ord("a")]
+    assert train + aside == 400 and min(train, aside) > 100 and (model.weights != mixing.START).any()
+
+
 def test_scores_of_messy_tables(messy):
     for held in (F.col("doc_id") == 1, F.lit(True)):
         out = mixing.score(messy, held, F.col("doc_id") == 6).collect()
