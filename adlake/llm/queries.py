@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adlake.llm import archives, contamination, edits, mixing, neardup, packing, pseudonyms, repeats, rules, toxicity
+from adlake.llm import archives, contamination, edits, mixing, neardup, packing, periods, pseudonyms, repeats, rules, toxicity
 from adlake.llm.registry import query, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -197,3 +197,64 @@ _FOLDED_WORDS = rf"regexp_extract_all({_CAPITALS}, '[^\x20\x09-\x0D]+')"
 )
 def op10_multi_index_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def with_loops(text: Column, doc_id: Column) -> Column:
+    """The text, of one document in ten with its words from a drawn one on repeating the first of them over and over."""
+    drawn = F.crc32(doc_id.cast("string").cast("binary"))
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+    def looped(w: Column) -> Column:
+        n, g = F.size(w), F.floor(drawn / 10)
+        a = (g % n).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (g % 8 + 3))).cast("int")
+        one = lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p))
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), one), " ")).otherwise(text)
+
+    return F.when(drawn % 10 == 0, F.element_at(F.transform(F.array(words), looped), 1)).otherwise(text)
+
+
+_CRC = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, (c & 1) * 3988292384) END)"""
+
+
+@query(
+    "op11_periodic_runs",
+    rf"""
+    WITH w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+               xor({_CRC}, 4294967295) AS h FROM documents),
+    a AS (SELECT *, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a, h // 10 AS g FROM w),
+    d AS (SELECT r, doc_id, CASE WHEN a IS NULL THEN ws ELSE list_transform(range(0, len(ws)),
+          lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(ws) - a) // (3 + g % 8)) END]) END AS ws FROM a),
+    t AS (SELECT r, i, ws[i + 1] AS word, len(ws) AS n FROM d, unnest(range(0, len(ws))) AS x(i)),
+    m AS (SELECT u.r, v.i - u.i AS q, u.i FROM t u JOIN t v ON u.r = v.r AND u.word = v.word AND v.i > u.i AND 3 * (v.i - u.i) <= u.n),
+    f AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM m),
+    s AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM f GROUP BY r, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+    runs AS (SELECT r, start, length, min(q) AS period FROM s GROUP BY r, start, length),
+    best AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS k FROM runs),
+    listed AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS l FROM runs GROUP BY r),
+    gone AS (SELECT DISTINCT r, i FROM runs, unnest(range(start + period, start + length)) AS x(i)),
+    kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS k FROM t ANTI JOIN gone USING (r, i) GROUP BY r)
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, (1000 * length) // period AS exponent_milli,
+           sha256(coalesce(l, '')) AS runs_sha256, sha256(coalesce(kept.k, '')) AS collapsed_sha256
+    FROM d LEFT JOIN listed USING (r) LEFT JOIN (SELECT * FROM best WHERE k = 1) USING (r) LEFT JOIN kept USING (r)
+    """,
+)
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periods.collapse_runs(docs, with_loops(F.col("text"), F.col("doc_id")))
+    number = lambda x, k: x[k].cast("long")
+    larger = lambda a, b: number(b, "length") * number(a, "period") > number(a, "length") * number(b, "period")
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda a, b: F.when(larger(a, b), b).otherwise(a))
+    lines = F.transform("runs", lambda x: F.concat_ws(",", x["start"], x["length"], x["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return found.select("doc_id", "runs", "kept", best.alias("best"), listed.alias("listed")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(number(F.col("best"), k).alias(k) for k in ("start", "length", "period")),
+        F.expr("1000L * best.length div best.period").alias("exponent_milli"),
+        sha(F.col("listed")).alias("runs_sha256"),
+        sha(F.col("kept")).alias("collapsed_sha256"),
+    )
