@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adlake.llm import archives, contamination, edits, mixing, neardup, packing, periods, pseudonyms, repeats, rules, toxicity
+from adlake.llm import archives, contamination, edits, mixing, neardup, negatives, packing, periods, pseudonyms, repeats, rules, toxicity
 from adlake.llm.registry import query, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -258,3 +258,27 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         sha(F.col("listed")).alias("runs_sha256"),
         sha(F.col("kept")).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+               FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+          FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+    SELECT anchor_id, p.id AS positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+           n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM p JOIN (SELECT * FROM s WHERE NOT same) n USING (anchor_id)
+    WHERE 80 * p.score <= 100 * n.score AND n.score <= p.score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, p.id ORDER BY n.score DESC, n.id) <= 5
+    """,
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose id is divisible by 100; labels of ids divisible by 7 are moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
