@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adlake.llm import archives, contamination, edits, mixing, neardup, negatives, packing, periods, pseudonyms, repeats, rules, toxicity
+from adlake.llm import archives, contamination, edits, mixing, neardup, negatives, packing, periods, pseudonyms, repeats, rules, suffixes, toxicity
 from adlake.llm.registry import query, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -260,6 +260,30 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op12_previous_factors",
+    """
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+    n AS (SELECT *, len(x) // 2 AS n FROM d),
+    w AS (SELECT r, doc_id, i, substring(x, 2 * i + 1, 100) AS g FROM n, unnest(range(0, n - 49)) AS t(i)),
+    f AS (SELECT g, min(doc_id) AS low FROM w GROUP BY g),
+    hit AS (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 50, true) AS opens FROM w JOIN f USING (g) WHERE low < doc_id),
+    span AS (SELECT r, min(i) AS a, max(i) + 50 AS b
+             FROM (SELECT r, i, count(*) FILTER (opens) OVER (PARTITION BY r ORDER BY i) AS k FROM hit) GROUP BY r, k),
+    gap AS (SELECT r, b AS a, lead(a, 1, NULL) OVER (PARTITION BY r ORDER BY a) AS b FROM span UNION ALL SELECT r, 0, min(a) FROM span GROUP BY r),
+    kept AS (SELECT r, string_agg(substring(x, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' ORDER BY a) AS x FROM gap JOIN n USING (r) GROUP BY r),
+    gone AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY r)
+    SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(coalesce(kept.x, n.x))) AS kept_sha256
+    FROM n LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
+    """,
+)
+def op12_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query(
     "op13_hard_negatives",
     """
