@@ -163,20 +163,22 @@ def test_strings_have_few_windows():
 
 
 def test_a_bucket_is_bounded_by_its_windows(spark, monkeypatch):
-    gathered = []
+    tables = {}
     monkeypatch.setattr(repeats, "HOT_BYTES", 20_000)
     written = repeats.written
 
     def noted(df, name):
-        out = written(df, name)
-        if name == "hot":
-            gathered.append(out.count())
-        return out
+        tables[name] = written(df, name)
+        return tables[name]
 
     monkeypatch.setattr(repeats, "written", noted)
     out = repeats.remove_repeats(spark.createDataFrame(lines(), "doc_id bigint, text string")).collect()
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in out) == removed(lines())
-    assert gathered == [1]
+    hot = {r.mini for r in tables["hot"].collect()}
+    held = Counter()
+    for r in tables["distinct"].collect():
+        held[r.mini] += r["count"] * repeats.WINDOW_BYTES + len(r.packed.encode()) * min(r["count"], repeats.WINDOW)
+    assert hot and all((size > 20_000) == (mini in hot) for mini, size in held.items())
 
 
 def test_removal_in_messy_tables(spark, messy, nothing):
