@@ -258,7 +258,7 @@ def hard_negatives(rows: DataFrame, anchors: Column, label: Column | None = None
     near = written(near.agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "id"))).alias("best")), "positives")
     asked = asked.join(near.withColumnRenamed("anchor_id", "id"), ["id", "anchor"])
     asked = asked.withColumn("wanted", F.transform("best", lambda x: -x["minus"]))
-    least = F.floor(F.array_min(F.filter("wanted", lambda s: s >= 0)) * LOW / 100)
+    least = F.array_min(F.filter("wanted", lambda s: s >= 0)).cast("double") * (LOW / 100 * (1 - _SLACK))
     shown = asked.where(F.exists("wanted", lambda s: s >= 0))
     far = dealt.visited(shown, least).mapInArrow(_find_negatives, _ddl(_NEGATIVES))
     order = Window.partitionBy("anchor_id", "anchor", "place").orderBy(F.desc("score"), "id")
