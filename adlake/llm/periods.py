@@ -137,7 +137,7 @@ def fragments(h: np.ndarray, parts: list[tuple[int, int, int, int, int, int, int
         shift = np.array([p[6] - p[4] for p in parts], np.int64)
         ceiling = np.array([p[5] // EXPONENT for p in parts], np.int64)
         first, end = np.array([p[6] for p in parts], np.int64), np.array(ends, np.int64)
-        step = max(1, (1 << 20) // width)
+        step = max(1, (1 << 18) // width)
         for k in range(0, len(bound), step):
             p, at = part[k : k + step], bound[k : k + step] + shift[part[k : k + step]]
             period = np.arange(width, 2 * width)
@@ -166,7 +166,7 @@ def _tiles(batches: Iterator[pa.RecordBatch], size: int = TILE) -> Iterator[pa.R
                 for low, high, core, stop, begin, end in tiles_of(n, size):
                     rows.append((ids[row + t], keys[row + t], low, high, core, stop, begin, n, h[base + begin : base + end].tobytes()))
                     held += end - begin
-                    if held >= 1 << 19:
+                    if held >= 1 << 18:
                         yield _batch(rows, _TILES)
                         rows, held = [], 0
             if rows:
@@ -179,13 +179,13 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The fragments of the tiles, about a million words at a time."""
+    """The fragments of the tiles, about a quarter of a million words at a time."""
     for batch in batches:
         rows = list(zip(*(c.to_pylist() for c in batch.columns[:-1]), batch.column(8), strict=True))
         at = 0
         while at < len(rows):
             parts, tiles, held, stop = [], [], 0, at
-            while stop < len(rows) and (stop == at or held < 1 << 19):
+            while stop < len(rows) and (stop == at or held < 1 << 18):
                 _, _, low, high, core, end, begin, n, data = rows[stop]
                 tiles.append(np.frombuffer(data.as_buffer(), np.uint64))
                 parts.append((low, high, core, end, begin, n, held))
@@ -210,11 +210,10 @@ def periodic_runs(docs: DataFrame, text: Column | None = None, tile: int = TILE)
     source = docs.select("doc_id", text.alias("text")).select(*_keys(F.col("doc_id"), F.col("text")), "text")
     long = F.octet_length("text") > 2 * tile
 
-    def cut(batches):
-        yield from _tiles(batches, tile)
-
-    tiles, wide = (source.where(which).mapInArrow(cut, _ddl(_TILES)) for which in (~long, long))
-    found = tiles.mapInArrow(_solve, _ddl(_FRAGMENTS)).unionByName(wide.repartition("id", "h", "low", "core").mapInArrow(_solve, _ddl(_FRAGMENTS)))
+    # A document of one tile is solved where it is read.
+    near = source.where(~long).mapInArrow(lambda batches: _solve(_tiles(batches, tile)), _ddl(_FRAGMENTS))
+    wide = source.where(long).mapInArrow(lambda batches: _tiles(batches, tile), _ddl(_TILES)).repartition("id", "h", "low", "core")
+    found = near.unionByName(wide.mapInArrow(_solve, _ddl(_FRAGMENTS)))
     key = ["id", "h", "period"]
     in_order = Window.partitionBy(*key).orderBy("low")
     opens = F.coalesce(F.col("low") > F.max("high").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True)).cast("int")
