@@ -1,10 +1,14 @@
 """Writing tables: replace, append and keyed merge on Parquet paths.
 
-A table is a folder of written batches ``_batch=<n>`` and of manifests ``_manifests/<n>``. A write puts its rows into a
-new batch and then commits the next manifest, which names the folders of the batches that make up the table now, and its
-columns. Readers take the newest manifest. Nothing they may read is changed in place, so a run that dies at any point
-leaves the table as it was, and is simply run again. A merge into a partitioned table writes only the partitions its
-rows touch. One writer at a time: of two, the second to commit fails.
+A table is a folder of written batches ``_batch=<n>-<attempt>`` and of manifests ``_manifests/<n>``. A write puts its
+rows into a batch of its own and then commits the next manifest, which names the folders of the batches that make up the
+table now, and its columns. Readers take the newest manifest. Nothing they may read is changed in place, and no two
+attempts share a folder, so a run that dies at any point leaves the table as it was, and is simply run again. A merge
+into a partitioned table writes only the partitions its rows touch. Of two writers that started from one version, the
+second to commit fails, and removes what it wrote.
+
+A manifest remembers which numbered batches of each source it has taken, as ranges, so batches may come in any order and
+more than once.
 
 Columns keep their types: a write may add columns, and narrower numbers are widened, but any other change of a type
 fails before a row is written. Empty text in a partition column reads back as NULL, as in any partitioned Parquet table.
@@ -14,9 +18,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -59,14 +64,15 @@ class Manifest:
     """What a version of a table consists of.
 
     ``folders``: partition folder to the batches it has rows in; "" stands for a table without
-    partitions. ``applied``: last batch number taken from each source. ``notes``: the writer's own.
+    partitions. ``applied``: the batch numbers taken from each source, as (first, last) of ranges
+    in order. ``notes``: the writer's own.
     """
 
     number: int
     schema: T.StructType
     partition_by: tuple[str, ...] = ()
-    folders: Mapping[str, Sequence[int]] = field(default_factory=dict)
-    applied: Mapping[str, int] = field(default_factory=dict)
+    folders: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    applied: Mapping[str, Sequence[Sequence[int]]] = field(default_factory=dict)
     notes: Mapping[str, object] = field(default_factory=dict)
 
     def paths(self, path: str, only: set[str] | None = None) -> list[str]:
@@ -100,34 +106,78 @@ def current(spark: SparkSession, path: str) -> Manifest | None:
     return _manifest(spark, path, have[-1]) if have else None
 
 
-def _commit(spark: SparkSession, path: str, manifest: Manifest) -> None:
-    """Make the manifest the newest; fails if that number was committed meanwhile."""
+def _put_if_absent(spark: SparkSession, path: str, body: bytes) -> bool:
+    """A whole file, unless one of that name is there; of several writers one succeeds.
+
+    A local file system links a finished file to the name, a name node renames one, both in one
+    step that fails on an existing name; stores whose objects appear when they are closed are asked
+    to create the object only if there is none.
+    """
+    jvm = spark._jvm
+    fs, final = _fs(spark, path)
+    _, draft = _fs(spark, f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")
+    scheme = fs.getScheme()
+    if scheme not in ("file", "hdfs", "viewfs"):
+        if fs.exists(final):
+            return False
+        builder = fs.createFile(final).overwrite(False).recursive().opt("fs.option.create.conditional.overwrite", True)
+        return _tried(lambda: _filled(builder.build(), body), "FileAlreadyExists", "PreconditionFailed")
+    _filled(fs.create(draft), body)
+    try:
+        if scheme == "file":
+            at = lambda p: jvm.java.io.File(p.toUri().getPath()).toPath()
+            return _tried(lambda: jvm.java.nio.file.Files.createLink(at(final), at(draft)), "FileAlreadyExists")
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), spark._jsc.hadoopConfiguration())
+        plain = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        plain[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        return _tried(lambda: context.rename(draft, final, plain), "FileAlreadyExists")
+    finally:
+        fs.delete(draft, False)
+
+
+def _filled(out, body: bytes) -> None:
+    out.write(body)
+    out.close()
+
+
+def _tried(step: Callable[[], object], *taken: str) -> bool:
+    """Whether a step of the file system went through; it may only fail because the name is taken."""
+    try:
+        step()
+    except Py4JJavaError as e:
+        if any(t in e.java_exception.getClass().getName() for t in taken):
+            return False
+        raise
+    return True
+
+
+def _commit(spark: SparkSession, path: str, manifest: Manifest, batch: str) -> None:
+    """Make the manifest the newest; fails, and removes the batch, if that number was committed meanwhile."""
     body = {
         "schema": manifest.schema.jsonValue(),
         "partition_by": list(manifest.partition_by),
         "folders": {f: list(b) for f, b in manifest.folders.items()},
-        "applied": dict(manifest.applied),
+        "applied": {s: [list(r) for r in ranges] for s, ranges in manifest.applied.items()},
         "notes": dict(manifest.notes),
     }
-    fs, draft = _fs(spark, f"{path}/_manifests/.{uuid.uuid4().hex}")
-    out = fs.create(draft)
-    out.write(json.dumps(body).encode())
-    out.close()
-    _, final = _fs(spark, f"{path}/_manifests/{manifest.number}")
-    if fs.exists(final) or not fs.rename(draft, final):
+    if not _put_if_absent(spark, f"{path}/_manifests/{manifest.number}", json.dumps(body).encode()):
+        fs, mine = _fs(spark, f"{path}/_batch={batch}")
+        fs.delete(mine, True)
         raise RuntimeError(f"{path} was written by another run at the same time")
     _drop_old(spark, path)
 
 
 def _drop_old(spark: SparkSession, path: str) -> None:
+    """Drop all but the newest versions, with the folders that only they have. Another writer may be at it, too."""
     have = versions(spark, path)
     kept = {p for n in have[-KEPT_VERSIONS:] for p in _manifest(spark, path, n).paths(path)}
     for n in have[:-KEPT_VERSIONS]:
+        fs, old = _fs(spark, f"{path}/_manifests/{n}")
+        if not fs.exists(old):
+            continue
         for p in _manifest(spark, path, n).paths(path):
             if p not in kept:
-                fs, old = _fs(spark, p)
-                fs.delete(old, True)
-        fs, old = _fs(spark, f"{path}/_manifests/{n}")
+                fs.delete(_fs(spark, p)[1], True)
         fs.delete(old, False)
 
 
@@ -176,17 +226,18 @@ def _fitted(df: DataFrame, manifest: Manifest | None) -> tuple[DataFrame, T.Stru
     return rows, schema
 
 
-def _write_batch(df: DataFrame, path: str, number: int, partition_by: Sequence[str]) -> list[str]:
-    """The folders that got rows. A batch of this number without a manifest is of a run that died: it is overwritten."""
-    target = f"{path}/_batch={number}"
+def _write_batch(df: DataFrame, path: str, number: int, partition_by: Sequence[str]) -> tuple[str, list[str]]:
+    """(name of the batch, the folders that got rows); the name is this attempt's alone."""
+    name = f"{number}-{uuid.uuid4().hex}"
+    target = f"{path}/_batch={name}"
     # Bring a partition's rows together for few files; AQE splits one that is too large.
     out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
-    out.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+    out.write.partitionBy(*partition_by).parquet(target)
     if not partition_by:
-        return [""]
+        return name, [""]
     fs, pattern = _fs(df.sparkSession, "/".join([target, *[f"{_escaped(df.sparkSession, p)}=*" for p in partition_by]]))
     depth = len(partition_by)
-    return sorted("/".join(str(s.getPath()).split("/")[-depth:]) for s in fs.globStatus(pattern) or [])
+    return name, sorted("/".join(str(s.getPath()).split("/")[-depth:]) for s in fs.globStatus(pattern) or [])
 
 
 def _escaped(spark: SparkSession, name: str) -> str:
@@ -200,7 +251,20 @@ def _next(manifest: Manifest | None, schema: T.StructType, partition_by: Sequenc
 
 
 def _seen(manifest: Manifest | None, source: str | None, batch: int | None) -> bool:
-    return manifest is not None and source is not None and manifest.applied.get(source, -1) >= batch
+    if manifest is None or source is None:
+        return False
+    return any(first <= batch <= last for first, last in manifest.applied.get(source, ()))
+
+
+def with_batch(ranges: Sequence[Sequence[int]], batch: int) -> list[list[int]]:
+    """Ranges with one more number; those that then touch become one."""
+    out: list[list[int]] = []
+    for first, last in sorted([*map(list, ranges), [batch, batch]]):
+        if out and first <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], last)
+        else:
+            out.append([first, last])
+    return out
 
 
 def write_replace(
@@ -215,8 +279,8 @@ def write_replace(
         applied=old.applied if old else {},
         notes=notes if notes is not None else old.notes if old else {},
     )
-    folders = _write_batch(df, path, new.number, partition_by)
-    _commit(spark, path, replace(new, folders={f: [new.number] for f in folders}))
+    batch, folders = _write_batch(df, path, new.number, partition_by)
+    _commit(spark, path, replace(new, folders={f: [batch] for f in folders}), batch)
 
 
 def write_append(
@@ -226,19 +290,21 @@ def write_append(
     source: str | None = None,
     batch: int | None = None,
     notes: Mapping[str, object] | None = None,
+    base: Manifest | None = None,
 ) -> None:
-    """Add rows. A ``batch`` of a ``source`` that the table has already taken is not added again."""
+    """Add rows. A ``batch`` of a ``source`` that the table has already taken is not added again; others come in any order."""
     spark = df.sparkSession
-    old = current(spark, path)
+    old = base or current(spark, path)
     if _seen(old, source, batch):
         return
     rows, schema = _fitted(df, old)
     new = _next(old, schema, partition_by)
     folders = {f: list(b) for f, b in new.folders.items()}
-    for f in _write_batch(rows, path, new.number, new.partition_by):
-        folders.setdefault(f, []).append(new.number)
-    applied = {**new.applied, source: batch} if source is not None else new.applied
-    _commit(spark, path, replace(new, folders=folders, applied=applied, notes=new.notes if notes is None else notes))
+    name, written = _write_batch(rows, path, new.number, new.partition_by)
+    for f in written:
+        folders.setdefault(f, []).append(name)
+    applied = {**new.applied, source: with_batch(new.applied.get(source, ()), batch)} if source is not None else new.applied
+    _commit(spark, path, replace(new, folders=folders, applied=applied, notes=new.notes if notes is None else notes), name)
 
 
 def _folders_of(parts_rows: DataFrame, parts: Sequence[str]) -> set[str]:
@@ -249,10 +315,10 @@ def _folders_of(parts_rows: DataFrame, parts: Sequence[str]) -> set[str]:
     return {"/".join(f"{escaped[p]}={_escaped(spark, r[p]) if r[p] else _NO_VALUE}" for p in parts) for r in rows}
 
 
-def write_merge(df: DataFrame, spec: TableSpec, path: str) -> None:
+def write_merge(df: DataFrame, spec: TableSpec, path: str, base: Manifest | None = None) -> None:
     """Merge rows into the table on ``spec.keys``: a new row replaces the stored one whole. NULL is a key value."""
     spark, keys = df.sparkSession, list(spec.keys)
-    old = current(spark, path)
+    old = base or current(spark, path)
     new_rows, schema = _fitted(latest(df, keys, spec.order_by), old)
     if old is None:
         # Without rows a partitioned table has nothing to say about its partitions.
@@ -272,16 +338,20 @@ def write_merge(df: DataFrame, spec: TableSpec, path: str) -> None:
     kept = without_keys(_rows(spark, path, old, touched), new_rows, keys)
     merged = kept.unionByName(new_rows, allowMissingColumns=True)
     folders = {f: b for f, b in old.folders.items() if f not in touched}
-    folders |= {f: [new.number] for f in _write_batch(merged, path, new.number, parts)}
-    _commit(spark, path, replace(new, folders=folders))
+    batch, written = _write_batch(merged, path, new.number, parts)
+    folders |= {f: [batch] for f in written}
+    _commit(spark, path, replace(new, folders=folders), batch)
 
 
-def load(df: DataFrame, spec: TableSpec, path: str, source: str | None = None, batch: int | None = None) -> None:
-    """Write by the table's disposition."""
+def load(
+    df: DataFrame, spec: TableSpec, path: str, source: str | None = None, batch: int | None = None, base: Manifest | None = None
+) -> None:
+    """Write by the table's disposition. ``base`` is the version that the rows were computed from, the newest by
+    default: if another one was committed since, an append or a merge fails."""
     if spec.disposition == MERGE:
-        write_merge(df, spec, path)
+        write_merge(df, spec, path, base)
     elif spec.disposition == APPEND:
-        write_append(df, path, spec.partition_by, source, batch)
+        write_append(df, path, spec.partition_by, source, batch, base=base)
     else:
         write_replace(df, path, spec.partition_by)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adlake.operators.dedupe import latest
 from adlake.operators.incremental import capped, next_cursor, report_increment, rolling_refresh
-from adlake.operators.sinks import load, read_table, shared_dir, write_merge
+from adlake.operators.sinks import current, load, read_table, shared_dir, write_merge
 from adlake.operators.windows import LAG_DAYS, plan_windows, run_windows
 from adlake.sources.tables import pull_increment
 from adlake.spec import APPEND, MERGE, TableSpec
@@ -290,6 +290,40 @@ def load_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@query(
+    "load_conflicts",
+    """
+    SELECT 'append' AS kind, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders
+    UNION ALL SELECT 'merge', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders
+    UNION ALL SELECT 'late', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders
+    """,
+)
+def load_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in thirds: one writer dies before its commit, one loses against another and writes again, and numbered
+    batches come late and twice."""
+    root, orders = shared_dir(spark), table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    third = [orders.filter(F.col("o_orderkey") % 3 == k) for k in range(3)]
+    specs = {"append": TableSpec("t", disposition=APPEND), "merge": TableSpec("t", ("o_orderkey",), MERGE, partition_by=("o_orderstatus",))}
+    for kind, spec in specs.items():
+        path = f"{root}/{kind}"
+        load(third[0], spec, path)
+        third[1].write.parquet(f"{path}/_batch=2-dead/o_orderstatus=O")  # all that is left of a writer that died
+        behind = current(spark, path)
+        load(third[1], spec, path)
+        try:
+            load(third[2], spec, path, base=behind)
+        except RuntimeError:
+            load(third[2], spec, path)
+    for k in (2, 0, 2, 1, 0):
+        load(third[k], specs["append"], f"{root}/late", "orders", k)
+    out = None
+    for kind in ("append", "merge", "late"):
+        n = read_table(spark, f"{root}/{kind}").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("keys"))
+        row = n.select(F.lit(kind).alias("kind"), "n_rows", "keys")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query(
     "stream_load",
     """

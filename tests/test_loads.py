@@ -1,4 +1,3 @@
-import dataclasses
 import datetime as dt
 
 import pytest
@@ -389,8 +388,8 @@ def test_replace_makes_a_version_that_readers_switch_to(spark, tmp_path):
         sinks.write_replace(spark.range(v + 1), path)
     assert sinks.read_table(spark, path).count() == 4
     assert sinks.versions(spark, path) == [3, 4]
-    # A batch without its manifest belongs to a run that died: it is not read, and written over.
-    (tmp_path / "t" / "_batch=5").mkdir()
+    # A batch without its manifest belongs to a run that died: it is not read.
+    (tmp_path / "t" / "_batch=5-dead").mkdir()
     assert sinks.read_table(spark, path).count() == 4
     sinks.write_replace(spark.range(9), path)
     assert sinks.read_table(spark, path).count() == 9
@@ -400,14 +399,15 @@ def test_partitioned_merge_touches_only_its_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     spec = TableSpec("t", ("id",), MERGE, partition_by=("day",))
     sinks.load(spark.createDataFrame([(1, "01", "a"), (2, "02", "b"), (3, "03", "c")], "id int, day string, v string"), spec, path)
-    kept = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t" / "_batch=1" / "day=03").iterdir()}
+    (first,) = (tmp_path / "t").glob("_batch=1-*")
+    kept = {p.name: p.stat().st_mtime_ns for p in (first / "day=03").iterdir()}
     changes = spark.createDataFrame([(1, "02", "moved"), (4, "04", "new")], "id int, day string, v string")
     for _ in range(2):
         sinks.load(changes, spec, path)
         rows = sinks.read_table(spark, path)
         assert pairs(rows.select("id", "day", "v")) == [(1, "02", "moved"), (2, "02", "b"), (3, "03", "c"), (4, "04", "new")]
-    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t" / "_batch=1" / "day=03").iterdir()} == kept
-    assert not (tmp_path / "t" / "_batch=1" / "day=01").exists()
+    assert {p.name: p.stat().st_mtime_ns for p in (first / "day=03").iterdir()} == kept
+    assert not (first / "day=01").exists()
 
 
 def test_merge_with_a_new_column_evolves_the_whole_table(spark, tmp_path):
@@ -511,14 +511,53 @@ def test_a_writer_that_dies_leaves_the_old_table(spark, tmp_path, monkeypatch, s
     assert pairs(sinks.read_table(spark, path)) == [(1, "a", 2), (2, "b", 1), (3, "c", 2)]
 
 
-def test_two_writers_do_not_lose_rows(spark, tmp_path):
+@pytest.mark.parametrize("write", [sinks.write_append, sinks.write_replace, lambda df, path: sinks.write_merge(df, TableSpec("t", ("id",), MERGE), path)])
+def test_a_losing_writer_takes_no_rows_along(spark, tmp_path, monkeypatch, write):
     path = str(tmp_path / "t")
     sinks.write_append(spark.range(1), path)
-    seen = sinks.current(spark, path)
-    sinks.write_append(spark.range(1), path)
+    old = sinks.current(spark, path)
+    write(spark.range(1, 2), path)
+    won = pairs(sinks.read_table(spark, path))
+    folders = sorted(p.name for p in (tmp_path / "t").glob("_batch=*"))
+    # The other writer looked before the first one committed.
+    monkeypatch.setattr(sinks, "current", lambda *_: old)
     with pytest.raises(RuntimeError, match="another run"):
-        sinks._commit(spark, path, dataclasses.replace(seen, number=2))
-    assert sinks.read_table(spark, path).count() == 2
+        write(spark.range(2, 3), path)
+    monkeypatch.undo()
+    assert pairs(sinks.read_table(spark, path)) == won
+    assert sorted(p.name for p in (tmp_path / "t").glob("_batch=*")) == folders
+    write(spark.range(2, 3), path)
+    assert (2,) in pairs(sinks.read_table(spark, path))
+
+
+def test_one_of_many_writers_takes_a_name(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    (tmp_path / "m").mkdir()
+    for n in range(5):
+        with ThreadPoolExecutor(8) as pool:
+            took = list(pool.map(lambda k: sinks._put_if_absent(spark, f"{tmp_path}/m/{n}", b"%d" % k), range(8)))
+        assert sum(took) == 1 and (tmp_path / "m" / str(n)).read_bytes() == b"%d" % took.index(True)
+    assert sorted(p.name for p in (tmp_path / "m").iterdir()) == [str(n) for n in range(5)]
+
+
+def test_batches_come_in_any_order(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch in (7, 5, 7, 6, 5, 9, 0):
+        sinks.write_append(spark.range(batch, batch + 1), path, source="s", batch=batch)
+    assert pairs(sinks.read_table(spark, path)) == [(0,), (5,), (6,), (7,), (9,)]
+    assert sinks.current(spark, path).applied == {"s": [[0, 0], [5, 7], [9, 9]]}
+
+
+def test_ranges_of_batches(rng=__import__("random").Random(4)):
+    for _ in range(200):
+        ranges, want = [], set()
+        for _ in range(rng.randrange(12)):
+            n = rng.randrange(15)
+            ranges = sinks.with_batch(ranges, n)
+            want.add(n)
+        assert [x for a, b in ranges for x in range(a, b + 1)] == sorted(want)
+        assert all(a[1] + 1 < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
 
 
 def test_a_replayed_append_adds_nothing(spark, tmp_path):
