@@ -304,7 +304,7 @@ def _send(batches: Iterator[pa.RecordBatch], asked: int, buckets: int, hot: np.n
             spot = np.repeat(at[g] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
             out.append(
                 _row(
-                    _SENT, int(b), text=data[spot], places=count[g].astype(np.uint8), owner=ids[row[g]],
+                    _SENT, int(b), text=pa.compress(data[spot].tobytes(), "zstd", asbytes=True), places=count[g].astype(np.uint8), owner=ids[row[g]],
                     piece=np.searchsorted(own, number[e]).astype(np.uint32), start=start_[e].astype(np.uint32), **_among(row_[e], ids, keys),
                 )
             )
@@ -399,7 +399,8 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = np.cumsum([0, *map(len, places)])
             entry = np.concatenate([p + b for p, b in zip(_of(rows, "piece", np.uint32), base[:-1], strict=True)])
             start = np.concatenate(_of(rows, "start", np.uint32)).astype(np.int64)
-            data = np.frombuffer(b"".join(r["text"] for r in rows), np.uint8)
+            sizes = (int((p + DEPTH - 1).sum()) for p in places)
+            data = np.frombuffer(b"".join(pa.decompress(r["text"], n, "zstd", asbytes=True) for r, n in zip(rows, sizes, strict=True)), np.uint8)
             piece, low, high = repeated_spans(data, np.concatenate(places), np.concatenate(_of(rows, "owner", np.int64)))
             order = np.lexsort((low, piece))
             piece, low, high = piece[order], low[order], high[order]
