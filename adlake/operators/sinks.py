@@ -89,6 +89,17 @@ def _fs(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    fs, pattern = _fs(spark, f"{path}/*")
+    return sorted(s.getPath().getName() for s in fs.globStatus(pattern) or [] if s.isDirectory())
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, old = _fs(spark, path)
+    fs.delete(old, True)
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Committed versions of a table, oldest first."""
     fs, pattern = _fs(spark, f"{path}/_manifests/[0-9]*")
@@ -161,8 +172,7 @@ def _commit(spark: SparkSession, path: str, manifest: Manifest, batch: str) -> N
         "notes": dict(manifest.notes),
     }
     if not _put_if_absent(spark, f"{path}/_manifests/{manifest.number}", json.dumps(body).encode()):
-        fs, mine = _fs(spark, f"{path}/_batch={batch}")
-        fs.delete(mine, True)
+        drop_folder(spark, f"{path}/_batch={batch}")
         raise RuntimeError(f"{path} was written by another run at the same time")
     _drop_old(spark, path)
 

@@ -145,14 +145,25 @@ def count_truncates(log: DataFrame) -> DataFrame:
     return message_kinds(log).agg(F.count_if(F.col("kind") == "T").alias("n_truncates"))
 
 
-MAX_DEFINITIONS = 10_000  # table definitions that may be broadcast; more are joined
+MAX_DEFINITIONS = 10_000  # table definitions that may be broadcast, and their bytes; more are joined
+MAX_DEFINITION_BYTES = 8 << 20
+
+
+def _definition_id(payload: Column) -> Column:
+    """A fixed-width stand-in for a relation message."""
+    return F.xxhash64(payload)
 
 
 def _definitions(messages: DataFrame) -> DataFrame:
     """Each distinct relation message parsed once: one row per table and schema change."""
-    distinct = messages.filter("kind = 'R'").select(F.col("payload").alias("definition")).distinct()
-    parsed = cut_lineage(distinct.withColumn("relation", _relation(F.col("definition"))))
-    return F.broadcast(parsed) if parsed.count() <= MAX_DEFINITIONS else parsed
+    distinct = messages.filter("kind = 'R'").select("payload").distinct()
+    parsed = distinct.select(_definition_id(F.col("payload")).alias("definition"), _relation(F.col("payload")).alias("relation"), "payload")
+    parsed = cut_lineage(parsed)
+    size = parsed.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("definition").alias("ids"), F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("bytes")).first()
+    if size["ids"] != size["n"]:
+        raise ValueError("two table definitions have one hash")
+    parsed = parsed.drop("payload")
+    return F.broadcast(parsed) if size["n"] <= MAX_DEFINITIONS and size["bytes"] <= MAX_DEFINITION_BYTES else parsed
 
 
 def decode_messages(log: DataFrame) -> DataFrame:
@@ -167,7 +178,7 @@ def decode_messages(log: DataFrame) -> DataFrame:
     # relation id from 2.
     begin = F.when(kind == "B", be_int64(payload, 10))
     ids = kinds.withColumn("rel_id", F.when(kind != "B", be_uint(payload, 2, 4)))
-    carries = [Carry(begin, "commit_us"), Carry(F.when(kind == "R", payload), "definition", ("rel_id",))]
+    carries = [Carry(begin, "commit_us"), Carry(F.when(kind == "R", _definition_id(payload)), "definition", ("rel_id",))]
     changes = carry_forward(ids, "seq", carries).filter(kind.isin("I", "U", "D"))
     with_relation = changes.join(_definitions(kinds), "definition", "left")
 
@@ -366,6 +377,11 @@ def bootstrap(
     return apply_changes(snapshot, later, keys)
 
 
+def last_commit(log: DataFrame) -> int | None:
+    """Position of the last commit message."""
+    return message_kinds(log).filter("kind = 'C'").agg(F.max("seq")).first()[0]
+
+
 def open_messages(log: DataFrame) -> DataFrame:
     """Messages that later changes depend on: the last begin, and the last definition per relation."""
     messages = message_kinds(log)

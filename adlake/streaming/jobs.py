@@ -11,11 +11,12 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adlake.operators.dedupe import latest
-from adlake.operators.sinks import current, cut_lineage, load, read_table, write_append, write_replace
+from adlake.operators.sinks import current, cut_lineage, drop_folder, folders, load, read_table, write_append, write_replace
 from adlake.plans.changelog import (
     LOG_SCHEMA,
     apply_changes,
     decode_messages,
+    last_commit,
     open_messages,
     relation_columns,
     table_changes,
@@ -23,7 +24,6 @@ from adlake.plans.changelog import (
 from adlake.spec import TableSpec
 
 
-
 def _run(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     query = (
         stream.writeStream.foreachBatch(sink)
@@ -65,32 +65,54 @@ def stream_messages(
     checkpoint: str,
     include: Mapping[str, Sequence[str]] | None = None,
     unchanged: str = "fail",
+    key_deletes: bool = False,
 ) -> None:
     """Decode a stream of replication messages and apply it, one table folder per relation.
 
-    A batch may end inside a transaction: what its successor needs (the last begin, the
-    definitions in force) is kept per batch under ``_open``. A batch that runs again starts
-    from the same messages, so it gives the same tables. Files must arrive in log order.
+    Tables take whole transactions: what a batch has after its last commit is held back, and goes with the next batch that has a
+    commit, so every state of a table is one that its source had after some commit. A batch keeps its own rest under
+    ``_held``, the batches whose rests wait under ``_waiting``, and the definitions in force under ``_open``. A
+    transaction that fills many batches is written once. A batch that runs again starts from the same messages,
+    so it gives the same tables. Files must arrive in log order.
     """
 
     def apply(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select("seq", "lsn", "payload")
-        if epoch > 0:
-            before = spark.read.schema(LOG_SCHEMA).parquet(f"{root}/_open/{epoch - 1}")
-            rows = rows.unionByName(before)
-        open_messages(rows).write.mode("overwrite").parquet(f"{root}/_open/{epoch}")
-        decoded = cut_lineage(decode_messages(rows))
-        for table, columns in relation_columns(rows).items():
-            keys = [c.name for c in columns if c.key]
-            if not keys:
-                raise ValueError(f"table {table} has no key to apply changes by")
-            changes = table_changes(decoded, table, columns, (include or {}).get(table), unchanged)
-            _add_changes(changes, keys, f"{root}/{table}", "lsn", _stream_id(batch), epoch)
+        kept = lambda name, n: f"{root}/{name}/{n}"
+        new = batch.select("seq", "lsn", "payload")
+        waiting = [r[0] for r in spark.read.parquet(kept("_waiting", epoch - 1)).collect()] if epoch > 0 else []
+        end = last_commit(new)
+        rest = new if end is None else new.filter(F.col("seq") > end)
+        rest.write.mode("overwrite").parquet(kept("_held", epoch))
+        now = [*waiting, epoch] if end is None else [epoch]
+        rows = spark.createDataFrame([], LOG_SCHEMA) if end is None else new.filter(F.col("seq") <= end)
+        before = [kept("_open", epoch - 1)] if epoch > 0 else []
+        before += [kept("_held", n) for n in waiting if end is not None]
+        if before:
+            rows = rows.unionByName(spark.read.schema(LOG_SCHEMA).parquet(*before))
+        open_messages(rows).write.mode("overwrite").parquet(kept("_open", epoch))
+        if end is not None:
+            decoded = cut_lineage(decode_messages(rows))
+            for table, columns in relation_columns(rows).items():
+                keys = [c.name for c in columns if c.key]
+                if not keys:
+                    raise ValueError(f"table {table} has no key to apply changes by")
+                changes = table_changes(decoded, table, columns, (include or {}).get(table), unchanged, key_deletes)
+                _add_changes(changes, keys, f"{root}/{table}", "lsn", _stream_id(batch), epoch)
+        spark.createDataFrame([(n,) for n in now], "epoch bigint").coalesce(1).write.mode("overwrite").parquet(kept("_waiting", epoch))
+        _forget(spark, root, epoch, {*waiting, *now})
 
     _run(log, apply, checkpoint)
 
 
+def _forget(spark: SparkSession, root: str, epoch: int, needed: set[int]) -> None:
+    """Drop what batches before the last kept; only the last can run again."""
+    for name, stays in (("_open", {epoch - 1, epoch}), ("_waiting", {epoch - 1, epoch}), ("_held", needed)):
+        for n in folders(spark, f"{root}/{name}"):
+            if int(n) < epoch and int(n) not in stays:
+                drop_folder(spark, f"{root}/{name}/{n}")
+
+
 def _state(spark: SparkSession, path: str, keep_tombstones: bool) -> DataFrame:
     notes = current(spark, path).notes
     return apply_changes(None, read_table(spark, path), notes["keys"], notes["seq"], keep_tombstones)

@@ -107,8 +107,6 @@ def cdc_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     run.awaitTermination()
     # An update batch holds the keys that changed in it: the last batch of a key counts.
-    from adlake.operators.dedupe import latest
-
     return latest(spark.read.parquet(f"{root}/state"), KEYS, ["epoch"]).select("user_id", "event_type", "lsn")
 
 
@@ -147,12 +145,13 @@ def _relation_hex(relation: int, name: str, columns: list[SourceColumn]) -> str:
     return "".join(parts)
 
 
-def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_log(spark: SparkSession, sf_dir: str, moved: bool = False) -> DataFrame:
     """Replication messages of the orders: one transaction each, encoded byte by byte.
 
     Finished orders are inserted, open ones updated with their old row, partial ones deleted
     by key. The table definition comes first, and again before each urgent order; low ones
-    are preceded by a truncate message.
+    are preceded by a truncate message. With ``moved`` an open order is inserted under its negative
+    key, which the update changes, and neither definitions nor truncates come in between.
     """
     orders = table(spark, sf_dir, "orders")
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
@@ -163,7 +162,7 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = key.cast("string")
     price = F.when(F.col("o_orderpriority") != "3-MEDIUM", F.col("o_totalprice").cast("decimal(12,2)").cast("string"))
     row = _hex_tuple(number, status, price, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
-    old = _hex_tuple(number, F.lit("é"), F.lit(None).cast("string"), F.lit(None).cast("string"))
+    old = _hex_tuple((-key).cast("string") if moved else number, F.lit("é"), F.lit(None).cast("string"), F.lit(None).cast("string"))
     to = f"{ORDERS_RELATION:08X}"
     change = (
         F.when(status == "F", F.concat(F.lit(f"49{to}4E"), row))
@@ -173,6 +172,8 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = F.when(F.col("o_orderpriority") == "1-URGENT", relation).when(
         F.col("o_orderpriority") == "5-LOW", F.lit(f"540000000100{to}")
     )
+    if moved:
+        extra = F.when(status == "O", F.concat(F.lit(f"49{to}4E"), old))
     messages = F.array(
         F.struct(F.lit(0).alias("at"), begin.alias("hex")),
         F.struct(F.lit(1).alias("at"), extra.alias("hex")),
@@ -241,3 +242,47 @@ def cdc_message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return applied_rows(spark, f"{root}/tables/orders").select(
         "id", "status", F.coalesce(F.col("price").cast("double"), F.lit(-1.0)).alias("price"), "lsn"
     )
+
+
+MESSAGE_BATCHES = 6
+
+
+@query(
+    "cdc_message_batches",
+    f"""
+    WITH b AS (SELECT k, 4 * ((lo + (hi - lo) * (k + 1) // {MESSAGE_BATCHES})) + CASE WHEN k = {MESSAGE_BATCHES} - 1 THEN 3 ELSE k % 3 END AS edge
+               FROM (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders), range({MESSAGE_BATCHES}) AS t(k))
+    SELECT k AS batch, count(o_orderkey) AS n_rows, CAST(coalesce(sum(o_orderkey), 0) AS BIGINT) AS ids,
+           coalesce(max(4 * o_orderkey + 1002), 0) AS lsn
+    FROM b LEFT JOIN orders ON 4 * o_orderkey + 3 <= edge AND o_orderstatus <> 'P' GROUP BY k
+    """,
+)
+def cdc_message_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages land in six parts, each but the last cut inside a transaction; the table after each."""
+    root = shared_dir(spark)
+    log = order_log(spark, sf_dir)
+    log.write.parquet(f"{root}/all")
+    log = read_changes(spark, f"{root}/all")
+    low, high = table(spark, sf_dir, "orders").agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    last, out = None, None
+    for k in range(MESSAGE_BATCHES):
+        edge = 4 * (low + (high - low) * (k + 1) // MESSAGE_BATCHES) + (3 if k == MESSAGE_BATCHES - 1 else k % 3)
+        part = log.filter(F.col("seq") <= edge) if last is None else log.filter((F.col("seq") > last) & (F.col("seq") <= edge))
+        part.write.mode("append").parquet(f"{root}/log")
+        stream_messages(read_changes(spark, f"{root}/log", streaming=True), f"{root}/tables", f"{root}/progress")
+        state = applied_rows(spark, f"{root}/tables/orders")
+        found = state.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum("id"), F.lit(0)).alias("ids"), F.coalesce(F.max("lsn"), F.lit(0)).alias("lsn"))
+        # The state is read now: the next part changes the table.
+        row = spark.createDataFrame([(k, *found.first())], "batch bigint, n_rows bigint, ids bigint, lsn bigint")
+        out, last = row if out is None else out.unionByName(row), edge
+    return out
+
+
+@query("cdc_column_subset", "SELECT o_orderkey AS id, o_orderstatus AS status, o_orderkey * 4 + 1002 AS lsn FROM orders WHERE o_orderstatus <> 'P'")
+def cdc_column_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns of the table alone are replicated, from keys that move; a moved key leaves nothing behind."""
+    root = shared_dir(spark)
+    order_log(spark, sf_dir, moved=True).write.parquet(f"{root}/log")
+    stream = read_changes(spark, f"{root}/log", streaming=True)
+    stream_messages(stream, f"{root}/tables", f"{root}/progress", include={"orders": ["id", "status"]}, key_deletes=True)
+    return applied_rows(spark, f"{root}/tables/orders")

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 import struct
 
 import pytest
@@ -334,7 +335,7 @@ def test_message_stream_across_files_that_cut_transactions(spark, tmp_path):
         # cut: the next file goes on in the same transaction
         insert(5, "2", "b"), commit(), begin(T2), update(5, "1", "a2"), delete(6, "9"),
         # cut: and the third changes the schema
-        commit(), begin(T1), relation(5, "t", [ID, NAME, (0, "extra", 23, -1)]), update(5, "2", ..., "7"), insert(5, "3", "c", "8"),
+        commit(), begin(T1), relation(5, "t", [ID, NAME, (0, "extra", 23, -1)]), update(5, "2", ..., "7"), insert(5, "3", "c", "8"), commit(),
     ]
     rows = [(i, 100 + i, bytearray(m)) for i, m in enumerate(messages)]
 
@@ -353,3 +354,59 @@ def test_message_stream_across_files_that_cut_transactions(spark, tmp_path):
     run("c2", str(tmp_path / "again"))
     again = applied_rows(spark, str(tmp_path / "again" / "t")).select("id", "name", F.coalesce("extra", F.lit(-1)))
     assert pairs(again) == want
+
+
+def test_every_state_is_one_after_a_commit(spark, tmp_path):
+    """Transactions of one to nine changes, cut into batches at every kind of place, also several batches in one transaction."""
+    rng = random.Random(8)
+    messages, states, live = [relation(5, "t", [ID, NAME])], {0: ()}, {}
+    for k in range(14):
+        messages.append(begin(T1))
+        for _ in range(rng.randint(1, 9)):
+            key = str(rng.randrange(6))
+            if key in live and rng.random() < 0.3:
+                messages.append(delete(5, key, None))
+                del live[key]
+            else:
+                messages.append((update if key in live else insert)(5, key, f"v{len(messages)}"))
+                live[key] = f"v{len(messages) - 1}"
+        messages.append(commit())
+        states[len(messages)] = tuple(sorted((int(i), v) for i, v in live.items()))
+    rows = [(i, 100 + i, bytearray(m)) for i, m in enumerate(messages)]
+    cuts = sorted(rng.sample(range(1, len(rows)), 11))
+    source, root, seen = str(tmp_path / "log"), str(tmp_path / "tables"), []
+    for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True):
+        spark.createDataFrame(rows[a:b], changelog.LOG_SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        stream_messages(changelog.read_changes(spark, source, streaming=True), root, str(tmp_path / "c"))
+        done = max(n for n in states if n <= b)
+        state = applied_rows(spark, f"{root}/t").select("id", "name").collect() if done else []
+        assert tuple(sorted(map(tuple, state))) == states[done]
+        seen.append(done)
+    assert len(set(seen)) < len(seen) and seen[-1] == len(rows)
+    # What waits is kept once, and only the last batches are remembered.
+    assert len(list((tmp_path / "tables" / "_open").iterdir())) == 2
+    # All parts at a time, one file a batch, in one run.
+    stream_messages(changelog.read_changes(spark, source, streaming=True, files_per_batch=1), str(tmp_path / "again"), str(tmp_path / "c2"))
+    assert tuple(pairs(applied_rows(spark, str(tmp_path / "again" / "t")).select("id", "name"))) == states[len(rows)]
+
+
+def test_moved_keys_and_a_subset_in_a_stream(spark, tmp_path):
+    messages = [begin(T1), relation(5, "t", [ID, NAME, (0, "extra", 23, -1)]), insert(5, "1", "a", "7"), commit()]
+    messages += [begin(T2), update(5, "2", "b", "8", old=("1", None, None)), commit()]
+    rows = [(i, 100 + i, bytearray(m)) for i, m in enumerate(messages)]
+    spark.createDataFrame(rows, changelog.LOG_SCHEMA).write.parquet(str(tmp_path / "log"))
+    log = changelog.read_changes(spark, str(tmp_path / "log"), streaming=True)
+    stream_messages(log, str(tmp_path / "tables"), str(tmp_path / "c"), include={"t": ["id", "name"]}, key_deletes=True)
+    state = applied_rows(spark, str(tmp_path / "tables" / "t"))
+    assert state.columns == ["id", "name", "lsn"] and pairs(state) == [(2, "b", 105)]
+
+
+def test_decode_plan_shuffles_the_log_once(spark, tmp_path):
+    messages = [begin(T1), relation(5, "t", [ID, NAME]), insert(5, "1", "a"), commit()]
+    rows = [(i, 100 + i, bytearray(m)) for i, m in enumerate(messages)]
+    spark.createDataFrame(rows, changelog.LOG_SCHEMA).write.parquet(str(tmp_path / "log"))
+    decoded = changelog.decode_messages(changelog.read_changes(spark, str(tmp_path / "log")))
+    plan = decoded._jdf.queryExecution().executedPlan().toString()
+    count = lambda word: len(re.findall(rf"[-+] \*?(?:\(\d+\) )?{word}", plan))
+    assert count("FileScan|Scan parquet") <= 2 and "FileScan" in plan
+    assert count("Exchange") <= 4 and "SortAggregate" not in plan
