@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKET_BITS = 18
+BUCKET_BITS = 16
 
 
 @dataclass(frozen=True)
@@ -27,7 +27,7 @@ def carry_forward(df: DataFrame, seq: str, carries: Sequence[Carry], bits: int =
     there is one set. Only these summaries, a row for each range and set of ``by`` values, are scanned in one order; packed
     to one row a range, they are joined to the ranges.
 
-    The summaries of 2**40 messages with ten relations each are some 40 million rows. A value should be of fixed
+    A log of 2**40 messages has 2**24 ranges. A value should be of fixed
     width, such as a number that stands for a long text, so that they are summed up in hash maps.
     """
     by = next((list(c.by) for c in carries if c.by), [])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adlake.functions.actions import subscribe_revenue
 from adlake.operators.merge import merge_report_rows
+from adlake.operators.sinks import shared_dir
 from adlake.plans import gads, insights
 from adlake.workload.registry import query, table
 
@@ -84,6 +85,17 @@ def ad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_ad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as landed reports.
+
+    Read from files, an array is searched as it lies there; derived in the same plan, each search would derive it anew,
+    and outside of generated code.
+    """
+    path = shared_dir(spark)
+    ad_rows(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 _IDS_SQL = "l_orderkey AS order_id, l_partkey AS ad, l_linenumber AS line"
 _ACTIONS_SQL = {
     "actions_link_click": "CASE WHEN l_linenumber = 6 THEN l_quantity "
@@ -117,7 +129,7 @@ def expand_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("event_metrics", f"SELECT {_IDS_SQL}, {_select(_EVENTS_SQL)} FROM lineitem")
 def event_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = insights.add_event_metrics(ad_rows(spark, sf_dir))
+    out = insights.add_event_metrics(landed_ad_rows(spark, sf_dir))
     return out.select("order_id", "ad", "line", *_EVENTS_SQL)
 
 
@@ -146,7 +158,7 @@ _FLAT_SQL = {
 
 @query("flatten_insights", f"SELECT {_IDS_SQL}, {_select(_FLAT_SQL)} FROM lineitem")
 def flatten_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = insights.flatten_insights(ad_rows(spark, sf_dir))
+    flat = insights.flatten_insights(landed_ad_rows(spark, sf_dir))
     return flat.select("order_id", "ad", "line", *_FLAT_SQL)
 
 

@@ -174,17 +174,15 @@ def order_log(spark: SparkSession, sf_dir: str, moved: bool = False) -> DataFram
     )
     if moved:
         extra = F.when(status == "O", F.concat(F.lit(f"49{to}4E"), old))
-    messages = F.array(
-        F.struct(F.lit(0).alias("at"), begin.alias("hex")),
-        F.struct(F.lit(1).alias("at"), extra.alias("hex")),
-        F.struct(F.lit(2).alias("at"), change.alias("hex")),
-        F.struct(F.lit(3).alias("at"), commit.alias("hex")),
-    )
+    # Columns of their own first: inside the generator they would not be compiled.
+    parts = {"begin": begin, "extra": extra, "change": change, "commit": commit}
+    orders = orders.select("o_orderkey", *[c.alias(f"_{k}") for k, c in parts.items()])
+    messages = F.array(*[F.struct(F.lit(i).alias("at"), F.col(f"_{k}").alias("hex")) for i, k in enumerate(parts)])
     sent = F.filter(messages, lambda m: m["hex"].isNotNull())
     log = orders.select("o_orderkey", F.explode(sent).alias("m")).select(
         (F.col("o_orderkey") * 4 + F.col("m.at")).alias("seq"), F.unhex("m.hex").alias("payload")
     )
-    first = orders.agg(F.min(key).alias("k")).select(
+    first = table(spark, sf_dir, "orders").agg(F.min(key).alias("k")).select(
         (F.col("k") * 4 - 1).alias("seq"), F.unhex(relation).alias("payload")
     )
     return first.unionByName(log).select("seq", (F.col("seq") + 1000).alias("lsn"), "payload")
