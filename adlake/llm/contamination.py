@@ -2,14 +2,20 @@
 
 Every text is cut into words. Of the hashes of ``GRAM`` consecutive words, the smallest of each ``WINDOW - GRAM + 1``
 neighbours is a fingerprint, so two texts that share ``WINDOW`` words in a row share a fingerprint at the same place of
-them. Fingerprints of documents are joined with those of benchmark items, and each meeting is extended over both texts
-word by word; spans of at least a window are hits. An item shorter than a window is looked up whole.
+them. Fingerprints of documents are joined with those of benchmark items, and each meeting is extended to the windows
+whose fingerprint it is: a window is a hit if items have it whole, and windows that overlap or touch are one span, so a span is as long as
+what is shared. An item shorter than a window is looked up whole.
+
+Windows of the benchmark are kept once each, with the set of items that have them, and equal sets are one. So the work
+follows the number of words on either side, also where a text repeats itself or many items begin alike; no pair of places is
+formed.
 
 The benchmark is broadcast in blocks of at most ``BLOCK_BYTES`` of text, so that what is sent has a bound whatever its
-size; several blocks take one pass each, with the passes kept in the checkpoint folder. Documents are never shuffled.
+size. Several blocks take one pass over the documents each, which keeps only the hits; those are joined to the documents
+at the end.
 
 Cases: null or empty texts have no words and hit nothing; items without words occur nowhere, and items of null id are
-left out. Items with equal texts all count. Rows are judged one by one, repeated doc_ids included. The caller's columns
+left out. Items with equal texts all count. Ids of items are of any type. Rows are judged one by one, repeated doc_ids included. The caller's columns
 pass through untouched.
 """
 
@@ -22,24 +28,36 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from adlake.llm.words import LETTERS, LOWER, Texts, Words, distinct, grams, hashes, lists, pieces, texts, words
+from adlake.llm.shared import FEW_ROWS, written
+from adlake.llm.words import LETTERS, LOWER, Texts, Words, distinct, grams, hashes, lists, mix, pieces, texts, words
 
 WINDOW, GRAM = 10, 5
 BLOCK_BYTES = 8 << 20
-HITS = "struct<n_words:bigint,start:array<int>,end:array<int>,items:array<bigint>>"
+
+
+class Table(NamedTuple):
+    """Hashes in order, and for each the number of the set of items that have it."""
+
+    keys: np.ndarray
+    sets: np.ndarray
+
+    def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, set) of the values that are keys."""
+        if not len(self.keys) or not len(values):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, values), len(self.keys) - 1)
+        found = np.flatnonzero(self.keys[at] == values)
+        return found, self.sets[at[found]]
 
 
 class Index(NamedTuple):
-    """Benchmark items of a block. ``short``: for each length below a window, (hashes, places of the items)."""
+    """Benchmark items of a block. ``windows``: of each length, a table of the windows' hashes; items of set s are
+    ``members[first[s] : first[s + 1]]``, numbers of items."""
 
-    words: np.ndarray
-    start: np.ndarray
-    end: np.ndarray
-    ids: np.ndarray
     prints: np.ndarray
-    places: np.ndarray
-    items: np.ndarray
-    short: dict[int, tuple[np.ndarray, np.ndarray]]
+    windows: dict[int, Table]
+    first: np.ndarray
+    members: np.ndarray
 
 
 def folded_words(piece: Texts) -> tuple[Words, np.ndarray]:
@@ -66,91 +84,100 @@ def winnow(h: np.ndarray, last: np.ndarray, window: int = WINDOW, gram: int = GR
     return at, g[at]
 
 
-def index(rows: list[tuple[int, str]], window: int = WINDOW, gram: int = GRAM) -> Index:
-    ids = np.array([i for i, _ in rows], np.int64)
-    found, h = folded_words(texts(pa.array([t for _, t in rows], pa.string())))
-    at, prints = winnow(h, found.last(), window, gram)
-    order = np.argsort(prints, kind="stable")
-    n = np.diff(found.first)
-    short = {}
-    for length in sorted({int(x) for x in n if 0 < x < window}):
-        items = np.flatnonzero(n == length)
-        whole = grams(h, length)[found.first[items]]
-        by = np.argsort(whole, kind="stable")
-        short[length] = whole[by], items[by]
-    return Index(h, found.first[:-1], found.first[1:], ids, prints[order], at[order], found.text_of()[at[order]], short)
-
-
-def _meet(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All (i, k) with ``values[i] == keys[k]``; keys are sorted."""
-    if not len(keys) or not len(values):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    seen = np.zeros(1 << 20, bool)
-    seen[(keys >> np.uint64(44)).astype(np.int64)] = True
-    maybe = np.flatnonzero(seen[(values >> np.uint64(44)).astype(np.int64)])
-    low, high = np.searchsorted(keys, values[maybe]), np.searchsorted(keys, values[maybe], "right")
-    count = high - low
-    i = np.repeat(maybe, count)
-    return i, np.arange(len(i)) - np.repeat(np.cumsum(count) - count - low, count)
-
-
-def spans(found: Words, h: np.ndarray, bench: Index, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, word after the last, item) of every longest run shared with an item, a window or more of it."""
-    first, last = np.repeat(found.first[:-1], np.diff(found.first)), found.last()
+def index(items: list[str], window: int = WINDOW, gram: int = GRAM) -> Index:
+    """The index of the items' texts."""
+    found, h = folded_words(texts(pa.array(items, pa.string())))
+    last, n = found.last(), np.diff(found.first)
+    owner = found.text_of()
+    _, prints = winnow(h, last, window, gram)
+    lengths, keys, members = [], [], []
+    for length in sorted({min(int(x), window) for x in n if x}):
+        g = grams(h, length)
+        at = np.flatnonzero(np.arange(len(g)) + length <= last[: len(g)])
+        if length < window:
+            at = at[n[owner[at]] == length]
+        lengths.append(np.full(len(at), length))
+        keys.append(g[at])
+        members.append(owner[at])
+    length, key, member = (np.concatenate([np.zeros(0, k), *x]).astype(k) for k, x in ((np.int64, lengths), (np.uint64, keys), (np.int64, members)))
+    order = np.lexsort((member, key, length))
+    length, key, member = length[order], key[order], member[order]
+    once = np.ones(len(key), bool)
+    once[1:] = (length[1:] != length[:-1]) | (key[1:] != key[:-1]) | (member[1:] != member[:-1])
+    length, key, member = length[once], key[once], member[once]
+    begins = np.ones(len(key), bool)
+    begins[1:] = (length[1:] != length[:-1]) | (key[1:] != key[:-1])
+    group = np.flatnonzero(begins)
+    size = np.diff(np.append(group, len(key)))
+    # Sets are told apart by their sizes and two sums of hashes of their members.
+    one = mix(member.astype(np.uint64) + np.uint64(1))
+    sums = [np.add.reduceat(x, group) if len(group) else x for x in (one, mix(one))]
+    _, where, number = np.unique(np.stack([size.astype(np.uint64), *sums], 1), axis=0, return_index=True, return_inverse=True)
+    number = number.reshape(-1)
+    kept = np.concatenate([np.zeros(0, np.int64), *(member[group[k] : group[k] + size[k]] for k in where)])
+    first = np.concatenate([[0], np.cumsum(size[where])]).astype(np.int64)
+    tables = {int(x): Table(key[group][length[group] == x], number[length[group] == x]) for x in np.unique(length)}
+    return Index(distinct(prints), tables, first, kept.astype(np.int64))
+
+
+def found_windows(found: Words, h: np.ndarray, bench: Index, window: int = WINDOW, gram: int = GRAM) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, first words, sets of items) of the windows that items have."""
+    last = found.last()
     at, prints = winnow(h, last, window, gram)
-    i, k = _meet(prints, bench.prints)
-    p, q, item = at[i], bench.places[k], bench.items[k]
-    same = h[p] == bench.words[q]
-    p, q, item = p[same], q[same], item[same]
-    left, right = p.copy(), p + 1
-    live = np.arange(len(p))
-    while len(live):
-        on = (left[live] > first[p[live]]) & (q[live] - p[live] + left[live] > bench.start[item[live]])
-        live = live[on]
-        live = live[h[left[live] - 1] == bench.words[q[live] - p[live] + left[live] - 1]]
-        left[live] -= 1
-    live = np.arange(len(p))
-    while len(live):
-        on = (right[live] < last[p[live]]) & (q[live] - p[live] + right[live] < bench.end[item[live]])
-        live = live[on]
-        live = live[h[right[live]] == bench.words[q[live] - p[live] + right[live]]]
-        right[live] += 1
-    long = right - left >= window
-    out = [(left[long], right[long], item[long])]
-    for length, (keys, items) in bench.short.items():
-        whole = grams(h, length)
-        i, k = _meet(whole, keys)
-        inside = i + length <= last[i]
-        out.append((i[inside], i[inside] + length, items[k[inside]]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
-
-def _merged(left: np.ndarray, right: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The union of spans over n words as disjoint spans; spans of different texts stay apart, since a cut is one word."""
-    order = np.argsort(left, kind="stable")
-    left, right = left[order], np.maximum.accumulate(right[order]) if len(left) else right
-    new = np.ones(len(left), bool)
-    new[1:] = left[1:] > right[:-1]
-    begin = np.flatnonzero(new)
-    return left[begin], right[np.append(begin[1:], len(left)) - 1] if len(begin) else right[:0]
-
-
-def hits(column: pa.Array, bench: Index) -> pa.Array:
-    n_words, owner, starts, ends, in_text, ids = [], [], [], [], [], []
+    if window in bench.windows and len(at):
+        close = np.minimum(np.searchsorted(bench.prints, prints), len(bench.prints) - 1)
+        met = at[bench.prints[close] == prints]
+        near = np.zeros(len(h) + 1, np.int64)  # a meeting is extended to the windows that hold it
+        np.add.at(near, np.maximum(met - (window - gram), 0), 1)
+        np.add.at(near, met + 1, -1)
+        some = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+        some = some[some + window <= last[some]]
+        hits, sets = bench.windows[window].find(_grams_at(h, some, window))
+        yield window, some[hits], sets
+    for length, table in bench.windows.items():
+        if length < window:
+            g = grams(h, length)
+            hits, sets = table.find(g)
+            inside = hits + length <= last[hits]
+            yield length, hits[inside], sets[inside]
+
+
+def _grams_at(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """``grams(h, n)`` at some places."""
+    need = np.zeros(len(h), bool)
+    for k in range(n):
+        need[at + k] = True
+    place = np.cumsum(need) - 1
+    return grams(h[need], n)[place[at]] if len(at) else np.zeros(0, np.uint64)
+
+
+def hits(column: pa.Array, bench: Index, ids: pa.Array) -> pa.Array:
+    """(n_words, start and end of the spans, ids of the items) of each text."""
+    n_words, owner, starts, ends, in_text, items = [], [], [], [], [], []
     for row, piece in pieces(texts(column)):
         found, h = folded_words(piece)
         n_words.append(np.diff(found.first))
-        left, right, item = spans(found, h, bench)
-        text = np.searchsorted(found.first, left, "right") - 1
-        for t in distinct(text):
-            of = text == t
-            a, b = _merged(left[of], right[of], len(h))
-            owner.append(np.full(len(a), t + row))
-            starts.append(a - found.first[t])
-            ends.append(b - found.first[t])
-            some = distinct(bench.ids[item[of]])
-            in_text.append(np.full(len(some), t + row))
-            ids.append(some)
+        edge, pairs = np.zeros(len(h) + 1, np.int64), []
+        for length, at, sets in found_windows(found, h, bench):
+            np.add.at(edge, at, 1)
+            np.add.at(edge, at + length, -1)
+            pairs.append(np.stack([np.searchsorted(found.first, at, "right") - 1, sets], 1))
+        covered = np.cumsum(edge[:-1]) > 0
+        opens, closes = covered.copy(), covered.copy()
+        opens[1:] &= ~covered[:-1] | (np.diff(found.text_of()) > 0)
+        closes[:-1] &= ~covered[1:] | (np.diff(found.text_of()) > 0)
+        a, b = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+        text = np.searchsorted(found.first, a, "right") - 1
+        owner.append(text + row)
+        starts.append(a - found.first[text])
+        ends.append(b - found.first[text])
+        if pairs:
+            text, number = np.unique(np.concatenate(pairs), axis=0).T
+            size = bench.first[number + 1] - bench.first[number]
+            spot = np.arange(int(size.sum())) + np.repeat(bench.first[number] - (np.cumsum(size) - size), size)
+            text, item = np.unique(np.stack([np.repeat(text, size), bench.members[spot]], 1), axis=0).T
+            in_text.append(text + row)
+            items.append(item)
     flat = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts]).astype(kind)
     rows = flat(owner, np.int64)
     return pa.StructArray.from_arrays(
@@ -158,61 +185,69 @@ def hits(column: pa.Array, bench: Index) -> pa.Array:
             pa.array(flat(n_words, np.int64)),
             lists(rows, pa.array(flat(starts, np.int32)), len(column)),
             lists(rows, pa.array(flat(ends, np.int32)), len(column)),
-            lists(flat(in_text, np.int64), pa.array(flat(ids, np.int64)), len(column)),
+            lists(flat(in_text, np.int64), ids.take(pa.array(flat(items, np.int64))), len(column)),
         ],
         ["n_words", "start", "end", "items"],
     )
 
 
-def _look_up(spark, rows: list) -> Column:
-    sent = spark.sparkContext.broadcast(index([(r[0], r[1]) for r in rows]))
+def _look_up(items: DataFrame) -> Column:
+    """A look-up of the column ``text`` in the items, which fit the driver and every worker."""
+    rows = items.select("item_id", "text").toArrow()
+    ids = rows.column("item_id").combine_chunks()
+    sent = items.sparkSession.sparkContext.broadcast((index(rows.column("text").to_pylist()), ids))
+    kind = items.schema["item_id"].dataType.simpleString()
 
-    @F.arrow_udf(HITS)
+    @F.arrow_udf(f"struct<n_words:bigint,start:array<int>,end:array<int>,items:array<{kind}>>")
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bench = sent.value
+        bench, ids = sent.value
         for column in batches:
-            yield hits(column, bench)
+            yield hits(column, bench, ids)
 
     return found(F.col("text"))
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, into: str = "hits", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with a struct: n_words, start and end of disjoint hit spans in words, ids of the items that occur."""
-    spark = docs.sparkSession
-    items = bench.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    items = bench.where("item_id is not null and text is not null").select("item_id", "text").distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-int(size) // block_bytes))
     if blocks == 1:
-        return docs.withColumn(into, _look_up(spark, items.collect()))
+        return docs.withColumn(into, _look_up(items))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    # Texts are told apart by 128 bits; equal ones have equal hits.
+    key = [F.xxhash64("text").alias("a"), F.xxhash64(F.reverse("text")).alias("b")]
+    some = None
     for k in range(blocks):
-        now = _look_up(spark, items.where(block == k).collect())
-        docs = docs.withColumn(into, now if k == 0 else _both(F.col(into), now)).checkpoint()
-    return docs
-
-
-def _both(a: Column, b: Column) -> Column:
-    """Spans and items of both; spans that meet become one."""
-    span = lambda h: F.arrays_zip(h["start"].alias("s"), h["end"].alias("e"))
-    all_spans = F.array_sort(F.transform(F.concat(span(a), span(b)), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
-    start = F.array().cast("array<struct<s:int,e:int>>")
-    merged = F.aggregate(
-        all_spans,
-        start,
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["e"] >= x["s"]),
-            F.concat(
-                F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))),
-                F.array(F.struct(F.try_element_at(done, F.lit(-1))["s"].alias("s"), F.greatest(F.try_element_at(done, F.lit(-1))["e"], x["e"]).alias("e"))),
-            ),
-        ).otherwise(F.concat(done, F.array(x))),
+        now = docs.select(*key, _look_up(items.where(block == k)).alias("h")).where(F.size("h.start") > 0).distinct()
+        some = now if some is None else some.unionByName(now)
+    every = written(some, "hits").groupBy("a", "b").agg(
+        _union_of_spans(F.array_sort(F.flatten(F.collect_list(F.arrays_zip(F.col("h.start").alias("s"), F.col("h.end").alias("e")))))).alias("spans"),
+        F.array_distinct(F.flatten(F.collect_list("h.items"))).alias("items"),
     )
-    return F.struct(
-        a["n_words"].alias("n_words"),
-        F.transform(merged, lambda x: x["s"]).alias("start"),
-        F.transform(merged, lambda x: x["e"]).alias("end"),
-        F.array_union(a["items"], b["items"]).alias("items"),
+    every = written(every, "met")
+    few = every.agg(F.coalesce(F.sum(F.size("spans") + F.size("items")), F.lit(0)).alias("n")).first()["n"] <= FEW_ROWS
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *key, _look_up(items.limit(0)).alias("none"))
+    joined = own.join(F.broadcast(every) if few else every, ["a", "b"], "left")
+    hit = F.struct(
+        F.col("none.n_words").alias("n_words"),
+        *(F.coalesce(F.col("spans")[k], F.array().cast("array<int>")).alias(name) for k, name in (("s", "start"), ("e", "end"))),
+        F.coalesce("items", F.col("none.items")).alias("items"),
     )
+    return joined.select(*(F.col("row")[c].alias(c) for c in docs.columns if c != into), hit.alias(into))
+
+
+def _union_of_spans(spans: Column) -> Column:
+    """Sorted spans (s, e); those that meet become one."""
+    last = lambda done: F.try_element_at(done, F.lit(-1))
+
+    def step(done: Column, x: Column) -> Column:
+        longer = F.struct(last(done)["s"].alias("s"), F.greatest(last(done)["e"], x["e"]).alias("e"))
+        others = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when((F.size(done) > 0) & (last(done)["e"] >= x["s"]), F.concat(others, F.array(longer))).otherwise(F.concat(done, F.array(x)))
+
+    kind = "array<struct<s:int,e:int>>"
+    return F.aggregate(spans.cast(kind), F.array().cast(kind), step)
 
 
 def words_hit(hit: Column) -> Column:

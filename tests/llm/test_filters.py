@@ -145,6 +145,36 @@ def test_decontamination_of_messy_tables(spark, messy, nothing):
     assert all(not r.found["items"] for r in contamination.decontaminate(messy, bench.limit(0), into="found").collect())
 
 
+@pytest.mark.parametrize("block_bytes", [contamination.BLOCK_BYTES, 200])
+def test_hits_of_texts_that_repeat_themselves(spark, rng, block_bytes):
+    items = [("one", "0 " * 40), ("two", "0 1 " * 20), ("three", "a b c " * 9 + "d " * 12), ("short", "1 0 1"), ("same", "0 " * 40), ("dash-id", "0 " * 9 + "1")]
+    docs = [(0, "0 " * 300), (1, "0 1 " * 100), (2, "c a b " * 30 + "d " * 30), (3, "0 " * 9 + "x " + "0 " * 10), (4, "1 " + "0 " * 30 + "1 " * 3)]
+    docs += [(k, " ".join(rng.choice("01") for _ in range(400))) for k in range(5, 25)]
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    for r in contamination.decontaminate(rows, bench, block_bytes=block_bytes).collect():
+        n, covered, which = hits_of(r.text, items)
+        assert r.hits.n_words == n and set(r.hits["items"]) == which and len(r.hits["items"]) == len(which)
+        assert {i for a, b in zip(r.hits.start, r.hits.end, strict=True) for i in range(a, b)} == covered
+        assert all(b < c for b, c in zip(r.hits.end, r.hits.start[1:], strict=False))
+
+
+def test_long_repetition_on_both_sides_ends(spark):
+    import time
+
+    import pyarrow as pa
+
+    items = ["0 " * 5_000, "0 1 " * 2_500, *(f"answer the following question with one of the words below please {k}" for k in range(3_000))]
+    began = time.monotonic()
+    bench = contamination.index(items)
+    column = pa.array(["0 " * 100_000, "0 1 1 " * 30_000, "answer the following question with one of the words below please " * 3_000])
+    out = contamination.hits(column, bench, pa.array(range(len(items)))).to_pylist()
+    assert time.monotonic() - began < 20
+    assert (out[0]["start"], out[0]["end"], out[0]["items"]) == ([0], [100_000], [0]) and out[1]["items"] == []
+    assert out[2]["items"] == list(range(2, 3_002)) and out[2]["start"] == [0]
+    assert len(bench.members) < 10_000
+
+
 VALUES = {
     "email": "bob.smith+x@mail7.example.org",
     "iban": "DE89 3704 0044 0532 0130 00",
