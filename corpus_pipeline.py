@@ -33,19 +33,39 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.withColumn(score, toxicity.scorer(spark, toxicity.fit(docs, labels))).where(F.col(score) < TOXIC).drop(score)
 
 
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number for each id and text: the id, but of an id with several texts only for one of them; the others
+    get numbers above all ids. Null where the id is null."""
+    slim = docs.where("doc_id is not null").select(F.col("doc_id").alias("i"), F.xxhash64("text").alias("t"))
+    several = written(slim.groupBy("i").agg(F.min("t").alias("first"), F.max("t").alias("last")).where("first < last").select("i", "first"), "several")
+    if several.isEmpty():
+        return docs.withColumn(name, F.col("doc_id"))
+    others = slim.join(if_few(several), "i").where("t > first").select("i", "t").distinct()
+    top = slim.agg(F.max("i")).first()[0]
+    others = written(others.withColumn("k", F.monotonically_increasing_id() + F.lit(top + 1)), "others")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    own = docs.select(row.alias("row"), F.col("doc_id").alias("i"), F.xxhash64("text").alias("t")).join(if_few(others), ["i", "t"], "left")
+    return own.select("row.*", F.coalesce("k", "i").alias(name))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near duplicates, and all rows without an id.
+    """One document of each group of near duplicates, that of the smallest id, and all rows without an id.
 
-    Of rows that repeat an id only the least stays.
+    Rows that repeat an id with another text are documents of their own and come after all ids; of rows that repeat an
+    id and its text one stays.
     """
     small_batches(spark)
-    decided = written(neardup.near_duplicates(docs), "decided")
-    docs = docs.join(if_few(written(decided.where("not kept").select("doc_id").distinct(), "dropped")), "doc_id", "left_anti").select(docs.columns)
-    repeated = written(decided.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if not repeated.limit(1).count():
-        return docs
-    least = docs.join(repeated, "doc_id", "left_semi").select(docs.columns).groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return docs.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(least.select("row.*"))
+    name = _own(docs, "near_number")
+    numbered = _numbered(docs, name)
+    decided = written(neardup.near_duplicates(numbered.select(F.col(name).alias("doc_id"), "text")).withColumnRenamed("doc_id", name), "decided")
+    dropped = written(decided.where("not kept").select(name).distinct(), "dropped")
+    left = numbered.join(if_few(dropped), name, "left_anti").select(numbered.columns)
+    repeated = written(decided.where(F.col("kept") & F.col(name).isNotNull()).groupBy(name).count().where("count > 1").select(name), "repeated")
+    if repeated.isEmpty():
+        return left.drop(name)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    one = left.join(if_few(repeated), name, "left_semi").select(numbered.columns).groupBy(name).agg(F.min_by(row, F.to_json(row)).alias("row"))
+    return left.join(if_few(repeated), name, "left_anti").select(docs.columns).unionByName(one.select("row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
