@@ -4,7 +4,9 @@ A value counts if it is valid in its kind: payment cards by their check digit, b
 numbers and internet addresses by range, dates by the calendar, telephone numbers and mail addresses by form. The valid
 values of a kind are numbered, and a keyed Feistel network permutes the numbers, walking on until it meets a number of
 the same kind, so the result is valid, has the form of the original, and is undone by the same key. Equal values stay
-equal in all documents, also if they are written with other separators; nothing is stored and nothing is shuffled.
+equal in all documents, also if they are written with other separators; nothing is stored and nothing is shuffled. A
+date that can only be month before day, and would not be so any more, gets the next one that is. Telephone numbers keep their country code.
+Digits are those of ASCII; others are not values.
 Where digits or capitals next to a value make a longer match that fails, the value is told apart from them; if they would
 make a valid match with its pseudonym, it gets the next one, so that the key still undoes it.
 
@@ -69,14 +71,17 @@ class Kind(NamedTuple):
     value: Callable[[int, str, object], str]
 
 
+_DIGITS = frozenset("0123456789")
+
+
 def _digits(s: str) -> str:
-    return "".join(c for c in s if c.isdigit())
+    return "".join(c for c in s if c in _DIGITS)
 
 
 def _fill(form: str, digits: str) -> str:
     """The digits in the places of the form's."""
     left = iter(digits)
-    return "".join(next(left) if c.isdigit() else c for c in form)
+    return "".join(next(left) if c in _DIGITS else c for c in form)
 
 
 def luhn(digits: str) -> bool:
@@ -97,13 +102,17 @@ def _card_back(x: int, form: str, first) -> str:
     return _fill(form, next(body + c for c in "0123456789" if luhn(body + c)))
 
 
+#: The country codes of two digits; those that begin with 1 or 7 have one, all others three.
+_TWO_DIGITS = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+def _country(digits: str) -> str:
+    return digits[: 1 if digits[0] in "17" else 2 if digits[:2] in _TWO_DIGITS else 3]
+
+
 def _phone(s: str):
     d = _digits(s)
-    if s[0] == "+":
-        country = re.match(r"\+(\d{1,3})(?!\d)", s)
-        country = country[1] if country else d[:2]
-    else:
-        country = ""
+    country = _country(d) if s[0] == "+" else ""
     rest = d[len(country) :]
     if not 8 <= len(d) <= 15 or len(rest) < 6:
         return None
@@ -213,23 +222,25 @@ def _iban(s: str):
     plain = s.replace(" ", "")
     if not 15 <= len(plain) <= 34 or _remainder(plain[4:] + plain[:4]) != 1:
         return None
-    return *_mixed(plain[4:]), plain
+    form = "".join("0" if c in _DIGITS else "A" for c in plain[4:])
+    return *_mixed(plain[4:]), (plain[:2], form)
 
 
-def _iban_back(x: int, form: str, plain) -> str:
-    body = _mixed_back(x, plain[4:])
-    left = iter(f"{plain[:2]}{98 - _remainder(body + plain[:2] + '00'):02d}{body}")
+def _iban_back(x: int, form: str, kept) -> str:
+    country, body_form = kept
+    body = _mixed_back(x, body_form)
+    left = iter(f"{country}{98 - _remainder(body + country + '00'):02d}{body}")
     return "".join(c if c == " " else next(left) for c in form)
 
 
 _OF: dict[str, Kind] = {
     "email": Kind(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w@])", _email, _email_back),
-    "iban": Kind(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)", _iban, _iban_back),
-    "date": Kind(r"(?<![\w./-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d[./-]\d\d[./-]\d{4})(?![\w/-])(?!\.\d)", _date, _date_back),
-    "ip": Kind(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w)(?!\.\d)", _ip, _ip_back),
-    "phone": Kind(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w+(])\(\d{3}\) ?\d{3}-\d{4}(?!\w)|(?<![\w+.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])", _phone, _phone_back),
-    "ssn": Kind(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn, _ssn_back),
-    "card": Kind(r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])", _card, _card_back),
+    "iban": Kind(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)", _iban, _iban_back),
+    "date": Kind(r"(?<![\w./-])(?:[0-9]{4}-[0-9][0-9]-[0-9][0-9]|[0-9]{4}/[0-9][0-9]/[0-9][0-9]|[0-9][0-9][./-][0-9][0-9][./-][0-9]{4})(?![\w/-])(?!\.[0-9])", _date, _date_back),
+    "ip": Kind(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w)(?!\.[0-9])", _ip, _ip_back),
+    "phone": Kind(r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?!\w)|(?<![\w+(])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?!\w)|(?<![\w+.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w-])", _phone, _phone_back),
+    "ssn": Kind(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])", _ssn, _ssn_back),
+    "card": Kind(r"(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])", _card, _card_back),
 }
 _FIND = re.compile("|".join(f"(?P<{k}>{_OF[k].pattern})" for k in KINDS))
 _AT = {k: re.compile(_OF[k].pattern) for k in KINDS}
@@ -318,7 +329,11 @@ def pseudonym(kind: str, value: str, key: bytes, back: bool = False) -> str | No
     if found is None:
         return None
     x, size, rest = found
-    return of.value(feistel(x, size, key, kind, back), value, rest)
+    while True:  # walks on where the new value would be read as another number, e.g. a day as a month
+        x = feistel(x, size, key, kind, back)
+        new = of.value(x, value, rest)
+        if of.number(new) == (x, size, rest):
+            return new
 
 
 def _stays(text: str, hit: Hit, new: str) -> bool:

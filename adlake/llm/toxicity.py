@@ -89,6 +89,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(marked), "doc_id")
+        # Of rows that repeat an id one is learned from, so the bound on labels is one on rows.
+        .groupBy("doc_id")
+        .agg(F.first("label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text"))
         .select(F.xxhash64("doc_id", "text").alias("turn"), "label", F.arrow_udf(feature_slots, "array<int>")("text").alias("slots"))
         .repartition(1)
         .sortWithinPartitions("turn", "label")

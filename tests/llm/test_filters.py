@@ -245,6 +245,115 @@ def test_cards_before_a_code_come_back():
         assert counts["card"] == 1 and pseudonyms.rewrite(new, KEY, True)[0] == text
 
 
+def plain(kind, value, back=False):
+    """The permutation by its definition: numbers of the kind in a row, walked through until one is read in the same form."""
+    x, size, rest = pseudonyms._OF[kind].number(value)
+    for _ in range(10_000):
+        x = pseudonyms.feistel(x, size, KEY, kind, back)
+        new = pseudonyms._OF[kind].value(x, value, rest)
+        if pseudonyms._OF[kind].number(new) == (x, size, rest):
+            return new
+
+
+def test_all_days_come_back():
+    import datetime
+
+    for form in ("%Y-%m-%d", "%m/%d/%Y", "%d.%m.%Y"):
+        seen = set()
+        for k in range(0, 73_049, 11):
+            value = (datetime.date(1900, 1, 1) + datetime.timedelta(k)).strftime(form)
+            new = pseudonyms.pseudonym("date", value, KEY)
+            assert new == plain("date", value) and pseudonyms.pseudonym("date", new, KEY, True) == value
+            seen.add(new)
+        assert len(seen) == len(range(0, 73_049, 11))
+
+
+def test_telephone_numbers_stay_linked_for_all_country_codes():
+    for code in [str(k) for k in (1, 7, 20, 34, 49, 86, 98)] + [str(k) for k in (211, 351, 420, 599, 670, 852, 971, 998)]:
+        own = [pseudonyms.pseudonym("phone", v, KEY) for v in (f"+{code} 912345678", f"+{code}912345678", f"+{code}-912-345-678")]
+        digits = {re.sub("[^0-9]", "", v) for v in own}
+        assert len(digits) == 1 and digits.pop().startswith(code)
+        assert pseudonyms.pseudonym("phone", own[0], KEY, True) == f"+{code} 912345678"
+    for code in range(1, 1000):
+        value = f"+{code}55512345"
+        new = pseudonyms.pseudonym("phone", value, KEY)
+        assert len(new) == len(value) and pseudonyms.pseudonym("phone", new, KEY, True) == value
+
+
+def test_digits_of_other_scripts_stay():
+    arabic = str.maketrans("0123456789", "٠١٢٣٤٥٦٧٨٩")
+    for value in (CARD, "2024-02-29", "+1 217 555 7713", "123-45-6789"):
+        text = f"x {value.translate(arabic)} y"
+        assert pseudonyms.rewrite(text, KEY)[0] == text
+
+
+def test_a_table_against_plain_search(spark, rng, prose):
+    """Every value stands alone in its text, so a plain list of them says what must come out."""
+    makers = {
+        "card": lambda: (lambda body: next(body + k for k in "0123456789" if pseudonyms.luhn(body + k)))(f"4{rng.randrange(10**14):014d}"),
+        "date": lambda: f"{rng.randint(1950, 2050)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}",
+        "phone": lambda: f"+{rng.choice([1, 44, 351])} {rng.randrange(10**8, 10**9)}",
+        "ssn": lambda: f"{rng.randint(1, 665):03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}",
+        "ip": lambda: ".".join(str(rng.randrange(256)) for _ in range(4)),
+        "email": lambda: f"{rng.choice('abcxyz')}{rng.randrange(10**7)}@mail.example",
+    }
+    rows = []
+    for k in range(300):
+        parts, want = [prose(rng.randint(1, 9))], [None]
+        for _ in range(rng.randint(0, 4)):
+            kind = rng.choice(list(makers))
+            value = makers[kind]()
+            parts += [value, prose(rng.randint(1, 9))]
+            want += [(kind, value), None]
+        rows.append((k, " ".join(parts), " ".join(plain(*w) if w else p for p, w in zip(parts, want, strict=True))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, want string")
+    out = docs.select("text", "want", pseudonyms.pseudonymise(F.col("text"), KEY)["text"].alias("new"))
+    out = out.withColumn("back", pseudonyms.pseudonymise(F.col("new"), KEY, back=True)["text"]).collect()
+    assert all(r.new == r.want and r.back == r.text for r in out)
+
+
+def test_learning_reads_a_repeated_id_once(spark, prose, rng):
+    rows = spark.createDataFrame(marked(prose, rng, 300), "doc_id bigint, text string, toxic int")
+    once = toxicity.fit(rows, rows.select("doc_id", "toxic"))
+    twice = rows.union(rows.where("doc_id < 20")).union(rows.where("doc_id < 20"))
+    again = toxicity.fit(twice, rows.select("doc_id", "toxic"))
+    assert (once[0] == again[0]).all() and (once[1] == again[1]).all()
+
+
+def test_weights_are_those_of_plain_ftrl(spark, prose, rng):
+    """The fitted weights against FTRL-proximal written out, one coordinate at a time in dictionaries."""
+    import math
+
+    import pyarrow as pa
+
+    data = marked(prose, rng, 120)
+    rows = spark.createDataFrame(data, "doc_id bigint, text string, toxic int")
+    slots, weights = toxicity.fit(rows, rows.select("doc_id", "toxic"))
+    order = [r.doc_id for r in rows.orderBy(F.xxhash64("doc_id", "text")).collect()]
+    lists = dict(zip([i for i, _, _ in data], toxicity.feature_slots(pa.array([t for _, t, _ in data])).to_pylist(), strict=True))
+    labels = {i: y for i, _, y in data}
+    bias, z, n = 1 << toxicity.BITS, {}, {}
+
+    def weight(k):
+        l1 = 0 if k == bias else toxicity.L1
+        zk = z.get(k, 0.0)
+        if abs(zk) <= l1:
+            return 0.0
+        return (math.copysign(l1, zk) - zk) / ((toxicity.BETA + math.sqrt(n.get(k, 0.0))) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for i in order:
+            own = [*lists[i], bias]
+            w = [weight(k) for k in own]
+            g = 1 / (1 + math.exp(-min(35, max(-35, sum(w))))) - labels[i]
+            for k, wk in zip(own, w, strict=True):
+                z[k] = z.get(k, 0.0) + g - (math.sqrt(n.get(k, 0.0) + g * g) - math.sqrt(n.get(k, 0.0))) / toxicity.ALPHA * wk
+                n[k] = n.get(k, 0.0) + g * g
+    want = {k: weight(k) for k in z if weight(k)}
+    assert set(want) == set(slots.tolist())
+    assert max(abs(want[k] - w) for k, w in zip(slots.tolist(), weights.tolist(), strict=True)) < 1e-6
+
+
 @pytest.mark.parametrize("size", [2, 3, 7, 100, 898 * 99 * 9999])
 def test_feistel_is_a_permutation(size):
     some = range(size) if size < 1000 else range(0, size, size // 500)
