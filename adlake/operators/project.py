@@ -27,13 +27,16 @@ def exclude_value(df: DataFrame, column: str, value: Any) -> DataFrame:
     return df.filter(F.col(column) != F.lit(value))
 
 
-def recent(df: DataFrame, column: str, days: int, today: Any = None) -> DataFrame:
-    """Rows of the last ``days`` days before ``today`` (that day excluded)."""
+def recent(
+    df: DataFrame, column: str, days: int, today: Any = None, limit: int | None = None, order_by: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of the last ``days`` days before ``today`` (that day excluded); with a ``limit`` the first so many by ``order_by``."""
     day = F.current_date() if today is None else F.lit(today).cast("date")
     at = F.col(column)
-    return df.filter(
-        (at >= F.date_sub(day, days).cast("timestamp_ntz")) & (at < day.cast("timestamp_ntz"))
-    )
+    rows = df.filter((at >= F.date_sub(day, days).cast("timestamp_ntz")) & (at < day.cast("timestamp_ntz")))
+    if limit is None:
+        return rows
+    return rows.orderBy(*(order_by or [column])).limit(limit)
 
 
 def exclude_entities(df: DataFrame, column: str, skip: Iterable[Any] | DataFrame) -> DataFrame:

@@ -181,26 +181,51 @@ def report_grain(
     people cannot be added and are NULL. Steps of ``days`` are counted from ``since``.
     """
     keys = [*LEVEL_KEYS[level], *BREAKDOWNS[breakdown]]
-    origin = F.lit(since).cast("date")
-    offset = F.pmod(F.datediff(F.col("date_start"), origin), F.lit(days))
-    start = F.date_sub(F.col("date_start"), offset)
-    sums = df.groupBy(*keys, start.alias("date_start")).agg(
-        *[F.sum(m).alias(m) for m in ADDITIVE_METRICS]
-    )
+    sums = _stepped(df, days, since).groupBy(*keys, "date_start").agg(*[F.sum(m).alias(m) for m in ADDITIVE_METRICS])
+    return sums.select(*keys, *_grain_columns(days))
+
+
+def report_grains(
+    df: DataFrame,
+    level: str = "ad",
+    breakdowns: Sequence[str] = tuple(BREAKDOWNS),
+    days: int = 1,
+    since: str = "1970-01-01",
+) -> DataFrame:
+    """The rows of ``report_grain`` for several breakdowns, from one pass and one shuffle.
+
+    ``breakdown`` names the preset of a row; columns that it does not break down by are NULL.
+    """
+    extra = list(dict.fromkeys(c for b in breakdowns for c in BREAKDOWNS[b]))
+    keys = [*LEVEL_KEYS[level], "date_start", *extra]
+    wanted = {b: [*LEVEL_KEYS[level], "date_start", *BREAKDOWNS[b]] for b in breakdowns}
+    sums = _stepped(df, days, since).groupingSets([[F.col(c) for c in own] for own in wanted.values()], *keys)
+    sums = sums.agg(*[F.sum(m).alias(m) for m in ADDITIVE_METRICS], F.grouping_id().alias("_left_out"))
+    # A bit for each key, the first the highest, set where it is summed over.
+    left_out = {b: sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in own) for b, own in wanted.items()}
+    name = F.coalesce(*[F.when(F.col("_left_out") == bits, b) for b, bits in left_out.items()])
+    return sums.select(name.alias("breakdown"), *LEVEL_KEYS[level], *extra, *_grain_columns(days))
+
 
+def _stepped(df: DataFrame, days: int, since: str) -> DataFrame:
+    """The day of a row as the first one of its step."""
+    offset = F.pmod(F.datediff(F.col("date_start"), F.lit(since).cast("date")), F.lit(days))
+    return df.withColumn("date_start", F.date_sub(F.col("date_start"), offset))
+
+
+def _grain_columns(days: int) -> list[Column]:
     def ratio(a: str, b: str, factor: float = 1.0) -> Column:
         return F.try_divide(F.col(a).cast("double") * F.lit(factor), F.col(b).cast("double"))
 
-    return sums.select(
-        *keys,
-        "date_start",
+    return [
+        F.col("date_start"),
         F.date_add("date_start", days - 1).alias("date_stop"),
-        *ADDITIVE_METRICS,
+        *map(F.col, ADDITIVE_METRICS),
         ratio("clicks", "impressions", 100.0).alias("ctr"),
         ratio("spend", "clicks").alias("cpc"),
         ratio("spend", "impressions", 1000.0).alias("cpm"),
         *[F.lit(None).cast("double").alias(m) for m in NON_ADDITIVE_METRICS],
-    )
+    ]
 
 
 def with_day_key(

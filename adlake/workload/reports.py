@@ -12,7 +12,9 @@ from adlake.operators.reports import (
     day_totals,
     engagement_daily,
     per_app,
+    BREAKDOWNS,
     report_grain,
+    report_grains,
     revenue_daily,
     top_days,
     with_day_key,
@@ -400,3 +402,39 @@ def report_grain_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report_grain_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = report_grain(_ad_days(spark, sf_dir), "account", "ads_insights_country")
     return _grain_columns(daily, ["account_id", "country"])
+
+
+# Columns of the line items that stand for what reports are broken down by.
+_BROKEN_DOWN = {
+    "age": "CAST(l_linenumber AS STRING)",
+    "gender": "l_linestatus",
+    "country": "l_linestatus",
+    "publisher_platform": "CASE WHEN l_linenumber < 6 THEN l_returnflag END",
+    "platform_position": "CAST(l_linenumber % 2 AS STRING)",
+    "impression_device": "l_linestatus",
+    "region": "CAST(l_suppkey % 5 AS STRING)",
+    "dma": "CAST(l_partkey % 3 AS STRING)",
+    "hourly_stats_aggregated_by_advertiser_time_zone": "CAST(l_orderkey % 24 AS STRING)",
+}
+_GRAINS_SQL = " UNION ALL ".join(
+    f"""
+    SELECT '{name}' AS breakdown, account_id, {', '.join(c if c in own else f"NULL AS {c}" for c in _BROKEN_DOWN)},
+           date_start, date_stop, impressions, clicks, spend, ctr, cpc, cpm
+    FROM ({_grain_sql(", ".join(["l_returnflag AS account_id", *(f"{_BROKEN_DOWN[c].replace('STRING', 'VARCHAR')} AS {c}" for c in own)]), ", ".join(["account_id", *own]), 28)})
+    """
+    for name, own in BREAKDOWNS.items()
+)
+
+
+@query("report_grains", _GRAINS_SQL)
+def report_grains_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of four weeks by all breakdowns at a time."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("account_id"),
+        *[F.expr(e).alias(c) for c, e in _BROKEN_DOWN.items()],
+        F.to_date("l_shipdate").alias("date_start"),
+        F.col("l_quantity").cast("bigint").alias("impressions"),
+        F.col("l_linenumber").cast("bigint").alias("clicks"),
+        money("l_extendedprice").alias("spend"),
+    )
+    return _grain_columns(report_grains(rows, "account", days=28, since="1995-01-01"), ["breakdown", "account_id", *_BROKEN_DOWN])

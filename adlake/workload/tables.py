@@ -384,7 +384,7 @@ def backfill_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
       EXCEPT
       SELECT c_mktsegment, CAST(c_nationkey AS VARCHAR) FROM customer WHERE c_acctbal > 9500
     )
-    SELECT resource, string_agg(entity, ',' ORDER BY entity) AS entities FROM gaps GROUP BY resource
+    SELECT resource, count(*) AS n_missing, array_to_string((list(entity ORDER BY entity))[1:3], ',') AS entities FROM gaps GROUP BY resource
     """,
 )
 def completeness_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,8 +393,8 @@ def completeness_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey").cast("string").alias("entity"),
         (F.col("c_acctbal") > 9500).alias("complete"),
     )
-    gaps = completeness(landed, landed)
-    return gaps.select("resource", F.array_join("entities", ",").alias("entities"))
+    gaps = completeness(landed, landed, shown=3)
+    return gaps.select("resource", "n_missing", F.array_join("entities", ",").alias("entities"))
 
 
 @query(
@@ -446,8 +446,8 @@ def project_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def recent_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of the last 14 days, at most 1000 of them as the report has it."""
-    changes = recent(table(spark, sf_dir, "orders"), "o_orderdate", 14, dt.date(2001, 7, 15))
-    return changes.orderBy("o_orderdate", "o_orderkey").limit(1000).select(
+    orders, order = table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"]
+    return recent(orders, "o_orderdate", 14, dt.date(2001, 7, 15), limit=1000, order_by=order).select(
         "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("change_date_time")
     )
 

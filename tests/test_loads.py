@@ -1,10 +1,11 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adlake.operators import dedupe, diff, incremental, merge, project, quality, sinks, windows
+from adlake.operators import dedupe, diff, incremental, merge, project, quality, reports, sinks, windows
 from adlake.plans import exports
 from adlake.sources.tables import pull_increment, read_entities
 from adlake.spec import APPEND, MERGE, REPLACE, TableSpec, check_schema_version, disposition_for, table_name
@@ -139,6 +140,25 @@ def test_a_cap_never_parts_equal_cursor_values(spark, n, kind):
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
 
+@pytest.mark.parametrize("few", [incremental.FEW_VALUES, 0])
+def test_the_last_position_is_exact(spark, monkeypatch, few):
+    rng = random.Random(5)
+    monkeypatch.setattr(incremental, "FEW_VALUES", few)
+    values = [rng.choice([rng.randrange(10**12), 7, -5, rng.randrange(100)]) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "c bigint").repartition(3)
+    for n in (1, 2, 700, 1500, 2999):
+        assert incremental._last_position(df, F.col("c"), n) == sorted(values)[n - 1] == incremental._counted_position(df, F.col("c"), n)
+    assert incremental._last_position(df, F.col("c"), 3000) is None and incremental._last_position(df.limit(0), F.col("c"), 1) is None
+
+
+def test_a_sketch_that_errs_is_found_out(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "SKETCH_K", 8)
+    monkeypatch.setattr(incremental, "SKETCH_ERROR", 0.0)
+    df = spark.range(5000).select(F.col("id").alias("c"))
+    for n in (1, 17, 2500, 4998):
+        assert incremental._last_position(df, F.col("c"), n) == n - 1
+
+
 @pytest.mark.parametrize("cap", [1, 2, 3, 100])
 def test_capped_runs_load_every_row(spark, cap):
     df = spark.createDataFrame([(1, 1), (2, 2), (3, 2), (4, 2), (5, 3), (6, None), (7, None)], "id int, c int")
@@ -328,7 +348,8 @@ def test_completeness(spark):
     schema = "resource string, entity string, complete boolean"
     expected = spark.createDataFrame([(r, e, True) for r in ("ads", "sets") for e in ("x", "y", "z")], schema)
     landed = spark.createDataFrame([("ads", "x", True), ("ads", "y", False), ("ads", "z", False), ("ads", "z", True), ("sets", "q", True)], schema)
-    assert pairs(quality.completeness(expected, landed)) == [("ads", ["y"]), ("sets", ["x", "y", "z"])]
+    assert pairs(quality.completeness(expected, landed)) == [("ads", 1, ["y"]), ("sets", 3, ["x", "y", "z"])]
+    assert pairs(quality.completeness(expected, landed, shown=2)) == [("ads", 1, ["y"]), ("sets", 3, ["x", "y"])]
     with pytest.raises(RuntimeError, match="ads: y; sets: x, y, z"):
         quality.completeness_gate(expected, landed)
     quality.completeness_gate(expected, expected)
@@ -572,3 +593,28 @@ def test_staged_rows_that_repeat_do_not_multiply(spark):
     base = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     staged = spark.createDataFrame([(1, 5), (1, 6)], "id int, extra int")
     assert pairs(merge.apply_backfill(base, staged, "id", ["extra"])) == [(1, "a", 6), (2, "b", None)]
+
+
+def test_grains_in_one_pass_are_those_of_each(spark):
+    keys = [c for own in reports.BREAKDOWNS.values() for c in own]
+    df = spark.range(300).select(
+        F.lit("a").alias("account_id"),
+        F.pmod("id", F.lit(3)).cast("string").alias("campaign_id"),
+        *[F.when(F.col("id") % 7 != i % 7, F.pmod(F.xxhash64("id", F.lit(c)), F.lit(2)).cast("string")).alias(c) for i, c in enumerate(keys)],
+        F.date_add(F.lit(dt.date(2024, 1, 1)), F.pmod("id", F.lit(20)).cast("int")).alias("date_start"),
+        F.col("id").alias("impressions"), (F.col("id") % 5).alias("clicks"), F.col("id").cast("double").alias("spend"),
+    )
+    every = reports.report_grains(df, "campaign", days=7, since="2024-01-01")
+    plan = every._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    every = every.persist()
+    for name, own in reports.BREAKDOWNS.items():
+        want = reports.report_grain(df, "campaign", name, 7, "2024-01-01")
+        assert pairs(every.filter(F.col("breakdown") == name).select(want.columns)) == pairs(want)
+    every.unpersist()
+
+
+def test_recent_rows_up_to_a_limit(spark):
+    df = spark.range(30).select("id", F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'").alias("at"))
+    assert project.recent(df, "at", 5, dt.date(2024, 1, 3)).count() == 30
+    assert pairs(project.recent(df, "at", 5, dt.date(2024, 1, 3), limit=3, order_by=["at", "id"]).select("id")) == [(0,), (1,), (2,)]
