@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 
-def _orderable(t: T.DataType) -> bool:
+def orderable(t: T.DataType) -> bool:
     if isinstance(t, (T.MapType, T.VariantType)):
         return False
     if isinstance(t, T.ArrayType):
-        return _orderable(t.elementType)
+        return orderable(t.elementType)
     if isinstance(t, T.StructType):
-        return all(_orderable(f.dataType) for f in t.fields)
+        return all(orderable(f.dataType) for f in t.fields)
     return True
 
 
@@ -27,7 +27,7 @@ def _one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], la
     rest = [c for c in df.columns if c not in keys and c not in order]
     if not order and not rest:
         return df.select(*keys).distinct()
-    ties = [c for c in rest if _orderable(df.schema[c].dataType)]
+    ties = [c for c in rest if orderable(df.schema[c].dataType)]
     if len(ties) == len(rest):
         # Later columns break ties, so the same input always keeps the same row.
         row = F.struct(*order, *rest)

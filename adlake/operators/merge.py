@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from adlake.operators.dedupe import latest
+from adlake.operators.dedupe import orderable, latest
 from adlake.operators.quality import raise_if_rows
 
 
@@ -77,17 +77,48 @@ def merge_report_rows(groups: Sequence[DataFrame], keys: Sequence[str]) -> DataF
     return picked.select(*keys, *[overlay(n) for n in columns])
 
 
-def enrich(df: DataFrame, extra: DataFrame, key: str, require_all: bool = False) -> DataFrame:
+SALTS = 64
+#: Ids that the sketch may name. Only their attributes are copied, so there are at most SALTS * MOST_HOT copies.
+MOST_HOT = 64
+
+
+def hot_ids(df: DataFrame, key: str, share: float) -> list:
+    """Ids that hold about ``share`` of the rows or more, by a sketch of the frequent ones; NULL is not among them."""
+    name = "`" + key.replace("`", "``") + "`"
+    found = df.filter(F.col(name).isNotNull()).agg(
+        F.expr(f"approx_top_k({name}, {MOST_HOT}, {64 * MOST_HOT})").alias("top"), F.count(F.lit(1)).alias("n")
+    ).first()
+    return [r["item"] for r in found["top"] or [] if r["count"] >= share * found["n"]]
+
+
+def _salted_join(df: DataFrame, right: DataFrame, key: str, hot: Sequence) -> DataFrame:
+    """Left join on ``key`` where the rows of hot ids, and those without an id, are dealt over ``SALTS`` parts.
+
+    The part of a row follows from its values and its partition, so a task that runs again deals it the same way.
+    """
+    salts = [F.lit(i) for i in range(SALTS)]
+    values = [c for c in df.columns if orderable(df.schema[c].dataType)]
+    dealt = F.pmod(F.xxhash64(*values) + F.spark_partition_id(), F.lit(SALTS)).cast("int")
+    spread = F.col(key).isNull() | F.col(key).isin(*hot)
+    copies = F.when(F.col(key).isin(*hot), F.array(*salts)).otherwise(F.array(F.lit(0)))
+    left = df.withColumn("_salt", F.when(spread, dealt).otherwise(0))
+    return left.join(right.withColumn("_salt", F.explode(copies)), [key, "_salt"], "left").drop("_salt")
+
+
+def enrich(
+    df: DataFrame, extra: DataFrame, key: str, require_all: bool = False, hot_share: float | None = None
+) -> DataFrame:
     """Lay the attributes of ``extra`` over the rows by id; where an id matches, they override.
 
-    ``require_all`` fails the whole batch when any id has no match.
+    ``require_all`` fails the whole batch when any id has no match. ``hot_share`` looks for ids of at least that share
+    of the rows and salts them on both sides, at the price of one scan of the ids.
     """
     attrs = [c for c in extra.columns if c != key]
     one = latest(extra, [key])
     if require_all:
         raise_if_rows(df.join(one, key, "left_anti").select(key), f"ids without a match on {key}")
     right = one.select(F.col(key), F.struct(*attrs).alias("_extra"))
-    joined = df.join(right, key, "left")
+    joined = df.join(right, key, "left") if hot_share is None else _salted_join(df, right, key, hot_ids(df, key, hot_share))
     hit = F.col("_extra").isNotNull()
     kept = [
         F.when(hit, F.col("_extra")[c]).otherwise(F.col(c)).alias(c) if c in attrs else F.col(c)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -14,6 +15,10 @@ from adlake.operators.project import union_rows
 from adlake.operators.sinks import cut_lineage
 
 
+#: Files whose headers are read at a time.
+HEADERS_AT_ONCE = 16
+
+
 def read_json_items(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -54,18 +59,22 @@ def statistics_files(
     return [p for p in paths if (m := name.search(p)) and m.group(2) in wanted]
 
 
-def _header_groups(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
-    """Files by their header line; one small job reads the first bytes of every file."""
-    heads = (
-        spark.read.format("binaryFile")
-        .load(list(paths))
-        .select("path", F.split(F.decode("content", "UTF-16"), "\r?\n").getItem(0).alias("header"))
-        .collect()
-    )
+def _header_groups(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> dict[str, list[str]]:
+    """Files by their header line; empty files have none.
+
+    A task for each file ends with its first record, so what is read of a file does not follow its size. Files are
+    those of one report, some hundreds at most; their tasks run ``HEADERS_AT_ONCE`` at a time.
+    """
+    # A record is a whole line here: no separator and no quotes.
+    reader = spark.read.schema("header string").option("sep", "\x01").option("quote", "").option("multiLine", True)
+    reader = reader.option("encoding", encoding)
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        heads = list(pool.map(lambda path: reader.csv(path).head(), paths))
     groups: dict[str, list[str]] = defaultdict(list)
-    for row in heads:
-        groups[row["header"]].append(row["path"])
-    return list(groups.values())
+    for path, head in zip(paths, heads, strict=True):
+        if head is not None and head["header"] is not None:
+            groups[head["header"]].append(path)
+    return groups
 
 
 def read_play_csv(
@@ -84,10 +93,10 @@ def read_play_csv(
         return None
     reader = spark.read.option("header", True).option("encoding", "UTF-16").option("multiLine", True)
     parts = []
-    for group in _header_groups(spark, found):
+    for group in _header_groups(spark, found, "UTF-16").values():
         rows = reader.option("escape", '"').option("mode", "FAILFAST").csv(group)
         parts.append(rows.withColumn("dimension_type", dimension_type(F.col("_metadata.file_path"))))
-    return union_rows(parts)
+    return union_rows(parts) if parts else None
 
 
 def _unzip(batches: Iterator) -> Iterator:
@@ -142,21 +151,6 @@ def _zip_parts(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
     ]
 
 
-def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
-    """Files by their header line, found in one job over all files."""
-    lines = spark.read.text(list(paths)).select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"),
-    )
-    heads = lines.filter("block = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
-    groups: dict[str, list[str]] = defaultdict(list)
-    for row in heads.collect():
-        groups[row["header"]].append(row["path"])
-    return groups
-
-
 def read_segments(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> DataFrame:
     """Report segments as text columns: comma or tab separated, plain, gzip or zip.
 
@@ -170,7 +164,7 @@ def read_segments(spark: SparkSession, paths: Sequence[str], multi_line: bool =
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').option("mode", "FAILFAST")
     parts: list[DataFrame] = []
     if plain:
-        for header, members in _first_lines(spark, plain).items():
+        for header, members in _header_groups(spark, plain).items():
             parts.append(reader.option("sep", "\t" if "\t" in header else ",").csv(members))
     if zipped:
         parts += _zip_parts(spark, zipped)

@@ -170,7 +170,7 @@ _REPORT_SQL = """
     ),
     core AS (
       SELECT campaign_id, adset_id, ad_id, date_start, count(*) AS impressions, 'core' AS account_name
-      FROM k WHERE event_type IN ('view', 'click') GROUP BY ALL
+      FROM k WHERE event_type IN ('view', 'click', 'error') GROUP BY ALL
     ),
     uniq AS (
       SELECT campaign_id, adset_id, ad_id, date_start, count(*) AS reach,
@@ -207,7 +207,7 @@ def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def report_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, keys = _report(spark, sf_dir), list(insights.REPORT_KEYS)
-    core = rows.filter(F.col("event_type").isin("view", "click")).groupBy(*keys).agg(
+    core = rows.filter(F.col("event_type").isin("view", "click", "error")).groupBy(*keys).agg(
         F.count(F.lit(1)).cast("double").alias("impressions"), F.lit("core").alias("account_name")
     )
     unique = rows.filter(F.col("event_type").isin("purchase", "signup")).groupBy(*keys).agg(

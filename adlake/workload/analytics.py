@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adlake.functions.text import dimension_type
@@ -9,6 +11,7 @@ from adlake.operators.dedupe import key_collisions
 from adlake.operators.project import explode_catalogue
 from adlake.operators.sinks import shared_dir
 from adlake.plans import ga4, play
+from adlake.plans.runs import Lake, load_statistics
 from adlake.sources.files import list_files, read_play_csv, read_segments
 from adlake.workload.registry import query, table
 
@@ -345,36 +348,65 @@ def play_store_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finish(play.statistics_table(rows, "store_performance", "com.app", "App"))
 
 
+# Header of the dimension in the crash files of a part type; files of the other types have none.
+_CRASH_HEADER = {"ECONOMY": "Device", "LARGE": "Device", "MEDIUM": "App Version Code", "PROMO": "Android OS Version"}
+_HAS_DIMENSION = f"p_type IN ({', '.join(repr(t) for t in _CRASH_HEADER)})"
+
+
 @query(
     "play_csv_scan",
     f"""
     SELECT strftime(DATE '2024-01-01' + p_size, '%Y-%m-%d') AS date, {_KIND_SQL} AS dimension_type,
-           CASE p_type WHEN 'ECONOMY' THEN p_name || ', "x" é' ELSE 'all' END AS dimension_value,
-           CASE p_type WHEN 'STANDARD' THEN CAST(p_size AS BIGINT) ELSE 0 END AS daily_crashes,
+           CASE WHEN {_HAS_DIMENSION} THEN p_name || ', "x" é' ELSE 'all' END AS dimension_value,
+           CASE WHEN p_type IN ('MEDIUM', 'STANDARD') THEN CAST(p_size AS BIGINT) ELSE 0 END AS daily_crashes,
            p_partkey AS daily_anrs
-    FROM part WHERE p_type IN ('ECONOMY', 'STANDARD')
+    FROM part
     """,
 )
 def play_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics files in UTF-16 with two kinds of header, written and scanned."""
-    root = shared_dir(spark)
+    """Statistics files in UTF-16 of six dimensions with five kinds of header, written and scanned."""
+    root, months = shared_dir(spark), set()
     day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("p_size")).cast("string").alias("Date")
-    part = table(spark, sf_dir, "part")
-    by_device = part.filter(F.col("p_type") == "ECONOMY").select(
-        day,
-        F.concat("p_name", F.lit(', "x" é')).alias("Device"),
-        F.col("p_partkey").alias("Daily ANRs"),
-    )
-    overall = part.filter(F.col("p_type") == "STANDARD").select(
-        day, F.col("p_size").alias("Daily Crashes"), F.col("p_partkey").alias("Daily ANRs")
-    )
-    months = _land_csv(spark, by_device, root, "crashes", "_country")
-    months |= _land_csv(spark, overall, root, "crashes", "")
+    for kind, ending in _SUFFIX.items():
+        rows = table(spark, sf_dir, "part").filter(F.col("p_type") == kind).select(
+            day,
+            *[F.concat("p_name", F.lit(', "x" é')).alias(_CRASH_HEADER[k]) for k in (kind,) if k in _CRASH_HEADER],
+            *[F.col("p_name").alias("Traffic source") for k in (kind,) if k == "SMALL"],
+            *[F.col("p_size").alias("Daily Crashes") for k in (kind,) if k in ("MEDIUM", "STANDARD")],
+            F.col("p_partkey").alias("Daily ANRs"),
+        )
+        months |= _land_csv(spark, rows, root, "crashes", ending.removesuffix(".csv"))
     rows = read_play_csv(spark, root, "crashes", "com.app", sorted(months))
     out = play.statistics_table(rows, "crashes", "com.app", "App")
     return _finish(out).select("date", "dimension_type", "dimension_value", "daily_crashes", "daily_anrs")
 
 
+@query(
+    "statistics_run",
+    f"""
+    SELECT strftime(DATE '2024-01-01' + p_size, '%Y-%m-%d') AS date, {_KIND_SQL} AS dimension_type,
+           CASE WHEN {_HAS_DIMENSION} THEN CAST(p_partkey AS VARCHAR) ELSE 'all' END AS dimension_value,
+           CAST(sum(p_size) AS BIGINT) AS daily_crashes, CAST(count(*) AS BIGINT) AS daily_anrs
+    FROM part GROUP BY ALL
+    """,
+)
+def statistics_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics files of all months, loaded twice into their table; what was in the table for a key is replaced."""
+    root, months = shared_dir(spark), set()
+    lake = Lake(spark, f"{root}/lake")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("p_size")).cast("string").alias("Date")
+    for kind, ending in _SUFFIX.items():
+        dimension = [F.col("p_partkey").alias(_CRASH_HEADER[kind])] if kind in _CRASH_HEADER else []
+        rows = table(spark, sf_dir, "part").filter(F.col("p_type") == kind).groupBy(day, *dimension).agg(
+            F.sum("p_size").alias("Daily Crashes"), F.count(F.lit(1)).alias("Daily ANRs")
+        )
+        months |= _land_csv(spark, rows, root, "crashes", ending.removesuffix(".csv"))
+    last = dt.date(int(max(months)[:4]), int(max(months)[4:]), 1)
+    for _ in range(2):
+        load_statistics(lake, root, "crashes", "com.app", "App", last, n_months=len(months))
+    return _finish(lake.table("google_play_crashes")).select("date", "dimension_type", "dimension_value", "daily_crashes", "daily_anrs")
+
+
 def _land_csv(spark: SparkSession, df: DataFrame, root: str, kind: str, ending: str) -> set[str]:
     """Write UTF-16 files named as the store names them, one month per file; the months used."""
     staged = f"{root}/staged{ending}"

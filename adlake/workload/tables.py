@@ -200,6 +200,24 @@ def enrich_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(items, parts, "l_partkey").withColumn("p_size", F.coalesce("p_size", F.lit(-1)))
 
 
+_HALF_HOT_SQL = "CASE WHEN l_linenumber < 4 THEN 1 ELSE l_partkey END AS l_partkey"
+
+
+@query(
+    "enrich_hot",
+    f"""
+    WITH items AS (SELECT l_orderkey, {_HALF_HOT_SQL}, l_returnflag FROM lineitem)
+    SELECT l_orderkey, l_partkey, coalesce(p_brand, l_returnflag) AS l_returnflag, p_name
+    FROM items LEFT JOIN part ON p_partkey = l_partkey
+    """,
+)
+def enrich_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One id in about half of the rows, dealt over many tasks."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", F.expr(_HALF_HOT_SQL.removesuffix(" AS l_partkey")).alias("l_partkey"), "l_returnflag")
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("l_returnflag"), "p_name")
+    return enrich(items, parts, "l_partkey", hot_share=0.01)
+
+
 @query(
     "leads_of_ads",
     """

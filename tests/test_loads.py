@@ -618,3 +618,31 @@ def test_recent_rows_up_to_a_limit(spark):
     df = spark.range(30).select("id", F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'").alias("at"))
     assert project.recent(df, "at", 5, dt.date(2024, 1, 3)).count() == 30
     assert pairs(project.recent(df, "at", 5, dt.date(2024, 1, 3), limit=3, order_by=["at", "id"]).select("id")) == [(0,), (1,), (2,)]
+
+
+def test_hot_ids_are_salted(spark):
+    key = F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 5 == 0, None).otherwise(F.col("id"))
+    df = spark.range(40_000).select(key.alias("k"), "id", F.lit("old").alias("v"))
+    extra = spark.range(1000).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("v"), F.col("id").alias("w"))
+    assert merge.hot_ids(df, "k", 0.01) == [7] and merge.hot_ids(df.limit(0), "k", 0.01) == []
+    plain = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in plain}
+    try:
+        for k, v in plain.items():
+            spark.conf.set(k, v)
+        salted = merge.enrich(df, extra, "k", hot_share=0.01)
+        of = salted.groupBy(F.spark_partition_id().alias("p")).agg(F.sum("w"), F.count(F.lit(1)).alias("n")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = sorted(r["n"] for r in of)
+    assert len(sizes) > 1 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+    assert pairs(salted.orderBy("id")) == pairs(merge.enrich(df, extra, "k").orderBy("id"))
+
+
+def test_salted_enrichment_of_odd_columns(spark):
+    df = spark.sql("SELECT 1 AS k, map('a', 1) AS m UNION ALL SELECT 1, NULL UNION ALL SELECT NULL, NULL")
+    extra = spark.createDataFrame([(1, "x"), (None, "no id")], "k int, v string")
+    out = merge.enrich(df, extra, "k", hot_share=0.5)
+    assert sorted((r.k or 0, r.v or "") for r in out.collect()) == [(0, ""), (1, "x"), (1, "x")]
+    assert merge.enrich(df.limit(0), extra, "k", hot_share=0.5).count() == 0

@@ -1,5 +1,6 @@
 import gzip
 import json
+import os
 import zipfile
 
 import pytest
@@ -103,6 +104,20 @@ def test_a_row_of_another_length_fails_the_load(spark, tmp_path, row, multi_line
             files.read_segments(spark, [str(tmp_path / name)], multi_line).collect()
 
 
+def test_headers_are_read_without_their_files(spark, tmp_path):
+    paths = [str(tmp_path / f"{n}.csv") for n in ("few", "many", "none", "one")]
+    for path, header, n in zip(paths, ('a,"b ""x",c', 'a,"b ""x",c', None, "a\tb"), (1, 400_000, 0, 1), strict=True):
+        with open(path, "w", encoding="utf-16") as f:
+            f.write("" if header is None else f"{header}\r\n" + "1,two,and some more of it\r\n" * n)
+
+    def bytes_read():
+        return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+    before = bytes_read()
+    assert files._header_groups(spark, paths, "UTF-16") == {'a,"b ""x",c': paths[:2], "a\tb": paths[3:]}
+    assert bytes_read() - before < 4_000_000 < os.path.getsize(paths[1]) / 4
+
+
 # --- report rows -------------------------------------------------------------------------
 
 
