@@ -23,6 +23,9 @@ from adlake.plans.changelog import (
 )
 from adlake.spec import TableSpec
 
+#: State on the disks of the executors instead of in their memory.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def _run(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     query = (
@@ -159,3 +162,46 @@ def latest_state(stream: DataFrame, keys: Sequence[str], seq: str = "lsn") -> Da
     rest = [c for c in stream.columns if c not in keys and c != seq]
     best = stream.groupBy(*keys).agg(F.max(F.struct(seq, *rest)).alias("_row"))
     return best.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in stream.columns])
+
+
+def latest_within(stream: DataFrame, keys: Sequence[str], time: str, horizon: str, seq: str = "lsn") -> DataFrame:
+    """The latest row per key and span of ``horizon``, as streaming state that expires (output mode ``update``).
+
+    A span leaves the state once the watermark is past it. So the state follows the keys that changed lately, deleted
+    ones included, not all keys there ever were. Of the rows that come out for a key, that with the greatest ``seq``
+    counts. A change that comes more than ``horizon`` after later ones is too late and left out; one without a
+    ``time`` fails.
+    """
+    known = F.coalesce(time, F.raise_error(F.lit(f"change without {time}")).cast(stream.schema[time].dataType))
+    timed = stream.withColumn("_time", known).withWatermark("_time", horizon)
+    rest = [c for c in stream.columns if c not in keys and c != seq]
+    best = timed.groupBy(*keys, F.window("_time", horizon)).agg(F.max(F.struct(seq, *rest)).alias("_row"))
+    return best.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in stream.columns])
+
+
+def stream_latest(
+    changes: DataFrame, keys: Sequence[str], path: str, checkpoint: str, time: str, horizon: str, seq: str = "lsn"
+) -> int:
+    """``stream_apply`` by way of ``latest_within``; the most rows that the state held.
+
+    A change that an earlier batch already outdid is not written again, and one key's changes are combined before they
+    are shuffled. State lies in RocksDB.
+    """
+    spark, setting, held = changes.sparkSession, "spark.sql.streaming.stateStore.providerClass", 0
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, ROCKSDB)
+    try:
+        query = (
+            latest_within(changes, keys, time, horizon, seq)
+            .writeStream.outputMode("update")
+            .foreachBatch(lambda batch, epoch: _add_changes(batch, keys, path, seq, _stream_id(batch), epoch))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(setting, before)
+    query.awaitTermination()
+    for progress in query.recentProgress:
+        held = max([held, *(op["numRowsTotal"] for op in progress["stateOperators"])])
+    return held

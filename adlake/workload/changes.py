@@ -16,15 +16,16 @@ from adlake.plans.changelog import (
     snapshot_scan,
     table_changes,
 )
-from adlake.streaming.jobs import applied_rows, compact_changes, latest_state, stream_apply, stream_messages
+from adlake.streaming.jobs import applied_rows, compact_changes, latest_state, stream_apply, stream_latest, stream_messages
 from adlake.workload.registry import query, stream_table, table
 
 KEYS = ["user_id"]
 
 
-def event_changes(events: DataFrame) -> DataFrame:
+def event_changes(events: DataFrame, *more: Column) -> DataFrame:
     """Every event changes its user's row; an error deletes it."""
     return events.select(
+        *more,
         "user_id",
         "event_type",
         "value",
@@ -110,6 +111,23 @@ def cdc_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest(spark.read.parquet(f"{root}/state"), KEYS, ["epoch"]).select("user_id", "event_type", "lsn")
 
 
+LANDINGS = 5
+
+
+@query("cdc_expiring_state", _STATE_SQL)
+def cdc_expiring_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes that land a fifth of the time at once; state that is two days behind them is dropped."""
+    root, events = shared_dir(spark), table(spark, sf_dir, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    ends = events.agg(F.min(at).alias("a"), F.max(at).alias("b")).first()
+    part = F.least(F.floor((at - ends["a"]) * LANDINGS / (ends["b"] - ends["a"] + 1)), F.lit(LANDINGS - 1))
+    for k in range(LANDINGS):
+        events.filter(part == k).write.mode("append").parquet(f"{root}/log")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/log")
+        stream_latest(event_changes(stream, F.col("ts").cast("timestamp").alias("at")), KEYS, f"{root}/table", f"{root}/progress", "at", "2 days")
+    return applied_rows(spark, f"{root}/table").select("user_id", "event_type", "value", "lsn")
+
+
 ORDERS_RELATION = 16385
 ORDER_COLUMNS = [
     SourceColumn("id", 20, -1, True),

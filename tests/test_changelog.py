@@ -11,7 +11,7 @@ from adlake.operators.asof import Carry, carry_forward
 from adlake.operators.sinks import read_table
 from adlake.plans import changelog
 from adlake.spec import APPEND, MERGE, TableSpec
-from adlake.streaming.jobs import applied_rows, compact_changes, latest_state, stream_apply, stream_load, stream_messages
+from adlake.streaming.jobs import applied_rows, compact_changes, latest_state, stream_apply, stream_latest, stream_load, stream_messages
 
 PG_EPOCH = dt.datetime(2000, 1, 1)
 
@@ -328,6 +328,29 @@ def test_latest_state_stream(spark, tmp_path):
     assert pairs(spark.table("latest_rows")) == [(1, "a", 1), (2, "c", 5)]
 
 
+def test_state_expires_and_tables_stay_right(spark, tmp_path):
+    """Twelve days with ten new keys each; those of the day before are changed or deleted once more."""
+    schema = "id int, v string, lsn bigint, deleted_ts timestamp, at timestamp"
+    source, want, held, days = str(tmp_path / "in"), {}, [], 12
+    for day in range(days):
+        at = dt.datetime(2024, 1, 1 + day, 12)
+        rows = [(10 * day + i, f"new{day}", 100 * day + i, None, at) for i in range(10)]
+        rows += [(k, f"old{day}", 100 * day + 50 + k % 10, at if k % 3 == 0 else None, at) for k in range(10 * day - 10, 10 * day) if day]
+        want |= {k: None if gone else (k, v, seq) for k, v, seq, gone, _ in rows}
+        spark.createDataFrame(rows, schema).repartition(2).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        held.append(stream_latest(stream, ["id"], str(tmp_path / "t"), str(tmp_path / "c"), "at", "2 days"))
+    assert pairs(applied_rows(spark, str(tmp_path / "t")).select("id", "v", "lsn")) == sorted(r for r in want.values() if r)
+    assert max(held) <= 6 * 20 and max(held[6:]) <= max(held[:6])
+
+
+def test_a_change_without_a_time_fails(spark, tmp_path):
+    spark.sql("SELECT 1 AS id, 1L AS lsn, CAST(NULL AS TIMESTAMP) AS at").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id int, lsn bigint, at timestamp").parquet(str(tmp_path / "in"))
+    with pytest.raises(Exception, match="change without at"):
+        stream_latest(stream, ["id"], str(tmp_path / "t"), str(tmp_path / "c"), "at", "2 days")
+
+
 def test_message_stream_across_files_that_cut_transactions(spark, tmp_path):
     source, root = str(tmp_path / "log"), str(tmp_path / "tables")
     messages = [
