@@ -6,9 +6,10 @@ end, so its commit protocol decides which attempt of a lost task counts. Reading
 task gets the lines of its archives in order and cuts records by their content length, one record in memory at a time. The
 digest of every stored payload is computed again and compared.
 
-Index: each archive's captures, sorted by URL key, time and page, are a run. Runs are dealt out by ranges of the whole key,
-so the captures of one URL may fill many ranges; in each range a loser tree merges the pieces of the runs. Numbers within
-a URL's history go on from range to range by a carry of one row a range.
+Index: each archive's captures are sorted by URL key, time and page where they are read, and written as a run. Runs are
+dealt out by ranges of the whole key, so the captures of one URL may fill many ranges; in each range a loser tree merges
+the pieces of the runs, which come in their order and are not sorted again. Numbers within a URL's history go on from
+range to range by a carry of one row a range.
 
 Cases: a null html is an empty payload; a null URL is kept as such and sorts first; rows of a null page_id are responses
 that nobody refers to, and so are rows that repeat a page_id and its payload. Control signs in URLs are percent-encoded.
@@ -25,7 +26,7 @@ from itertools import groupby
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adlake.llm.shared import shared_folder, written
+from adlake.llm.shared import if_few, shared_folder, written
 
 REVISIT_BYTES = 100
 RECORDS_PER_ARCHIVE = 50_000
@@ -197,14 +198,27 @@ def merge(runs: list[list[tuple]]) -> Iterator[tuple]:
         winner = play(winner, (winner + n) // 2)
 
 
+def sorted_runs(rows: Iterator[tuple]) -> list[list[tuple]]:
+    """(run, key, row number) as lists of (key, row number) that ascend. A run that comes in pieces, or out of order, is
+    several."""
+    out: list[list[tuple]] = []
+    before = None
+    for run, key, k in rows:
+        if before is None or run != before[0] or key < before[1]:
+            out.append([])
+        out[-1].append((key, k))
+        before = (run, key)
+    return out
+
+
 def merge_index(captures: DataFrame) -> DataFrame:
     """``captures`` with url_key, bucket, position and nth: the globally ordered index is that of (bucket, position), and
     nth numbers the captures of a URL key by time and page from 1 on."""
     spark = captures.sparkSession
-    keyed = captures.withColumn("url_key", url_key("url"))
     key = ["url_key", "captured", "page_id"]
-    ranges = max(1, -(-keyed.count() // CAPTURES_PER_RANGE))
-    dealt = keyed.repartitionByRange(ranges, *key).sortWithinPartitions("archive", *key)
+    runs = written(captures.withColumn("url_key", url_key("url")).sortWithinPartitions("archive", *key), "runs")
+    ranges = max(1, -(-runs.count() // CAPTURES_PER_RANGE))
+    dealt = runs.repartitionByRange(ranges, *key)
     fields = [(f.name, f.dataType.simpleString()) for f in dealt.schema]
     schema = ", ".join(f"{n} {k}" for n, k in fields) + ", " + MERGED
     at = [n for n, _ in fields].index
@@ -215,12 +229,12 @@ def merge_index(captures: DataFrame) -> DataFrame:
 
         rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
         order = lambda r: tuple((r[p] is not None, r[p]) if r[p] is not None else (False, 0) for p in place)
-        runs = [[(order(r), k) for k, r in own] for _, own in groupby(enumerate(rows), key=lambda x: x[1][run])]
+        pieces = sorted_runs((r[run], order(r), k) for k, r in enumerate(rows))
         bucket = TaskContext.get().partitionId()
 
         def out():
             rank, last = 0, None
-            for position, (where, k) in enumerate(merge(runs)):
+            for position, (where, k) in enumerate(merge(pieces)):
                 rank = rank + 1 if where[0] == last else 1
                 last = where[0]
                 yield (*rows[k], bucket, position, rank)
@@ -237,7 +251,7 @@ def merge_index(captures: DataFrame) -> DataFrame:
         before = row["n"] + (start if row["first"] == row["last"] else 0)
         last = row["last"]
     carried = spark.createDataFrame(carry, "bucket int, url_key string, start bigint")
-    of = F.broadcast(carried.withColumnRenamed("bucket", "b").withColumnRenamed("url_key", "u"))
+    of = if_few(carried.withColumnRenamed("bucket", "b").withColumnRenamed("url_key", "u"))
     joined = index.join(of, (F.col("bucket") == F.col("b")) & F.col("url_key").eqNullSafe(F.col("u")), "left")
     return joined.withColumn("nth", F.col("rank") + F.coalesce("start", F.lit(0))).drop("b", "u", "start", "rank")
 
@@ -247,4 +261,4 @@ def archive_round_trip(pages: DataFrame, captured: Column) -> DataFrame:
     spark = pages.sparkSession
     path = f"{shared_folder(spark)}/archives-{uuid.uuid4().hex}"
     write_archives(pages, captured, path)
-    return merge_index(written(read_archives(spark, path).drop("payload"), "captures"))
+    return merge_index(read_archives(spark, path).drop("payload"))

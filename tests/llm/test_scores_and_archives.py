@@ -202,3 +202,22 @@ def test_index_orders_and_numbers_all_captures(spark, monkeypatch):
 
 def test_archives_of_nothing(spark, pages):
     assert archives.archive_round_trip(pages.limit(0), times()).count() == 0
+
+
+def test_runs_are_merged_as_they_come(rng):
+    rows = [(run, (rng.choice("abc"), rng.randrange(9))) for run in range(5) for _ in range(rng.randrange(30))]
+    for given in (sorted(rows), rows, rows[::-1], []):
+        runs = archives.sorted_runs((run, key, k) for k, (run, key) in enumerate(given))
+        assert all(run == sorted(run) and run for run in runs)
+        assert list(archives.merge(runs)) == sorted((key, k) for k, (_, key) in enumerate(given))
+    assert len(archives.sorted_runs((run, key, 0) for run, key in sorted(rows))) == len({run for run, _ in rows})
+
+
+def test_the_index_sorts_runs_once(spark, monkeypatch):
+    """Captures are sorted before they are dealt out, not after."""
+    plans = []
+    kept = archives.written
+    monkeypatch.setattr(archives, "written", lambda df, name: (plans.append((name, df._jdf.queryExecution().executedPlan().toString())), kept(df, name))[1])
+    pages = spark.createDataFrame([(i, f"http://h{i % 3}.org/{i % 5}", f"page {i}") for i in range(40)], "page_id bigint, url string, html string")
+    assert archives.archive_round_trip(pages, times()).count() == 40
+    assert "Sort [" in dict(plans)["runs"] and "Sort [" not in dict(plans)["index"]
