@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adlake.llm import archives, contamination, edits, mixing, neardup, negatives, packing, periods, pseudonyms, repeats, rules, suffixes, toxicity
 from adlake.llm.registry import query, table
+from adlake.llm.shared import written
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -66,32 +67,33 @@ def op4_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-EDITS_EACH = 4
-
-
 def sample_edits(text: Column, doc_id: Column) -> Column:
-    """Edits that follow from the document alone: a span goes, and another place of the text is put in."""
+    """Edits that follow from the document alone: a span goes, and another place of the text is put in. A longer text has
+    more and longer ones, by its root, so all of them together stay a part of it."""
     length = F.char_length(text)
+    root = F.floor(F.sqrt(length.cast("double"))).cast("int")
 
     def one(k: Column) -> Column:
         drawn = lambda salt, below: F.pmod(F.xxhash64(doc_id, k, F.lit(salt)), F.greatest(below, F.lit(1)).cast("long")).cast("int")
         return F.struct(
             drawn("at", length + 1).alias("at"),
-            drawn("cut", F.lit(40)).alias("cut"),
-            F.substring(text, drawn("from", length) + 1, drawn("put", F.lit(60))).alias("put"),
+            drawn("cut", root + 40).alias("cut"),
+            F.substring(text, drawn("from", length) + 1, drawn("put", root + 60)).alias("put"),
         )
 
-    return F.transform(F.sequence(F.lit(1), F.lit(EDITS_EACH)), one)
+    return F.transform(F.sequence(F.lit(1), 2 + F.floor(root / 16).cast("int")), one)
 
 
 @query("op5_edit_counts")
 def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts of every document before and after its edits, and how much was encoded for them."""
+    """Token counts of every document before and after its edits, and how much was encoded for them. The trees are written
+    first; the edits work on those that are read back."""
     path = public_tokenizers.path(TOKENIZER)
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    kept = written(docs.withColumn("tree", edits.trees(F.col("text"), path)), "trees")
     todo = sample_edits(F.col("text"), F.col("doc_id"))
-    after = edits.edited(F.col("text"), None, todo, path)
-    return docs.select("doc_id", after.alias("after")).select(
+    after = edits.edited(F.col("text"), F.col("tree"), todo, path)
+    return kept.select("doc_id", after.alias("after")).select(
         "doc_id",
         F.col("after.n_tokens_before").alias("tokens_before"),
         F.col("after.n_tokens").alias("tokens_after"),

@@ -1,12 +1,14 @@
+import hashlib
 import random
 import re
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from adlake.llm import edits
+from adlake.llm import edits, queries, shared
 from adlake.llm.packing import END_ID, cut, pack
 from adlake.llm.tokens import PreTokens
 from adlake.llm.words import LETTERS, LOWER, NOT_BLANK, Texts, hashes, pieces, texts, words
@@ -135,3 +137,21 @@ def test_edits_of_messy_rows(spark, messy, nothing, tokenizer):
     none = messy.withColumn("tree", edits.trees(F.col("text"), tokenizer))
     kind = F.lit(None).cast("array<struct<at:int,cut:int,put:string>>")
     assert all(r.e.n_encoded == 0 and r.e.text == (r.text or "") for r in none.select("text", edits.edited(F.col("text"), F.col("tree"), kind, tokenizer).alias("e")).collect())
+
+
+def test_edits_of_a_query_grow_with_the_text(spark, messy, tokenizer, tmp_path, monkeypatch):
+    """The query's result, through kept trees, is that of edits by hand and whole recounts."""
+    text = F.coalesce("text", F.lit(""))
+    docs = messy.select("doc_id", text.alias("text"), queries.sample_edits(text, F.col("doc_id")).alias("todo")).collect()
+    assert len({len(r.todo) for r in docs}) > 1 and max(len(r.todo) for r in docs) > 20
+    whole, want = PreTokens(tokenizer), []
+    for r in docs:
+        now = r.text
+        for e in r.todo:
+            now = now[: e["at"]] + e["put"] + now[e["at"] + e["cut"] :]
+        want.append((str(r.doc_id), whole.count(r.text), whole.count(now), hashlib.sha256(now.encode()).hexdigest()))
+    messy.write.parquet(str(tmp_path / "documents.parquet"))
+    kept = []
+    monkeypatch.setattr(queries, "written", lambda df, name: (kept.append(name), shared.written(df, name))[1])
+    got = queries.op5_edit_counts(spark, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), r.tokens_before, r.tokens_after, r.text_sha256) for r in got) == sorted(want) and kept == ["trees"]
