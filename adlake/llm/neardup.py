@@ -189,7 +189,7 @@ def _with_pivots(rows: DataFrame, sketches: DataFrame, turn: int) -> DataFrame:
 def _across(rows: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between components that share a group: of each that has several, the documents outside the largest one are
     compared with all, in cells of bounded size."""
-    grouped = written(rows.join(sketches.select("doc_id", "n"), "doc_id"), "sized")
+    grouped = written(rows.join(sketches.select("doc_id", "n", *SKETCH), "doc_id"), "sized")
     by_comp = grouped.groupBy("g", "c").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("n"))
     by_group = by_comp.groupBy("g").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("comps"), F.sum("m").alias("m"), F.sum("n").alias("n"))
     cells = by_group.where("comps > 1").select(
@@ -202,32 +202,54 @@ def _across(rows: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
     open_rows = written(sets.join(if_few(slim), "doc_id"), "open")
     own = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["g", "block", "band", "doc_id", "c", "shingles"]
+    columns = ["g", "block", "band", "doc_id", "c", *SKETCH, "shingles"]
     left = open_rows.where("c != most").withColumn("band", own("bands")).withColumn("block", every("blocks")).select(columns)
     right = open_rows.withColumn("block", own("blocks")).withColumn("band", every("bands")).select(columns)
     cell = ["g", "block", "band"]
     return left.groupBy(cell).cogroup(right.groupBy(cell)).applyInArrow(_compare, "a bigint, b bigint").distinct()
 
 
+def _near_sketches(mine: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which sketches, a row each, differ from mine in at most SKETCH_DIFFERENT lanes."""
+    x = mine ^ others
+    for by in (1, 2):
+        x |= x >> np.uint64(by)
+    return np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1) <= SKETCH_DIFFERENT
+
+
+def _sketches(rows: pa.Table) -> np.ndarray:
+    return np.stack([rows.column(s).to_numpy().view(np.uint64) for s in SKETCH], axis=1)
+
+
 def _compare(left: pa.Table, right: pa.Table) -> pa.Table:
-    """A link from each document on the left to each other component on the right that has one like it."""
+    """A link from each document on the left to each other component on the right that has one like it. Full sets are
+    compared where sizes and signatures allow it."""
     links: list[tuple[int, int]] = []
     if left.num_rows and right.num_rows:
-        ids, comps = right.column("doc_id").to_numpy(), right.column("c").to_numpy()
+        ids, comps, signs = right.column("doc_id").to_numpy(), right.column("c").to_numpy(), _sketches(right)
         own = right.column("shingles").combine_chunks()
         flat, ends = own.values.to_numpy(), own.offsets.to_numpy()
         flat, starts, sizes = flat[ends[0] : ends[-1]], ends[:-1] - ends[0], np.diff(ends)
         known = distinct(flat)
         place = np.searchsorted(known, flat)
         mark = np.zeros(len(known), np.uint8)
-        for doc, comp, mine in zip(left.column("doc_id").to_pylist(), left.column("c").to_pylist(), left.column("shingles"), strict=True):
+        rows = zip(left.column("doc_id").to_pylist(), left.column("c").to_pylist(), _sketches(left), left.column("shingles"), strict=True)
+        for doc, comp, sign, mine in rows:
             mine = mine.values.to_numpy()
+            n = len(mine)
+            open_ = (comps != comp) & (np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * LEAST)
+            open_ = np.flatnonzero(open_)
+            open_ = open_[_near_sketches(sign, signs[open_])]
+            if not len(open_):
+                continue
             at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
             at = at[known[at] == mine]
             mark[at] = 1
-            shared = np.add.reduceat(mark[place], starts, dtype=np.int64)
+            first = np.cumsum(sizes[open_]) - sizes[open_]
+            taken = np.arange(int(sizes[open_].sum())) + np.repeat(starts[open_] - first, sizes[open_])
+            shared = np.add.reduceat(mark[place[taken]], first, dtype=np.int64)
             mark[at] = 0
-            like = np.flatnonzero((shared * 100 >= (sizes + len(mine) - shared) * LEAST) & (comps != comp))
+            like = open_[shared * 100 >= (sizes[open_] + n - shared) * LEAST]
             if len(like):
                 some = like[np.unique(comps[like], return_index=True)[1]]
                 links += [(min(doc, int(x)), max(doc, int(x))) for x in ids[some]]

@@ -87,6 +87,24 @@ def test_signature_pairs_within_the_distance_meet(rng):
     assert near > 10
 
 
+def test_few_pairs_below_the_threshold_are_compared(rng):
+    """Share of the pairs of a similarity whose full sets are compared."""
+    shares = {}
+    for similarity in (0.3, 0.5, 0.7, 0.8):
+        passed = 0
+        for _ in range(400):
+            n = 200
+            both = round(2 * n * similarity / (1 + similarity))
+            pool = np.array([rng.getrandbits(64) for _ in range(2 * n - both)], np.uint64)
+            lanes, _ = neardup._signatures([np.sort(pool[:n]), np.sort(pool[n - both :])])
+            sketch = np.zeros((2, len(neardup.SKETCH)), np.uint64)
+            for k in range(neardup.SIZE):
+                sketch[:, k // 16] |= (lanes[:, k] & np.uint64(15)) << np.uint64(4 * (k % 16))
+            passed += int(neardup._near_sketches(sketch[0], sketch[1:])[0])
+        shares[similarity] = passed / 400
+    assert shares[0.8] == 1 and shares[0.3] < 0.05 and shares[0.5] < 0.75
+
+
 def test_near_duplicates_of_messy_tables(spark, messy, nothing):
     out = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(messy).collect()}
     assert neardup.near_duplicates(messy).count() == messy.count()
