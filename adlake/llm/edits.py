@@ -126,6 +126,18 @@ def _arrow(trees: list[Tree]) -> pa.Array:
     return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, flat(0)), pa.ListArray.from_arrays(ends, flat(1))], ["chars", "tokens"])
 
 
+def _ends(lists: pa.ListArray) -> np.ndarray:
+    """Where the rows of a list column begin among its values, and where the last one ends; a null row holds none."""
+    return lists.offsets.to_numpy()
+
+
+def _trees(column: pa.StructArray) -> list[Tree]:
+    both = [column.field(k) for k in ("chars", "tokens")]
+    cuts = [_ends(x) for x in both]
+    flat = [x.values.to_numpy().astype(np.int64) for x in both]
+    return [Tree(*(f[c[row] : c[row + 1]] for f, c in zip(flat, cuts, strict=True))) for row in range(len(column))]
+
+
 def trees(text: Column, tokenizer: str) -> Column:
     """The tree of each text: ``tokens[1]`` is its token count."""
 
@@ -148,14 +160,15 @@ def edited(text: Column, tree: Column | None, edits: Column, tokenizer: str) ->
     def applied(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         tokens = PreTokens.of(tokenizer)
         for texts, *kept, lists in batches:
-            old = kept[0] if kept else [None] * len(texts)
+            old = _trees(kept[0]) if kept else [None] * len(texts)
             out_texts, out_trees, n_encoded, before = [], [], [], []
-            for t, o, todo in zip(texts, old, lists, strict=True):
-                new, n = t.as_py() or "", 0
-                now = build(new, tokens) if o is None else Tree(*(o[k].values.to_numpy().astype(np.int64) for k in ("chars", "tokens")))
+            ends, (at, gone, put) = _ends(lists), (lists.values.field(k).to_pylist() for k in ("at", "cut", "put"))
+            for row, (t, o) in enumerate(zip(texts.to_pylist(), old, strict=True)):
+                new, n = t or "", 0
+                now = build(new, tokens) if o is None else o
                 before.append(now.n_tokens)
-                for e in todo.as_py() or []:
-                    new, now, more = edit(new, now, e["at"] or 0, e["cut"] or 0, e["put"] or "", tokens)
+                for e in range(ends[row], ends[row + 1]):
+                    new, now, more = edit(new, now, at[e] or 0, gone[e] or 0, put[e] or "", tokens)
                     n += more
                 out_texts.append(new)
                 out_trees.append(now)

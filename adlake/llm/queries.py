@@ -67,10 +67,9 @@ def op4_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sample_edits(text: Column, doc_id: Column) -> Column:
+def sample_edits(text: Column, doc_id: Column, length: Column) -> Column:
     """Edits that follow from the document alone: a span goes, and another place of the text is put in. A longer text has
     more and longer ones, by its root, so all of them together stay a part of it."""
-    length = F.char_length(text)
     root = F.floor(F.sqrt(length.cast("double"))).cast("int")
 
     def one(k: Column) -> Column:
@@ -90,8 +89,8 @@ def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     first; the edits work on those that are read back."""
     path = public_tokenizers.path(TOKENIZER)
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    kept = written(docs.withColumn("tree", edits.trees(F.col("text"), path)), "trees")
-    todo = sample_edits(F.col("text"), F.col("doc_id"))
+    kept = written(docs.select("*", edits.trees(F.col("text"), path).alias("tree"), F.char_length("text").alias("length")), "trees")
+    todo = sample_edits(F.col("text"), F.col("doc_id"), F.col("length"))
     after = edits.edited(F.col("text"), F.col("tree"), todo, path)
     return kept.select("doc_id", after.alias("after")).select(
         "doc_id",

@@ -142,7 +142,7 @@ def test_edits_of_messy_rows(spark, messy, nothing, tokenizer):
 def test_edits_of_a_query_grow_with_the_text(spark, messy, tokenizer, tmp_path, monkeypatch):
     """The query's result, through kept trees, is that of edits by hand and whole recounts."""
     text = F.coalesce("text", F.lit(""))
-    docs = messy.select("doc_id", text.alias("text"), queries.sample_edits(text, F.col("doc_id")).alias("todo")).collect()
+    docs = messy.select("doc_id", text.alias("text"), queries.sample_edits(text, F.col("doc_id"), F.char_length(text)).alias("todo")).collect()
     assert len({len(r.todo) for r in docs}) > 1 and max(len(r.todo) for r in docs) > 20
     whole, want = PreTokens(tokenizer), []
     for r in docs:
