@@ -55,7 +55,6 @@ def drop_seen(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFram
     return with_id.unionByName(df.filter(F.col(key).isNull()))
 
 
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -30,11 +31,12 @@ def with_fingerprint(df: DataFrame, fields: Sequence[str] = LIGHT_FIELDS) -> Dat
 def changed_rows(
     light: DataFrame, state: DataFrame, keys: Sequence[str], fields: Sequence[str] = LIGHT_FIELDS
 ) -> DataFrame:
-    """Rows whose fingerprint is not the stored one; ``state`` has the keys and ``fingerprint``."""
-    old = state.select(*keys, F.col("fingerprint").alias("_old"))
-    now = with_fingerprint(light, fields)
-    joined = now.join(old, list(keys), "left")
-    return joined.filter(~F.col("fingerprint").eqNullSafe(F.col("_old"))).drop("_old")
+    """Rows whose fingerprint is not the stored one; ``state`` has the keys and ``fingerprint``. NULL is a key like any other."""
+    own = [f"_key{i}" for i in range(len(keys))]
+    old = state.select(*[F.col(k).alias(o) for k, o in zip(keys, own, strict=True)], F.col("fingerprint").alias("_old"))
+    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own, strict=True)]
+    joined = with_fingerprint(light, fields).join(old, reduce(lambda a, b: a & b, same), "left")
+    return joined.filter(~F.col("fingerprint").eqNullSafe(F.col("_old"))).drop("_old", *own)
 
 
 def hydrate(changed: DataFrame, heavy: DataFrame, key: str) -> DataFrame:

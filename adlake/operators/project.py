@@ -22,7 +22,6 @@ def filter_status(df: DataFrame, states: Sequence[str], column: str = "effective
     return df.filter(F.col(column).isin(*states)) if states else df
 
 
-
 def exclude_value(df: DataFrame, column: str, value: Any) -> DataFrame:
     return df.filter(F.col(column) != F.lit(value))
 
@@ -114,7 +113,6 @@ def child_table(df: DataFrame, keys: Sequence[str], field: str, outer: bool = Fa
     return df.select(*keys, explode(field).alias("list_idx", "value"))
 
 
-
 def explode_catalogue(df: DataFrame, field: str) -> DataFrame:
     """A list of described things in a metadata document as a table."""
     return df.select(F.explode(field).alias("m")).select("m.*")

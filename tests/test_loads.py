@@ -646,3 +646,11 @@ def test_salted_enrichment_of_odd_columns(spark):
     out = merge.enrich(df, extra, "k", hot_share=0.5)
     assert sorted((r.k or 0, r.v or "") for r in out.collect()) == [(0, ""), (1, "x"), (1, "x")]
     assert merge.enrich(df.limit(0), extra, "k", hot_share=0.5).count() == 0
+
+
+def test_a_row_of_a_null_key_is_not_changed_for_ever(spark):
+    light = spark.createDataFrame([(None, "a"), (1, "b"), (2, "c")], "id int, v string")
+    state = diff.with_fingerprint(light.filter("v <> 'c'"), ["id", "v"]).select("id", "fingerprint")
+    assert pairs(diff.changed_rows(light, state, ["id"], ["id", "v"]).select("id", "v")) == [(2, "c")]
+    moved = light.withColumn("v", F.upper("v"))
+    assert pairs(diff.changed_rows(moved, state, ["id"], ["id", "v"]).select("v")) == [("A",), ("B",), ("C",)]
