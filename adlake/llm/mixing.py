@@ -1,17 +1,21 @@
 """Language-model scores by logistic context mixing over the bits of a text.
 
 A text is taken as its words, A-Z lowered, with one space between and an end sign. Each byte is a path of bits in a Huffman
-tree of the corpus' bytes. For each of several numbers of bytes before (``ORDERS``), hashed with the place in the tree, a predictor
+tree of the corpus' bytes. For each of several numbers of bytes before (``ORDERS``), together with the place in the tree, a predictor
 knows how often the next bit was 1. Their predictions are mixed in the logistic domain by weights that a gate selects
 (the longest context seen, and how often); the mixture is refined by an adaptive table over the place in the tree and the
 mixture itself. The product over all bits is the probability of the text, and over all texts it sums to one.
 
-Learning takes passes over whole documents: bytes, then counts of the predictors (added up in blocks, so that nobody holds
-more than the tables), then, on the training documents set aside, which the counts leave out so far, online gradient steps
-for the weights in each task, averaged, and the counts of the refining table. With these fitted, the counts of the documents
-set aside are added, so the predictors that score know all training documents. Tables have a fixed size (``SLOTS``), the token
-counts of the base score grow with the corpus and stay distributed: documents go to chunks of ``CHUNK_BYTES`` by hash, and
-each chunk is sent the counts of its own distinct tokens.
+Learning takes passes over whole documents: bytes, then counts of the predictors, then, on the training documents set
+aside, which the counts leave out so far, online gradient steps for the weights in each chunk, averaged, and the counts of
+the refining table. With these fitted, the counts of the documents set aside are added, so the predictors that score know
+all training documents.
+
+Contexts of one to three bytes are hashed with the place in the tree into tables of ``SLOTS``, which every task gets. Those of four
+and five bytes (``LONG``) grow with the corpus and stay distributed: a table holds each context itself with the counts of all
+bytes after it, in buckets by the context's last four bytes, a bucket for each ``BUCKET_BYTES`` of text. Documents go to
+chunks of ``CHUNK_BYTES`` by hash, and each chunk is sent the counts of its own distinct contexts, and of its own distinct
+tokens for the base score.
 
 Cases: a null or empty text is the end token alone. Without training documents counts are 0 and the model is uniform over
 the bits. Without documents set aside, half of the training documents, by hash, stand for them. Rows that repeat a doc_id are scored one by one; a null doc_id is held out. Tokens are told apart by 64 bits of
@@ -35,11 +39,15 @@ from adlake.llm.words import LOWER, NOT_BLANK, Texts, distinct, hashes, mix, pie
 
 #: Numbers of bytes before, and the bits of each one's table.
 ORDERS = (1, 2, 3, 4, 5)
-SLOTS = (16, 18, 20, 22, 22)
+SLOTS = (16, 18, 20)
+SHORT, LONG = ORDERS[: len(SLOTS)], ORDERS[len(SLOTS) :]
 SPAN = max(ORDERS)
 BASES = np.cumsum([0, *(1 << b for b in SLOTS)])
 BLOCK = 1 << 14
 CHUNK_BYTES = 16 << 20
+BUCKET_BYTES = 4 << 20
+#: Contexts with a next byte that a task gathers before it hands them over.
+HELD = 2 << 20
 #: Places within a piece stay below 2 ** 22.
 MODEL_PIECE = 3 << 20
 MIX_PIECE = 512 << 10
@@ -56,11 +64,21 @@ END_TOKEN = np.uint64(0x5BD1E995)
 
 
 class Code(NamedTuple):
-    """Paths of bytes: ``node[b, d]`` and ``bit[b, d]`` for d below ``depth[b]``."""
+    """Paths of bytes: ``node[b, d]`` and ``bit[b, d]`` for d below ``depth[b]``; ``leaf[b]``, the byte's place among the
+    leaves from left to right; ``right[n]``, the first leaf on the right of a node."""
 
     node: np.ndarray
     bit: np.ndarray
     depth: np.ndarray
+    leaf: np.ndarray
+    right: np.ndarray
+
+
+class Followers(NamedTuple):
+    """The bytes after contexts of one length: ``keys``, a context and a leaf behind it, in order; ``sums[i]``, how often those before i came."""
+
+    keys: np.ndarray
+    sums: np.ndarray
 
 
 class Model(NamedTuple):
@@ -69,6 +87,8 @@ class Model(NamedTuple):
     gate: np.ndarray
     weights: np.ndarray
     refined: np.ndarray
+    #: The counts of the longer contexts, (bucket, keys, counts); tasks get the model without.
+    contexts: DataFrame | None = None
 
 
 def huffman(counts: np.ndarray) -> Code:
@@ -92,7 +112,13 @@ def huffman(counts: np.ndarray) -> Code:
     for b, path in enumerate(paths):
         for d, (n, v) in enumerate(path):
             node[b, d], bit[b, d] = n, v
-    return Code(node, bit, depth)
+    leaf, right = np.zeros(256, np.int64), np.full(255, 256)
+    for place, b in enumerate(sorted(range(256), key=lambda b: [v for _, v in paths[b]])):
+        leaf[b] = place
+        for n, v in paths[b]:
+            if v:
+                right[n] = min(right[n], place)
+    return Code(node, bit, depth, leaf, right)
 
 
 def tokens(piece: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -191,17 +217,26 @@ def places(out: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.n
 
 
 class Bit(NamedTuple):
-    """One place in the tree for all keys of a byte: ``keys[at]``; ``slots`` of each order's distinct contexts, and how many keys have each."""
+    """One place in the tree for all keys of a byte: ``keys[at]``; of each order's distinct contexts ``slots`` (SHORT) or how often
+    the place and a 1 there came (LONG), and how many keys have each."""
 
     at: slice
     node: int
     bit: int
     slots: list[np.ndarray]
+    seen: list[np.ndarray]
+    ones: list[np.ndarray]
     repeats: list[np.ndarray]
 
 
-def _bits(keys: np.ndarray, code: Code) -> Iterator[Bit]:
-    """All bits of sorted distinct keys. Keys of a byte stand together, and in them those of each shorter context."""
+def _before(known: Followers, context: np.ndarray, leaf: int) -> np.ndarray:
+    """How often anything up to the context and the leaf, itself left out, came."""
+    return known.sums[np.searchsorted(known.keys, (context << np.uint64(8)) + np.uint64(leaf))]
+
+
+def _bits(keys: np.ndarray, code: Code, followers: list[Followers]) -> Iterator[Bit]:
+    """All bits of sorted distinct keys. Keys of a byte stand together, and in them those of each shorter context. The places below
+    a node are neighbours among the leaves, so what came there is a difference of two sums."""
     byte = (keys >> np.uint64(8 * SPAN)).astype(np.int64)
     edges = np.flatnonzero(np.concatenate([[True], byte[1:] != byte[:-1], [True]])) if len(keys) else []
     for a, b in zip(edges[:-1], edges[1:], strict=False):
@@ -210,12 +245,19 @@ def _bits(keys: np.ndarray, code: Code) -> Iterator[Bit]:
         for order in ORDERS:
             context = (own >> np.uint64(8 * (SPAN - order))) & np.uint64((1 << (8 * order)) - 1)
             new = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-            contexts.append(context[new] * np.uint64(0x9FB21C651E98DF25) + np.uint64(order))
+            contexts.append(context[new])
             repeats.append(np.diff(np.append(new, b - a)))
+        hashed = [c * np.uint64(0x9FB21C651E98DF25) + np.uint64(order) for c, order in zip(contexts, SHORT, strict=False)]
+        long = list(zip(followers, contexts[len(SHORT) :], strict=False))
+        low, high = [_before(f, c, 0) for f, c in long], [_before(f, c, 256) for f, c in long]
         for d in range(code.depth[value]):
-            node = np.uint64(int(code.node[value, d]) << 48)
-            slots = [(mix(c + node) >> np.uint64(64 - bits)).astype(np.int64) for c, bits in zip(contexts, SLOTS, strict=True)]
-            yield Bit(slice(a, b), int(code.node[value, d]), int(code.bit[value, d]), slots, repeats)
+            number, bit = int(code.node[value, d]), int(code.bit[value, d])
+            node = np.uint64(number << 48)
+            slots = [(mix(c + node) >> np.uint64(64 - bits)).astype(np.int64) for c, bits in zip(hashed, SLOTS, strict=True)]
+            middle = [_before(f, c, code.right[number]) for f, c in long]
+            seen, ones = [h - x for h, x in zip(high, low, strict=True)], [h - x for h, x in zip(high, middle, strict=True)]
+            yield Bit(slice(a, b), number, bit, slots, seen, ones, repeats)
+            low, high = (middle, high) if bit else (low, middle)
 
 
 def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -224,13 +266,27 @@ def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[at], np.diff(np.append(at, len(keys)))
 
 
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys in order, the sum of each one's numbers)."""
+    turn = np.argsort(keys)
+    keys, n = keys[turn], n[turn]
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[at], np.add.reduceat(n, at) if len(keys) else n
+
+
+def _level(seen: np.ndarray) -> np.ndarray:
+    return np.select([seen < 3, seen < 16, seen < 256], [1, 2, 3], LEVELS)
+
+
+def _logit(seen: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    return np.clip(np.log((ones + 0.4) / (seen - ones + 0.4)), -127 / SCALE, 127 / SCALE)
+
+
 def _bits_table(seen: np.ndarray, ones: np.ndarray, first_slot: int) -> tuple[np.ndarray, np.ndarray]:
     """(logit in steps of 1 / SCALE, gate) of the slots of a block; a block is in one order's table."""
-    p = (ones + 0.4) / (seen + 0.8)
-    logit = np.clip(np.rint(np.log(p / (1 - p)) * SCALE), -127, 127).astype(np.int8)
+    logit = np.rint(_logit(seen, ones) * SCALE).astype(np.int8)
     table = np.searchsorted(BASES, first_slot, "right") - 1
-    level = np.select([seen < 3, seen < 16, seen < 256], [1, 2, 3], LEVELS)
-    return logit, np.where(seen > 0, table * LEVELS + level, 0).astype(np.uint8)
+    return logit, np.where(seen > 0, table * LEVELS + _level(seen), 0).astype(np.uint8)
 
 
 def _inputs(bit: Bit, model: Model) -> tuple[list[np.ndarray], np.ndarray]:
@@ -241,6 +297,9 @@ def _inputs(bit: Bit, model: Model) -> tuple[list[np.ndarray], np.ndarray]:
         x.append(np.repeat(model.logit[slots].astype(np.float32) / np.float32(SCALE), repeats))
         of = np.repeat(model.gate[slots], repeats)
         gate = of if gate is None else np.maximum(gate, of)
+    for k, (seen, ones) in enumerate(zip(bit.seen, bit.ones, strict=True), len(SHORT)):
+        x.append(np.repeat(_logit(seen, ones).astype(np.float32), bit.repeats[k]))
+        gate = np.maximum(gate, np.repeat(np.where(seen > 0, k * LEVELS + _level(seen), 0).astype(np.uint8), bit.repeats[k]))
     return x, gate
 
 
@@ -259,11 +318,14 @@ def _step(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, at - low
 
 
-def log10_probability(keys: np.ndarray, model: Model) -> np.ndarray:
+NONE = [Followers(np.zeros(0, np.uint64), np.zeros(1, np.int64))] * len(LONG)
+
+
+def log10_probability(keys: np.ndarray, model: Model, followers: list[Followers] = NONE) -> np.ndarray:
     """Of each key's byte after the bytes before it; keys are sorted and distinct."""
     total = np.zeros(len(keys))
     weights = model.weights.astype(np.float32)
-    for bit in _bits(keys, model.code):
+    for bit in _bits(keys, model.code, followers):
         x, gate = _inputs(bit, model)
         t = _mixture(x, gate, weights)
         low, share = _step(t)
@@ -284,18 +346,68 @@ def _bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([held] * 256), pa.array(np.arange(256)), pa.array(own)], ["held_out", "byte", "n"])
 
 
-def _count_bits(code: Code):
+#: How a longer context and the byte after it are kept: five bytes, the nearest foremost, and that byte; four are marked.
+_FOUR = np.uint64(1 << 56)
+_FIVE_BYTES = np.uint64((1 << 40) - 1)
+
+
+def _deltas(keys: np.ndarray) -> bytes:
+    """Ordered keys by their differences, which are small."""
+    return np.diff(keys, prepend=np.uint64(0)).tobytes()
+
+
+def _keys(data: pa.Scalar) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data.as_buffer(), np.uint64), dtype=np.uint64)
+
+
+def _bucket(four: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(four) % np.uint64(buckets)).astype(np.int64)
+
+
+def _dealt(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, its places in order)."""
+    turn = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(bucket[turn]) > 0, [True]])) if len(turn) else []
+    for a, b in zip(edges[:-1], edges[1:], strict=False):
+        yield int(bucket[turn[a]]), turn[a:b]
+
+
+#: Counts of slots (``long`` false: a block of a table) and of longer contexts (a bucket).
+SUMS, TABLES = "long boolean, block bigint, seen binary, ones binary", "block bigint, logit binary, gate binary"
+
+
+def _row(*values) -> pa.RecordBatch:
+    names = [f.split()[0] for f in SUMS.split(", ")]
+    types = (pa.bool_(), pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names)
+
+
+def _count_bits(code: Code, buckets: int):
+    def handed(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        after, n = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        for bucket, at in _dealt(_bucket(after >> np.uint64(16), buckets)):
+            yield _row(True, bucket, _deltas(after[at]), n[at].astype(np.int64).tobytes())
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, ones = np.zeros(BASES[-1], np.int32), np.zeros(BASES[-1], np.int32)
+        parts, held = [], 0
         for batch in batches:
             for _, piece in pieces(texts(batch.column("text")), MODEL_PIECE):
                 keys, n = counted(keys_of(*stream(piece)))
-                slots = [([], []) for _ in ORDERS]
-                weights = [([], []) for _ in ORDERS]
-                for bit in _bits(keys, code):
-                    for k, repeats in enumerate(bit.repeats):
-                        slots[k][bit.bit].append(bit.slots[k])
-                        weights[k][bit.bit].append(np.add.reduceat(n[bit.at], np.cumsum(repeats) - repeats))
+                parts.append(((keys & _FIVE_BYTES) << np.uint64(8) | keys >> np.uint64(8 * SPAN), n))
+                held += len(keys)
+                if held > HELD:
+                    parts = [summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
+                    held = len(parts[0][0])
+                    if 2 * held > HELD:
+                        yield from handed(parts)
+                        parts, held = [], 0
+                slots = [([], []) for _ in SHORT]
+                weights = [([], []) for _ in SHORT]
+                for bit in _bits(keys, code, []):
+                    for k, own in enumerate(bit.slots):
+                        slots[k][bit.bit].append(own)
+                        weights[k][bit.bit].append(np.add.reduceat(n[bit.at], np.cumsum(bit.repeats[k]) - bit.repeats[k]))
                 for k, base in enumerate(BASES[:-1]):
                     for value in (0, 1):
                         if slots[k][value]:
@@ -303,84 +415,175 @@ def _count_bits(code: Code):
                             seen[base : base + len(new)] += new
                             if value:
                                 ones[base : base + len(new)] += new
+        if parts:
+            yield from handed(parts)
         for k in np.flatnonzero(seen.reshape(-1, BLOCK).any(axis=1)):
             at = slice(k * BLOCK, (k + 1) * BLOCK)
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([seen[at].tobytes()]), pa.array([ones[at].tobytes()])], ["block", "seen", "ones"])
+            yield _row(False, k, seen[at].tobytes(), ones[at].tobytes())
 
     return count
 
 
-SUMS, TABLES = "block bigint, seen binary, ones binary", "block bigint, logit binary, gate binary"
 #: Tasks that the sums of all blocks go to, a few megabytes each.
 TABLE_PARTS = 64
 
 
-def _add_blocks(tables: bool):
-    """Counts summed to 64 bits and deflated, or such sums added up to what the tables hold; rows come sorted by block."""
-    counts = (lambda x: np.frombuffer(zlib.decompress(x.as_buffer()), np.int64)) if tables else (lambda x: np.frombuffer(x.as_buffer(), np.int32))
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, seen, ones = None, None, None
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each block, in sums of 64 bits, deflated, and for each bucket of contexts; rows come sorted by both."""
+    at, parts, held = None, [], 0
 
-        def done():
-            pair = [x.tobytes() for x in _bits_table(seen, ones, block * BLOCK)] if tables else [zlib.compress(x.tobytes(), 1) for x in (seen, ones)]
-            names = [f.split()[0] for f in (TABLES if tables else SUMS).split(", ")]
-            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *(pa.array([x]) for x in pair)], names)
+    def done():
+        first, second = (sum(x) for x in zip(*parts, strict=True)) if not at[0] else summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        return _row(*at, *((_deltas(first), second.tobytes()) if at[0] else (zlib.compress(x.tobytes(), 1) for x in (first, second))))
 
-        for batch in batches:
-            for k, a, b in zip(*batch.columns, strict=True):
-                k = k.as_py()
-                if k != block:
-                    if block is not None:
-                        yield done()
-                    block, seen, ones = k, np.zeros(BLOCK, np.int64), np.zeros(BLOCK, np.int64)
-                seen += counts(a)
-                ones += counts(b)
-        if block is not None:
-            yield done()
+    for batch in batches:
+        for long, k, a, b in zip(*batch.columns, strict=True):
+            if at != (long.as_py(), k.as_py()):
+                if parts:
+                    yield done()
+                at, parts, held = (long.as_py(), k.as_py()), [], 0
+            if at[0]:
+                parts.append((_keys(a), np.frombuffer(b.as_buffer(), np.int64)))
+                held += len(parts[-1][0])
+                if held > 2 * HELD:
+                    parts = [summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
+                    held = len(parts[0][0]) // 2
+            else:
+                new = [np.frombuffer(x.as_buffer(), np.int32) for x in (a, b)]
+                parts = [tuple(x + y for x, y in zip(parts[0], new, strict=True)) if parts else tuple(x.astype(np.int64) for x in new)]
+    if parts:
+        yield done()
+
+
+def _tables_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the tables hold of sums; rows come sorted by block."""
+    block, seen, ones = None, None, None
+
+    def done():
+        pair = [x.tobytes() for x in _bits_table(seen, ones, block * BLOCK)]
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *(pa.array([x]) for x in pair)], [f.split()[0] for f in TABLES.split(", ")])
 
-    return add
+    for batch in batches:
+        for k, a, b in zip(*batch.columns, strict=True):
+            k = k.as_py()
+            if k != block:
+                if block is not None:
+                    yield done()
+                block, seen, ones = k, np.zeros(BLOCK, np.int64), np.zeros(BLOCK, np.int64)
+            seen += np.frombuffer(zlib.decompress(a.as_buffer()), np.int64)
+            ones += np.frombuffer(zlib.decompress(b.as_buffer()), np.int64)
+    if block is not None:
+        yield done()
 
 
-def _counted_blocks(rows: DataFrame, code: Code) -> DataFrame:
-    blocks = rows.select("text").mapInArrow(_count_bits(code), SUMS)
-    return written(blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_add_blocks(tables=False), SUMS), "blocks")
+def _counted_blocks(rows: DataFrame, code: Code, buckets: int) -> DataFrame:
+    blocks = rows.select("text").mapInArrow(_count_bits(code, buckets), SUMS)
+    return written(blocks.repartition("long", "block").sortWithinPartitions("long", "block").mapInArrow(_add_up, SUMS), "blocks")
 
 
 def _tables(sums: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(logits, gates) of all slots."""
     logit, gate = np.zeros(BASES[-1], np.int8), np.zeros(BASES[-1], np.uint8)
-    for row in sums.repartition(TABLE_PARTS, "block").sortWithinPartitions("block").mapInArrow(_add_blocks(tables=True), TABLES).toLocalIterator():
+    blocks = sums.where("not long").select("block", "seen", "ones")
+    for row in blocks.repartition(TABLE_PARTS, "block").sortWithinPartitions("block").mapInArrow(_tables_of, TABLES).toLocalIterator():
         at = slice(row["block"] * BLOCK, (row["block"] + 1) * BLOCK)
         logit[at], gate[at] = np.frombuffer(row["logit"], np.int8), np.frombuffer(row["gate"], np.uint8)
     return logit, gate
 
 
+def _contexts(sums: DataFrame) -> DataFrame:
+    return sums.where("long").select(F.col("block").alias("bucket"), F.col("seen").alias("keys"), F.col("ones").alias("counts"))
+
+
+def _wanted(buckets: int):
+    """The distinct contexts of five bytes of a chunk, by bucket."""
+
+    def wanted(table: pa.Table) -> pa.Table:
+        parts = [distinct(keys_of(*stream(piece)) & _FIVE_BYTES) for _, piece in pieces(texts(table.column("text")), MODEL_PIECE)]
+        five = distinct(np.concatenate([np.zeros(0, np.uint64), *parts]))
+        rows = [(bucket, _deltas(five[at])) for bucket, at in _dealt(_bucket(five >> np.uint64(8), buckets))]
+        chunk = table.column("chunk")[0].as_py()
+        return pa.table(
+            [pa.array([b for b, _ in rows], pa.int64()), pa.array([chunk] * len(rows), pa.int64()), pa.array([k for _, k in rows], pa.binary())],
+            ["bucket", "chunk", "keys"],
+        )
+
+    return wanted
+
+
+def _ranges(keys: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """Places of all keys of the contexts."""
+    low, high = (np.searchsorted(keys, (contexts << np.uint64(8)) + np.uint64(leaf)) for leaf in (0, 256))
+    n = high - low
+    return np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def _looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each chunk, the bytes after its contexts of five bytes and of four. Rows come sorted: a bucket's counts, then its chunks."""
+    bucket, parts, five, four = None, [], None, None
+    for batch in batches:
+        for b, chunk, keys, counts in zip(*batch.columns, strict=True):
+            if b.as_py() != bucket:
+                bucket, parts, five = b.as_py(), [], None
+            if not chunk.is_valid:
+                parts.append((_keys(keys), np.frombuffer(counts.as_buffer(), np.int64)))
+                continue
+            if not parts:
+                continue
+            if five is None:
+                five = parts[0] if len(parts) == 1 else summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+                four = summed(five[0] >> np.uint64(16) << np.uint64(8) | five[0] & np.uint64(255), five[1])
+            own = _keys(keys)
+            a, z = _ranges(five[0], own), _ranges(four[0], distinct(own >> np.uint64(8)))
+            found, n = np.concatenate([five[0][a], four[0][z] | _FOUR]), np.concatenate([five[1][a], four[1][z]])
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array([chunk.as_py()], pa.int64()), pa.array([_deltas(found)]), pa.array([n.tobytes()])], ["chunk", "keys", "counts"])
+
+
+def _followers_of(dealt: DataFrame, contexts: DataFrame, buckets: int) -> DataFrame:
+    """(chunk, keys, counts) of what follows the contexts of each chunk of ``dealt``."""
+    wanted = dealt.select("chunk", "text").groupBy("chunk").applyInArrow(_wanted(buckets), "bucket bigint, chunk bigint, keys binary")
+    known = contexts.select("bucket", F.lit(None).cast("bigint").alias("chunk"), "keys", "counts")
+    both = known.unionByName(wanted.withColumn("counts", F.lit(None).cast("binary")))
+    return both.repartition("bucket").sortWithinPartitions("bucket", F.asc_nulls_first("chunk")).mapInArrow(_looked_up, "chunk bigint, keys binary, counts binary")
+
+
+def _gathered(rows: pa.Table, code: Code) -> list[Followers]:
+    """The followers of a chunk, by leaf, for each of LONG."""
+    keys = np.concatenate([np.zeros(0, np.uint64), *(_keys(k) for k in rows.column("keys"))])
+    n = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(c.as_buffer(), np.int64) for c in rows.column("counts"))])
+    keys = keys & ~np.uint64(255) | code.leaf.astype(np.uint64)[(keys & np.uint64(255)).astype(np.int64)]
+    turn = np.argsort(keys)
+    keys, n = keys[turn], n[turn]
+    at = int(np.searchsorted(keys, _FOUR))
+    return [Followers(k, np.concatenate([[0], np.cumsum(c)])) for k, c in ((keys[at:] ^ _FOUR, n[at:]), (keys[:at], n[:at]))]
+
+
 def _learn_mixing(sent):
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def learn(docs: pa.Table, rows: pa.Table) -> pa.Table:
         model = sent.value
+        followers = _gathered(rows, model.code)
         weights, scale, bits = model.weights.copy(), np.full(model.weights.shape, 1e-3), np.zeros(GATES)
         seen, ones = np.zeros((255, STEPS)), np.zeros((255, STEPS))
-        for batch in batches:
-            for _, piece in pieces(texts(batch.column("text")), MIX_PIECE):
-                keys, n = counted(keys_of(*stream(piece)))
-                for bit in _bits(keys, model.code):
-                    x, gate = _inputs(bit, model)
-                    t, own = _mixture(x, gate, weights), n[bit.at]
-                    low, share = _step(t)
-                    new = np.bincount(low, (1 - share) * own, STEPS) + np.bincount(low + 1, share * own, STEPS)
-                    seen[bit.node] += new
-                    if bit.bit:
-                        ones[bit.node] += new
-                    error = (bit.bit - _squash(t)) * own
-                    gradient = np.stack([np.bincount(gate, error * v, GATES) for v in x], axis=1)
-                    scale += gradient**2
-                    weights += RATE * gradient / np.sqrt(scale)
-                    bits += np.bincount(gate, own, GATES)
+        for _, piece in pieces(texts(docs.column("text")), MIX_PIECE):
+            keys, n = counted(keys_of(*stream(piece)))
+            for bit in _bits(keys, model.code, followers):
+                x, gate = _inputs(bit, model)
+                t, own = _mixture(x, gate, weights), n[bit.at]
+                low, share = _step(t)
+                new = np.bincount(low, (1 - share) * own, STEPS) + np.bincount(low + 1, share * own, STEPS)
+                seen[bit.node] += new
+                if bit.bit:
+                    ones[bit.node] += new
+                error = (bit.bit - _squash(t)) * own
+                gradient = np.stack([np.bincount(gate, error * v, GATES) for v in x], axis=1)
+                scale += gradient**2
+                weights += RATE * gradient / np.sqrt(scale)
+                bits += np.bincount(gate, own, GATES)
         number = np.arange(weights.size + seen.size)
         own = np.concatenate([(weights * bits[:, None]).ravel(), ones.ravel()])
         of = np.concatenate([np.repeat(bits, len(ORDERS)), seen.ravel()])
-        yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(own), pa.array(of)], ["number", "own", "of"])
+        return pa.table([pa.array(number), pa.array(own), pa.array(of)], ["number", "own", "of"])
 
     return learn
 
@@ -389,11 +592,15 @@ def fit(train: DataFrame, aside: DataFrame, byte_counts: np.ndarray) -> Model:
     """Weights and refining table from ``aside`` and what ``train`` predicts there, then predictors from both; both have a column text."""
     spark = train.sparkSession
     code = huffman(byte_counts)
-    own = _counted_blocks(train, code)
+    buckets = buckets_of(byte_counts)
+    own = _counted_blocks(train, code, buckets)
     middle = _squash(np.linspace(-LIMIT, LIMIT, STEPS))
     model = Model(code, *_tables(own), np.full((GATES, len(ORDERS)), START), np.tile(middle, (255, 1)))
     sent = spark.sparkContext.broadcast(model)
-    learned = aside.select("text").mapInArrow(_learn_mixing(sent), "number bigint, own double, of double")
+    chunks = max(1, -(-int(byte_counts.sum()) // CHUNK_BYTES))
+    dealt = aside.select(F.pmod(F.xxhash64(*aside.columns), F.lit(chunks)).alias("chunk"), "text")
+    followers = _followers_of(dealt, _contexts(own), buckets)
+    learned = dealt.groupBy("chunk").cogroup(followers.groupBy("chunk")).applyInArrow(_learn_mixing(sent), "number bigint, own double, of double")
     w = model.weights.size
     share, of = np.zeros(w + 255 * STEPS), np.zeros(w + 255 * STEPS)
     for row in learned.groupBy("number").agg(F.sum("own").alias("own"), F.sum("of").alias("of")).collect():
@@ -401,8 +608,13 @@ def fit(train: DataFrame, aside: DataFrame, byte_counts: np.ndarray) -> Model:
     sent.unpersist()
     weights = np.where(of[:w] > 0, share[:w] / np.maximum(of[:w], 1e-9), START).reshape(model.weights.shape)
     refined = (share[w:].reshape(255, STEPS) + 2 * middle) / (of[w:].reshape(255, STEPS) + 2)
-    logit, gate = _tables(own.unionByName(_counted_blocks(aside, code)))
-    return model._replace(logit=logit, gate=gate, weights=weights, refined=refined)
+    sums = own.unionByName(_counted_blocks(aside, code, buckets))
+    logit, gate = _tables(sums)
+    return Model(code, logit, gate, weights, refined, _contexts(sums))
+
+
+def buckets_of(byte_counts: np.ndarray) -> int:
+    return max(1, -(-int(byte_counts.sum()) // BUCKET_BYTES))
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,17 +635,20 @@ def _needed(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array(np.full(len(key), chunk, np.int64)), "token": pa.array(key.view(np.int64))})
 
 
-SCORED = "doc_id {}, held_out boolean, n_tokens bigint, n_known bigint, logs double, score double"
+SCORED = "doc_id {}, held_out boolean, n_tokens bigint, n_known bigint, n_bytes bigint, logs double, score double"
 
 
 def _score_chunk(sent):
     def score(docs: pa.Table, counts: pa.Table) -> pa.Table:
         model = sent.value
+        of_token = pc.is_valid(counts.column("token"))
+        followers = _gathered(counts.filter(pc.invert(of_token)), model.code)
+        counts = counts.filter(of_token)
         key = counts.column("token").to_numpy().view(np.uint64)
         order = np.argsort(key)
         key, count = key[order], counts.column("n").to_numpy()[order]
         n = docs.num_rows
-        n_tokens, n_known, logs, scores = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+        n_tokens, n_known, n_bytes, logs, scores = *(np.zeros(n, np.int64) for _ in range(3)), np.zeros(n), np.zeros(n)
         end = count[np.searchsorted(key, END_TOKEN)] if n else 0
         for row, piece in pieces(texts(docs.column("text")), MODEL_PIECE):
             h, first = tokens(piece)
@@ -447,14 +662,16 @@ def _score_chunk(sent):
             logs[at] = [value[a:b].sum() for a, b in zip(first[:-1], first[1:], strict=True)] + np.log10(end + 0.1)
             out, begin, length = stream(piece)
             keys, number = places(out, begin, length)
-            scores[at] = np.add.reduceat(log10_probability(keys, model)[number], np.cumsum(length) - length)
-        return pa.table([docs.column("doc_id"), docs.column("held_out"), *map(pa.array, (n_tokens, n_known, logs, scores))], ["doc_id", "held_out", "n_tokens", "n_known", "logs", "score"])
+            n_bytes[at] = length
+            scores[at] = np.add.reduceat(log10_probability(keys, model, followers)[number], np.cumsum(length) - length)
+        names = [f.split()[0] for f in SCORED.split(", ")]
+        return pa.table([docs.column("doc_id"), docs.column("held_out"), *map(pa.array, (n_tokens, n_known, n_bytes, logs, scores))], names)
 
     return score
 
 
 def score(docs: DataFrame, held_out, aside) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte) of every row; bytes with the end sign.
 
     ``held_out`` and ``aside`` are conditions on columns of ``docs``: rows that teach nothing, and those of the others
     that fit the mixture before the predictors learn them too. Counts of bytes and tokens are over both.
@@ -472,12 +689,13 @@ def score(docs: DataFrame, held_out, aside) -> DataFrame:
     totals = written(train.select("text").mapInArrow(_token_counts, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")), "tokens")
     known = totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     model = fit(train.where("not aside"), train.where("aside"), byte_counts)
-    sent = spark.sparkContext.broadcast(model)
+    sent = spark.sparkContext.broadcast(model._replace(contexts=None))
     chunks = max(1, -(-n_bytes // CHUNK_BYTES))
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))
     dealt = rows.select(chunk.alias("chunk"), "doc_id", "held_out", "text")
     needed = dealt.groupBy("chunk").applyInArrow(_needed, "chunk bigint, token bigint")
     counts = needed.join(totals, "token", "left").select("chunk", "token", F.coalesce("n", F.lit(0)).alias("n"))
+    counts = counts.unionByName(_followers_of(dealt, model.contexts, buckets_of(byte_counts)), allowMissingColumns=True)
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = dealt.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(_score_chunk(sent), SCORED.format(kind))
     base = float(np.log10(known["n"] + 0.1 * (known["v"] + 1)))
@@ -489,4 +707,6 @@ def score(docs: DataFrame, held_out, aside) -> DataFrame:
         F.lit(known["n"]).cast("long").alias("train_tokens"),
         (F.col("logs") - F.col("n_tokens") * F.lit(base)).alias("base_score"),
         "score",
+        "n_bytes",
+        (F.col("score") * F.lit(-float(np.log2(10))) / F.col("n_bytes")).alias("bits_per_byte"),
     )

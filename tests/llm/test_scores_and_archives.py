@@ -1,6 +1,6 @@
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from math import log10
 
 import numpy as np
@@ -94,6 +94,79 @@ def test_predictors_learn_all_training_documents(spark, corpus):
     assert (model.weights != mixing.START).any()
 
 
+def digits(text, model, after):
+    """log10 of the text's probability, bit by bit; ``after[order][context]`` counts the bytes that came there."""
+    total, data = 0.0, b"\n" * mixing.SPAN + normal(text)
+    paths = {b: [(int(model.code.node[b, d]), int(model.code.bit[b, d])) for d in range(model.code.depth[b])] for b in range(256)}
+    for i in range(mixing.SPAN, len(data)):
+        for d, (node, bit) in enumerate(paths[data[i]]):
+            x, gate = [], 0
+            for k, order in enumerate(mixing.ORDERS):
+                context = data[i - order : i]
+                if order in mixing.SHORT:
+                    key = np.array([int.from_bytes(context, "little") * 0x9FB21C651E98DF25 + order + (node << 48) & (1 << 64) - 1], np.uint64)
+                    slot = int(mixing.mix(key)[0]) >> (64 - mixing.SLOTS[k])
+                    x.append(model.logit[mixing.BASES[k] + slot] / mixing.SCALE)
+                    gate = max(gate, int(model.gate[mixing.BASES[k] + slot]))
+                    continue
+                here = [(paths[b][d][1], n) for b, n in after[order][context].items() if paths[b][:d] == paths[data[i]][:d]]
+                seen, ones = sum(n for _, n in here), sum(n for v, n in here if v)
+                x.append(min(max(np.log((ones + 0.4) / (seen - ones + 0.4)), -127 / mixing.SCALE), 127 / mixing.SCALE))
+                if seen:
+                    gate = max(gate, k * mixing.LEVELS + 1 + sum(seen >= edge for edge in (3, 16, 256)))
+            t = float(model.weights[gate] @ x)
+            place = (min(max(t, -mixing.LIMIT), mixing.LIMIT) + mixing.LIMIT) * (mixing.STEPS - 1) / (2 * mixing.LIMIT)
+            low = min(int(place), mixing.STEPS - 2)
+            refined = model.refined[node][low] + (model.refined[node][low + 1] - model.refined[node][low]) * (place - low)
+            p = min(max((1 / (1 + np.exp(-t)) + refined) / 2, 1e-6), 1 - 1e-6)
+            total += log10(p if bit else 1 - p)
+    return total
+
+
+def test_scores_are_those_of_plain_counts(spark, corpus, monkeypatch):
+    """Small chunks, buckets and hands, so that contexts of one bucket come from several tasks and go to several chunks."""
+    for name, value in (("CHUNK_BYTES", 30_000), ("BUCKET_BYTES", 20_000), ("HELD", 500), ("MODEL_PIECE", 3_000)):
+        monkeypatch.setattr(mixing, name, value)
+    fit, models = mixing.fit, []
+
+    def noted(*args):
+        models.append(fit(*args))
+        return models[-1]
+
+    monkeypatch.setattr(mixing, "fit", noted)
+    odd = spark.createDataFrame([(400, "Größe 東京 naïve"), (401, "Größe 東京 zqx"), (402, None), (410, "never seen ~~~~")], "doc_id bigint, text string")
+    docs = corpus.unionByName(odd).repartition(5)
+    out = {r.doc_id: r for r in mixing.score(docs, F.col("doc_id") % 10 == 0, F.col("doc_id") % 10 == 1).collect()}
+    text_of = {r.doc_id: r.text for r in docs.collect()}
+    after = {order: defaultdict(Counter) for order in mixing.LONG}
+    for i, text in text_of.items():
+        if i % 10:
+            data = b"\n" * mixing.SPAN + normal(text)
+            for at in range(mixing.SPAN, len(data)):
+                for order in mixing.LONG:
+                    after[order][data[at - order : at]][data[at]] += 1
+    (model,) = models
+    assert model.contexts.select("bucket").distinct().count() > 3
+    for i in (0, 1, 2, 10, 333, 400, 401, 402, 410):
+        assert out[i].score == pytest.approx(digits(text_of[i], model, after), rel=1e-5)
+        assert out[i].n_bytes == len(normal(text_of[i]))
+        assert out[i].bits_per_byte == pytest.approx(-out[i].score / log10(2) / out[i].n_bytes)
+
+
+def test_what_is_learned_grows_with_the_corpus(spark, corpus):
+    """Every distinct context of five bytes is kept with each byte after it, however many there are."""
+    counts = np.ones(256, np.int64)
+    rng = random.Random(2)
+    some = [(i, "".join(rng.choice("abcdefghijklmnop ") for _ in range(400))) for i in range(300)]
+    for n in (30, 300):
+        model = mixing.fit(spark.createDataFrame(some[:n], "doc_id bigint, text string"), corpus.limit(0), counts)
+        kinds = set()
+        for _, text in some[:n]:
+            data = b"\n" * mixing.SPAN + normal(text)
+            kinds |= {data[at - mixing.SPAN : at + 1] for at in range(mixing.SPAN, len(data))}
+        assert sum(len(r["keys"]) // 8 for r in model.contexts.collect()) == len(kinds)
+
+
 def test_only_training_documents_teach_and_some_always_fit_the_mixture(spark, corpus, monkeypatch):
     fit, seen = mixing.fit, []
 
