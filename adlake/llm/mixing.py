@@ -274,6 +274,10 @@ def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[at], np.add.reduceat(n, at) if len(keys) else n
 
 
+def _together(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return parts[0] if len(parts) == 1 else summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+
 def _level(seen: np.ndarray) -> np.ndarray:
     return np.select([seen < 3, seen < 16, seen < 256], [1, 2, 3], LEVELS)
 
@@ -352,12 +356,20 @@ _FIVE_BYTES = np.uint64((1 << 40) - 1)
 
 
 def _deltas(keys: np.ndarray) -> bytes:
-    """Ordered keys by their differences, which are small."""
-    return np.diff(keys, prepend=np.uint64(0)).tobytes()
+    """Ordered keys by their differences, which are small, deflated."""
+    return zlib.compress(np.diff(keys, prepend=np.uint64(0)).tobytes(), 1)
 
 
 def _keys(data: pa.Scalar) -> np.ndarray:
-    return np.cumsum(np.frombuffer(data.as_buffer(), np.uint64), dtype=np.uint64)
+    return np.cumsum(np.frombuffer(zlib.decompress(data.as_buffer()), np.uint64), dtype=np.uint64)
+
+
+def _deflated(n: np.ndarray) -> bytes:
+    return zlib.compress(n.astype(np.int64).tobytes(), 1)
+
+
+def _numbers(data: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data.as_buffer()), np.int64)
 
 
 def _bucket(four: np.ndarray, buckets: int) -> np.ndarray:
@@ -383,40 +395,40 @@ def _row(*values) -> pa.RecordBatch:
 
 
 def _count_bits(code: Code, buckets: int):
-    def handed(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        after, n = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        for bucket, at in _dealt(_bucket(after >> np.uint64(16), buckets)):
-            yield _row(True, bucket, _deltas(after[at]), n[at].astype(np.int64).tobytes())
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, ones = np.zeros(BASES[-1], np.int32), np.zeros(BASES[-1], np.int32)
+
+        def handed(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            slots = [([], []) for _ in SHORT]
+            weights = [([], []) for _ in SHORT]
+            for bit in _bits(keys, code, []):
+                for k, own in enumerate(bit.slots):
+                    slots[k][bit.bit].append(own)
+                    weights[k][bit.bit].append(np.add.reduceat(n[bit.at], np.cumsum(bit.repeats[k]) - bit.repeats[k]))
+            for k, base in enumerate(BASES[:-1]):
+                for value in (0, 1):
+                    if slots[k][value]:
+                        new = np.bincount(np.concatenate(slots[k][value]), np.concatenate(weights[k][value]), 1 << SLOTS[k]).astype(np.int32)
+                        seen[base : base + len(new)] += new
+                        if value:
+                            ones[base : base + len(new)] += new
+            after, n = summed((keys & _FIVE_BYTES) << np.uint64(8) | keys >> np.uint64(8 * SPAN), n)
+            for bucket, at in _dealt(_bucket(after >> np.uint64(16), buckets)):
+                yield _row(True, bucket, _deltas(after[at]), _deflated(n[at]))
+
         parts, held = [], 0
         for batch in batches:
             for _, piece in pieces(texts(batch.column("text")), MODEL_PIECE):
-                keys, n = counted(keys_of(*stream(piece)))
-                parts.append(((keys & _FIVE_BYTES) << np.uint64(8) | keys >> np.uint64(8 * SPAN), n))
-                held += len(keys)
+                parts.append(counted(keys_of(*stream(piece))))
+                held += len(parts[-1][0])
                 if held > HELD:
-                    parts = [summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
+                    parts = [_together(parts)]
                     held = len(parts[0][0])
                     if 2 * held > HELD:
-                        yield from handed(parts)
+                        yield from handed(*parts[0])
                         parts, held = [], 0
-                slots = [([], []) for _ in SHORT]
-                weights = [([], []) for _ in SHORT]
-                for bit in _bits(keys, code, []):
-                    for k, own in enumerate(bit.slots):
-                        slots[k][bit.bit].append(own)
-                        weights[k][bit.bit].append(np.add.reduceat(n[bit.at], np.cumsum(bit.repeats[k]) - bit.repeats[k]))
-                for k, base in enumerate(BASES[:-1]):
-                    for value in (0, 1):
-                        if slots[k][value]:
-                            new = np.bincount(np.concatenate(slots[k][value]), np.concatenate(weights[k][value]), 1 << SLOTS[k]).astype(np.int32)
-                            seen[base : base + len(new)] += new
-                            if value:
-                                ones[base : base + len(new)] += new
         if parts:
-            yield from handed(parts)
+            yield from handed(*_together(parts))
         for k in np.flatnonzero(seen.reshape(-1, BLOCK).any(axis=1)):
             at = slice(k * BLOCK, (k + 1) * BLOCK)
             yield _row(False, k, seen[at].tobytes(), ones[at].tobytes())
@@ -433,8 +445,8 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     at, parts, held = None, [], 0
 
     def done():
-        first, second = (sum(x) for x in zip(*parts, strict=True)) if not at[0] else summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        return _row(*at, *((_deltas(first), second.tobytes()) if at[0] else (zlib.compress(x.tobytes(), 1) for x in (first, second))))
+        first, second = _together(parts) if at[0] else parts[0]
+        return _row(*at, _deltas(first) if at[0] else _deflated(first), _deflated(second))
 
     for batch in batches:
         for long, k, a, b in zip(*batch.columns, strict=True):
@@ -443,10 +455,10 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield done()
                 at, parts, held = (long.as_py(), k.as_py()), [], 0
             if at[0]:
-                parts.append((_keys(a), np.frombuffer(b.as_buffer(), np.int64)))
+                parts.append((_keys(a), _numbers(b)))
                 held += len(parts[-1][0])
                 if held > 2 * HELD:
-                    parts = [summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
+                    parts = [_together(parts)]
                     held = len(parts[0][0]) // 2
             else:
                 new = [np.frombuffer(x.as_buffer(), np.int32) for x in (a, b)]
@@ -470,8 +482,8 @@ def _tables_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if block is not None:
                     yield done()
                 block, seen, ones = k, np.zeros(BLOCK, np.int64), np.zeros(BLOCK, np.int64)
-            seen += np.frombuffer(zlib.decompress(a.as_buffer()), np.int64)
-            ones += np.frombuffer(zlib.decompress(b.as_buffer()), np.int64)
+            seen += _numbers(a)
+            ones += _numbers(b)
     if block is not None:
         yield done()
 
@@ -526,23 +538,23 @@ def _looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if b.as_py() != bucket:
                 bucket, parts, five = b.as_py(), [], None
             if not chunk.is_valid:
-                parts.append((_keys(keys), np.frombuffer(counts.as_buffer(), np.int64)))
+                parts.append((_keys(keys), _numbers(counts)))
                 continue
             if not parts:
                 continue
             if five is None:
-                five = parts[0] if len(parts) == 1 else summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+                five = _together(parts)
                 four = summed(five[0] >> np.uint64(16) << np.uint64(8) | five[0] & np.uint64(255), five[1])
             own = _keys(keys)
             a, z = _ranges(five[0], own), _ranges(four[0], distinct(own >> np.uint64(8)))
             found, n = np.concatenate([five[0][a], four[0][z] | _FOUR]), np.concatenate([five[1][a], four[1][z]])
             if len(found):
-                yield pa.RecordBatch.from_arrays([pa.array([chunk.as_py()], pa.int64()), pa.array([_deltas(found)]), pa.array([n.tobytes()])], ["chunk", "keys", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array([chunk.as_py()], pa.int64()), pa.array([_deltas(found)]), pa.array([_deflated(n)])], ["chunk", "keys", "counts"])
 
 
 def _followers_of(dealt: DataFrame, contexts: DataFrame, buckets: int) -> DataFrame:
     """(chunk, keys, counts) of what follows the contexts of each chunk of ``dealt``."""
-    wanted = dealt.select("chunk", "text").groupBy("chunk").applyInArrow(_wanted(buckets), "bucket bigint, chunk bigint, keys binary")
+    wanted = dealt.groupBy("chunk").applyInArrow(_wanted(buckets), "bucket bigint, chunk bigint, keys binary")
     known = contexts.select("bucket", F.lit(None).cast("bigint").alias("chunk"), "keys", "counts")
     both = known.unionByName(wanted.withColumn("counts", F.lit(None).cast("binary")))
     return both.repartition("bucket").sortWithinPartitions("bucket", F.asc_nulls_first("chunk")).mapInArrow(_looked_up, "chunk bigint, keys binary, counts binary")
@@ -551,7 +563,7 @@ def _followers_of(dealt: DataFrame, contexts: DataFrame, buckets: int) -> DataFr
 def _gathered(rows: pa.Table, code: Code) -> list[Followers]:
     """The followers of a chunk, by leaf, for each of LONG."""
     keys = np.concatenate([np.zeros(0, np.uint64), *(_keys(k) for k in rows.column("keys"))])
-    n = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(c.as_buffer(), np.int64) for c in rows.column("counts"))])
+    n = np.concatenate([np.zeros(0, np.int64), *(_numbers(c) for c in rows.column("counts"))])
     keys = keys & ~np.uint64(255) | code.leaf.astype(np.uint64)[(keys & np.uint64(255)).astype(np.int64)]
     turn = np.argsort(keys)
     keys, n = keys[turn], n[turn]
@@ -650,6 +662,7 @@ def _score_chunk(sent):
         n = docs.num_rows
         n_tokens, n_known, n_bytes, logs, scores = *(np.zeros(n, np.int64) for _ in range(3)), np.zeros(n), np.zeros(n)
         end = count[np.searchsorted(key, END_TOKEN)] if n else 0
+        known, value = np.zeros(0, np.uint64), np.zeros(0)
         for row, piece in pieces(texts(docs.column("text")), MODEL_PIECE):
             h, first = tokens(piece)
             c = count[np.searchsorted(key, h)]
@@ -658,12 +671,21 @@ def _score_chunk(sent):
             at = slice(row, row + m)
             n_tokens[at] = np.diff(first) + 1
             n_known[at] = sums(c > 0, first) + (end > 0)
-            value = np.log10(c + 0.1)
-            logs[at] = [value[a:b].sum() for a, b in zip(first[:-1], first[1:], strict=True)] + np.log10(end + 0.1)
+            of_word = np.log10(c + 0.1)
+            logs[at] = [of_word[a:b].sum() for a, b in zip(first[:-1], first[1:], strict=True)] + np.log10(end + 0.1)
             out, begin, length = stream(piece)
             keys, number = places(out, begin, length)
             n_bytes[at] = length
-            scores[at] = np.add.reduceat(log10_probability(keys, model, followers)[number], np.cumsum(length) - length)
+            # Most keys of a piece came in the pieces before.
+            own = np.searchsorted(known, keys)
+            new = np.append(known, ~np.uint64(0))[own] != keys
+            p = np.append(value, 0.0)[own]
+            p[new] = log10_probability(keys[new], model, followers)
+            if len(known) + new.sum() > HELD:
+                known, value = keys, p
+            else:
+                known, value = np.insert(known, own[new], keys[new]), np.insert(value, own[new], p[new])
+            scores[at] = np.add.reduceat(p[number], np.cumsum(length) - length)
         names = [f.split()[0] for f in SCORED.split(", ")]
         return pa.table([docs.column("doc_id"), docs.column("held_out"), *map(pa.array, (n_tokens, n_known, n_bytes, logs, scores))], names)
 
