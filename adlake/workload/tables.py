@@ -402,7 +402,7 @@ def backfill_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
       EXCEPT
       SELECT c_mktsegment, CAST(c_nationkey AS VARCHAR) FROM customer WHERE c_acctbal > 9500
     )
-    SELECT resource, count(*) AS n_missing, array_to_string((list(entity ORDER BY entity))[1:3], ',') AS entities FROM gaps GROUP BY resource
+    SELECT resource, count(*) AS n_missing, array_to_string(list(entity ORDER BY entity), ',') AS entities FROM gaps GROUP BY resource
     """,
 )
 def completeness_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,7 +411,7 @@ def completeness_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey").cast("string").alias("entity"),
         (F.col("c_acctbal") > 9500).alias("complete"),
     )
-    gaps = completeness(landed, landed, shown=3)
+    gaps = completeness(landed, landed, shown=None)
     return gaps.select("resource", "n_missing", F.array_join("entities", ",").alias("entities"))
 
 
