@@ -8,7 +8,7 @@ from adlake.functions.actions import subscribe_revenue
 from adlake.operators.merge import merge_report_rows
 from adlake.operators.sinks import shared_dir
 from adlake.plans import gads, insights
-from adlake.workload.registry import query, table
+from adlake.workload.registry import dealt, query, table
 
 # First action type of a row, by line number; the SQL below spells out what follows from it.
 _TYPES = (
@@ -35,6 +35,10 @@ def _labelled(kind: Column, label: Column, value: Column) -> Column:
 
 
 def ad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ad_rows(table(spark, sf_dir, "lineitem"))
+
+
+def _ad_rows(items: DataFrame) -> DataFrame:
     """A report row per line item; its arrays are built from the row alone."""
     line, flag = F.col("l_linenumber"), F.col("l_returnflag")
     first = F.element_at(F.array(*[F.lit(t) for t in _TYPES]), line)
@@ -44,7 +48,7 @@ def ad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = F.when(F.col("l_linestatus") == "F", "bad").otherwise((line * 10).cast("string"))
     search = F.when(line == 1, "1_000").when(line == 2, "5d").otherwise(line.cast("string"))
     quantity = F.col("l_quantity").cast("int")
-    return table(spark, sf_dir, "lineitem").select(
+    return items.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("ad"),
         line.alias("line"),
@@ -89,10 +93,10 @@ def landed_ad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows as landed reports.
 
     Read from files, an array is searched as it lies there; derived in the same plan, each search would derive it anew,
-    and outside of generated code.
+    and outside of generated code. The line items are dealt out before their arrays are built.
     """
     path = shared_dir(spark)
-    ad_rows(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+    _ad_rows(dealt(table(spark, sf_dir, "lineitem"))).write.parquet(path)
     return spark.read.parquet(path)
 
 

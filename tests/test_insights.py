@@ -183,3 +183,18 @@ def test_grain_recomputes_ratios_and_leaves_unique_metrics_out(spark):
         ("2024-01-08", "2024-01-14", 0, None, None),
     ]
     assert got[0].reach is None
+
+
+def test_landed_report_files_follow_the_line_items(spark, monkeypatch, tmp_path):
+    from adlake.workload import ads, registry
+
+    monkeypatch.setattr(registry, "ROWS_A_FILE", 10)
+    row = F.struct(
+        F.col("id").alias("l_orderkey"), F.lit(1).cast("bigint").alias("l_partkey"), F.lit(1).cast("int").alias("l_linenumber"),
+        F.lit(2.0).alias("l_quantity"), F.lit(3.0).alias("l_extendedprice"), F.lit(0.1).alias("l_discount"), F.lit(0.2).alias("l_tax"),
+        F.lit("A").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+    )
+    spark.range(0, 200, 1, 1).select(row.alias("r")).select("r.*").write.parquet(str(tmp_path / "lineitem.parquet"))
+    landed = ads.landed_ad_rows(spark, str(tmp_path))
+    sizes = [r["count"] for r in landed.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 200 and len(sizes) == 20 and max(sizes) <= 12
