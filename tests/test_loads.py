@@ -663,3 +663,23 @@ def test_a_row_of_a_null_key_is_not_changed_for_ever(spark):
     assert pairs(diff.changed_rows(light, state, ["id"], ["id", "v"]).select("id", "v")) == [(2, "c")]
     moved = light.withColumn("v", F.upper("v"))
     assert pairs(diff.changed_rows(moved, state, ["id"], ["id", "v"]).select("v")) == [("A",), ("B",), ("C",)]
+
+
+def test_a_first_merge_computes_its_rows_once(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(type(spark.range(1)), "isEmpty", lambda self: pytest.fail("computed to be counted"))
+    spec, path = TableSpec("t", ("k",), MERGE, partition_by=("d",)), str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "k int, d string, v int")
+    sinks.load(rows.limit(0), spec, path)
+    assert sinks.read_table(spark, path) is None and not [f for f in sinks.folders(spark, path) if f.startswith("_batch")]
+    sinks.load(rows, spec, path)
+    assert pairs(sinks.read_table(spark, path).select("k", "d", "v")) == [(1, "a", 5), (2, "b", 6)]
+
+
+def test_groups_of_one_number_are_merged_without_a_sort(spark):
+    a = spark.createDataFrame([("x", 1), ("x", 3), ("y", None), ("z", 4)], "k string, n bigint")
+    b = spark.createDataFrame([("y", 2.0), ("z", None), ("w", 5.0)], "k string, m double")
+    c = spark.createDataFrame([("z", None), ("x", 9)], "k string, n bigint")
+    out = merge.merge_report_rows([a, b], ["k"])
+    assert pairs(out) == [("w", None, 5.0), ("x", 3, None), ("y", None, 2.0), ("z", 4, None)]
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    assert pairs(merge.merge_report_rows([a, c], ["k"])) == [("x", 9), ("y", None), ("z", None)]
