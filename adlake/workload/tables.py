@@ -243,10 +243,10 @@ def leads_of_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def missing_keys_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_orderstatus")
-    items = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id")).distinct()
+    items = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"))
     missing, _ = missing_keys(orders, items, "id")
     _, extra = missing_keys(orders.filter(F.col("o_orderstatus") != "P"), items, "id")
-    return missing.withColumn("side", F.lit("missing")).unionByName(extra.withColumn("side", F.lit("extra")))
+    return missing.withColumn("side", F.lit("missing")).unionByName(extra.distinct().withColumn("side", F.lit("extra")))
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -665,6 +665,17 @@ def test_a_row_of_a_null_key_is_not_changed_for_ever(spark):
     assert pairs(diff.changed_rows(moved, state, ["id"], ["id", "v"]).select("v")) == [("A",), ("B",), ("C",)]
 
 
+def test_missing_keys_are_dealt_out_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(merge, "KEYS_A_TASK", 10)
+    a = spark.createDataFrame([(k,) for k in [*range(0, 90), 3, 3, None]], "id int")
+    b = spark.createDataFrame([(k,) for k in [*range(5, 100), 7, 7, 99, 99]], "id int")
+    missing, extra = merge.missing_keys(a, b, "id")
+    assert sorted(pairs(missing), key=str) == sorted([(k,) for k in (0, 1, 2, 3, 3, 3, 4, None)], key=str)
+    assert sorted(pairs(extra)) == [(k,) for k in (*range(90, 100), 99, 99)]
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "hashpartitioning(id#" in plan and ", 20)" in plan
+
+
 def test_a_first_merge_computes_its_rows_once(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(type(spark.range(1)), "isEmpty", lambda self: pytest.fail("computed to be counted"))
     spec, path = TableSpec("t", ("k",), MERGE, partition_by=("d",)), str(tmp_path / "t")
