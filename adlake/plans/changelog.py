@@ -158,6 +158,9 @@ def _definitions(messages: DataFrame) -> DataFrame:
     """Each distinct relation message parsed once: one row per table and schema change."""
     distinct = messages.filter("kind = 'R'").select("payload").distinct()
     parsed = distinct.select(_definition_id(F.col("payload")).alias("definition"), _relation(F.col("payload")).alias("relation"), "payload")
+    # The names on their own, found once for each definition and not in each message.
+    names = F.transform(F.col("relation")["cols"], lambda c: c["name"])
+    parsed = parsed.withColumn("relation", F.col("relation").withField("names", names))
     parsed = cut_lineage(parsed)
     size = parsed.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("definition").alias("ids"), F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("bytes")).first()
     if size["ids"] != size["n"]:
@@ -169,7 +172,7 @@ def _definitions(messages: DataFrame) -> DataFrame:
 def decode_messages(log: DataFrame) -> DataFrame:
     """One row per insert, update or delete, with the relation and commit time it belongs to.
 
-    Columns: seq, lsn, kind, relation (name, cols), commit_ts, vals (the new tuple, or the
+    Columns: seq, lsn, kind, relation (name, cols, names), commit_ts, vals (the new tuple, or the
     old one of a delete) and old_vals (key or old tuple an update carried, else NULL).
     """
     payload, kind = F.col("payload"), F.col("kind")
@@ -219,7 +222,9 @@ def relation_columns(log: DataFrame) -> dict[str, list[SourceColumn]]:
 
     The driver sees the distinct definitions: one per table and schema change.
     """
-    defs = message_kinds(log).filter("kind = 'R'").select("seq", _relation(F.col("payload")).alias("r"))
+    # A definition comes again and again: each distinct one is parsed once.
+    sent = message_kinds(log).filter("kind = 'R'").groupBy("payload").agg(F.max("seq").alias("seq"))
+    defs = sent.select("seq", _relation(F.col("payload")).alias("r"))
     found = defs.groupBy("r.name", "r.cols").agg(F.max("seq").alias("seq")).orderBy("seq").collect()
     tables: dict[str, dict[str, SourceColumn]] = {}
     for row in found:
@@ -257,7 +262,7 @@ def table_changes(
         raise ValueError(f"unknown choice {unchanged!r}")
     kept = [c for c in columns if include is None or c.name in include]
     rows = decoded.filter(F.col("relation")["name"] == table)
-    names = F.transform(F.col("relation")["cols"], lambda c: c["name"])
+    names = F.col("relation")["names"]
 
     def entry(vals: str, c: SourceColumn) -> Column:
         # Position 0 means the definition in force does not have the column.

@@ -17,7 +17,7 @@ from adlake.plans.changelog import (
     table_changes,
 )
 from adlake.streaming.jobs import applied_rows, compact_changes, latest_state, stream_apply, stream_latest, stream_messages
-from adlake.workload.registry import query, stream_table, table
+from adlake.workload.registry import dealt, query, stream_table, table
 
 KEYS = ["user_id"]
 
@@ -163,7 +163,12 @@ def _relation_hex(relation: int, name: str, columns: list[SourceColumn]) -> str:
     return "".join(parts)
 
 
-def order_log(spark: SparkSession, sf_dir: str, moved: bool = False) -> DataFrame:
+def land_order_log(spark: SparkSession, sf_dir: str, path: str, moved: bool = False) -> None:
+    """The messages as files, each of a range of the log; the orders are dealt out before they are encoded."""
+    order_log(spark, sf_dir, moved, deal=True).write.parquet(path)
+
+
+def order_log(spark: SparkSession, sf_dir: str, moved: bool = False, deal: bool = False) -> DataFrame:
     """Replication messages of the orders: one transaction each, encoded byte by byte.
 
     Finished orders are inserted, open ones updated with their old row, partial ones deleted
@@ -194,13 +199,14 @@ def order_log(spark: SparkSession, sf_dir: str, moved: bool = False) -> DataFram
         extra = F.when(status == "O", F.concat(F.lit(f"49{to}4E"), old))
     # Columns of their own first: inside the generator they would not be compiled.
     parts = {"begin": begin, "extra": extra, "change": change, "commit": commit}
-    orders = orders.select("o_orderkey", *[c.alias(f"_{k}") for k, c in parts.items()])
+    dealt_out = dealt(orders, "o_orderkey") if deal else orders
+    encoded = dealt_out.select("o_orderkey", *[c.alias(f"_{k}") for k, c in parts.items()])
     messages = F.array(*[F.struct(F.lit(i).alias("at"), F.col(f"_{k}").alias("hex")) for i, k in enumerate(parts)])
     sent = F.filter(messages, lambda m: m["hex"].isNotNull())
-    log = orders.select("o_orderkey", F.explode(sent).alias("m")).select(
+    log = encoded.select("o_orderkey", F.explode(sent).alias("m")).select(
         (F.col("o_orderkey") * 4 + F.col("m.at")).alias("seq"), F.unhex("m.hex").alias("payload")
     )
-    first = table(spark, sf_dir, "orders").agg(F.min(key).alias("k")).select(
+    first = orders.agg(F.min(key).alias("k")).select(
         (F.col("k") * 4 - 1).alias("seq"), F.unhex(relation).alias("payload")
     )
     return first.unionByName(log).select("seq", (F.col("seq") + 1000).alias("lsn"), "payload")
@@ -220,7 +226,7 @@ def order_log(spark: SparkSession, sf_dir: str, moved: bool = False) -> DataFram
 def cdc_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages landed as files, scanned, decoded and typed."""
     path = shared_dir(spark)
-    order_log(spark, sf_dir).write.parquet(path)
+    land_order_log(spark, sf_dir, path)
     decoded = decode_messages(read_changes(spark, path))
     changes = table_changes(decoded, "orders", ORDER_COLUMNS)
     deleted = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("deleted_ts").cast("timestamp_ntz"))
@@ -253,7 +259,7 @@ def cdc_truncates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages read as a stream, decoded and applied to a table."""
     root = shared_dir(spark)
-    order_log(spark, sf_dir).write.parquet(f"{root}/log")
+    land_order_log(spark, sf_dir, f"{root}/log")
     stream_messages(read_changes(spark, f"{root}/log", streaming=True), f"{root}/tables", f"{root}/progress")
     return applied_rows(spark, f"{root}/tables/orders").select(
         "id", "status", F.coalesce(F.col("price").cast("double"), F.lit(-1.0)).alias("price"), "lsn"
@@ -276,8 +282,7 @@ MESSAGE_BATCHES = 6
 def cdc_message_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages land in six parts, each but the last cut inside a transaction; the table after each."""
     root = shared_dir(spark)
-    log = order_log(spark, sf_dir)
-    log.write.parquet(f"{root}/all")
+    land_order_log(spark, sf_dir, f"{root}/all")
     log = read_changes(spark, f"{root}/all")
     low, high = table(spark, sf_dir, "orders").agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
     last, out = None, None
@@ -298,7 +303,7 @@ def cdc_message_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_column_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two columns of the table alone are replicated, from keys that move; a moved key leaves nothing behind."""
     root = shared_dir(spark)
-    order_log(spark, sf_dir, moved=True).write.parquet(f"{root}/log")
+    land_order_log(spark, sf_dir, f"{root}/log", moved=True)
     stream = read_changes(spark, f"{root}/log", streaming=True)
     stream_messages(stream, f"{root}/tables", f"{root}/progress", include={"orders": ["id", "status"]}, key_deletes=True)
     return applied_rows(spark, f"{root}/tables/orders")

@@ -433,3 +433,31 @@ def test_decode_plan_shuffles_the_log_once(spark, tmp_path):
     count = lambda word: len(re.findall(rf"[-+] \*?(?:\(\d+\) )?{word}", plan))
     assert count("FileScan|Scan parquet") <= 2 and "FileScan" in plan
     assert count("Exchange") <= 4 and "SortAggregate" not in plan
+
+
+def test_a_landed_log_lies_in_ranges_that_follow_the_orders(spark, monkeypatch, tmp_path):
+    from adlake.workload import changes, registry
+
+    monkeypatch.setattr(registry, "ROWS_A_FILE", 20)
+    order = F.struct(
+        F.pmod(F.col("id") * 7, F.lit(200)).alias("o_orderkey"), F.lit(1).cast("bigint").alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        F.lit(1.5).alias("o_totalprice"), F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'").alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"),
+    )
+    spark.range(0, 200, 1, 1).select(order.alias("o")).select("o.*").write.parquet(str(tmp_path / "orders.parquet"))
+    changes.land_order_log(spark, str(tmp_path), str(tmp_path / "log"))
+    log = changelog.read_changes(spark, str(tmp_path / "log"))
+    ends = log.groupBy(F.input_file_name()).agg(F.min("seq").alias("a"), F.max("seq").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").orderBy("a").collect()
+    assert log.count() == 801 and len(ends) >= 8 and max(r["n"] for r in ends) <= 200
+    assert all(x["b"] < y["a"] for x, y in zip(ends, ends[1:]))
+
+
+def test_a_repeated_definition_is_parsed_once(spark, monkeypatch):
+    parsed = []
+    real = changelog._relation
+    monkeypatch.setattr(changelog, "_relation", lambda payload: parsed.append(payload) or real(payload))
+    log = log_of(spark, [begin(T1), *[relation(5, "t", [ID, NAME])] * 50, insert(5, "1", "a"), commit()])
+    plans = []
+    collect = type(log).collect
+    monkeypatch.setattr(type(log), "collect", lambda self: plans.append(self._jdf.queryExecution().optimizedPlan().toString()) or collect(self))
+    assert [c.name for c in changelog.relation_columns(log)["t"]] == ["id", "name"]
+    assert parsed and plans[-1].count("Aggregate [") == 2
