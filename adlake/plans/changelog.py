@@ -388,11 +388,11 @@ def last_commit(log: DataFrame) -> int | None:
 
 
 def open_messages(log: DataFrame) -> DataFrame:
-    """Messages that later changes depend on: the last begin, and the last definition per relation."""
-    messages = message_kinds(log)
-    columns = log.columns
-    begins = messages.filter("kind = 'B'")
-    last = begins.groupBy("kind").agg(F.max(F.struct(*columns)).alias("m"))
-    relations = messages.filter("kind = 'R'").withColumn("rel_id", be_uint(F.col("payload"), 2, 4))
-    defined = relations.groupBy("rel_id").agg(F.max(F.struct(*columns)).alias("m"))
-    return last.select("m.*").unionByName(defined.select("m.*"))
+    """Messages that later changes depend on: the last begin, and the last definition per relation.
+
+    Their positions, one more than there are relations, are found in hash maps and read back by the driver; messages are not sorted.
+    """
+    kind = F.col("kind")
+    messages = message_kinds(log).filter(kind.isin("B", "R")).withColumn("rel_id", F.when(kind == "R", be_uint(F.col("payload"), 2, 4)))
+    last = messages.groupBy("kind", "rel_id").agg(F.max("seq").alias("seq")).collect()
+    return log.filter(F.col("seq").isin([r["seq"] for r in last])).distinct()
