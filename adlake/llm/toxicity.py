@@ -23,6 +23,8 @@ BITS = 20
 #: The classifier is fitted on a sample by doc_id hash of about this many labelled rows at most.
 MAX_ROWS = 30_000
 EPOCHS = 4
+#: Bytes of text whose features a worker holds at a time.
+FEATURE_BYTES = 512 << 10
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 4.0, 0.0
 
 
@@ -44,7 +46,7 @@ def features(piece: Texts) -> tuple[np.ndarray, np.ndarray]:
 def feature_slots(column: pa.Array) -> pa.Array:
     """Distinct slots of each text."""
     sizes, slots = np.zeros(len(column) + 1, np.int64), [np.zeros(0, np.int32)]
-    for row, piece in pieces(texts(column)):
+    for row, piece in pieces(texts(column), FEATURE_BYTES):
         text, slot = features(piece)
         both = distinct(text << BITS | slot)
         n = len(piece.offsets) - 1
@@ -111,7 +113,7 @@ def scorer(spark, model: tuple[np.ndarray, np.ndarray]) -> Column:
         dense[sent.value[0]] = sent.value[1]
         for column in batches:
             out = np.full(len(column), dense[-1])
-            for row, piece in pieces(texts(column)):
+            for row, piece in pieces(texts(column), FEATURE_BYTES):
                 text, slot = features(piece)
                 some = np.flatnonzero(dense[slot])
                 both = distinct(text[some] << BITS | slot[some])
