@@ -120,3 +120,83 @@ def test_string_hashes_are_those_of_the_bytes(rng):
         for k in range(len(data) - size + 1):
             assert seen.setdefault(data[k : k + size].tobytes(), h[k]) == h[k]
         assert len(set(seen.values())) == len(seen) and len(h) == len(data) - size + 1
+
+
+def test_buckets_answer_groups_of_documents(spark, prose, rng, monkeypatch):
+    """Rows that come back are those of buckets and groups, not of buckets and documents."""
+    rows = sharing(prose, rng) + [(2 * 10**8 + k, prose(60) + prose(4) * 8) for k in range(900)]
+    kept = []
+    write = suffixes.written
+    monkeypatch.setattr(suffixes, "written", lambda df, name: kept.append(write(df, name)) or kept[-1])
+    monkeypatch.setattr(suffixes, "MINIMISER_BUCKET", 1 << 12)
+    monkeypatch.setattr(suffixes, "PIECE_BUCKET", 1 << 12)
+    assert answer(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)) == removed(rows)
+    buckets = sum(len(t or "") for _, t in rows) // (1 << 12)
+    assert buckets > 40 and kept[0].count() < 2 * 16 * buckets < 20 * len(rows)
+
+
+def batch_of(rows, **more):
+    import pyarrow as pa
+
+    columns = {"id": pa.array([i for i, _ in rows], pa.int64()), "h": pa.array([1000 + k for k in range(len(rows))], pa.int64()), "text": pa.array([t for _, t in rows])}
+    return pa.RecordBatch.from_pydict(columns | more)
+
+
+def test_small_batches_are_sent_together(prose):
+    import pyarrow as pa
+
+    rows = [(k, prose(40)) for k in range(60)]
+    batches = [batch_of(rows[k : k + 2]) for k in range(0, 60, 2)]
+    assert sum(b.num_rows for b in suffixes._ask(iter(batches), 5)) <= 6
+    every = [list(range(len(t))) for _, t in rows]
+    wanted = [batch_of(rows[k : k + 2], starts=pa.array(every[k : k + 2], pa.list_(pa.int32()))) for k in range(0, 60, 2)]
+    assert sum(b.num_rows for b in suffixes._send(iter(wanted), 5, 7, np.zeros(0, np.uint64))) <= 8
+
+
+def test_documents_dealt_to_groups_come_back_whole(rng):
+    import pyarrow as pa
+
+    want, batches = {}, []
+    for _ in range(9):
+        docs = sorted({(rng.randrange(40), rng.choice([-(1 << 62), 5, 1 << 61])) for _ in range(30)})
+        lows = [sorted(rng.randrange(1 << rng.choice([8, 31])) for _ in range(rng.randint(1, 5))) for _ in docs]
+        for d, low in zip(docs, lows, strict=True):
+            want.setdefault(d, []).extend((x, x + 50) for x in low)
+        lists = [pa.array([[x + k if x + k < 1 << 31 else x for x in low] for low in lows], pa.list_(pa.int32())) for k in (0, 50)]
+        batches.append(pa.RecordBatch.from_arrays([pa.array([d[0] for d in docs]), pa.array([d[1] for d in docs]), *lists], schema=suffixes._SPANS))
+    dealt = pa.Table.from_batches(suffixes._deal(iter(batches), 2, suffixes._SPANS_DEALT))
+    assert len(dealt) <= 18
+    got = [r for b in suffixes._gather(iter(dealt.sort_by("group").combine_chunks().to_batches(max_chunksize=4)), suffixes._SPANS) for r in b.to_pylist()]
+    assert len(got) == len(want)
+    for r in got:
+        spans = [(x, x + 50 if x + 50 < 1 << 31 else x) for x, _ in want[r["id"], r["h"]]]
+        assert sorted(zip(r["low"], r["high"], strict=True)) == sorted(spans)
+
+
+def test_pieces_hold_every_place_once(rng, monkeypatch):
+    texts = ["".join(rng.choice("ab ") for _ in range(rng.choice([0, 3, 49, 50, 51, 300, 900]))) for _ in range(40)] + ["", "x" * 400, ""]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    want = suffixes.cut_places(data, offsets)
+    (gram,) = suffixes.string_hashes(data, suffixes.GRAM)
+    places = [(t, k) for t, x in enumerate(texts) for k in range(len(x) - suffixes.DEPTH + 1)]
+    got = []
+    for text, at, count, mini in zip(*want, strict=True):
+        assert 1 <= count <= suffixes.RUN
+        for k in range(at, at + count):
+            assert mini == min(gram[k : k + suffixes.DEPTH - suffixes.GRAM + 1])
+            got.append((text, k - offsets[text]))
+    assert got == places
+    names = suffixes._names(data, want[1], want[2])
+    for block in (64, 100, 1000):
+        monkeypatch.setattr(suffixes, "BLOCK", block)
+        assert all((a == b).all() for a, b in zip(want, suffixes.cut_places(data, offsets), strict=True))
+        assert (names == suffixes._names(data, want[1], want[2])).all() and (gram == suffixes.string_hashes(data, suffixes.GRAM)[0]).all()
+
+
+def test_order_of_values(rng):
+    for bits in (3, 40, 64):
+        # Some differ in their low bits only, which a place covers.
+        values = np.array([(rng.randrange(1 << bits) >> 2 << 2 if k % 3 else 7) ^ rng.randrange(4) for k in range(900)], np.uint64) & np.uint64((1 << bits) - 1)
+        assert list(suffixes._order(values, bits)) == list(np.argsort(values, kind="stable"))
+    assert len(suffixes._order(np.zeros(0, np.uint64))) == 0
