@@ -60,7 +60,6 @@ _SENT = pa.schema({"bucket": pa.int64(), "text": pa.large_binary(), "places": pa
 _SPANS = pa.schema({"id": pa.int64(), "h": pa.int64(), "low": pa.list_(pa.int32()), "high": pa.list_(pa.int32())})
 _STARTS_DEALT = pa.schema({"group": pa.int64(), "ids": pa.binary(), "keys": pa.binary(), "n": pa.binary(), "starts": pa.binary(), "hot": pa.int64()})
 _SPANS_DEALT = pa.schema({"group": pa.int64(), "ids": pa.binary(), "keys": pa.binary(), "n": pa.binary(), "low": pa.binary(), "high": pa.binary()})
-_STARTS = pa.schema({"id": pa.int64(), "h": pa.int64(), "starts": pa.list_(pa.int32())})
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -310,9 +309,9 @@ def _documents(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _buckets(batches: Iterator[pa.RecordBatch], by: str = "bucket") -> Iterator[tuple[int, Iterator[dict]]]:
     def rows() -> Iterator[dict]:
         for batch in batches:
-            columns = [(f.name, batch.column(k)) for k, f in enumerate(batch.schema)]
+            columns = [(f.name, batch.column(k), f.type == pa.int64()) for k, f in enumerate(batch.schema)]
             for at in range(len(batch)):
-                yield {name: c[at].as_py() if name == by else c[at].as_buffer() for name, c in columns}
+                yield {name: c[at].as_py() if number else c[at].as_buffer() for name, c, number in columns}
 
     yield from groupby(rows(), key=lambda r: r[by])
 
@@ -388,9 +387,14 @@ def _deal(batches: Iterator[pa.RecordBatch], groups: int, schema: pa.Schema) ->
 
 
 def _gather(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """(id, h, lists), a row for each document, of what ``_deal`` made; rows come by group."""
-    for _, own in _buckets(batches, "group"):
+    """(id, h, lists), a row for each document, of what ``_deal`` made; rows come by group, those without one stay as they are."""
+    names = [f.name for f in schema if f.type == pa.list_(pa.int32())]
+    for group, own in _buckets(batches, "group"):
         rows = list(own)
+        if group is None:
+            plain = {f.name: pa.nulls(len(rows), f.type) for f in schema} | {"hot": pa.array([r["hot"] for r in rows], pa.int64())}
+            yield pa.RecordBatch.from_pydict(plain, schema=schema)
+            continue
         ids, keys = (np.concatenate(_of(rows, k, np.int64)) for k in ("ids", "keys"))
         n = np.concatenate(_of(rows, "n", np.uint32)).astype(np.int64)
         order = np.lexsort((ids, keys))
@@ -399,8 +403,9 @@ def _gather(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa
             new = np.union1d(new, np.flatnonzero(ids[order[1:]] != ids[order[:-1]]) + 1)
         spot = _ranges((np.cumsum(n) - n)[order], n[order])
         ends = pa.array(np.append(0, np.cumsum(n[order]))[np.append(new, len(order))], pa.int32())
-        values = [pa.ListArray.from_arrays(ends, pa.array(_unpacked(rows, name).view(np.int32)[spot])) for name in schema.names[2:]]
-        yield pa.RecordBatch.from_arrays([pa.array(ids[order[new]]), pa.array(keys[order[new]]), *values], schema=schema)
+        values = [pa.ListArray.from_arrays(ends, pa.array(_unpacked(rows, name).view(np.int32)[spot])) for name in names]
+        none = [pa.nulls(len(new), f.type) for f in list(schema)[2 + len(names) :]]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[order[new]]), pa.array(keys[order[new]]), *values, *none], schema=schema)
 
 
 def _merged(group: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -634,10 +639,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     questions = source.where("doc_id is not null").select("id", "h", "text").mapInArrow(lambda b: _ask(b, asked), _ddl(_ASKED))
     groups = max(16, size // GROUP)
     at_group = lambda df, schema: df.repartition("group").sortWithinPartitions("group").mapInArrow(lambda b: _gather(b, schema), _ddl(schema))
-    shared = written(at_bucket(questions).mapInArrow(lambda b: _deal(_share(b, hot_places), groups, _STARTS_DEALT), _ddl(_STARTS_DEALT)), "shared")
+    answers = at_bucket(questions).mapInArrow(lambda b: _deal(_share(b, hot_places), groups, _STARTS_DEALT), _ddl(_STARTS_DEALT))
+    shared = written(at_group(answers, _SHARED), "shared")
     hot = np.sort(np.array([r["hot"] for r in shared.where("hot is not null").select("hot").toLocalIterator()], np.int64).view(np.uint64))
     held = spark.sparkContext.broadcast(hot)
-    some = at_group(shared.where("group is not null").drop("hot"), _STARTS)
+    some = shared.where("id is not null").select("id", "h", "starts")
     inside = source.join(some, ["id", "h"]).select("doc_id", "h", "text", "starts")
     pieces_sent = at_bucket(inside.mapInArrow(lambda b: _send(b, asked, sent, held.value), _ddl(_SENT)))
     spans = at_group(pieces_sent.mapInArrow(lambda b: _deal(_find(b), groups, _SPANS_DEALT), _ddl(_SPANS_DEALT)), _SPANS)
